@@ -3,15 +3,16 @@
 A suffix is ordered only through its first `threshold` bytes, by passes of rising depth; a group that a
 pass leaves with one member holds no repeat and drops out. The passes, each a Spark grouping:
 
-1. depth 64: suffixes start at anchors, the places that hold the least 64-byte hash of some window of
-   threshold - 63 hashes. Equal windows of `threshold` bytes hold equal anchors at equal offsets, so no repeat is missed.
+1. first digit: suffixes start at anchors, the places that hold the least digit of some window of `threshold` bytes, where
+   a digit is a hash of the next 128 bytes (a power of two, up to two thirds of the threshold). Equal windows hold
+   equal anchors at equal offsets, so no repeat is missed.
 2. all bytes that a window through the anchor can touch: anchors with equal surroundings are settled whole.
-3. other members of a depth-64 group: the bytes common to a block of window starts.
+3. other members of a group of the first pass: the bytes common to a block of window starts.
 4. the same block, start by start, to the full depth: equal groups are exactly the repeated windows.
 
 Windows through one anchor overlap, so what repeats around it is one run of bytes from the first to the last.
 No pass collects a group: each is a count per key and a join back, so a hot key can be split.
-Digits beyond the first pass are 64-bit hashes within a depth-64 group, that is, 128 bits in all.
+Digits beyond the first pass are 64-bit hashes within a group of the first pass, that is, 128 bits in all.
 
 Null and empty texts have no bytes. Rows with the same doc_id but other texts stay apart by their text's
 hash; a repeated row counts as another document. Other columns are not read.
@@ -32,19 +33,22 @@ from pyspark.sql import functions as F
 
 from .textkit import checkpointed, mix, sliding_min, small_side, window_hashes
 
-DEPTH_LOG = 6
-DEPTH = 1 << DEPTH_LOG
 BLOCKS = 8
 _CHUNK = 1 << 22  # bytes looked at together in a long text; the low bits of a sort key hold the place
 _ANCHORS = pa.schema([("row", pa.int64()), ("copy", pa.int32()), ("pos", pa.int64()), ("digit", pa.int64()), ("around", pa.int64())])
 
 
+def depth_log(threshold: int) -> int:
+    """The logarithm of the number of bytes in the first digit."""
+    return int(threshold * 2 // 3).bit_length() - 1
+
+
 def anchor_places(data: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and 64-byte hashes of the anchors of one text, in order."""
+    """Places and digits of the anchors of one text, in order."""
     places, digits = [], []
-    width = threshold - DEPTH + 1
+    width = threshold - (1 << depth_log(threshold)) + 1
     for first in range(0, max(0, len(data) - threshold + 1), _CHUNK):
-        h = window_hashes(data[first : first + _CHUNK + threshold - 1], DEPTH_LOG)
+        h = window_hashes(data[first : first + _CHUNK + threshold - 1], depth_log(threshold))
         key = (mix(h) >> np.uint64(24) << np.uint64(24)) | np.arange(len(h), dtype=np.uint64)
         at = np.unique((sliding_min(key, width) & np.uint64((1 << 24) - 1)).astype(np.int64))
         places.append(at + first)
@@ -56,7 +60,7 @@ def anchor_places(data: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndar
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
-    reach = threshold - DEPTH
+    reach = threshold - (1 << depth_log(threshold))
     for batch in batches:
         rows, copies, all_at, all_digits, around = [], [], [], [], []
         for row, copy, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -78,7 +82,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.R
 
 def _blocks(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataFrame]:
     """For each anchor and block of window starts: a hash of the bytes that all of them hold, and the bytes beside."""
-    reach = threshold - DEPTH
+    reach = threshold - (1 << depth_log(threshold))
     step = reach // BLOCKS
     for batch in batches:
         out = []
@@ -125,32 +129,32 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
     """The output of keyed() -> (row, copy, spans array<struct<first, last>>), spans unmerged, their ends not yet cut to the text; only rows with a repeat."""
-    reach = threshold - DEPTH
+    reach = threshold - (1 << depth_log(threshold))
     if reach < BLOCKS:
-        raise ValueError(f"threshold must be {DEPTH + BLOCKS} bytes at least")
+        raise ValueError("threshold must be 16 bytes at least")
     docs = docs.select("row", "copy", "raw")
     anchors = docs.mapInArrow(partial(_anchors, threshold=threshold), "row long, copy int, pos long, digit long, around long")
     again = anchors.groupBy("digit").agg(F.count("*").alias("n")).filter("n > 1").select("digit")
     found = checkpointed(anchors.join(again, "digit", "left_semi"))
 
-    contexts = checkpointed(found.groupBy("digit", "around").agg(F.count("*").alias("n"), F.min(F.struct("row", "copy", "pos")).alias("at")))
+    contexts = found.groupBy("digit", "around").agg(F.count("*").alias("n"), F.min(F.struct("row", "copy", "pos")).alias("at"))
     several = contexts.groupBy("digit").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1").select("digit")
     open_ = checkpointed(contexts.join(several, "digit", "left_semi").select("digit", "around", "at.row", "at.copy", "at.pos"))
     cores = checkpointed(
-        docs.join(small_side(open_, 80), ["row", "copy"]).select("digit", "around", "pos", "raw")
+        docs.join(small_side(open_, 64), ["row", "copy"]).select("digit", "around", "pos", "raw")
         .mapInPandas(partial(_blocks, threshold=threshold), "digit long, around long, block int, core long, low int, high int, left binary, right binary")
-        .dropDuplicates(["digit", "around", "block"])
     )
     group = ["digit", "block", "core"]
-    shared = cores.groupBy(*group).agg(F.count("*").alias("n")).filter("n > 1").select(*group)
+    several_around = F.min("around") < F.max("around")  # not a count: a repeated row comes here twice
+    shared = cores.groupBy(*group).agg(several_around.alias("several")).filter("several").select(*group)
     starts = cores.join(shared, group, "left_semi").withColumn("start", F.explode(F.sequence("low", "high")))
     fits = (F.length("left") >= F.col("start") - F.col("low")) & (F.length("right") >= F.col("high") - F.col("start"))
     beside = [F.expr("substring(left, length(left) - (start - low) + 1, start - low)"), F.expr("substring(right, 1, high - start)")]
     windows = checkpointed(starts.filter(fits).select("digit", "around", "start", F.xxhash64("core", "start", *beside).alias("window")))
-    equal = windows.groupBy("digit", "window").agg(F.count("*").alias("n")).filter("n > 1").select("digit", "window")
+    equal = windows.groupBy("digit", "window").agg(several_around.alias("several")).filter("several").select("digit", "window")
     partly = windows.join(equal, ["digit", "window"], "left_semi").groupBy("digit", "around").agg(F.min("start").alias("low"), F.max("start").alias("high"))
 
-    whole = contexts.filter("n > 1").select("digit", "around", F.lit(0).alias("low"), F.lit(reach).alias("high"))
+    whole = found.groupBy("digit", "around").agg(F.count("*").alias("n")).filter("n > 1").select("digit", "around", F.lit(0).alias("low"), F.lit(reach).alias("high"))
     settled = whole.unionByName(partly.join(whole.select("digit", "around"), ["digit", "around"], "left_anti"))
     span = F.struct((F.col("pos") - F.col("high")).alias("first"), (F.col("pos") - F.col("low") + threshold).alias("last"))
     return found.join(settled, ["digit", "around"]).groupBy("row", "copy").agg(F.collect_list(span).alias("spans"))
