@@ -4,7 +4,7 @@ A suffix is ordered only through its first `threshold` bytes, by passes of risin
 pass leaves with one member holds no repeat and drops out. The passes, each a Spark grouping:
 
 1. first digit: suffixes start at anchors, the places that hold the least digit of some window of `threshold` bytes, where
-   a digit is a hash of the next 128 bytes (a power of two, up to two thirds of the threshold). Equal windows hold
+   a digit is a hash of the next 64 bytes (a power of two, up to half the threshold). Equal windows hold
    equal anchors at equal offsets, so no repeat is missed.
 2. all bytes that a window through the anchor can touch: anchors with equal surroundings are settled whole.
 3. other members of a group of the first pass: the bytes common to a block of window starts.
@@ -28,10 +28,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import checkpointed, mix, sliding_min, small_side, window_hashes
+from .textkit import bitmap_of, checkpointed, in_bitmap, mix, sliding_min, window_hashes
 
 BLOCKS = 8
 _CHUNK = 1 << 22  # bytes looked at together in a long text; the low bits of a sort key hold the place
@@ -40,7 +41,7 @@ _ANCHORS = pa.schema([("row", pa.int64()), ("copy", pa.int32()), ("pos", pa.int6
 
 def depth_log(threshold: int) -> int:
     """The logarithm of the number of bytes in the first digit."""
-    return int(threshold * 2 // 3).bit_length() - 1
+    return int(threshold // 2).bit_length() - 1
 
 
 def anchor_places(data: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +60,14 @@ def anchor_places(data: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndar
     return at, np.concatenate(digits)[index]
 
 
-def _anchors(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
+def _digits(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [anchor_places(np.frombuffer(raw.as_buffer(), np.uint8), threshold)[1] for raw in batch.column(2) if raw.is_valid and raw.as_buffer().size >= threshold]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["digit"])
+
+
+def _anchors(batches: Iterator[pa.RecordBatch], threshold: int, bits: Broadcast | None) -> Iterator[pa.RecordBatch]:
     reach = threshold - (1 << depth_log(threshold))
     for batch in batches:
         rows, copies, all_at, all_digits, around = [], [], [], [], []
@@ -69,6 +77,9 @@ def _anchors(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.R
                 continue
             data = np.frombuffer(raw, np.uint8)
             at, digits = anchor_places(data, threshold)
+            if bits is not None:
+                may = in_bitmap(bits.value, digits)
+                at, digits = at[may], digits[may]
             view = memoryview(raw)
             around.extend(xxhash.xxh3_64_intdigest(view[max(0, a - reach) : a + threshold], seed=min(a, reach)) for a in at.tolist())
             rows.append(np.full(len(at), row, np.int64))
@@ -80,24 +91,6 @@ def _anchors(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.R
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_ANCHORS)
 
 
-def _blocks(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataFrame]:
-    """For each anchor and block of window starts: a hash of the bytes that all of them hold, and the bytes beside."""
-    reach = threshold - (1 << depth_log(threshold))
-    step = reach // BLOCKS
-    for batch in batches:
-        out = []
-        for digit, around, pos, raw in zip(batch.digit, batch.around, batch.pos, batch.raw, strict=True):
-            raw = memoryview(raw)
-            for block in range(BLOCKS):
-                low, high = block * step, (block + 1) * step - 1 if block < BLOCKS - 1 else reach
-                first, last = pos - low, pos + threshold - high
-                if first < 0 or last > len(raw):
-                    continue
-                core = xxhash.xxh3_64_intdigest(raw[first:last], seed=block)
-                out.append((digit, around, block, core - (core >> 63 << 64), low, high, bytes(raw[max(0, pos - high) : first]), bytes(raw[last : pos + threshold - low])))
-        yield pd.DataFrame(out, columns=["digit", "around", "block", "core", "low", "high", "left", "right"])
-
-
 def _summary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
@@ -128,41 +121,73 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
-    """The output of keyed() -> (row, copy, spans array<struct<first, last>>), spans unmerged, their ends not yet cut to the text; only rows with a repeat."""
+    """The output of keyed() -> (row, copy, spans array<struct<first, last>>), spans in order, their ends not yet cut to the text; only rows with a repeat."""
     reach = threshold - (1 << depth_log(threshold))
     if reach < BLOCKS:
         raise ValueError("threshold must be 16 bytes at least")
     docs = docs.select("row", "copy", "raw")
-    anchors = docs.mapInArrow(partial(_anchors, threshold=threshold), "row long, copy int, pos long, digit long, around long")
-    again = anchors.groupBy("digit").agg(F.count("*").alias("n")).filter("n > 1").select("digit")
-    found = checkpointed(anchors.join(again, "digit", "left_semi"))
+    digits = docs.mapInArrow(partial(_digits, threshold=threshold), "digit long")
+    again = checkpointed(digits.groupBy("digit").agg(F.count("*").alias("n")).filter("n > 1").select("digit"))
+    bits = bitmap_of(again, "digit")
+    bits = bits if bits is None else docs.sparkSession.sparkContext.broadcast(bits)
+    anchors = docs.mapInArrow(partial(_anchors, threshold=threshold, bits=bits), "row long, copy int, pos long, digit long, around long")
+    # what the bitmap lets through by chance is alone in its group and drops out below
+    found = checkpointed(anchors if bits else anchors.join(again, "digit", "left_semi"))
 
     contexts = found.groupBy("digit", "around").agg(F.count("*").alias("n"), F.min(F.struct("row", "copy", "pos")).alias("at"))
+    contexts = checkpointed(contexts.select("digit", "around", "n", "at.row", "at.copy", "at.pos"))
     several = contexts.groupBy("digit").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1").select("digit")
-    open_ = checkpointed(contexts.join(several, "digit", "left_semi").select("digit", "around", "at.row", "at.copy", "at.pos"))
-    cores = checkpointed(
-        docs.join(small_side(open_, 64), ["row", "copy"]).select("digit", "around", "pos", "raw")
-        .mapInPandas(partial(_blocks, threshold=threshold), "digit long, around long, block int, core long, low int, high int, left binary, right binary")
+    # one member of each kind brings its bytes
+    open_ = contexts.join(several, "digit", "left_semi").groupBy("row", "copy").agg(F.collect_list(F.struct("pos", "digit", "around")).alias("at"))
+    open_ = checkpointed(open_)
+    cut = f"substring(raw, int(greatest(0, pos - {reach}) + 1), int(least({reach}, pos)) + {threshold})"
+    pieces = checkpointed(
+        docs.join(_fitting(open_, "at"), ["row", "copy"]).select("raw", F.inline("at"))
+        .select("digit", "around", F.least("pos", F.lit(reach)).cast("int").alias("before"), F.expr(cut).alias("bytes"))
+    )
+    # what all windows of a block of starts hold, and what any of them holds
+    step = reach // BLOCKS
+    blocks = pieces.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))).withColumns({"low": F.col("block") * step, "high": F.when(F.col("block") < BLOCKS - 1, (F.col("block") + 1) * step - 1).otherwise(reach)})
+    blocks = blocks.filter(f"before >= low AND length(bytes) >= before + {threshold} - high")
+    hashed = blocks.select(
+        "digit", "around", "block",
+        F.xxhash64(F.expr(f"substring(bytes, before - low + 1, {threshold} + low - high)")).alias("core"),
+        F.xxhash64(F.greatest(F.col("high") - F.col("before"), F.lit(0)), F.expr(f"substring(bytes, greatest(before - high, 0) + 1, least(before, high) - low + {threshold})")).alias("hull"),
     )
     group = ["digit", "block", "core"]
-    several_around = F.min("around") < F.max("around")  # not a count: a repeated row comes here twice
-    shared = cores.groupBy(*group).agg(several_around.alias("several")).filter("several").select(*group)
-    starts = cores.join(shared, group, "left_semi").withColumn("start", F.explode(F.sequence("low", "high")))
-    fits = (F.length("left") >= F.col("start") - F.col("low")) & (F.length("right") >= F.col("high") - F.col("start"))
-    beside = [F.expr("substring(left, length(left) - (start - low) + 1, start - low)"), F.expr("substring(right, 1, high - start)")]
-    windows = checkpointed(starts.filter(fits).select("digit", "around", "start", F.xxhash64("core", "start", *beside).alias("window")))
-    equal = windows.groupBy("digit", "window").agg(several_around.alias("several")).filter("several").select("digit", "window")
-    partly = windows.join(equal, ["digit", "window"], "left_semi").groupBy("digit", "around").agg(F.min("start").alias("low"), F.max("start").alias("high"))
-
-    whole = found.groupBy("digit", "around").agg(F.count("*").alias("n")).filter("n > 1").select("digit", "around", F.lit(0).alias("low"), F.lit(reach).alias("high"))
-    settled = whole.unionByName(partly.join(whole.select("digit", "around"), ["digit", "around"], "left_anti"))
+    kinds = checkpointed(hashed.groupBy(*group, "hull").agg(F.min("around").alias("around"), F.max("around").alias("last")))
+    split = kinds.groupBy(*group).agg(F.min("hull").alias("low"), F.max("hull").alias("high")).filter("low < high").select(*group)
+    # a hull that two kinds share settles its block; else one member of each hull goes through the block start by start
+    shared = kinds.filter("around < last").select(*group, "hull")
+    by_hull = hashed.join(shared, [*group, "hull"], "left_semi").select("digit", "around", (F.col("block") * step).alias("low"), F.when(F.col("block") < BLOCKS - 1, (F.col("block") + 1) * step - 1).otherwise(reach).alias("high"))
+    single = kinds.join(split, group, "left_semi").select("digit", "around", "block")
+    starts = blocks.join(single, ["digit", "around", "block"]).withColumn("start", F.explode(F.sequence("low", "high")))
+    starts = starts.filter(f"before >= start AND length(bytes) >= before - start + {threshold}")
+    windows = checkpointed(starts.select("digit", "around", "start", F.xxhash64(F.expr(f"substring(bytes, before - start + 1, {threshold})")).alias("window")))
+    equal = windows.groupBy("digit", "start", "window").agg((F.min("around") < F.max("around")).alias("several")).filter("several").drop("several")
+    by_start = windows.join(equal, ["digit", "start", "window"], "left_semi").select("digit", "around", F.col("start").alias("low"), F.col("start").alias("high"))
+    whole = contexts.filter("n > 1").select("digit", "around", F.lit(0).alias("low"), F.lit(reach).alias("high"))
+    settled = whole.union(by_hull).union(by_start).groupBy("digit", "around").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
     span = F.struct((F.col("pos") - F.col("high")).alias("first"), (F.col("pos") - F.col("low") + threshold).alias("last"))
-    return found.join(settled, ["digit", "around"]).groupBy("row", "copy").agg(F.collect_list(span).alias("spans"))
+    spans = found.join(settled, ["digit", "around"]).groupBy("row", "copy").agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    # runs that overlap become one
+    joined = """aggregate(spans, cast(array() as array<struct<first: bigint, last: bigint>>), (done, s) ->
+        if(size(done) > 0 and s.first <= done[size(done) - 1].last,
+           concat(slice(done, 1, size(done) - 1), array(named_struct('first', done[size(done) - 1].first, 'last', greatest(done[size(done) - 1].last, s.last)))),
+           concat(done, array(s))))"""
+    return spans.select("row", "copy", F.expr(joined).alias("spans"))
+
+
+def _fitting(found: DataFrame, column: str, limit: int = 48 << 20) -> DataFrame:
+    """Mark a materialised table with an array column for broadcast if its measured size fits the limit; else leave the join to shuffle."""
+    size = found.agg(F.sum(F.size(column) * 32 + 64)).first()[0] or 0
+    return F.broadcast(found) if size <= limit else found
 
 
 def remove_repeats(docs: DataFrame, threshold: int = 200) -> DataFrame:
     """documents -> doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed (the maximal removed runs, as pairs of first byte and end)."""
     docs = keyed(docs)
     spans = checkpointed(repeated_spans(docs, threshold))
-    merged = docs.join(small_side(spans, 512), ["row", "copy"], "left").select("doc_id", "raw", "spans")
+    merged = docs.join(_fitting(spans, "spans"), ["row", "copy"], "left").select("doc_id", "raw", "spans")
     return merged.mapInPandas(_summary, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<array<long>>")

@@ -8,6 +8,7 @@ Hashes are polynomial in the bytes modulo 2**64 with a random odd base, finished
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -83,21 +84,46 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:-rest], x[rest:]) if rest else x
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
-
-    The folder is read from spark.checkpoint.dir; one of our own is set only where that is unset, as in tests.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, from spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint()
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write a table to the shared folder and read it again. Unlike a checkpoint it is compressed and has statistics."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, row_bytes: int, limit: int = 16 << 20) -> DataFrame:
+def small_side(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
     """Mark a materialised table for broadcast if its counted rows fit the limit; else leave the join to shuffle."""
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+def bitmap_of(hashes: DataFrame, column: str, log_bits: int = 27) -> np.ndarray | None:
+    """A bitmap of 2**log_bits bits with one set for each value of a long column; None if that would leave few bits unset.
+
+    Its size is fixed, whatever the table: 16 MB at most come to the driver. What it lets through needs an exact test.
+    """
+    if hashes.count() > (1 << log_bits) // 8:
+        return None
+    bit = F.shiftrightunsigned(column, 64 - log_bits)
+    parts = hashes.select(F.shiftright(bit, 15).alias("part"), bit.bitwiseAND(0x7FFF).alias("place"))
+    bits = np.zeros((1 << log_bits) // 8, np.uint8)
+    for row in parts.groupBy("part").agg(F.bitmap_construct_agg("place").alias("bits")).collect():
+        bits[row.part << 12 : (row.part + 1) << 12] = np.frombuffer(row.bits, np.uint8)
+    return bits
+
+
+def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of these 64-bit values may be in the column that bitmap_of() has seen."""
+    bit = (values >> np.uint64(64 - (len(bits).bit_length() + 2))).astype(np.int64)
+    return (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
