@@ -6,13 +6,13 @@ pass leaves with one member holds no repeat and drops out. The passes, each a Sp
 1. first digit: suffixes start at anchors, the places that hold the least digit of some window of `threshold` bytes, where
    a digit is a hash of the next 64 bytes (a power of two, up to half the threshold). Equal windows hold
    equal anchors at equal offsets, so no repeat is missed.
-2. all bytes that a window through the anchor can touch: anchors with equal surroundings are settled whole.
-3. other members of a group of the first pass: the bytes common to a block of window starts.
+2. all bytes of the windows that have this anchor: anchors with equal surroundings are settled whole.
+3. other members of a group of the first pass: the bytes common to half of the possible window starts, then to an eighth.
 4. the same block, start by start, to the full depth: equal groups are exactly the repeated windows.
 
 Windows through one anchor overlap, so what repeats around it is one run of bytes from the first to the last.
 No pass collects a group: each is a count per key and a join back, so a hot key can be split.
-Digits beyond the first pass are 64-bit hashes within a group of the first pass, that is, 128 bits in all.
+Digits beyond the first pass are 64-bit hashes.
 
 Null and empty texts have no bytes. Rows with the same doc_id but other texts stay apart by their text's
 hash; a repeated row counts as another document. Other columns are not read.
@@ -36,7 +36,7 @@ from .textkit import bitmap_of, checkpointed, in_bitmap, mix, sliding_min, windo
 
 BLOCKS = 8
 _CHUNK = 1 << 22  # bytes looked at together in a long text; the low bits of a sort key hold the place
-_ANCHORS = pa.schema([("row", pa.int64()), ("copy", pa.int32()), ("pos", pa.int64()), ("digit", pa.int64()), ("around", pa.int64())])
+_ANCHORS = pa.schema([("row", pa.int64()), ("copy", pa.int32()), ("pos", pa.int64()), ("low", pa.int16()), ("high", pa.int16()), ("digit", pa.int64()), ("around", pa.int64())])
 
 
 def depth_log(threshold: int) -> int:
@@ -44,20 +44,18 @@ def depth_log(threshold: int) -> int:
     return int(threshold // 2).bit_length() - 1
 
 
-def anchor_places(data: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and digits of the anchors of one text, in order."""
-    places, digits = [], []
+def anchor_places(data: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors of one text: places, digits, and the first and last start of the windows that have this anchor."""
     width = threshold - (1 << depth_log(threshold)) + 1
+    out: tuple[list, ...] = ([], [], [], [])
     for first in range(0, max(0, len(data) - threshold + 1), _CHUNK):
         h = window_hashes(data[first : first + _CHUNK + threshold - 1], depth_log(threshold))
         key = (mix(h) >> np.uint64(24) << np.uint64(24)) | np.arange(len(h), dtype=np.uint64)
-        at = np.unique((sliding_min(key, width) & np.uint64((1 << 24) - 1)).astype(np.int64))
-        places.append(at + first)
-        digits.append(h[at])
-    if not places:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    at, index = np.unique(np.concatenate(places), return_index=True)
-    return at, np.concatenate(digits)[index]
+        of_window = (sliding_min(key, width) & np.uint64((1 << 24) - 1)).astype(np.int64)
+        at, start, n = np.unique(of_window, return_index=True, return_counts=True)
+        for column, values in zip(out, (at + first, h[at], start + first, start + first + n - 1), strict=True):
+            column.append(values)
+    return tuple(np.concatenate(c) if c else np.empty(0, np.uint64 if i == 1 else np.int64) for i, c in enumerate(out))
 
 
 def _digits(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
@@ -68,27 +66,23 @@ def _digits(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.Re
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], threshold: int, bits: Broadcast | None) -> Iterator[pa.RecordBatch]:
-    reach = threshold - (1 << depth_log(threshold))
     for batch in batches:
-        rows, copies, all_at, all_digits, around = [], [], [], [], []
+        columns: tuple[list, ...] = ([], [], [], [], [], [], [])
         for row, copy, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             raw = raw.as_buffer()
             if raw is None or raw.size < threshold:
                 continue
-            data = np.frombuffer(raw, np.uint8)
-            at, digits = anchor_places(data, threshold)
+            at, digits, first, last = anchor_places(np.frombuffer(raw, np.uint8), threshold)
             if bits is not None:
                 may = in_bitmap(bits.value, digits)
-                at, digits = at[may], digits[may]
-            view = memoryview(raw)
-            around.extend(xxhash.xxh3_64_intdigest(view[max(0, a - reach) : a + threshold], seed=min(a, reach)) for a in at.tolist())
-            rows.append(np.full(len(at), row, np.int64))
-            copies.append(np.full(len(at), copy, np.int32))
-            all_at.append(at)
-            all_digits.append(digits)
-        if rows:
-            columns = [np.concatenate(rows), np.concatenate(copies), np.concatenate(all_at), np.concatenate(all_digits).view(np.int64), np.array(around, np.uint64).view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_ANCHORS)
+                at, digits, first, last = at[may], digits[may], first[may], last[may]
+            view, low, high = memoryview(raw), at - last, at - first
+            around = np.fromiter((xxhash.xxh3_64_intdigest(view[f : l + threshold], seed=s) for f, l, s in zip(first.tolist(), last.tolist(), low.tolist())), np.uint64, len(at))
+            values = (np.full(len(at), row, np.int64), np.full(len(at), copy, np.int32), at, low.astype(np.int16), high.astype(np.int16), digits.view(np.int64), around.view(np.int64))
+            for column, value in zip(columns, values, strict=True):
+                column.append(value)
+        if columns[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], schema=_ANCHORS)
 
 
 def _summary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -130,47 +124,43 @@ def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
     again = checkpointed(digits.groupBy("digit").agg(F.count("*").alias("n")).filter("n > 1").select("digit"))
     bits = bitmap_of(again, "digit")
     bits = bits if bits is None else docs.sparkSession.sparkContext.broadcast(bits)
-    anchors = docs.mapInArrow(partial(_anchors, threshold=threshold, bits=bits), "row long, copy int, pos long, digit long, around long")
+    anchors = docs.mapInArrow(partial(_anchors, threshold=threshold, bits=bits), "row long, copy int, pos long, low short, high short, digit long, around long")
     # what the bitmap lets through by chance is alone in its group and drops out below
     found = checkpointed(anchors if bits else anchors.join(again, "digit", "left_semi"))
 
-    contexts = found.groupBy("digit", "around").agg(F.count("*").alias("n"), F.min(F.struct("row", "copy", "pos")).alias("at"))
-    contexts = checkpointed(contexts.select("digit", "around", "n", "at.row", "at.copy", "at.pos"))
+    contexts = found.groupBy("digit", "around").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos", "copy", "low", "high")).alias("at"))
+    contexts = checkpointed(contexts.select("digit", "around", "n", "at.*"))
     several = contexts.groupBy("digit").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1").select("digit")
     # one member of each kind brings its bytes
-    open_ = contexts.join(several, "digit", "left_semi").groupBy("row", "copy").agg(F.collect_list(F.struct("pos", "digit", "around")).alias("at"))
+    open_ = contexts.join(several, "digit", "left_semi").groupBy("row", "copy").agg(F.collect_list(F.struct("pos", "low", "high", "digit", "around")).alias("at"))
     open_ = checkpointed(open_)
     cut = f"substring(raw, int(greatest(0, pos - {reach}) + 1), int(least({reach}, pos)) + {threshold})"
     pieces = checkpointed(
         docs.join(_fitting(open_, "at"), ["row", "copy"]).select("raw", F.inline("at"))
-        .select("digit", "around", F.least("pos", F.lit(reach)).cast("int").alias("before"), F.expr(cut).alias("bytes"))
-    )
-    # what all windows of a block of starts hold, and what any of them holds
-    step = reach // BLOCKS
-    blocks = pieces.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))).withColumns({"low": F.col("block") * step, "high": F.when(F.col("block") < BLOCKS - 1, (F.col("block") + 1) * step - 1).otherwise(reach)})
-    blocks = blocks.filter(f"before >= low AND length(bytes) >= before + {threshold} - high")
-    hashed = blocks.select(
-        "digit", "around", "block",
-        F.xxhash64(F.expr(f"substring(bytes, before - low + 1, {threshold} + low - high)")).alias("core"),
-        F.xxhash64(F.greatest(F.col("high") - F.col("before"), F.lit(0)), F.expr(f"substring(bytes, greatest(before - high, 0) + 1, least(before, high) - low + {threshold})")).alias("hull"),
+        .select("digit", "around", "low", "high", F.least("pos", F.lit(reach)).cast("int").alias("before"), F.expr(cut).alias("bytes"))
     )
-    group = ["digit", "block", "core"]
-    kinds = checkpointed(hashed.groupBy(*group, "hull").agg(F.min("around").alias("around"), F.max("around").alias("last")))
-    split = kinds.groupBy(*group).agg(F.min("hull").alias("low"), F.max("hull").alias("high")).filter("low < high").select(*group)
-    # a hull that two kinds share settles its block; else one member of each hull goes through the block start by start
-    shared = kinds.filter("around < last").select(*group, "hull")
-    by_hull = hashed.join(shared, [*group, "hull"], "left_semi").select("digit", "around", (F.col("block") * step).alias("low"), F.when(F.col("block") < BLOCKS - 1, (F.col("block") + 1) * step - 1).otherwise(reach).alias("high"))
-    single = kinds.join(split, group, "left_semi").select("digit", "around", "block")
-    starts = blocks.join(single, ["digit", "around", "block"]).withColumn("start", F.explode(F.sequence("low", "high")))
-    starts = starts.filter(f"before >= start AND length(bytes) >= before - start + {threshold}")
-    windows = checkpointed(starts.select("digit", "around", "start", F.xxhash64(F.expr(f"substring(bytes, before - start + 1, {threshold})")).alias("window")))
-    equal = windows.groupBy("digit", "start", "window").agg((F.min("around") < F.max("around")).alias("several")).filter("several").drop("several")
-    by_start = windows.join(equal, ["digit", "start", "window"], "left_semi").select("digit", "around", F.col("start").alias("low"), F.col("start").alias("high"))
-    whole = contexts.filter("n > 1").select("digit", "around", F.lit(0).alias("low"), F.lit(reach).alias("high"))
+    halves = _blocks(pieces, 2, reach, threshold)
+    alike = halves.groupBy("core").agg((F.min("around") < F.max("around")).alias("several")).filter("several").select("core")
+    halves = checkpointed(halves.join(alike, "core", "left_semi").select("digit", "around", "first", "last"))
+
+    # a hull that two kinds share settles its block; else one kind for each hull goes through the block start by start
+    near = pieces.join(halves, ["digit", "around"]).withColumns({"low": F.greatest("low", "first"), "high": F.least("high", "last")}).drop("first", "last")
+    blocks = _blocks(near, BLOCKS, reach, threshold)
+    kinds = checkpointed(blocks.groupBy("core", "hull").agg(F.min("around").alias("around"), F.max("around").alias("other")))
+    split = kinds.groupBy("core").agg((F.min("hull") < F.max("hull")).alias("several")).filter("several").select("core")
+    by_hull = blocks.join(kinds.filter("around < other").select("core", "hull"), ["core", "hull"], "left_semi").select("digit", "around", F.greatest("low", "first").alias("low"), F.least("high", "last").alias("high"))
+    single = kinds.join(split, "core", "left_semi").select("core", "hull", "around")
+    starts = checkpointed(blocks.join(single, ["core", "hull", "around"], "left_semi").select("digit", "around", "first", "last"))
+    windows = pieces.join(starts, ["digit", "around"]).withColumn("start", F.explode(F.sequence(F.greatest("low", "first"), F.least("high", "last"))))
+    window = F.xxhash64("digit", "start", F.expr(f"substring(bytes, before - start + 1, {threshold})"))
+    windows = checkpointed(windows.select("digit", "around", F.col("start").cast("short").alias("start"), window.alias("window")))
+    equal = windows.groupBy("window").agg((F.min("around") < F.max("around")).alias("several")).filter("several").select("window")
+    by_start = windows.join(equal, "window", "left_semi").select("digit", "around", F.col("start").alias("low"), F.col("start").alias("high"))
+    whole = contexts.filter("n > 1").select("digit", "around", "low", "high")
     settled = whole.union(by_hull).union(by_start).groupBy("digit", "around").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
     span = F.struct((F.col("pos") - F.col("high")).alias("first"), (F.col("pos") - F.col("low") + threshold).alias("last"))
-    spans = found.join(settled, ["digit", "around"]).groupBy("row", "copy").agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    spans = found.drop("low", "high").join(settled, ["digit", "around"]).groupBy("row", "copy").agg(F.sort_array(F.collect_list(span)).alias("spans"))
     # runs that overlap become one
     joined = """aggregate(spans, cast(array() as array<struct<first: bigint, last: bigint>>), (done, s) ->
         if(size(done) > 0 and s.first <= done[size(done) - 1].last,
@@ -179,6 +169,17 @@ def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
     return spans.select("row", "copy", F.expr(joined).alias("spans"))
 
 
+def _blocks(pieces: DataFrame, n: int, reach: int, threshold: int) -> DataFrame:
+    """The n blocks of starts that a piece's windows lie in: first and last start, what all windows of the block hold (core), and all that they touch (hull)."""
+    step = (reach + 1) // n
+    number = F.explode(F.sequence(F.least(F.expr(f"int(low div {step})"), F.lit(n - 1)), F.least(F.expr(f"int(high div {step})"), F.lit(n - 1))))
+    last = F.when(F.col("block") < n - 1, (F.col("block") + 1) * step - 1).otherwise(reach)
+    blocks = pieces.withColumn("block", number).withColumns({"first": F.col("block") * step, "last": last})
+    core = F.expr(f"substring(bytes, before - first + 1, {threshold} + first - last)")
+    hull = F.expr(f"substring(bytes, greatest(before - last, 0) + 1, least(before, last) - first + {threshold})")
+    return blocks.select("digit", "around", "low", "high", "first", "last", F.xxhash64("digit", "block", core).alias("core"), F.xxhash64(F.greatest(F.col("last") - F.col("before"), F.lit(0)), hull).alias("hull"))
+
+
 def _fitting(found: DataFrame, column: str, limit: int = 48 << 20) -> DataFrame:
     """Mark a materialised table with an array column for broadcast if its measured size fits the limit; else leave the join to shuffle."""
     size = found.agg(F.sum(F.size(column) * 32 + 64)).first()[0] or 0
