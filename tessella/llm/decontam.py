@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 from .textkit import bitmap_of, checkpointed, in_bitmap, small_side, span_hashes
 
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 _APART = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
 
@@ -38,12 +40,15 @@ def _runs(tokens: list[bytes], seed: int) -> np.ndarray:
 
 def _windows(codes: np.ndarray, length: int) -> np.ndarray:
     """Karp-Rabin hashes of all windows of so many codes."""
-    with np.errstate(over="ignore"):
-        power = np.full(len(codes) + 1, 0x9E3779B97F4A7C15 | 1, np.uint64)
-        power[0] = 1
-        power = np.multiply.accumulate(power)
-        total = np.concatenate([[np.uint64(0)], np.cumsum(codes * power[:-1], dtype=np.uint64)])
-        return (total[length:] - total[:-length]) * power[::-1][length - 1 : len(codes)]
+    powers, inverses = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(codes) - 1, base, np.uint64)]) for base in (_BASE, _INVERSE))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * powers, dtype=np.uint64)])
+    return (total[length:] - total[:-length]) * inverses[: len(codes) - length + 1]
+
+
+def _open(free: np.ndarray, length: int) -> np.ndarray:
+    """Where windows of so many unmarked tokens start."""
+    total = np.concatenate([[0], np.cumsum(free)])
+    return np.flatnonzero(total[length:] - total[:-length] == length)
 
 
 def tiling(item: list[bytes], doc: list[bytes], least: int) -> list[tuple[int, int, int]]:
@@ -57,8 +62,7 @@ def tiling(item: list[bytes], doc: list[bytes], least: int) -> list[tuple[int, i
     while length >= least:
         longest, found = 0, []
         if length <= min(len(a), len(b)):
-            open_a = np.flatnonzero(np.convolve(free_a, np.ones(length, int), "valid") == length)
-            open_b = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(free_b)]), 1).size and np.cumsum(np.r_[0, free_b])[length:] - np.cumsum(np.r_[0, free_b])[:-length] == length)
+            open_a, open_b = _open(free_a, length), _open(free_b, length)
             hash_a, hash_b = _windows(a, length), _windows(b, length)
             places: dict[int, list[int]] = {}
             for i in open_a.tolist():

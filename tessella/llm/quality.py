@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 8
 _SPACE = r"[\x20\x09-\x0D]+"
-_SPACES = "' \\t\\n\\u000B\\f\\r'"
+_SPACES = "' \\t\\n\\u000B\\u000C\\r'"
 
 #: name: SQL condition on the measurements under which a text fails. A rule's bit is its place in this list.
 RULES = {

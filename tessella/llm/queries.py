@@ -2,15 +2,68 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
-from . import suffix_dedup
+from . import bpe, decontam, jaccard, langid, lm, pii, quality, suffix_dedup, urls, warc
 from .textkit import table
 
 
+def vocabulary_path() -> str:
+    """The file of the public tokenizer; TESSELLA_VOCABULARY names another one."""
+    path = os.environ.get("TESSELLA_VOCABULARY")
+    if not path:
+        import public_tokenizers
+
+        path = public_tokenizers.path("word_bpe_49k.json")
+    return path
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    entries = quality.ledger(docs, quality.toxic_stems(docs, table(spark, sf_dir, "labels")))
+    base_failed = ~quality.passes("base")
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return entries.select("doc_id", *measures, base_failed.alias("base_failed"), (~base_failed & quality.passes("v1")).alias("kept"), "failures")
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup,)}
+def op3_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op4_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoding_digests(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+def op8_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"))
+
+
+def op9_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+_ALL = (op1_quality_rules, op2_suffix_dedup, op3_warc_segments, op4_bpe_trie, op5_decontamination, op6_url_filter, op7_jaccard_join, op8_class_lm, op9_pii_crf, op10_language_id)
+QUERIES = {f.__name__: f for f in _ALL}
 SQL: dict[str, str] = {}

@@ -23,6 +23,7 @@ RULES = (
     ("block", "org", "/es/"),
 )
 ACCEPTED = 0.3
+UNLABELLED = 0.05  # the rate of bad pages that is assumed, with the weight of one page, before any label
 DEVIATIONS = 1.645
 STRENGTH = (2.0, 1000.0)  # bounds of a prior's weight, in pages
 
@@ -63,7 +64,7 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    overall = ((total.bad or 0) + 0.5) / ((total.n or 0) + 1.0)
+    overall = ((total.bad or 0) + UNLABELLED) / ((total.n or 0) + 1.0)
     by_suffix, by_domain, by_host = _strength(suffixes), _strength(domains), _strength(hosts)
     s = suffixes.select("suffix", ((F.col("bad") + by_suffix * overall) / (F.col("n") + by_suffix)).alias("suffix_mean"))
     d = domains.join(s, "suffix").select("domain", ((F.col("bad") + by_domain * F.col("suffix_mean")) / (F.col("n") + by_domain)).alias("domain_mean"))
