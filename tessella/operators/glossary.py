@@ -24,14 +24,17 @@ def typed_terms(glossaries: DataFrame) -> DataFrame:
 def term_hits(texts: DataFrame, text: str, words: DataFrame) -> DataFrame:
     """(keys, text) and words (work, word, more) -> the distinct keys and words with the word anywhere in the text.
 
-    The texts' distinct n-grams of the lengths that words have are joined with the words by equality. So there is neither a cross join nor
-    a scan per word, and overlapping words are all found. Empty words are in every text of their work.
+    The beginnings of words, as long as the work's shortest word and at most eight characters, are joined with the texts' distinct n-grams of that
+    length; contains() then decides. So there is neither a cross join nor a scan per word, and overlapping words are all found.
+    Empty words are in every text of their work.
     """
-    lengths = words.filter("word != ''").select("work", F.char_length("word").alias("n")).groupBy("work").agg(F.collect_set("n").alias("lengths"))
     keys = [c for c in texts.columns if c != text]
-    cut = texts.join(lengths, "work").withColumn("n", F.explode("lengths")).filter(F.char_length(text) >= F.col("n"))
-    grams = cut.select(*keys, F.explode(F.array_distinct(F.expr(f"transform(sequence(1, char_length({text}) - n + 1), i -> substring({text}, i, n))"))).alias("word"))
-    hits = grams.join(words, ["work", "word"])
+    size = words.filter("word != ''").groupBy("work").agg(F.least(F.min(F.char_length("word")), F.lit(8)).alias("q"))
+    begun = words.filter("word != ''").join(size, "work").withColumn("gram", F.expr("substring(word, 1, q)")).drop("q")
+    cut = texts.join(size, "work").filter(F.char_length(text) >= F.col("q"))
+    grams = cut.select(*keys, F.explode(F.array_distinct(F.expr(f"transform(sequence(1, char_length({text}) - q + 1), i -> substring({text}, i, q))"))).alias("gram"))
+    candidates = grams.join(begun, ["work", "gram"]).drop("gram").distinct()
+    hits = candidates.join(texts, keys).filter(F.col(text).contains(F.col("word"))).drop(text)
     empty = texts.drop(text).join(words.filter("word = ''"), "work")
     return hits.unionByName(empty.select(*hits.columns)).distinct()
 

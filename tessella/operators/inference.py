@@ -150,7 +150,8 @@ def splice_sections(sections: DataFrame, updates: DataFrame, keep_note_if_empty:
     joined = sections.join(new, SECTION, "left")
     hit = F.col("new").isNotNull() & (F.lit(not keep_text) | (trim_u(F.col("translation")) == ""))
     noted = hit & F.col("new_note").isNotNull() & (F.lit(not keep_note_if_empty) | (F.col("new_note") != ""))
-    return joined.withColumn("translation", F.when(hit, F.col("new")).otherwise(F.col("translation"))).withColumn("note", F.when(noted, F.col("new_note")).otherwise(F.col("note"))).drop("new", "new_note")
+    spliced = {"translation": F.when(hit, F.col("new")).otherwise(F.col("translation")), "note": F.when(noted, F.col("new_note")).otherwise(F.col("note"))}
+    return joined.withColumns(spliced).drop("new", "new_note")
 
 
 def volume_check_report(coverage: DataFrame, glossary_issues: DataFrame, term_issues: DataFrame, volumes: DataFrame) -> tuple[DataFrame, DataFrame]:
