@@ -17,7 +17,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,7 @@ from tokenizers import Tokenizer
 
 _NEVER = 1 << 60
 _CACHED_WORDS = 200_000
+_CACHED_PAIRS = 1_000_000
 _BEYOND_LATIN = re.compile("[^\0-ɏ]")
 _LATIN_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 _ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+")
@@ -39,6 +40,12 @@ def byte_letters() -> list[str]:
     return [letters.setdefault(b, chr(256 + len(letters) - len(plain))) for b in range(256)]
 
 
+def _suffixes(tokens: dict[str, int]) -> dict[str, int]:
+    """Every suffix of a token, with the token's id if it is one itself, or -1."""
+    out = {t[i:]: -1 for t in tokens for i in range(1, len(t))}
+    return out | tokens
+
+
 class TrieEncoder:
     """Encodes words by a tokenizers-library file of a byte-level BPE with an end-of-word suffix."""
 
@@ -72,10 +79,10 @@ class TrieEncoder:
         for token, (a, b, rank) in sorted(made.items(), key=lambda x: x[1][2]):
             if a in whole and b in whole and self._border(a, b) == rank:
                 whole.add(token)
-        self.tokens = {t: i for t, i in vocab.items() if i in whole and not (self.end and t.endswith(self.end))}
-        self.ends = {t[: -len(self.end)]: i for t, i in vocab.items() if i in whole and t.endswith(self.end)} if self.end else self.tokens
-        self.longest = max(map(len, vocab))
-        self.compatible = lru_cache(1 << 18)(lambda a, b: self._border(a, b) is None)
+        self.tokens = _suffixes({t: i for t, i in vocab.items() if i in whole and not (self.end and t.endswith(self.end))})
+        self.ends = _suffixes({t[: -len(self.end)]: i for t, i in vocab.items() if i in whole and t.endswith(self.end)}) if self.end else self.tokens
+        self.compatible: dict[int, bool] = {}
+        self.digits = {i: str(i) for i in self.name}
         self.words: dict[str, tuple[list[int], str, str]] = {}
 
     def _border(self, a: int, b: int) -> int | None:
@@ -95,17 +102,10 @@ class TrieEncoder:
             else:
                 j += 1
 
-    def _last(self, word: str, end: int, states: list[int], lengths: list[int], table: dict[str, int]) -> tuple[int, int]:
-        """The last token of the encoding of word[:end], and its length in letters."""
-        for start in range(max(0, end - self.longest), end):
-            token = table.get(word[start:end])
-            if token is not None and (start == 0 or states[start] >= 0 and self.compatible(states[start], token)):
-                return token, end - start
-        return -1, 0
-
     def encode_words(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
         """(word, ids) of words in letters, in sorted order."""
-        before, states, lengths = "", [-1], [0]
+        tokens, ends, compatible = self.tokens.get, self.ends.get, self.compatible
+        before, states, lengths = "", [-1], [0]  # the last token, and its length, of the prefixes on the stack
         for word in sorted(words):
             shared = 0
             for x, y in zip(before, word):
@@ -113,18 +113,38 @@ class TrieEncoder:
                     break
                 shared += 1
             del states[shared + 1 :], lengths[shared + 1 :]
-            for end in range(len(states), len(word)):
-                token, length = self._last(word, end, states, lengths, self.tokens)
-                states.append(token)
-                lengths.append(length)
-            token, length = self._last(word, len(word), states, lengths, self.ends)
-            ids, at = [], len(word)
+            size = len(word)
+            for end in range(len(states), size + 1):
+                find = tokens if end < size else ends
+                start, last = end - 1, -1
+                while start >= 0:
+                    token = find(word[start:end])
+                    if token is None:  # no token ends like this, nor does a longer one
+                        break
+                    if token >= 0:
+                        if not start:
+                            last = token
+                            break
+                        pair = states[start] << 20 | token
+                        fits = compatible.get(pair)
+                        if fits is None:
+                            fits = compatible[pair] = states[start] >= 0 and self._border(states[start], token) is None
+                        if fits:
+                            last = token
+                            break
+                    start -= 1
+                states.append(last)
+                lengths.append(end - start)
+            ids, at = [], size
             while at > 0:
-                ids.append(token)
-                at -= length
-                token, length = states[at], lengths[at]
+                ids.append(states[at])
+                at -= lengths[at]
+            states.pop()  # the end of a word is not a prefix of the next
+            lengths.pop()
             yield word, ids[::-1]
             before = word[:-1]
+        if len(compatible) > _CACHED_PAIRS:
+            compatible.clear()
 
     def pieces(self, text: str) -> list[str]:
         """The words of a text between special tokens, normalised and cut as the library does."""
@@ -142,9 +162,10 @@ class TrieEncoder:
         if len(self.words) + len(new) > _CACHED_WORDS:
             self.words.clear()
             new = words
-        spelt = {"".join(self.letters[b] for b in w.encode()): w for w in new}
+        spelt = {w if w.isascii() and w.isprintable() else "".join(self.letters[b] for b in w.encode()): w for w in new}
+        digits, name = self.digits.__getitem__, self.name.__getitem__
         for letters, ids in self.encode_words(spelt):
-            self.words[spelt[letters]] = ids, " ".join(map(str, ids)), " ".join(self.name[i] for i in ids)
+            self.words[spelt[letters]] = ids, " ".join(map(digits, ids)), " ".join(map(name, ids))
 
     def parts(self, texts: list[str | None]) -> Iterator[list[tuple[list[int], str, str]]]:
         """For each text its words' ids, ids as text, and tokens as text."""
