@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .lm import held_out
-from .textkit import checkpointed
+from .textkit import checkpointed, small_side
 
 PLACES = 4096
 _LETTER = re.compile(r"[^\W\d_]")
@@ -84,9 +84,9 @@ def train(labelled: DataFrame, k: int = 4, per_language: int = 1200) -> tuple[np
     for r in counts:
         seen[r.place + 1] = r.n
     idf = (np.log((1 + seen[0]) / (1 + seen[1:])) + 1).astype(np.float32)
-    languages = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = checkpointed(usable.groupBy("lang").agg(F.count("*").alias("n")))
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = usable.join(languages, "lang").filter(share * F.col("n") < per_language).drop("n")
+    sample = usable.join(small_side(languages, 256), "lang").filter(share * F.col("n") < per_language).drop("n")
     sample = checkpointed(sample)
     rows = sample.groupBy("lang").applyInPandas(partial(_clusters, idf=idf, k=k), "lang string, centre array<float>").collect()
     rows.sort(key=lambda r: (r.lang, r.centre))
