@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def capitals(column: str) -> F.Column:
+    return F.translate(column, string.ascii_lowercase, string.ascii_uppercase)
+
+
 def _line_id(n: str) -> F.Column:
     return F.expr(f"format_string('D%dn%d_p%04d%s%02d', juan, juan, {n} div 21 + 1, substring('abc', int({n} % 21 div 7) + 1, 1), {n} % 7 + 1)")
 
@@ -39,7 +45,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments with their source, as sections: every fifth is untranslated, the others have the source in capitals."""
     joined = segment_source_join(lines(spark, sf_dir), segments(spark, sf_dir))
-    text = F.when(F.expr("number % 5 = 0"), F.lit("")).otherwise(F.upper("source"))
+    text = F.when(F.expr("number % 5 = 0"), F.lit("")).otherwise(capitals("source"))
     return joined.select("work", "juan", (F.col("number") - 1).alias("idx"), "title", compact_range(F.col("start_id"), F.col("end_id")).alias("range_label"), "start_id", "end_id", "source", text.alias("translation"), "note")
 
 
@@ -53,7 +59,7 @@ def terms_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = words.groupBy("w").agg(F.min("item_id").alias("item_id"))
     term = F.struct(
         F.col("w").alias("id"), F.col("w").alias("xuanzang"), F.col("w").alias("display"), F.concat(F.lit("plain "), "w").alias("plain"), F.array("w").alias("source_terms"),
-        F.array(F.when(F.col("item_id") % 3 == 0, F.concat(F.lit("no "), "w")).otherwise(F.upper("w"))).alias("translation_patterns"), F.lit("ok").alias("status"), F.lit("").alias("rule"),
+        F.array(F.when(F.col("item_id") % 3 == 0, F.concat(F.lit("no "), "w")).otherwise(capitals("w"))).alias("translation_patterns"), F.lit("ok").alias("status"), F.lit("").alias("rule"),
     )
     glossary = words.agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("w", term.alias("t")))), lambda x: x["t"]).alias("terms"))).alias("value"))
     works = table(spark, sf_dir, "documents").select(F.col("source").alias("work")).distinct()

@@ -30,13 +30,13 @@ SECTIONS = """sourced AS (SELECT s.work, s.juan, s.number, string_agg(l.text, ch
 joined AS (SELECT s.*, coalesce(o.source, '') AS source FROM segments s LEFT JOIN sourced o ON o.work = s.work AND o.juan = s.juan AND o.number = s.number),
 sections AS (SELECT work, juan, number - 1 AS idx, title,
     CASE WHEN start_id = end_id THEN start_id ELSE start_id || '-p' || right(end_id, 7) END AS range_label, start_id, end_id, start_key, end_key, source,
-    CASE WHEN number % 5 = 0 THEN '' ELSE upper(source) END AS translation, note FROM joined)"""
+    CASE WHEN number % 5 = 0 THEN '' ELSE translate(source, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') END AS translation, note FROM joined)"""
 
 BOUNDS = "bounds AS (SELECT work, juan, arg_min(line_id, line_key) AS first_id, arg_max(line_id, line_key) AS last_id FROM lines WHERE text <> '' GROUP BY work, juan)"
 
 TERMS = """word_items AS (SELECT item_id, unnest(list_distinct(regexp_split_to_array(lower(text), '[\\s.,]+'))) AS w FROM benchmark),
 words AS (SELECT w, min(item_id) AS item_id FROM word_items WHERE length(w) >= 8 GROUP BY w),
-terms AS (SELECT CAST(row_number() OVER (ORDER BY w) - 1 AS INTEGER) AS pos, w AS id, CASE WHEN item_id % 3 = 0 THEN 'no ' || w ELSE upper(w) END AS pattern FROM words)"""
+terms AS (SELECT CAST(row_number() OVER (ORDER BY w) - 1 AS INTEGER) AS pos, w AS id, CASE WHEN item_id % 3 = 0 THEN 'no ' || w ELSE translate(w, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') END AS pattern FROM words)"""
 
 EVENTS = """job_events AS (SELECT user_id AS job_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS juan, ts, event_id AS seq, event_type,
     CASE event_type WHEN 'click' THEN 'running' WHEN 'view' THEN 'queued' WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'failed' ELSE 'held' END AS state FROM events),

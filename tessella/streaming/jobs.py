@@ -13,10 +13,14 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..sources.volumes import parse_sections, work_juan_from_path
 
 
-def stream_sections(spark: SparkSession, folder: str, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Parse volume files as they come and hand each micro-batch's sections to sink, which overwrites the partitions of the volumes in it."""
-    files = spark.readStream.format("text").option("wholetext", True).load(folder)
-    named = files.select("value", work_juan_from_path(F.col("_metadata.file_name")).alias("v")).filter("v IS NOT NULL").select("v.work", "v.juan", "value")
+def stream_sections(spark: SparkSession, folder: str, sink: Callable[[DataFrame, int], None], checkpoint: str, by_folder: bool = False) -> StreamingQuery:
+    """Parse volume files as they come and hand each micro-batch's sections to sink, which overwrites the partitions of the volumes in it.
+
+    by_folder: the volume's name is in the file's path, not in its name.
+    """
+    files = spark.readStream.format("text").schema("value string").option("wholetext", True).option("recursiveFileLookup", True).load(folder)
+    name = F.regexp_extract("_metadata.file_path", r"([^/=]+)/[^/]*\z", 1) if by_folder else F.col("_metadata.file_name")
+    named = files.select("value", work_juan_from_path(name).alias("v")).filter("v IS NOT NULL").select("v.work", "v.juan", "value")
     return parse_sections(named).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
