@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.ranges import line_key
 
 VOLUME = ["work", "juan"]
-_IN_ORDER = Window.partitionBy(*VOLUME).orderBy("idx")
+
+
+def _in_order():
+    return Window.partitionBy(*VOLUME).orderBy("idx")
 
 
 def segment_source_join(lines: DataFrame, segments: DataFrame, bucket: int = 1000) -> DataFrame:
@@ -39,7 +42,7 @@ def volume_bounds(lines: DataFrame) -> DataFrame:
 
 def range_monotonic(sections: DataFrame) -> DataFrame:
     """Adds previous_key and monotonic: whether a section starts at or after the start of the one before."""
-    keyed = sections.withColumn("start_key", line_key(F.col("start_id"))).withColumn("previous_key", F.lag("start_key").over(_IN_ORDER))
+    keyed = sections.withColumn("start_key", line_key(F.col("start_id"))).withColumn("previous_key", F.lag("start_key").over(_in_order()))
     return keyed.withColumn("monotonic", F.coalesce(F.col("start_key") >= F.col("previous_key"), F.lit(True)))
 
 
@@ -64,7 +67,7 @@ def range_gaps_overlaps(sections: DataFrame, lines: DataFrame) -> DataFrame:
     numbered = lines.select(*VOLUME, "line_id", ordinal.alias("ordinal"))
     start, end = (numbered.select(*VOLUME, F.col("line_id").alias(f"{side}_id"), F.col("ordinal").alias(side)) for side in ("start", "end"))
     placed = sections.select(*VOLUME, "idx", "start_id", "end_id").join(start, [*VOLUME, "start_id"]).join(end, [*VOLUME, "end_id"])
-    before = F.max("end").over(_IN_ORDER.rowsBetween(Window.unboundedPreceding, -1))
+    before = F.max("end").over(_in_order().rowsBetween(Window.unboundedPreceding, -1))
     measured = placed.withColumn("before", before).filter("before IS NOT NULL")
     return measured.select(*VOLUME, "idx", F.greatest(F.col("start") - F.col("before") - 1, F.lit(0)).alias("gap"), F.greatest(F.least("before", "end") - F.col("start") + 1, F.lit(0)).alias("overlap"))
 
