@@ -9,6 +9,7 @@ documents tell nothing apart. The regions are therefore made by pivots of the se
 * within a ring that allows a difference of at most D, the universe is cut into more than D cells, and what a set
   holds of a cell is the pivot it stands at distance 0 from, seen in that cell alone. A pair within D differs in D cells at
   most, so it meets in a region: equal contents of one cell. Sets with few empty cells need not meet in an empty one.
+* a map of sets to counts in few cells shortens no distance but keeps far sets apart: it excludes most pairs from small sketches.
 * within a region, the least document is the pivot. Members are tested against it exactly; those within the radius
   are linked, and members already in one component need no further test.
 * a region that still has several components joins recursively: while many members are outside its largest
@@ -34,8 +35,9 @@ from pyspark.sql import functions as F
 from .components import least_reachable
 from .textkit import checkpointed, mix, small_side, span_hashes, words_of
 
-SMALL = 32  # members outside a region's largest component that are tested against all of it
-PIVOTS = 6  # pivots in turn before a region is dealt anew
+SKETCH = 256  # cells of a sketch
+SMALL = 64  # members outside a region's largest component that are tested against all of it
+PIVOTS = 2  # pivots in turn before a region is dealt anew
 RING = 1.5  # upper over lower bound of a ring
 
 
@@ -101,28 +103,47 @@ def _regions(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterato
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], ["region", "doc_id"])
 
 
+def sketch(items: np.ndarray) -> bytes:
+    """How many items each of SKETCH cells of the universe holds, up to 255. Sketches are no further apart than their sets."""
+    cells = (mix(items, 5) >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
+    return np.minimum(np.bincount(cells, minlength=SKETCH), 255).astype(np.uint8).tobytes()
+
+
 def _items(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [shingles(t.as_py(), k).view(np.int64) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "items"])
+        found = [shingles(t.as_py(), k) for t in batch.column(1)]
+        columns = [batch.column(0), pa.array(map(len, found), pa.int64()), pa.array(map(sketch, found), pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "sketch", "items"])
+
+
+def _possible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b, sizes, sketches) -> a, b, possible: whether sizes and sketches allow a link."""
+    for batch in batches:
+        n_a, n_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16) for i in (4, 5))
+        apart = np.abs(a - b).sum(1, dtype=np.int64)
+        possible = (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)) & ((100 + percent) * apart <= (100 - percent) * (n_a + n_b))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(possible)], ["a", "b", "possible"])
 
 
 def _deal(batches: Iterator[pd.DataFrame], percent: int, seed: int) -> Iterator[pd.DataFrame]:
     """Members of large regions with their sets -> the regions within the region."""
     for batch in batches:
         keys = [mix(region_keys(np.asarray(items, np.int64).view(np.uint64), percent, seed).view(np.uint64) ^ np.uint64(region & (2**64 - 1)), 9).view(np.int64) for region, items in zip(batch.region, batch["items"], strict=True)]
-        yield pd.DataFrame({"region": np.concatenate(keys), "doc_id": np.repeat(batch.doc_id.to_numpy(), [len(x) for x in keys])})
+        if keys:
+            yield pd.DataFrame({"region": np.concatenate(keys), "doc_id": np.repeat(batch.doc_id.to_numpy(), [len(x) for x in keys])})
 
 
 def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs (a, b) -> (a, b, linked) by their whole sets."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b"))
-    sizes = (F.size("items_a"), F.size("items_b"))
+    """pairs (a, b) -> (a, b, linked): by the triangle inequality on sketches, and what that leaves by whole sets."""
+    side = lambda x, *more: [F.col("doc_id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in more)]
+    drawn = pairs.join(sets.select(*side("a", "n", "sketch")), "a").join(sets.select(*side("b", "n", "sketch")), "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+    judged = checkpointed(drawn.mapInArrow(partial(_possible, percent=percent), "a long, b long, possible boolean"))
+    close = judged.filter("possible").select("a", "b")
     both = F.size(F.array_intersect("items_a", "items_b"))
-    possible = 100 * F.least(*sizes) >= percent * F.greatest(*sizes)
-    joined = pairs.join(left, "a").join(right, "b")
-    return joined.select("a", "b", F.when(possible, 100 * both >= percent * (sizes[0] + sizes[1] - both)).otherwise(False).alias("linked"))
+    exact = close.join(sets.select(*side("a", "items")), "a").join(sets.select(*side("b", "items")), "b")
+    exact = exact.select("a", "b", (100 * both >= percent * (F.size("items_a") + F.size("items_b") - both)).alias("linked"))
+    return exact.union(judged.filter("NOT possible"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -146,7 +167,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     wanted = checkpointed(wanted)
     texts = docs.join(small_side(wanted, 16), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = checkpointed(texts.mapInArrow(partial(_items, k=k), "doc_id long, items array<long>"))
+    sets = checkpointed(texts.mapInArrow(partial(_items, k=k), "doc_id long, n long, sketch binary, items array<long>"))
 
     # each member is first tested against the pivot that it meets most often; what that settles needs no other test
     nearest = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
@@ -177,7 +198,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             stars = checkpointed(many.select("region", "doc_id", "component").join(pivots, "region").filter("doc_id != pivot"))
             members = stars.select("region", "doc_id")
         else:
-            inner = many.select("region", "doc_id").join(sets, "doc_id").mapInPandas(partial(_deal, percent=percent, seed=turn), "region long, doc_id long")
+            inner = many.select("region", "doc_id").join(sets.select("doc_id", "items"), "doc_id").mapInPandas(partial(_deal, percent=percent, seed=turn), "region long, doc_id long")
             pivots = inner.groupBy("region").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).filter("pivot < last").drop("last")
             stars = checkpointed(inner.join(pivots, "region").filter("doc_id != pivot"))
             members = stars.select("region", "doc_id").union(stars.select("region", F.col("pivot").alias("doc_id")).distinct())

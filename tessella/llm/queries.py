@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, jaccard, langid, lm, pii, quality, suffix_dedup, urls, warc
+from . import bpe, decontam, jaccard, langid, lm, oracle, pii, quality, suffix_dedup, urls, warc
 from .textkit import table
 
 
@@ -66,4 +66,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = (op1_quality_rules, op2_suffix_dedup, op3_warc_segments, op4_bpe_trie, op5_decontamination, op6_url_filter, op7_jaccard_join, op8_class_lm, op9_pii_crf, op10_language_id)
 QUERIES = {f.__name__: f for f in _ALL}
-SQL: dict[str, str] = {}
+SQL = {"op1_quality_rules": oracle.QUALITY, "op6_url_filter": oracle.URLS}
