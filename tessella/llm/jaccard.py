@@ -12,9 +12,9 @@ documents tell nothing apart. The regions are therefore made by pivots of the se
 * a map of sets to counts in few cells shortens no distance but keeps far sets apart: it excludes most pairs from small sketches.
 * within a region, the least document is the pivot. Members are tested against it exactly; those within the radius
   are linked, and members already in one component need no further test.
-* a region that still has several components joins recursively: while many members are outside its largest
-  component, one of them becomes the next pivot, and the region goes on without it; when few are left, they are tested against
-  all others; a region that stays split for long is dealt anew by cells of another cut, which pairs within the radius share too.
+* a region that still has several components joins recursively: in some turns what is outside its largest component is tested
+  against further pivots from that; then, if few are left outside, they are tested against all others whose size fits,
+  and a region with more is dealt anew by cells of another cut, of which pairs within the radius share one too.
 
 Only pairs (member, pivot) and those of a region's few last members are made, and no region is collected. Equal sets are one document
 to the join: they get a class by a 128-bit digest.
@@ -29,15 +29,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import least_reachable
-from .textkit import checkpointed, mix, small_side, span_hashes, words_of
+from .textkit import bitmap_of, checkpointed, in_bitmap, mix, small_side, span_hashes, words_of
 
 SKETCH = 256  # cells of a sketch
 SMALL = 64  # members outside a region's largest component that are tested against all of it
-PIVOTS = 2  # pivots in turn before a region is dealt anew
+PIVOTS = 3  # turns with further pivots
 RING = 1.5  # upper over lower bound of a ring
 
 
@@ -86,8 +87,8 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([ids, pa.array(map(len, found), pa.int64()), a, b], names)
 
 
-def _regions(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """(region, doc_id) for every text; of texts with equal sets in one task, the first stands for all."""
+def _regions(batches: Iterator[pa.RecordBatch], k: int, percent: int, bits: Broadcast | None = None) -> Iterator[pa.RecordBatch]:
+    """(region, doc_id) for every text; of texts with equal sets in one task, the first stands for all. bits: only regions in this bitmap."""
     seen: set[int] = set()
     for batch in batches:
         ids, keys = [], []
@@ -97,7 +98,8 @@ def _regions(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterato
             if doc_id is None or not len(items) or digest in seen:
                 continue
             seen.add(digest)
-            keys.append(region_keys(items, percent, 0))
+            found = region_keys(items, percent, 0)
+            keys.append(found if bits is None else found[in_bitmap(bits.value, found.view(np.uint64))])
             ids.append(np.full(len(keys[-1]), doc_id, np.int64))
         if ids:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], ["region", "doc_id"])
@@ -134,10 +136,10 @@ def _deal(batches: Iterator[pd.DataFrame], percent: int, seed: int) -> Iterator[
             yield pd.DataFrame({"region": np.concatenate(keys), "doc_id": np.repeat(batch.doc_id.to_numpy(), [len(x) for x in keys])})
 
 
-def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _near(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """pairs (a, b) -> (a, b, linked): by the triangle inequality on sketches, and what that leaves by whole sets."""
     side = lambda x, *more: [F.col("doc_id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in more)]
-    drawn = pairs.join(sets.select(*side("a", "n", "sketch")), "a").join(sets.select(*side("b", "n", "sketch")), "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+    drawn = pairs.join(sketches.select(*side("a", "n", "sketch")), "a").join(sketches.select(*side("b", "n", "sketch")), "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
     judged = checkpointed(drawn.mapInArrow(partial(_possible, percent=percent), "a long, b long, possible boolean"))
     close = judged.filter("possible").select("a", "b")
     both = F.size(F.array_intersect("items_a", "items_b"))
@@ -161,6 +163,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     dealt = docs.mapInArrow(partial(_regions, k=k, percent=percent), "region long, doc_id long")
     pivots = dealt.groupBy("region").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).filter("pivot < last").drop("last")
+    pivots = checkpointed(pivots)
+    bits = bitmap_of(pivots, "region")
+    if bits is not None:
+        dealt = docs.mapInArrow(partial(_regions, k=k, percent=percent, bits=docs.sparkSession.sparkContext.broadcast(bits)), "region long, doc_id long")
     members = checkpointed(dealt.join(pivots, "region"))
     pairs = checkpointed(members.filter("doc_id != pivot").groupBy(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).agg(F.count("*").alias("n")))
 
@@ -169,40 +175,42 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     texts = docs.join(small_side(wanted, 16), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     sets = checkpointed(texts.mapInArrow(partial(_items, k=k), "doc_id long, n long, sketch binary, items array<long>"))
 
+    sketches = small_side(checkpointed(sets.select("doc_id", "n", "sketch")), SKETCH + 64)
+
     # each member is first tested against the pivot that it meets most often; what that settles needs no other test
     nearest = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
-    tested = checkpointed(_near(nearest, sets, percent))
+    tested = checkpointed(_near(nearest, sets, sketches, percent))
     links = copies.union(tested.filter("linked").select("a", "b"))
     labels = checkpointed(least_reachable(links))
     todo = pairs.select("a", "b")
     turn = 0
     while True:
-        new = checkpointed(_near(_apart(todo, labels).join(tested.select("a", "b"), ["a", "b"], "left_anti"), sets, percent))
+        new = checkpointed(_near(_apart(todo, labels).join(tested.select("a", "b"), ["a", "b"], "left_anti"), sets, sketches, percent))
         tested = checkpointed(tested.union(new))
         found = new.filter("linked").select("a", "b")
         if not found.isEmpty():
             links = checkpointed(links.union(found))
             labels = checkpointed(least_reachable(links))
-        open_ = checkpointed(_unsettled(members, labels))
+        open_ = checkpointed(_unsettled(members, labels).join(sketches.select("doc_id", F.col("n").alias("size")), "doc_id"))
         if open_.isEmpty():
             break
         turn += 1
-        few = F.col("n_outside") <= SMALL
         outside = F.col("component") != F.col("main")
-        last = open_.filter(few & outside).select("region", F.col("doc_id").alias("b"), F.col("component").alias("other"))
-        todo = open_.filter(few).withColumnRenamed("doc_id", "a").join(last, "region").filter("component != other").select("a", "b")
-        many = open_.filter(~few)
-        if turn % PIVOTS:
-            order = F.struct(F.xxhash64("doc_id", "region", F.lit(turn)), "doc_id")
-            pivots = many.filter(outside).groupBy("region").agg(F.min(order)["doc_id"].alias("pivot"))
-            stars = checkpointed(many.select("region", "doc_id", "component").join(pivots, "region").filter("doc_id != pivot"))
-            members = stars.select("region", "doc_id")
+        order = F.struct(F.xxhash64("doc_id", "region", F.lit(turn)), "doc_id")
+        fits = lambda x, y: f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
+        if turn <= PIVOTS:  # what is outside against another pivot from the largest component
+            pivots = open_.filter(~outside).groupBy("region").agg(F.min_by(F.struct("doc_id", "size"), order).alias("p")).select("region", "p.doc_id", "p.size")
+            pivots = pivots.select("region", F.col("doc_id").alias("b"), F.col("size").alias("size_b"))
+            todo = open_.filter(outside).withColumnRenamed("doc_id", "a").join(pivots, "region").filter(fits("size", "size_b")).select("a", "b")
         else:
+            few = F.col("n_outside") <= SMALL
+            last = open_.filter(few & outside).select("region", F.col("doc_id").alias("b"), F.col("component").alias("other"), F.col("size").alias("size_b"))
+            todo = open_.filter(few).withColumnRenamed("doc_id", "a").join(last, "region").filter("component != other AND " + fits("size", "size_b")).select("a", "b")
+            many = open_.filter(~few)
             inner = many.select("region", "doc_id").join(sets.select("doc_id", "items"), "doc_id").mapInPandas(partial(_deal, percent=percent, seed=turn), "region long, doc_id long")
             pivots = inner.groupBy("region").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).filter("pivot < last").drop("last")
-            stars = checkpointed(inner.join(pivots, "region").filter("doc_id != pivot"))
-            members = stars.select("region", "doc_id").union(stars.select("region", F.col("pivot").alias("doc_id")).distinct())
-        todo = todo.union(stars.select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")))
+            members = checkpointed(inner.join(pivots, "region"))
+            todo = todo.union(members.filter("doc_id != pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")))
         todo = todo.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     return sizes.join(labels, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
