@@ -19,9 +19,9 @@ from tessella.llm.textkit import shared_folder, table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the policy keeps; rows without a doc_id are judged like the others."""
-    stems = quality.toxic_stems(docs, table(spark, sf_dir, "labels"))
+    toxic = quality.toxic_words(docs, table(spark, sf_dir, "labels"))
     # the whole row stands in for the id, so rows with the same id are judged one by one
-    judged = quality.ledger(docs.select(F.struct(*docs.columns).alias("doc_id"), "text"), stems)
+    judged = quality.ledger(docs.select(F.struct(*docs.columns).alias("doc_id"), "text"), toxic)
     return judged.filter(quality.passes("v1")).select("doc_id.*")
 
 

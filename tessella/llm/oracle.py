@@ -8,17 +8,18 @@ from . import quality, urls
 
 _UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-_STEMS = "list_distinct(list_transform(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}]+'), lambda x: substr(x, 1, 5)))"
+_WORDS = "list_distinct(list_transform(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}]+'), lambda x: substr(x, 1, 12)))"
 
 #: Holds where there are no more labelled documents of either kind than the fit's bound.
 QUALITY = f"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents),
 known AS (SELECT doc_id, max(toxic) AS toxic FROM labels WHERE doc_id IS NOT NULL AND toxic IS NOT NULL GROUP BY doc_id),
 sizes AS (SELECT count(*) FILTER (WHERE toxic = 1) AS n1, count(*) FILTER (WHERE toxic = 0) AS n0 FROM known),
-seen AS (SELECT k.toxic, unnest({_STEMS}) AS stem FROM documents JOIN known k USING (doc_id)),
-counted AS (SELECT stem, CAST(sum(toxic) AS BIGINT) AS t, CAST(sum(1 - toxic) AS BIGINT) AS o FROM seen WHERE length(stem) >= 3 GROUP BY stem),
-chosen AS (SELECT stem FROM counted, sizes WHERE t >= 8 AND t / (n1 + 1.0) >= 40.0 * (o + 0.5) / (n0 + 1.0) ORDER BY t DESC, stem LIMIT 400),
-own AS (SELECT r, unnest({_STEMS}) AS stem FROM d),
-toxic AS (SELECT r, count(*) AS n FROM own WHERE stem IN (SELECT stem FROM chosen) GROUP BY r),
+sample AS (SELECT DISTINCT k.toxic, text FROM documents JOIN known k USING (doc_id)),
+seen AS (SELECT toxic, unnest({_WORDS}) AS word FROM sample),
+counted AS (SELECT word, CAST(sum(toxic) AS BIGINT) AS t, CAST(sum(1 - toxic) AS BIGINT) AS o FROM seen WHERE length(word) >= 3 GROUP BY word),
+chosen AS (SELECT word FROM counted, sizes WHERE t >= 8 AND t >= 0.02 * n1 AND t / (n1 + 1.0) >= 40.0 * (o + 0.5) / (n0 + 1.0) ORDER BY t DESC, word LIMIT 400),
+own AS (SELECT r, unnest({_WORDS}) AS word FROM d),
+toxic AS (SELECT r, count(*) AS n FROM own WHERE word IN (SELECT word FROM chosen) GROUP BY r),
 w AS (SELECT r, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words, list_filter(string_split(text, chr(10)), lambda x: translate(x, {_SPACES}, '') <> '') AS lines FROM d),
 windows AS (SELECT r, i, array_to_string(words[i:i + 7], ' ') AS w FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8)),
 again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS n FROM windows) WHERE n > 1),

@@ -21,10 +21,10 @@ RULES = {
     "too_few_words": "n_words < 20",
     "repeated_words": "100 * n_repeat_words > 30 * n_words",
     "many_symbols": "100 * n_symbols > 20 * n_words",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
+    "repeated_lines": "n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines",
     "odd_word_length": "word_chars < 2 * n_words OR word_chars > 30 * n_words",
     "mostly_capitals": "100 * n_capitals > 50 * word_chars",
-    "few_distinct_words": "n_words >= 50 AND 100 * n_distinct_words < 10 * n_words AND n_words < 2000",
+    "few_distinct_words": "n_words >= 20 AND n_words < 1000 AND 100 * n_distinct_words < 25 * n_words",
     "toxic_words": "n_toxic_words >= 2",
 }
 BASE = ("too_few_words", "repeated_words")
@@ -39,30 +39,30 @@ def mask_of(names: tuple[str, ...]) -> int:
     return sum(1 << i for i, name in enumerate(RULES) if name in names)
 
 
-def _stems(text: Column) -> Column:
-    """The distinct beginnings, five letters at most, of the lower-case letter runs of a text."""
-    return F.array_distinct(F.transform(F.split(F.lower(text), r"[^\p{L}]+"), lambda x: F.substring(x, 1, 5)))
+def _letter_words(text: Column) -> Column:
+    """The distinct lower-case letter runs of a text, cut at twelve letters."""
+    return F.array_distinct(F.transform(F.split(F.lower(text), r"[^\p{L}]+"), lambda x: F.substring(x, 1, 12)))
 
 
-def toxic_stems(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least_docs: int = 8, ratio: float = 40.0, most: int = 400) -> list[str]:
-    """Word beginnings that mark texts labelled toxic: in least_docs of them, and ratio times as common there as in others.
+def toxic_words(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least_docs: int = 8, least_share: float = 0.02, ratio: float = 40.0, most: int = 400) -> list[str]:
+    """Words that mark texts labelled toxic: in least_docs and a share of least_share of them, and ratio times as common there as in others.
 
-    Fitted on at most per_class labelled documents of each kind, the first by a hash of their doc_id; at most `most`
-    beginnings are returned, the most frequent first.
+    Fitted on at most per_class labelled documents of each kind, the first by a hash of their doc_id, copies counted once; at most `most`
+    words are returned, the most frequent first.
     """
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = known.filter("toxic = 1").orderBy(*order).limit(per_class).union(known.filter("toxic = 0").orderBy(*order).limit(per_class))
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text").distinct()
     sizes = {r.toxic: r.n for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    stems = sample.select("toxic", F.explode(_stems(F.col("text"))).alias("stem")).filter("length(stem) >= 3")
-    counts = stems.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("other")).filter(F.col("toxic") >= least_docs)
+    words = sample.select("toxic", F.explode(_letter_words(F.col("text"))).alias("word")).filter("length(word) >= 3")
+    counts = words.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("other")).filter((F.col("toxic") >= least_docs) & (F.col("toxic") >= least_share * sizes.get(1, 0)))
     share, rest = F.col("toxic") / (sizes.get(1, 0) + 1), (F.col("other") + 0.5) / (sizes.get(0, 0) + 1)
-    rows = counts.filter(share >= ratio * rest).orderBy(F.desc("toxic"), "stem").limit(most).select("stem").collect()
-    return [r.stem for r in rows]
+    rows = counts.filter(share >= ratio * rest).orderBy(F.desc("toxic"), "word").limit(most).select("word").collect()
+    return [r.word for r in rows]
 
 
-def measured(docs: DataFrame, stems: list[str] | None = None) -> DataFrame:
+def measured(docs: DataFrame, toxic: list[str] | None = None) -> DataFrame:
     """documents -> doc_id and the measurements, all long."""
     df = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     df = df.withColumn("words", F.array_remove(F.split("text", _SPACE), ""))
@@ -76,7 +76,7 @@ def measured(docs: DataFrame, stems: list[str] | None = None) -> DataFrame:
     repeated = f"""aggregate(array({starts}), 0L, (n, s) -> aggregate(
         array_sort(transform(filter(s, (x, i) -> get(s, i - 1).w <=> x.w OR get(s, i + 1).w <=> x.w), x -> x.i)),
         named_struct('n', 0L, 'end', 0L), (a, p) -> named_struct('n', a.n + least({WINDOW}L, p + {WINDOW}L - a.end), 'end', p + {WINDOW}L), a -> a.n))"""
-    toxic = F.size(F.array_intersect(_stems(F.col("text")), F.array(*map(F.lit, stems)))) if stems else F.lit(0)
+    hits = F.size(F.array_intersect(_letter_words(F.col("text")), F.array(*map(F.lit, toxic)))) if toxic else F.lit(0)
     long = lambda x: F.expr(x).cast("long")
     return df.select(
         "doc_id",
@@ -88,17 +88,17 @@ def measured(docs: DataFrame, stems: list[str] | None = None) -> DataFrame:
         long("size(lines)").alias("n_lines"),
         long("char_length(text) - char_length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))").alias("n_capitals"),
         long("size(array_distinct(codes))").alias("n_distinct_words"),
-        toxic.cast("long").alias("n_toxic_words"),
+        hits.cast("long").alias("n_toxic_words"),
     )
 
 
-def ledger(docs: DataFrame, stems: list[str] | None = None) -> DataFrame:
+def ledger(docs: DataFrame, toxic: list[str] | None = None) -> DataFrame:
     """The measurements and `failures`, a long with the bit of each failed rule."""
     bits = (F.when(F.expr(condition), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, condition in enumerate(RULES.values()))
     failures = None
     for bit in bits:
         failures = bit if failures is None else failures.bitwiseOR(bit)
-    return measured(docs, stems).withColumn("failures", failures)
+    return measured(docs, toxic).withColumn("failures", failures)
 
 
 def passes(policy: str) -> Column:

@@ -22,7 +22,7 @@ def vocabulary_path() -> str:
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    entries = quality.ledger(docs, quality.toxic_stems(docs, table(spark, sf_dir, "labels")))
+    entries = quality.ledger(docs, quality.toxic_words(docs, table(spark, sf_dir, "labels")))
     base_failed = ~quality.passes("base")
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return entries.select("doc_id", *measures, base_failed.alias("base_failed"), (~base_failed & quality.passes("v1")).alias("kept"), "failures")
