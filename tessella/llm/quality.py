@@ -9,6 +9,8 @@ Null texts measure as empty ones. Other columns are not read; every row gets a r
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,43 +64,52 @@ def toxic_words(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least
     return [r.word for r in rows]
 
 
-def measured(docs: DataFrame, toxic: list[str] | None = None) -> DataFrame:
-    """documents -> doc_id and the measurements, all long."""
-    df = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    df = df.withColumn("words", F.array_remove(F.split("text", _SPACE), ""))
-    df = df.withColumn("codes", F.transform("words", lambda w: F.xxhash64(w)))
-    df = df.withColumn("lines", F.expr(f"filter(split(text, '\\n', -1), x -> translate(x, {_SPACES}, '') != '')"))
-    window = ", ".join(f"get(codes, i + {j})" for j in range(WINDOW))
-    df = df.withColumn("windows", F.expr(f"if(size(codes) >= {WINDOW}, transform(sequence(0, size(codes) - {WINDOW}), i -> xxhash64({window})), array())"))
-    # starts of windows that occur again: neighbours in order of their hashes; then the words that they cover
-    ordered = "array_sort(transform(windows, (w, i) -> named_struct('w', w, 'i', i)))"
-    starts = f"""transform(array(1), k -> {ordered})[0]"""
-    repeated = f"""aggregate(array({starts}), 0L, (n, s) -> aggregate(
-        array_sort(transform(filter(s, (x, i) -> get(s, i - 1).w <=> x.w OR get(s, i + 1).w <=> x.w), x -> x.i)),
-        named_struct('n', 0L, 'end', 0L), (a, p) -> named_struct('n', a.n + least({WINDOW}L, p + {WINDOW}L - a.end), 'end', p + {WINDOW}L), a -> a.n))"""
-    hits = F.size(F.array_intersect(_letter_words(F.col("text")), F.array(*map(F.lit, toxic)))) if toxic else F.lit(0)
-    long = lambda x: F.expr(x).cast("long")
-    return df.select(
-        "doc_id",
-        long("size(words)").alias("n_words"),
-        long(f"char_length(translate(text, {_SPACES}, ''))").alias("word_chars"),
-        long("char_length(text) - char_length(translate(text, '#*$%&|<>', ''))").alias("n_symbols"),
-        long("size(lines) - size(array_distinct(lines))").alias("n_dup_lines"),
-        long(f"if(size(array_distinct(windows)) = size(windows), 0L, {repeated})").alias("n_repeat_words"),
-        long("size(lines)").alias("n_lines"),
-        long("char_length(text) - char_length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))").alias("n_capitals"),
-        long("size(array_distinct(codes))").alias("n_distinct_words"),
-        hits.cast("long").alias("n_toxic_words"),
-    )
+#: Measurements in order, as SQL over the parts of a text: words, their hashes (codes), lines, and hashes of windows of words.
+MEASURES = {
+    "n_words": "size(x.words)",
+    "word_chars": f"char_length(translate(x.text, {_SPACES}, ''))",
+    "n_symbols": "char_length(x.text) - char_length(translate(x.text, '#*$%&|<>', ''))",
+    "n_dup_lines": "size(x.lines) - size(array_distinct(x.lines))",
+    "n_repeat_words": "if(size(array_distinct(x.windows)) = size(x.windows), 0, {repeated})",
+    "n_lines": "size(x.lines)",
+    "n_capitals": "char_length(x.text) - char_length(translate(x.text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))",
+    "n_distinct_words": "size(array_distinct(x.codes))",
+    "n_toxic_words": "{toxic}",
+}
+# starts of windows that occur again are neighbours in order of their hashes; then the words that they cover are counted
+_REPEATED = f"""aggregate(
+    aggregate(array(array_sort(transform(x.windows, (w, i) -> named_struct('w', w, 'i', i)))), cast(array() as array<int>),
+        (none, s) -> array_sort(transform(filter(s, (y, i) -> get(s, i - 1).w <=> y.w OR get(s, i + 1).w <=> y.w), y -> y.i))),
+    named_struct('n', 0, 'end', 0), (a, p) -> named_struct('n', a.n + least({WINDOW}, p + {WINDOW} - a.end), 'end', p + {WINDOW}), a -> a.n)"""
+
+
+def _entry(toxic: list[str] | None) -> str:
+    """All measurements and failures of a text as one struct.
+
+    Every step is a transform() of a one-element array, so each part is computed once, also where the optimiser copies the expression into a filter.
+    """
+    window = ", ".join(f"get(x.codes, i + {j})" for j in range(WINDOW))
+    known = ", ".join(f"'{w}'" for w in toxic or [])
+    hits = f"size(array_intersect(array_distinct(transform(split(lower(x.text), r'[^\\p{{L}}]+'), w -> substring(w, 1, 12))), array({known})))" if toxic else "0"
+    measures = ", ".join(f"'{name}', cast({sql.format(repeated=_REPEATED, toxic=hits)} as long)" for name, sql in MEASURES.items())
+    kept = ", ".join(f"'{name}', x.{name}" for name in MEASURES)
+    bits = " + ".join(f"if({re.sub('(' + '|'.join(MEASURES) + ')', 'x.' + chr(92) + '1', condition)}, {1 << i}L, 0L)" for i, condition in enumerate(RULES.values()))
+    step = "array(coalesce(cast(text as string), ''))"
+    for fields in (
+        f"'text', x, 'words', array_remove(split(x, r'{_SPACE}'), ''), 'lines', filter(split(x, '\\n', -1), l -> translate(l, {_SPACES}, '') != '')",
+        "'text', x.text, 'words', x.words, 'lines', x.lines, 'codes', transform(x.words, w -> xxhash64(w))",
+        f"'text', x.text, 'words', x.words, 'lines', x.lines, 'codes', x.codes, 'windows', if(size(x.codes) >= {WINDOW}, transform(sequence(0, size(x.codes) - {WINDOW}), i -> xxhash64({window})), cast(array() as array<bigint>))",
+        measures,
+        f"{kept}, 'failures', {bits}",
+    ):
+        step = f"transform({step}, x -> named_struct({fields}))"
+    return f"({step})[0]"
 
 
 def ledger(docs: DataFrame, toxic: list[str] | None = None) -> DataFrame:
-    """The measurements and `failures`, a long with the bit of each failed rule."""
-    bits = (F.when(F.expr(condition), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, condition in enumerate(RULES.values()))
-    failures = None
-    for bit in bits:
-        failures = bit if failures is None else failures.bitwiseOR(bit)
-    return measured(docs, toxic).withColumn("failures", failures)
+    """documents -> doc_id, the measurements, and `failures`, a long with the bit of each failed rule."""
+    entries = docs.select("doc_id", F.expr(_entry(toxic)).alias("entry"))
+    return entries.select("doc_id", "entry.*")
 
 
 def passes(policy: str) -> Column:
