@@ -11,6 +11,7 @@ from ..functions.text import html_escaped
 from ..sources.volumes import GLOSSARY_FIELDS
 
 SECTION = ["work", "juan", "idx"]
+SMALL_GLOSSARIES = 100_000  # words of all works that may be broadcast
 
 
 def typed_terms(glossaries: DataFrame) -> DataFrame:
@@ -31,8 +32,15 @@ def term_hits(texts: DataFrame, text: str, words: DataFrame) -> DataFrame:
     keys = [c for c in texts.columns if c != text]
     size = words.filter("word != ''").groupBy("work").agg(F.least(F.min(F.char_length("word")), F.lit(8)).alias("q"))
     begun = words.filter("word != ''").join(size, "work").withColumn("gram", F.expr("substring(word, 1, q)")).drop("q")
-    cut = texts.join(size, "work").filter(F.char_length(text) >= F.col("q"))
-    grams = cut.select(*keys, F.explode(F.array_distinct(F.expr(f"transform(sequence(1, char_length({text}) - q + 1), i -> substring({text}, i, q))"))).alias("gram"))
+    # a look-ahead takes all n-grams in one pass; substring() would count from the start of the text each time
+    all_grams = F.array_distinct(F.regexp_extract_all(text, F.concat(F.lit("(?s)(?=(.{"), F.col("q").cast("string"), F.lit("}))")), F.lit(1)))
+    if words.count() <= SMALL_GLOSSARIES:  # then each text keeps only grams that some word begins with, and nothing is shuffled
+        wanted = begun.groupBy("work").agg(F.collect_set("gram").alias("wanted")).join(size, "work")
+        cut = texts.join(F.broadcast(wanted), "work").filter(F.char_length(text) >= F.col("q"))
+        grams = cut.select(*keys, F.explode(F.array_intersect(all_grams, "wanted")).alias("gram"))
+    else:
+        cut = texts.join(size, "work").filter(F.char_length(text) >= F.col("q"))
+        grams = cut.select(*keys, F.explode(all_grams).alias("gram"))
     candidates = grams.join(begun, ["work", "gram"]).drop("gram").distinct()
     hits = candidates.join(texts, keys).filter(F.col(text).contains(F.col("word"))).drop(text)
     empty = texts.drop(text).join(words.filter("word = ''"), "work")

@@ -46,7 +46,7 @@ def substring_search(records: DataFrame, queries: DataFrame, order: list[str], l
     asked = queries.select("work", trim_u(F.col("q")).alias("q")).filter(F.char_length("q") >= 2).distinct().withColumn("gram", F.expr("substring(q, 1, 2)"))
     wanted = asked.groupBy("work").agg(F.collect_set("gram").alias("grams"))
     both = F.concat_ws("\0", "t", "x")
-    grams = F.array_distinct(F.expr("transform(sequence(1, greatest(char_length(tx) - 1, 1)), i -> substring(tx, i, 2))"))
+    grams = F.array_distinct(F.regexp_extract_all("tx", F.lit("(?s)(?=(..))"), F.lit(1)))
     dealt = records.withColumn("tx", both).join(wanted, "work").withColumn("gram", F.explode(F.array_intersect(grams, "grams"))).drop("tx", "grams")
     hits = dealt.join(asked, ["work", "gram"]).filter(F.col("t").contains(F.col("q")) | F.col("x").contains(F.col("q")))
     rank = F.row_number().over(Window.partitionBy("work", "q").orderBy(*order))
