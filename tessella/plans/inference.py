@@ -90,12 +90,12 @@ def _draft_sections(spark, sf_dir):
     return b.drafts(spark, sf_dir).select("work", "juan", "idx", F.concat(F.lit("T"), F.col("idx").cast("string")).alias("title"), "source", F.when(F.col("idx") % 4 == 2, "done").otherwise("").alias("translation"), F.lit("").alias("note"), "draft")
 
 
-@query(o.DRAFTS_SQL + ", f AS (SELECT juan FROM drafts GROUP BY juan) SELECT d.work, d.juan, d.idx, d.source, coalesce(nullif(d.draft, ''), '（缺稿）') AS draft_a, coalesce(nullif(CASE WHEN d.juan % 3 = 0 THEN upper(d.draft) ELSE d.draft END, ''), '（缺稿）') AS draft_b FROM drafts d WHERE d.idx % 4 <> 2")
+@query(o.DRAFTS_SQL + ", f AS (SELECT juan FROM drafts GROUP BY juan) SELECT d.work, d.juan, d.idx, d.source, coalesce(nullif(d.draft, ''), '（缺稿）') AS draft_a, coalesce(nullif(CASE WHEN d.juan % 3 = 0 THEN translate(d.draft, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') ELSE d.draft END, ''), '（缺稿）') AS draft_b FROM drafts d WHERE d.idx % 4 <> 2")
 def draft_merge_inputs(spark, sf_dir):
     """Draft B exists for a third of the volumes; sections with text are settled."""
     sections = _draft_sections(spark, sf_dir)
     a = sections.select("work", "juan", "idx", F.col("draft").alias("translation"))
-    second = a.filter("juan % 3 = 0").withColumn("translation", F.upper("translation"))
+    second = a.filter("juan % 3 = 0").withColumn("translation", b.capitals("translation"))
     return inf.draft_merge_inputs(sections, a, second)[0].select("work", "juan", "idx", "source", "draft_a", "draft_b")
 
 
