@@ -13,6 +13,7 @@ decoded and the payload's digest is computed again and compared.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -22,10 +23,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .textkit import checkpointed, shared_folder
+from .textkit import checkpointed, shared_folder, small_side
 
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
-_RECORD = "kind string, id string, page_id long, uri string, digest string, refers_to long, origin string, number int, total long, block binary"
+_RECORD = "kind string, id string, page_id long, uri string, digest string, refers_to long, origin string, number int, segmented boolean, total long, block binary"
 
 
 def sha1_base32(payload: bytes) -> str:
@@ -113,10 +114,10 @@ def write(pages: DataFrame, path: str, min_payload: int = 0, segment: int = 16 <
     sha1 = F.unhex(F.sha1("payload"))
     named = pages.withColumn("sha1", sha1)
     first = named.filter(F.length("payload") >= min_payload).groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("page_id").alias("n")).filter("n > 1").select("sha1", "first")
-    joined = named.join(first, "sha1", "left").withColumn("refers_to", F.expr("if(page_id > first, first, null)"))
+    joined = named.join(small_side(checkpointed(first), 96), "sha1", "left").withColumn("refers_to", F.expr("if(page_id > first, first, null)"))
     rows = joined.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("payload")).alias("payload"), _base32("sha1").alias("digest"), "refers_to")
     records = rows.mapInPandas(partial(_records, segment=segment, chunk=chunk), "value string")
-    records.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", 2000).text(path)
+    records.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", 2000).option("compression", "gzip").text(path)
 
 
 def _base32(column: str) -> F.Column:
@@ -145,10 +146,11 @@ def parse(archive: bytes) -> Iterator[dict]:
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     whole = lambda x: None if x is None else int(x)
     for batch in batches:
-        for archive in batch.content:
+        for content in batch.content:
+            archive = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
             out = [
                 (r["warc-type"], r["warc-record-id"], whole(r.get("x-page-id")), r.get("warc-target-uri"), (r.get("warc-payload-digest") or "").removeprefix("sha1:") or None,
-                 whole(r.get("x-refers-to-page-id")), r.get("warc-segment-origin-id") or r["warc-record-id"], int(r.get("warc-segment-number", 1)), whole(r.get("warc-segment-total-length")), r["block"])
+                 whole(r.get("x-refers-to-page-id")), r.get("warc-segment-origin-id") or r["warc-record-id"], int(r.get("warc-segment-number", 1)), "warc-segment-number" in r, whole(r.get("warc-segment-total-length")), r["block"])
                 for r in parse(archive)
             ]
             frame = pd.DataFrame(out, columns=[c.split()[0] for c in _RECORD.split(", ")])
@@ -173,14 +175,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """The archives in a folder -> page_id, uri, digest, record_type, refers_to, payload (null for revisits)."""
     files = spark.read.format("binaryFile").load(path).select("content")
     records = files.mapInPandas(_parsed, _RECORD)
-    segments = records.filter("kind != 'revisit'").groupBy("origin").agg(
-        F.sort_array(F.collect_list(F.struct("number", "block", "total", "page_id", "uri", "digest"))).alias("s"),
-    )
+    alone = records.filter("kind != 'revisit' AND NOT segmented").select("page_id", "uri", "digest", "total", F.array("number").alias("numbers"), "block")
+    # only records in several segments are shuffled
+    segments = records.filter("segmented").groupBy("origin").agg(F.sort_array(F.collect_list(F.struct("number", "block", "total", "page_id", "uri", "digest"))).alias("s"))
     whole = segments.select(
         F.expr("s[0].page_id").alias("page_id"), F.expr("s[0].uri").alias("uri"), F.expr("s[0].digest").alias("digest"), F.expr("s[size(s) - 1].total").alias("total"),
         F.expr("s.number").alias("numbers"), F.expr("aggregate(s.block, cast('' as binary), (done, b) -> concat(done, b))").alias("block"),
     )
-    responses = whole.mapInPandas(_payloads, "page_id long, uri string, digest string, payload binary")
+    responses = alone.union(whole).mapInPandas(_payloads, "page_id long, uri string, digest string, payload binary")
     revisits = records.filter("kind = 'revisit'").select("page_id", "uri", "digest", F.lit("revisit").alias("record_type"), "refers_to", F.lit(None).cast("binary").alias("payload"))
     return responses.select("page_id", "uri", "digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"), "payload").union(revisits)
 
