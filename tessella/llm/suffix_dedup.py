@@ -55,7 +55,12 @@ def anchor_places(data: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndar
         at, start, n = np.unique(of_window, return_index=True, return_counts=True)
         for column, values in zip(out, (at + first, h[at], start + first, start + first + n - 1), strict=True):
             column.append(values)
-    return tuple(np.concatenate(c) if c else np.empty(0, np.uint64 if i == 1 else np.int64) for i, c in enumerate(out))
+    if not out[0]:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    at, digits, starts, ends = map(np.concatenate, out)
+    # an anchor with windows on both sides of a border is one
+    at, first = np.unique(at, return_index=True)
+    return at, digits[first], np.minimum.reduceat(starts, first), np.maximum.reduceat(ends, first)
 
 
 def _digits(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:

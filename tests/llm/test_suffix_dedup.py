@@ -2,6 +2,9 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+
+from tessella.llm import suffix_dedup
 from tessella.llm.suffix_dedup import remove_repeats
 
 
@@ -51,3 +54,17 @@ def test_nulls_and_repeated_ids(spark):
 def test_empty_table_and_clashing_columns(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, row string, pos string, digit int")
     assert remove_repeats(empty).collect() == []
+
+
+def test_anchors_do_not_depend_on_chunks(monkeypatch):
+    data = np.random.default_rng(1).integers(0, 256, 5000).astype(np.uint8)
+    want = suffix_dedup.anchor_places(data, 200)
+    for chunk in (300, 333, 4999):
+        monkeypatch.setattr(suffix_dedup, "_CHUNK", chunk)
+        assert all(np.array_equal(a, b) for a, b in zip(suffix_dedup.anchor_places(data, 200), want, strict=True))
+
+
+def test_a_text_longer_than_a_chunk_without_repeats_is_kept(spark):
+    long = random.Random(7).randbytes((suffix_dedup._CHUNK + 2000) // 2).hex()
+    (row,) = remove_repeats(spark.createDataFrame([(1, long)], "doc_id long, text string")).collect()
+    assert (row.n_removed, row.n_spans, row.kept_sha256) == (0, 0, hashlib.sha256(long.encode()).hexdigest())
