@@ -15,6 +15,7 @@ from __future__ import annotations
 import string
 from collections.abc import Iterator
 from functools import partial
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -70,16 +71,29 @@ def tiling(item: list[bytes], doc: list[bytes], least: int) -> list[tuple[int, i
             hit = open_b[np.isin(hash_b[open_b], hash_a[open_a])]
             for j in hit.tolist():
                 for i in places.get(int(hash_b[j]), ()):
+                    if i and j and free_a[i - 1] and free_b[j - 1] and a[i - 1] == b[j - 1]:
+                        continue  # a part of a longer match
                     n = 0
                     while i + n < len(a) and j + n < len(b) and free_a[i + n] and free_b[j + n] and a[i + n] == b[j + n]:
                         n += 1
                     if n >= length:
                         longest = max(longest, n)
                         found.append((n, i, j))
-            for n, i, j in sorted(found, key=lambda m: (-m[0], m[1], m[2])):
-                if free_a[i : i + n].all() and free_b[j : j + n].all():
+            # a match that a tile has cut is looked at again as what is left of it
+            matches = [(-n, i, j) for n, i, j in found]
+            heapify(matches)
+            while matches:
+                n, i, j = heappop(matches)
+                n = -n
+                free = free_a[i : i + n] & free_b[j : j + n]
+                if free.all():
                     free_a[i : i + n] = free_b[j : j + n] = False
                     tiles.append((i, j, n))
+                    continue
+                edges = np.flatnonzero(np.diff(np.r_[False, free, False]))
+                for first, end in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+                    if end - first >= length:
+                        heappush(matches, (first - end, i + first, j + first))
         if length == least:
             break
         length = max(least, length // 2 if not found else min(length - 1, length // 2))

@@ -37,6 +37,16 @@ def test_tiles_cover_as_brute_force():
         assert max((n for *_, n in tiles), default=0) == max((n for *_, n in brute_tiles(a, b, least)), default=0)
 
 
+def test_tiles_are_those_of_greedy_tiling():
+    item = [b"%d" % i for i in range(20)]
+    assert sum(n for *_, n in tiling(item, [*item[:8], b"x", *item[6:15]], 5)) == 15
+    rng = random.Random(6)
+    for _ in range(150):
+        a = [b"%d" % rng.randint(0, 5) for _ in range(rng.randint(0, 30))]
+        b = [b"%d" % rng.randint(0, 5) for _ in range(rng.randint(0, 40))]
+        assert tiling(a, b, 2) == brute_tiles(a, b, 2)
+
+
 def test_leaks_are_caught_and_clean_documents_are_not(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
