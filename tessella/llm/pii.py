@@ -4,7 +4,8 @@ Patterns give the base spans. Tokens with a digit or an @ are the nodes of a ran
 phone; all other tokens are fixed to none. Edges join neighbouring nodes, repeated tokens, and tokens of the same shape, each to
 the occurrence before it, so their number grows with the text and not with its square. Potentials are learnt over
 all documents from the labels that the patterns give: a softmax of token features, and the association of two labels per kind of
-edge. Damped loopy message passing gives each node's beliefs; nodes that no base span touches become further spans of
+edge. Damped loopy message passing, until it settles, gives each node's beliefs; a node that a base span touches holds the
+span's label, which its repeats so hear of. Nodes that no base span touches become further spans of
 their label if the belief is at least `belief`.
 
 Offsets count code points, ends are exclusive. Null and empty texts have no spans. Other columns are not read.
@@ -34,7 +35,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK = re.compile("[0-9@]")
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
 _EDGE_KINDS = 3  # neighbours, repeats, same shape
-_ROUNDS = 8
+_TOLERANCE = 1e-3  # largest change of a message's logarithms at which message passing ends
+_CERTAIN = 30.0  # logarithm of how much likelier a known label is than any other
 
 
 def luhn(digits: str) -> bool:
@@ -181,21 +183,31 @@ class Field:
             table /= table.sum()
             self.pairs[kind] = np.clip(np.log(table / (table.sum(1, keepdims=True) * table.sum(0))), -3, 3)
 
-    def beliefs(self, bits: list[int], edges: list[tuple[int, int, int]]) -> np.ndarray:
-        """Marginals of the labels of each node, by damped loopy message passing."""
+    def beliefs(self, bits: list[int], edges: list[tuple[int, int, int]], known: list[int] | None = None) -> np.ndarray:
+        """Marginals of the labels of each node, by damped loopy message passing; nodes with a known label (not 0) hold it.
+
+        Passing ends when no message changes by more than _TOLERANCE, or, where loops keep it from settling, after 100 rounds and as many as there are nodes.
+        """
         own = (np.array(bits, np.int64)[:, None] >> np.arange(N_FEATURES) & 1) @ self.weights
+        given = np.flatnonzero(known) if known is not None else []
+        if len(given):
+            own[given] = -_CERTAIN
+            own[given, np.array(known)[given]] = 0
         if edges:
             kind, a, b = np.array(edges).T
             source, target = np.r_[a, b], np.r_[b, a]
             potential = np.concatenate([self.pairs[kind], self.pairs[kind].transpose(0, 2, 1)])
             back = np.r_[len(a) : 2 * len(a), 0 : len(a)]
             messages = np.zeros((len(source), len(LABELS)))
-            for _ in range(_ROUNDS):
+            for _ in range(100 + len(own)):
                 total = own.copy()
                 np.add.at(total, target, messages)
                 new = np.logaddexp.reduce((total[source] - messages[back])[:, :, None] + potential, axis=1)
                 new -= np.logaddexp.reduce(new, axis=1)[:, None]
+                settled = np.abs(new - messages).max() < _TOLERANCE
                 messages = 0.5 * messages + 0.5 * new
+                if settled:
+                    break
             np.add.at(own, target, messages)
         return np.exp(own - np.logaddexp.reduce(own, axis=1)[:, None])
 
@@ -213,7 +225,7 @@ def further_spans(text: str, base: list[tuple[int, int, int]], field: Field, bel
     touched = node_labels(nodes, base)
     if all(touched):
         return []
-    beliefs = field.beliefs([features(text[a:b]) for a, b in nodes], edges_of(text, nodes))
+    beliefs = field.beliefs([features(text[a:b]) for a, b in nodes], edges_of(text, nodes), touched)
     best = beliefs.argmax(1)
     out: list[tuple[int, int, int]] = []
     for (start, end), label, sure, known in zip(nodes, best.tolist(), beliefs.max(1).tolist(), touched, strict=True):

@@ -64,3 +64,22 @@ def test_message_passing_is_exact_on_a_tree():
         for i, y in enumerate(labels):
             want[i, y] += weight
     assert np.allclose(field.beliefs(bits, edges), want / want.sum(1, keepdims=True), atol=0.02)
+
+
+def test_known_labels_reach_all_repeats():
+    import numpy as np
+
+    field = pii.Field([])
+    field.pairs[1] = np.log(np.full((5, 5), 0.0005) + 0.9995 * np.eye(5))
+    n = 30
+    edges = [(1, i, i + 1) for i in range(n - 1)]
+    label = np.array([4] + [0] * (n - 1))
+    # exact on a chain: what the last node hears of the first
+    step = np.exp(field.pairs[1])
+    want = np.linalg.matrix_power(step / step.sum(1, keepdims=True), n - 1)[4]
+    got = field.beliefs([0] * n, edges, label.tolist())
+    assert got[0, 4] > 0.999 and np.allclose(got[-1], want, atol=0.01) and want[4] > 0.9
+    # a part of a number that the pattern has found gives its label to its repeat
+    text = "+49 123456 7890 and 123456"
+    field.weights[0, 0] = 1.0
+    assert [text[a:b] for k, a, b in pii.further_spans(text, pii.base_spans(text), field, 0.9)] == ["123456"]
