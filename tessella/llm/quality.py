@@ -56,7 +56,7 @@ def toxic_words(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = known.filter("toxic = 1").orderBy(*order).limit(per_class).union(known.filter("toxic = 0").orderBy(*order).limit(per_class))
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text").distinct()
-    sizes = {r.toxic: r.n for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     words = sample.select("toxic", F.explode(_letter_words(F.col("text"))).alias("word")).filter("length(word) >= 3")
     counts = words.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("other")).filter((F.col("toxic") >= least_docs) & (F.col("toxic") >= least_share * sizes.get(1, 0)))
     share, rest = F.col("toxic") / (sizes.get(1, 0) + 1), (F.col("other") + 0.5) / (sizes.get(0, 0) + 1)
