@@ -1,23 +1,22 @@
 """Exact n-gram Jaccard join of documents in metric space.
 
-Both the Jaccard distance and the size of the symmetric difference, |x - y| + |y - x|, are metrics on
-shingle sets. Real corpora lie so that nearly all pairs have Jaccard distance 1, where pivots drawn from the
-documents tell nothing apart. The regions are therefore made by pivots of the second metric:
-
-* the empty set is a pivot: a set's size is its distance to it. Its rings (size classes) are the outer regions,
-  and a set goes into the next lower ring too if the triangle inequality lets it have a partner there.
-* within a ring that allows a difference of at most D, the universe is cut into more than D cells, and what a set
-  holds of a cell is the pivot it stands at distance 0 from, seen in that cell alone. A pair within D differs in D cells at
-  most, so it meets in a region: equal contents of one cell. Sets with few empty cells need not meet in an empty one.
-* a map of sets to counts in few cells shortens no distance but keeps far sets apart: it excludes most pairs from small sketches.
-* within a region, the least document is the pivot. Members are tested against it exactly; those within the radius
-  are linked, and members already in one component need no further test.
-* a region that still has several components joins recursively: in some turns what is outside its largest component is tested
-  against further pivots from that; then, if few are left outside, they are tested against all others whose size fits,
-  and a region with more is dealt anew by cells of another cut, of which pairs within the radius share one too.
-
-Only pairs (member, pivot) and those of a region's few last members are made, and no region is collected. Equal sets are one document
-to the join: they get a class by a 128-bit digest.
+A pair is linked if the Jaccard distance of its shingle sets is at most r; that is, if the size of the symmetric difference
+d(x, y) = |x - y| + |y - x|, a metric too, is at most c * (|x| + |y|) with c = r / (2 - r). The join runs in the metric d:
+
+* regions: the pivots are the sets {s} of one shingle. All pivots that a set holds lie at the same distance |x| - 1 from it, all
+  others two further, so the rarest shingle decides among them and owns the set. What the triangle inequality lets
+  a partner lack is the window: a set goes into the regions of its next pivots too, in the order of rarity, as far as a partner
+  could have missed all before. How many it has passed there is its depth; two sets whose depths add up to more than their radius, or whose
+  depths do not fit their sizes, are no pair of that region.
+* shingles that occur once in the corpus have regions of one member, so most documents are settled by counting shingles: those with more
+  single shingles than a partner may miss have no partner. Only the others are read again.
+* within a region the member of least depth is the pivot: members are tested against it, and members already in one component need no further
+  test. Regions that still hold several components and are small are tested member by member, where depths and sizes allow.
+* a large one joins recursively, seen from its pivot p: members become x - p and p - x together, which leaves their distances d as they are.
+  Members within the radius of p are in its component; any other pair shares a part of its difference from p, so the same
+  regions and windows, made of these smaller sets, hold it. The recursion has no pivot p any more; at the depth DEPTH what is left is tested.
+
+Equal sets are one document to the join: they get a class by a 128-bit digest. Nothing but bitmaps of fixed size comes to the driver.
 """
 
 from __future__ import annotations
@@ -26,7 +25,6 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
@@ -34,12 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import least_reachable
-from .textkit import bitmap_of, checkpointed, in_bitmap, mix, small_side, span_hashes, words_of
+from .textkit import checkpointed, discard, small_side, span_hashes, words_of
 
-SKETCH = 256  # cells of a sketch
-SMALL = 64  # members outside a region's largest component that are tested against all of it
-PIVOTS = 3  # turns with further pivots
-RING = 1.5  # upper over lower bound of a ring
+SMALL = 16  # members of a region that needs no further pivots
+DEPTH = 6  # levels of regions within regions
+LOG_BITS = 27  # of the bitmap of shingles that occur again
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
@@ -47,194 +44,247 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     return np.unique(span_hashes(words_of(text), k))
 
 
-def _ring(n: int) -> int:
-    return int(np.floor(np.log(n) / np.log(RING) + 1e-9))
+def _edge(percent: int) -> int:
+    """Shingles with hashes below this are counted in the whole corpus; they hold well more than a partner may miss."""
+    return min((1 << 64) - 1, int((1 << 64) * 2.5 * (100 - percent) / 100))
 
 
-def _rings(n: int, percent: int) -> list[tuple[int, int, int]]:
-    """(ring, cells, spare) where a set of n may meet a partner; the ring is that of the smaller of the two."""
-    out = []
-    for ring in range(_ring(max(1, -(-n * percent // 100))), _ring(n) + 1):
-        top = int(np.ceil(RING ** (ring + 1)))  # the smaller set is below this, the larger within the size window
-        most = int((top + top * 100 // percent) * (100 - percent) / (100 + percent) + 1e-9)
-        spare = 0 if most == 0 else 1 + most * 3 // 100
-        out.append((ring, most + 1 + spare, spare))
-    return out
+def _packed(codes: np.ndarray) -> bytes:
+    return codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
 
-def region_keys(items: np.ndarray, percent: int, seed: int) -> np.ndarray:
-    """The regions that a set belongs to, under the cut of the universe that the seed gives."""
-    keys = []
-    for ring, cells, spare in _rings(len(items), percent):
-        cell = ((mix(items, 3 * seed + 1) >> np.uint64(33)) * np.uint64(cells) >> np.uint64(31)).astype(np.int64)
-        order = np.argsort(cell, kind="stable")
-        cell, value = cell[order], mix(items[order], 3 * seed + 2)
-        first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-        held, content = cell[first], np.add.reduceat(value, first)
-        if cells - len(held) > spare:
-            empty = np.setdiff1d(np.arange(cells), held)
-            held, content = np.concatenate([held, empty]), np.concatenate([content, np.zeros(len(empty), np.uint64)])
-        keys.append(mix(content + mix(held.astype(np.uint64) + np.uint64(ring << 40), 3 * seed + 3), 7))
-    return np.concatenate(keys).view(np.int64)
-
-
-def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_shingles", "set_a", "set_b"]
-    for batch in batches:
-        ids, found = batch.column(0), [shingles(t.as_py(), k) for t in batch.column(1)]
-        digests = [divmod(xxhash.xxh3_128_intdigest(s.tobytes()), 1 << 64) for s in found]
-        a, b = (pa.array(np.array([d[i] for d in digests], np.uint64).view(np.int64)) for i in (0, 1))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(map(len, found), pa.int64()), a, b], names)
+def _codes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view("<u8").reshape(-1)
+
+
+def _bit(codes: np.ndarray, edge: int) -> np.ndarray:
+    """The place of a 40-bit code in the bitmap, in the order of the codes."""
+    return (codes >> np.uint64(8) << np.uint64(LOG_BITS)) // np.uint64((edge >> 32) + 1)
 
 
-def _regions(batches: Iterator[pa.RecordBatch], k: int, percent: int, bits: Broadcast | None = None) -> Iterator[pa.RecordBatch]:
-    """(region, doc_id) for every text; of texts with equal sets in one task, the first stands for all. bits: only regions in this bitmap."""
-    seen: set[int] = set()
+def _digest(items: np.ndarray) -> tuple[int, int]:
+    a, b = divmod(xxhash.xxh3_128_intdigest(items.tobytes()), 1 << 64)
+    return a - (1 << 63), b - (1 << 63)
+
+
+def _sets(batches: Iterator[pa.RecordBatch], k: int, edge: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) -> doc_id, size of the set, its digest, and 40 bits of each shingle below the edge."""
     for batch in batches:
-        ids, keys = [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        sizes, a, b, zones = [], [], [], []
+        for text in batch.column(1):
             items = shingles(text.as_py(), k)
-            digest = xxhash.xxh3_64_intdigest(items.tobytes())
-            if doc_id is None or not len(items) or digest in seen:
-                continue
-            seen.add(digest)
-            found = region_keys(items, percent, 0)
-            keys.append(found if bits is None else found[in_bitmap(bits.value, found.view(np.uint64))])
-            ids.append(np.full(len(keys[-1]), doc_id, np.int64))
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], ["region", "doc_id"])
+            digest = _digest(items)
+            sizes.append(len(items))
+            a.append(digest[0])
+            b.append(digest[1])
+            zones.append(_packed(items[: np.searchsorted(items, np.uint64(edge))] >> np.uint64(24)))
+        columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(zones, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_a", "set_b", "zone"])
 
 
-def sketch(items: np.ndarray) -> bytes:
-    """How many items each of SKETCH cells of the universe holds, up to 255. Sketches are no further apart than their sets."""
-    cells = (mix(items, 5) >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
-    return np.minimum(np.bincount(cells, minlength=SKETCH), 255).astype(np.uint8).tobytes()
+def _binned(batches: Iterator[pa.RecordBatch], edge: int, log_bins: int) -> Iterator[pa.RecordBatch]:
+    """zone -> (bin, codes that this batch has once, codes that it has again)."""
+    for batch in batches:
+        codes, n = np.unique(_codes(b"".join(batch.column(0).to_pylist())), return_counts=True)
+        for again, kept in ((False, codes[n == 1]), (True, codes[n > 1])):
+            where = np.searchsorted(_bit(kept, edge) >> np.uint64(LOG_BITS - log_bins), np.arange((1 << log_bins) + 1, dtype=np.uint64))
+            bins = np.flatnonzero(where[1:] > where[:-1])
+            data = pa.array([_packed(kept[where[i] : where[i + 1]]) for i in bins], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int64()), pa.array(np.full(len(bins), again)), data], ["bin", "again", "codes"])
+
+
+def _repeated(table: pa.Table, edge: int, log_bins: int) -> pa.Table:
+    """The bits of one bin: those of codes that occur more than once."""
+    size = 1 << (LOG_BITS - log_bins)
+    again = table.column("again").to_numpy()
+    data = table.column("codes").to_pylist()
+    once, n = np.unique(_codes(b"".join(x for x, more in zip(data, again, strict=True) if not more)), return_counts=True)
+    more = np.concatenate([once[n > 1], _codes(b"".join(x for x, more in zip(data, again, strict=True) if more))])
+    bits = np.zeros(size, bool)
+    bits[(_bit(more, edge) & np.uint64(size - 1)).astype(np.int64)] = True
+    return pa.table({"bin": table.column("bin")[:1], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+
+def _repeated_bits(sets: DataFrame, edge: int) -> np.ndarray:
+    """A bitmap of fixed size: which places are taken by shingles below the edge that occur more than once in the corpus."""
+    codes = (sets.agg(F.sum(F.octet_length("zone"))).first()[0] or 0) // 5
+    log_bins = min(14, max(5, (codes >> 20).bit_length()))
+    binned = sets.filter("n_shingles > 0").select("zone").mapInArrow(partial(_binned, edge=edge, log_bins=log_bins), "bin long, again boolean, codes binary")
+    repeated = partial(_repeated, edge=edge, log_bins=log_bins)
+    bits = np.zeros(1 << (LOG_BITS - 3), np.uint8)
+    width = len(bits) >> log_bins
+    for row in binned.groupBy("bin").applyInArrow(lambda table: repeated(table), "bin long, bits binary").collect():
+        bits[row.bin * width : (row.bin + 1) * width] = np.frombuffer(row.bits, np.uint8)
+    return bits
+
+
+def _with_partners(batches: Iterator[pa.RecordBatch], edge: int, percent: int, bits: Broadcast) -> Iterator[pa.RecordBatch]:
+    """The rows whose single shingles are no more than what a partner may miss."""
+    for batch in batches:
+        zones = batch.column(4).to_pylist()
+        place = _bit(_codes(b"".join(zones)), edge).astype(np.int64)
+        single = np.r_[0, np.cumsum((bits.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 0)]
+        ends = np.cumsum([len(z) // 5 for z in zones])
+        n = batch.column(1).to_numpy()
+        keep = single[ends] - single[np.r_[0, ends[:-1]]] <= (100 - percent) * n // 100
+        yield pa.RecordBatch.from_arrays(batch.columns[:4], ["doc_id", "n_shingles", "set_a", "set_b"]).filter(pa.array(keep & (n > 0)))
 
 
 def _items(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [shingles(t.as_py(), k) for t in batch.column(1)]
-        columns = [batch.column(0), pa.array(map(len, found), pa.int64()), pa.array(map(sketch, found), pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "sketch", "items"])
+        digests = [_digest(s) for s in found]
+        columns = [batch.column(0), *(pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "set_a", "set_b", "items"])
 
 
-def _possible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """(a, b, sizes, sketches) -> a, b, possible: whether sizes and sketches allow a link."""
-    for batch in batches:
-        n_a, n_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16) for i in (4, 5))
-        apart = np.abs(a - b).sum(1, dtype=np.int64)
-        possible = (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)) & ((100 + percent) * apart <= (100 - percent) * (n_a + n_b))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(possible)], ["a", "b", "possible"])
+def _regions(members: DataFrame, percent: int) -> DataFrame:
+    """members (region, node, doc_id, n, m, reach, items) -> the regions within their regions: region, node, doc_id, n, m, depth.
 
+    m is the number of items, reach the greatest depth at which a member may meet a partner. Items that only one member of the region
+    has come first and make no region of their own; the others follow by how many have them.
+    """
+    each = members.select("region", "node", F.explode("items").alias("item"))
+    shared = each.groupBy("region", "item").agg(F.count("*").alias("held")).filter("held > 1")
+    own = each.join(shared, ["region", "item"]).groupBy("region", "node").agg(F.array_sort(F.collect_list(F.struct("held", "item"))).alias("shared"))
+    dealt = members.drop("items").join(own, ["region", "node"]).withColumn("first", F.col("m") - F.size("shared")).filter("first <= reach")
+    dealt = dealt.select("node", "doc_id", "n", "m", "region", "first", F.posexplode(F.slice("shared", F.lit(1), (F.col("reach") - F.col("first") + 1).cast("int"))).alias("at", "s"))
+    found = checkpointed(dealt.select(F.xxhash64("region", "s.item").alias("region"), "node", "doc_id", "n", "m", (F.col("first") + F.col("at")).alias("depth")))
+    out = checkpointed(_possible(found, percent))
+    discard(found)
+    return out
 
-def _deal(batches: Iterator[pd.DataFrame], percent: int, seed: int) -> Iterator[pd.DataFrame]:
-    """Members of large regions with their sets -> the regions within the region."""
-    for batch in batches:
-        keys = [mix(region_keys(np.asarray(items, np.int64).view(np.uint64), percent, seed).view(np.uint64) ^ np.uint64(region & (2**64 - 1)), 9).view(np.int64) for region, items in zip(batch.region, batch["items"], strict=True)]
-        if keys:
-            yield pd.DataFrame({"region": np.concatenate(keys), "doc_id": np.repeat(batch.doc_id.to_numpy(), [len(x) for x in keys])})
+
+def _possible(found: DataFrame, percent: int) -> DataFrame:
+    """The members of regions that some other member is near enough to, by depths."""
+    spare = F.expr(f"{100 + percent} * depth - {100 - percent} * n")
+    least = found.groupBy("region").agg(F.min(spare).alias("least"), F.count("*").alias("members")).filter("members > 1 AND least <= 0")
+    return found.join(least, "region").filter(spare + F.col("least") <= 0).drop("least", "members")
+
+
+def _fits(percent: int) -> str:
+    """Whether two members x, y of a region may be a pair whose first shared item is the region's: what both passed, and what more the larger has, is in their difference."""
+    radius = f"{100 - percent} * (x.n + y.n)"
+    sides = [f"{100 + percent} * (2 * {a}.depth - {a}.m + {b}.m) <= {radius}" for a, b in ("xy", "yx")]
+    return " AND ".join([*sides, f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)", "x.doc_id != y.doc_id"])
 
 
-def _near(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """pairs (a, b) -> (a, b, linked): by the triangle inequality on sketches, and what that leaves by whole sets."""
-    side = lambda x, *more: [F.col("doc_id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in more)]
-    drawn = pairs.join(sketches.select(*side("a", "n", "sketch")), "a").join(sketches.select(*side("b", "n", "sketch")), "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
-    judged = checkpointed(drawn.mapInArrow(partial(_possible, percent=percent), "a long, b long, possible boolean"))
-    close = judged.filter("possible").select("a", "b")
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """pairs (a, b) of nodes -> the links (a, b) of doc_ids among them, by whole sets."""
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("doc_id").alias(f"id_{x}"), F.col("items").alias(f"items_{x}"))
     both = F.size(F.array_intersect("items_a", "items_b"))
-    exact = close.join(sets.select(*side("a", "items")), "a").join(sets.select(*side("b", "items")), "b")
-    exact = exact.select("a", "b", (100 * both >= percent * (F.size("items_a") + F.size("items_b") - both)).alias("linked"))
-    return exact.union(judged.filter("NOT possible"))
+    exact = pairs.join(side("a"), "a").join(side("b"), "b").filter(100 * both >= percent * (F.size("items_a") + F.size("items_b") - both))
+    return exact.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+
+
+def _named(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return members.join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels with more links."""
+    return checkpointed(least_reachable(labels.select(F.col("doc_id").alias("a"), F.col("component").alias("b")).union(links)))
+
+
+def _open(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """The members of regions that hold several components, with component and number of members (in_region)."""
+    named = _named(_possible(members, percent), labels)
+    split = named.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("in_region")).filter("low < high AND in_region > 2")
+    return checkpointed(named.join(split.drop("low", "high"), "region"))
+
+
+def _from_pivot(large: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The members of large regions as their differences from its pivot, and the links (a, b) to pivots.
+
+    The radius of two members is c * (n_x + n_y). One that is outside the pivot's radius meets a partner at a depth of at most
+    its own greatest radius; one inside needs a partner outside, which leaves it a depth under m * (1 + c) / 2.
+    """
+    pivots = large.groupBy("region").agg(F.min_by(F.struct("node", "n"), F.struct("depth", "node")).alias("p")).select("region", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_p"))
+    seen = checkpointed(large.select("region", "node", "doc_id", "n").join(pivots, "region").filter("node != pivot"))
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("doc_id").alias(f"id_{x}"), F.col("items").alias(f"items_{x}"))
+    apart = seen.select("node", "pivot").distinct().join(side("node"), "node").join(side("pivot"), "pivot")
+    apart = checkpointed(apart.select("node", "pivot", "id_node", "id_pivot", F.concat(F.array_except("items_node", "items_pivot"), F.array_except("items_pivot", "items_node")).alias("items")))
+    m = F.size("items").cast("long")
+    inside = m * (100 + percent) <= (100 - percent) * (F.col("n") + F.col("n_p"))
+    reach = F.when(inside, F.expr(f"(100 * size(items) - 1) div {100 + percent}")).otherwise(F.expr(f"{100 - percent} * n div {percent}"))
+    members = seen.join(apart, ["node", "pivot"]).withColumn("inside", inside).withColumn("m", m).withColumn("reach", reach)
+    links = members.filter("inside AND id_node != id_pivot").select(F.col("id_node").alias("a"), F.col("id_pivot").alias("b")).distinct()
+    return members.select("region", "node", "doc_id", "n", "m", "reach", "items"), links
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """documents -> one row per row: doc_id, n_shingles, component_id, the least doc_id that links reach.
 
     Two texts link if 100 * |intersection| >= percent * |union| of their k-word shingle sets. Null and empty texts,
-    and texts without words, have no shingles and link with nothing. Rows with the same doc_id are one document to the links;
-    a row without doc_id links with nothing and gets no component_id. Other columns are not read.
+    and texts without words, have no shingles and link with nothing. Rows with the same doc_id are one document to the links, which has those
+    of all its texts; a row without doc_id links with nothing and gets no component_id. Other columns are not read.
     """
+    edge = _edge(percent)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sizes = checkpointed(docs.mapInArrow(partial(_sets, k=k), "doc_id long, n_shingles long, set_a long, set_b long"))
-    equal = sizes.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    least = equal.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    copies = checkpointed(equal.join(least, ["set_a", "set_b"]).filter("doc_id > least").select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct())
-
-    dealt = docs.mapInArrow(partial(_regions, k=k, percent=percent), "region long, doc_id long")
-    pivots = dealt.groupBy("region").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).filter("pivot < last").drop("last")
-    pivots = checkpointed(pivots)
-    bits = bitmap_of(pivots, "region")
-    if bits is not None:
-        dealt = docs.mapInArrow(partial(_regions, k=k, percent=percent, bits=docs.sparkSession.sparkContext.broadcast(bits)), "region long, doc_id long")
-    members = checkpointed(dealt.join(pivots, "region"))
-    pairs = checkpointed(members.filter("doc_id != pivot").groupBy(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).agg(F.count("*").alias("n")))
-
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    wanted = checkpointed(wanted)
-    texts = docs.join(small_side(wanted, 16), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = checkpointed(texts.mapInArrow(partial(_items, k=k), "doc_id long, n long, sketch binary, items array<long>"))
-
-    sketches = small_side(checkpointed(sets.select("doc_id", "n", "sketch")), SKETCH + 64)
-
-    # each member is first tested against the pivot that it meets most often; what that settles needs no other test
-    nearest = pairs.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
-    tested = checkpointed(_near(nearest, sets, sketches, percent))
-    links = copies.union(tested.filter("linked").select("a", "b"))
-    labels = checkpointed(least_reachable(links))
-    todo = pairs.select("a", "b")
-    turn = 0
-    while True:
-        new = checkpointed(_near(_apart(todo, labels).join(tested.select("a", "b"), ["a", "b"], "left_anti"), sets, sketches, percent))
-        tested = checkpointed(tested.union(new))
-        found = new.filter("linked").select("a", "b")
-        if not found.isEmpty():
-            links = checkpointed(links.union(found))
-            labels = checkpointed(least_reachable(links))
-        open_ = checkpointed(_unsettled(members, labels).join(sketches.select("doc_id", F.col("n").alias("size")), "doc_id"))
-        if open_.isEmpty():
+    sizes = checkpointed(docs.mapInArrow(partial(_sets, k=k, edge=edge), "doc_id long, n_shingles long, set_a long, set_b long, zone binary"))
+    known = sizes.filter("doc_id IS NOT NULL")
+    bits = docs.sparkSession.sparkContext.broadcast(_repeated_bits(known, edge))
+    some = known.mapInArrow(partial(_with_partners, edge=edge, percent=percent, bits=bits), "doc_id long, n_shingles long, set_a long, set_b long")
+    some = checkpointed(some.distinct())
+    bits.unpersist()
+
+    classes = checkpointed(some.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")))
+    copies = some.join(classes.select("set_a", "set_b", F.col("doc_id").alias("least")), ["set_a", "set_b"]).filter("doc_id > least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+    labels = checkpointed(least_reachable(copies))
+
+    wanted = small_side(checkpointed(classes.select("doc_id").distinct()), 16)
+    texts = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    sets = texts.mapInArrow(partial(_items, k=k), "doc_id long, set_a long, set_b long, items array<long>")
+    sets = sets.join(small_side(classes, 64), ["doc_id", "set_a", "set_b"]).select("doc_id", "n", "items", F.monotonically_increasing_id().alias("node"))
+    sets = checkpointed(sets)
+
+    members = sets.select(F.lit(0).cast("long").alias("region"), "node", "doc_id", "n", F.col("n").alias("m"), F.expr(f"{100 - percent} * n div 100").alias("reach"), "items")
+    for level in range(DEPTH):
+        inner = _regions(members, percent)
+        if inner.isEmpty():
             break
-        turn += 1
-        outside = F.col("component") != F.col("main")
-        order = F.struct(F.xxhash64("doc_id", "region", F.lit(turn)), "doc_id")
-        fits = lambda x, y: f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
-        if turn <= PIVOTS:  # what is outside against another pivot from the largest component
-            pivots = open_.filter(~outside).groupBy("region").agg(F.min_by(F.struct("doc_id", "size"), order).alias("p")).select("region", "p.doc_id", "p.size")
-            pivots = pivots.select("region", F.col("doc_id").alias("b"), F.col("size").alias("size_b"))
-            todo = open_.filter(outside).withColumnRenamed("doc_id", "a").join(pivots, "region").filter(fits("size", "size_b")).select("a", "b")
-        else:
-            few = F.col("n_outside") <= SMALL
-            last = open_.filter(few & outside).select("region", F.col("doc_id").alias("b"), F.col("component").alias("other"), F.col("size").alias("size_b"))
-            todo = open_.filter(few).withColumnRenamed("doc_id", "a").join(last, "region").filter("component != other AND " + fits("size", "size_b")).select("a", "b")
-            many = open_.filter(~few)
-            inner = many.select("region", "doc_id").join(sets.select("doc_id", "items"), "doc_id").mapInPandas(partial(_deal, percent=percent, seed=turn), "region long, doc_id long")
-            pivots = inner.groupBy("region").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).filter("pivot < last").drop("last")
-            members = checkpointed(inner.join(pivots, "region"))
-            todo = todo.union(members.filter("doc_id != pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")))
-        todo = todo.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        labels = _star(inner, sets, labels, percent)
+        left = _open(inner, labels, percent)
+        small = left if level + 1 == DEPTH else left.filter(f"in_region <= {SMALL}")
+        x, y = small.alias("x"), small.alias("y")
+        pairs = x.join(y, F.expr(f"x.region = y.region AND x.component < y.component AND {_fits(percent)}")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        links = checkpointed(_linked(_ordered(pairs).distinct(), sets, percent))
+        large = left.filter(f"in_region > {SMALL}")
+        if level + 1 == DEPTH or large.isEmpty():
+            labels = _merged(labels, links)
+            break
+        members, near = _from_pivot(large, sets, percent)
+        labels = _merged(labels, links.union(near))
+        discard(inner)
     return sizes.join(labels, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members of regions that hold several components, with the region's largest one and the number of members outside it."""
-    named = members.select("region", "doc_id").join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    parts = named.groupBy("region", "component").agg(F.count("*").alias("n"))
-    split = parts.groupBy("region").agg(F.max_by("component", F.struct("n", "component")).alias("main"), (F.sum("n") - F.max("n")).alias("n_outside"), F.sum("n").alias("n"))
-    return named.join(split.filter("n_outside > 0 AND n > 2"), "region")
-
+def _star(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """The labels after the members of each region have been tested against its pivot, the one of least depth.
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs that lie in different components so far."""
-    left = labels.select(F.col("doc_id").alias("a"), F.col("component").alias("component_a"))
-    right = labels.select(F.col("doc_id").alias("b"), F.col("component").alias("component_b"))
-    named = pairs.join(left, "a", "left").join(right, "b", "left")
-    return named.filter(F.coalesce("component_a", "a") != F.coalesce("component_b", "b")).select("a", "b")
+    Each member is first tested against the pivot that it meets most often; what that settles needs no other test.
+    """
+    x, y = members.alias("x"), members.groupBy("region").agg(F.min_by(F.struct("node", "doc_id", "n", "m", "depth"), F.struct("depth", "node")).alias("p")).select("region", "p.*").alias("y")
+    met = x.join(y, F.expr(f"x.region = y.region AND x.node != y.node AND {_fits(percent)}")).select(F.col("x.node").alias("a"), F.col("x.doc_id").alias("id_a"), F.col("y.node").alias("b"), F.col("y.doc_id").alias("id_b"))
+    met = checkpointed(met.groupBy("a", "id_a", "b", "id_b").agg(F.count("*").alias("times")))
+    first = met.groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b"))
+    labels = _merged(labels, _linked(_ordered(first).distinct(), sets, percent))
+    left, right = (labels.select(F.col("doc_id").alias(f"id_{s}"), F.col("component").alias(f"component_{s}")) for s in "ab")
+    rest = met.join(first, ["a", "b"], "left_anti").join(left, "id_a", "left").join(right, "id_b", "left")
+    rest = rest.filter(F.coalesce("component_a", "id_a") != F.coalesce("component_b", "id_b"))
+    return _merged(labels, _linked(_ordered(rest).distinct(), sets, percent))
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those that another of their group stands for: the least doc_id of each group stays.
 
-    Rows without doc_id or without words stay; of several rows with the doc_id that stays, one stays.
+    Rows without doc_id or without words stay; of several rows with the doc_id that stays, all stay.
     """
     groups = near_duplicates(docs, k, percent).filter("component_id != doc_id").select("doc_id").distinct()
     return docs.join(groups, "doc_id", "left_anti")

@@ -96,7 +96,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage: write a table to the shared folder and read it again. Unlike a checkpoint it is compressed and has statistics."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of checkpointed() that nothing reads any more."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._folder)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_side(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
