@@ -180,7 +180,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     side = lambda x: sets.select(F.col("node").alias(x), F.col("doc_id").alias(f"id_{x}"), F.col("items").alias(f"items_{x}"))
     both = F.size(F.array_intersect("items_a", "items_b"))
     exact = pairs.join(side("a"), "a").join(side("b"), "b").filter(100 * both >= percent * (F.size("items_a") + F.size("items_b") - both))
-    return exact.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    return checkpointed(exact.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
 
 
 def _named(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -188,15 +188,32 @@ def _named(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """The labels with more links."""
+    """The labels with more links; links is a table."""
+    if links.isEmpty():
+        return labels
     return checkpointed(least_reachable(labels.select(F.col("doc_id").alias("a"), F.col("component").alias("b")).union(links)))
 
 
 def _open(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """The members of regions that hold several components, with component and number of members (in_region)."""
-    named = _named(_possible(members, percent), labels)
-    split = named.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("in_region")).filter("low < high AND in_region > 2")
-    return checkpointed(named.join(split.drop("low", "high"), "region"))
+    """The members of regions that a member of another component may be a pair with, with component and number of members (in_region).
+
+    Each of the three conditions of _fits() is a sum of a part of x and a part of y; a member stays if its part and the least part
+    that the other components have may meet it.
+    """
+    named = checkpointed(_named(members, labels))
+    split = named.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("region")
+    own, other = f"{100 + percent}", f"{100 - percent} * n"
+    parts = {"s": f"{own} * depth - {other}", "w": f"{own} * (2 * depth - m) - {other}", "z": f"{own} * m - {other}"}
+    held = named.join(split, "region").withColumns({k: F.expr(v) for k, v in parts.items()})
+    each = held.groupBy("region", "component").agg(*(F.min(k).alias(k) for k in parts))
+    best = each.groupBy("region").agg(*(F.min_by("component", F.struct(k, "component")).alias(f"of_{k}") for k in parts))
+    best = each.join(best, "region").groupBy("region", *(f"of_{k}" for k in parts)).agg(*(F.min(k).alias(f"least_{k}") for k in parts), *(F.min(F.expr(f"if(component = of_{k}, null, {k})")).alias(f"next_{k}") for k in parts))
+    meets = lambda mine, theirs: f"{mine} + if(component = of_{theirs}, next_{theirs}, least_{theirs}) <= 0"
+    kept = held.join(best, "region").filter(" AND ".join((meets("s", "s"), meets("w", "z"), meets("z", "w"))))
+    kept = checkpointed(kept.select(*members.columns, "component"))
+    out = checkpointed(kept.join(kept.groupBy("region").agg(F.count("*").alias("in_region")), "region"))
+    discard(named, kept)
+    return out
 
 
 def _from_pivot(large: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -214,7 +231,7 @@ def _from_pivot(large: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFr
     inside = m * (100 + percent) <= (100 - percent) * (F.col("n") + F.col("n_p"))
     reach = F.when(inside, F.expr(f"(100 * size(items) - 1) div {100 + percent}")).otherwise(F.expr(f"{100 - percent} * n div {percent}"))
     members = seen.join(apart, ["node", "pivot"]).withColumn("inside", inside).withColumn("m", m).withColumn("reach", reach)
-    links = members.filter("inside AND id_node != id_pivot").select(F.col("id_node").alias("a"), F.col("id_pivot").alias("b")).distinct()
+    links = checkpointed(members.filter("inside AND id_node != id_pivot").select(F.col("id_node").alias("a"), F.col("id_pivot").alias("b")).distinct())
     return members.select("region", "node", "doc_id", "n", "m", "reach", "items"), links
 
 
@@ -251,17 +268,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             break
         labels = _star(inner, sets, labels, percent)
         left = _open(inner, labels, percent)
-        small = left if level + 1 == DEPTH else left.filter(f"in_region <= {SMALL}")
-        x, y = small.alias("x"), small.alias("y")
+        if left.isEmpty():
+            break
+        few = F.lit(True) if level + 1 == DEPTH else F.col("in_region") <= SMALL
+        x, y = left.filter(few).alias("x"), left.filter(few).alias("y")
         pairs = x.join(y, F.expr(f"x.region = y.region AND x.component < y.component AND {_fits(percent)}")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        links = checkpointed(_linked(_ordered(pairs).distinct(), sets, percent))
-        large = left.filter(f"in_region > {SMALL}")
-        if level + 1 == DEPTH or large.isEmpty():
-            labels = _merged(labels, links)
+        labels = _merged(labels, _linked(_ordered(pairs).distinct(), sets, percent))
+        large = left.filter(~few)
+        if large.isEmpty():
             break
         members, near = _from_pivot(large, sets, percent)
-        labels = _merged(labels, links.union(near))
-        discard(inner)
+        labels = _merged(labels, near)
+        discard(inner, left)
     return sizes.join(labels, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
