@@ -18,12 +18,17 @@ LIMIT = (
     r"|rate.?limit|too many requests|quota|exhausted|\b429\b|overloaded"
 )
 RESET_UNIX = r"\|(\d{10})\b"
+RESET_CLOCK = (
+    r"(?i)(?:reset(?:s)?|try again|available|retry)[^\n.]{0,24}?"
+    r"\b(\d{1,2})(?::(\d{2}))?\s*(a\.?m\.?|p\.?m\.?)"
+)
+RESET_CLOCK_24 = r"(?i)(?:reset(?:s)?|try again|available|retry)[^\n.]{0,24}?\b([01]?\d|2[0-3]):([0-5]\d)\b"
+RESET_IN = (
+    r"(?i)(?:try again|resets?|retry)\s+in\s+(?:(\d+)\s*h(?:ours?|rs?)?)?\s*"
+    r"(?:(\d+)\s*m(?:in(?:utes?)?)?)?"
+)
 RESET_ISO = r"(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:Z|[+-]\d{2}:?\d{2})?)"
-RESET_NAIVE = r"(?i)resets?\s+at\s+(\d{4}-\d{2}-\d{2}) (\d{2}:\d{2}:\d{2})"
-_SOON = r"(?i)(?:resets?|try again|available|retry)[^\n.]{0,24}?\b"
-RESET_CLOCK = _SOON + r"(\d{1,2})(?::(\d{2}))?\s*([ap])\.?m\.?"
-RESET_CLOCK_24 = _SOON + r"([01]?\d|2[0-3]):([0-5]\d)\b"
-RESET_IN = r"(?i)(?:try again|resets?|retry)\s+in\s+(?:(\d+)\s*h(?:ours?|rs?)?)?\s*(?:(\d+)\s*m(?:in(?:utes?)?)?)?"
+RESET_NAIVE = r"(?i)reset(?:s)?\s+at\s+(\d{4}-\d{2}-\d{2}) (\d{2}:\d{2}:\d{2})"
 BACKOFF_MINUTES = (15, 30, 45, 60)
 
 
@@ -57,7 +62,7 @@ def parse_review_reply(raw: Column) -> Column:
 def parse_reset_time(text: Column, now: Column) -> Column:
     """When a limit ends, by the first form of time that the text has; clock times that are past mean the next day.
 
-    The session time zone (UTC, say) is that of times without one.
+    The session time zone (UTC, say) is that of times without one. Waits of over 100,000 hours or minutes are no times.
     """
     iso = F.regexp_extract(text, RESET_ISO, 1)
     iso_time = F.try_to_timestamp(F.regexp_replace(F.regexp_replace(iso, r"Z\z", "+00:00"), r"([+-]\d{2})(\d{2})\z", "$1:$2"))
@@ -68,8 +73,8 @@ def parse_reset_time(text: Column, now: Column) -> Column:
         at = day + F.make_dt_interval(F.lit(0), hour, minute)
         return F.when(at <= now, at + F.make_dt_interval(F.lit(1))).otherwise(at)
 
-    number = lambda pattern, i: F.coalesce(F.nullif(F.regexp_extract(text, pattern, i), F.lit("")).cast("int"), F.lit(0))
-    twelve = F.pmod(number(RESET_CLOCK, 1), F.lit(12)) + F.when(F.lower(F.regexp_extract(text, RESET_CLOCK, 3)) == "p", 12).otherwise(0)
+    number = lambda pattern, i: F.coalesce(F.when(F.length(F.regexp_extract(text, pattern, i)) < 6, F.regexp_extract(text, pattern, i).try_cast("int")), F.lit(0))
+    twelve = F.pmod(number(RESET_CLOCK, 1), F.lit(12)) + F.when(F.lower(F.regexp_extract(text, RESET_CLOCK, 3)).startswith("p"), 12).otherwise(0)
     within = number(RESET_IN, 1) + number(RESET_IN, 2)
     return F.coalesce(
         F.when(text.rlike(RESET_UNIX), F.timestamp_seconds(F.regexp_extract(text, RESET_UNIX, 1).try_cast("long"))),

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+_NAMED = {"apos": "'"} | {name: chr(code) for name, code in name2codepoint.items()}
+
 
 def trim_u(x: Column) -> Column:
     """Strip white space of any script from both ends."""
@@ -18,7 +23,21 @@ def lines_of(x: Column) -> Column:
 
 def found(x: Column, pattern: str, group: int = 1) -> Column:
     """A group of the first match, or null if nothing matches."""
-    return F.when(x.rlike(pattern), F.regexp_extract(x, pattern, group))
+    return F.get(F.regexp_extract_all(x, F.lit(pattern), F.lit(group)), F.lit(0))
+
+
+def unescaped(x: Column) -> Column:
+    """Text with its character references resolved: numeric ones, and the named ones of HTML 4. Others stay as they are."""
+    named = F.map_from_arrays(F.array(*map(F.lit, _NAMED)), F.array(*map(F.lit, _NAMED.values())))
+
+    def char(reference: Column) -> Column:
+        body = F.substring(reference, 2, F.char_length(reference) - 2)
+        code = F.when(body.rlike("^#[xX]"), F.conv(F.substr(body, F.lit(3)), 16, 10)).otherwise(F.substr(body, F.lit(2))).try_cast("int")
+        coded = F.when(code.between(1, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+        return F.when(body.startswith("#"), coded).otherwise(F.coalesce(F.element_at(named, body), reference))
+
+    parts, references = F.split(x, _REFERENCE, -1), F.transform(F.regexp_extract_all(x, F.lit(_REFERENCE), F.lit(0)), char)
+    return F.when(x.contains("&"), F.array_join(F.zip_with(parts, references, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")).otherwise(x)
 
 
 def html_escaped(x: Column) -> Column:
@@ -66,12 +85,12 @@ def volume_title(text: Column, work_title: Column, juan: Column) -> Column:
 
 
 def expand_volume_spec(spec: Column) -> Column:
-    """`13-15,20` as a sorted array of distinct ints. A descending range adds nothing; null marks a part that is no number, or no volume at all."""
+    """`13-15,20` as a sorted array of distinct ints. A descending range adds nothing; null marks a part that is no number, a range of over 100,000 numbers, or no volume at all."""
     parts = F.filter(F.transform(F.split(spec, ","), trim_u), lambda p: p != "")
     low = lambda p: F.split_part(p, F.lit("-"), F.lit(1)).try_cast("int")
     high = lambda p: F.when(p.contains("-"), F.substring_index(F.substr(p, F.instr(p, "-") + 1), ",", 1)).otherwise(p).try_cast("int")
-    bad = F.exists(parts, lambda p: low(p).isNull() | high(p).isNull())
-    numbers = F.flatten(F.transform(parts, lambda p: F.when(low(p) <= high(p), F.sequence(low(p), high(p))).otherwise(F.array().cast("array<int>"))))
+    bad = F.exists(parts, lambda p: low(p).isNull() | high(p).isNull() | (high(p).cast("long") - low(p) >= 100_000))
+    numbers = F.flatten(F.transform(parts, lambda p: F.when((low(p) <= high(p)) & (high(p).cast("long") - low(p) < 100_000), F.sequence(low(p), high(p))).otherwise(F.array().cast("array<int>"))))
     return F.when(~bad & (F.size(numbers) > 0), F.array_sort(F.array_distinct(numbers)))
 
 

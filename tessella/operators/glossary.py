@@ -34,15 +34,16 @@ def term_hits(texts: DataFrame, text: str, words: DataFrame) -> DataFrame:
     begun = words.filter("word != ''").join(size, "work").withColumn("gram", F.expr("substring(word, 1, q)")).drop("q")
     # a look-ahead takes all n-grams in one pass; substring() would count from the start of the text each time
     all_grams = F.array_distinct(F.regexp_extract_all(text, F.concat(F.lit("(?s)(?=(.{"), F.col("q").cast("string"), F.lit("}))")), F.lit(1)))
-    if words.count() <= SMALL_GLOSSARIES:  # then each text keeps only grams that some word begins with, and nothing is shuffled
+    if words.count() <= SMALL_GLOSSARIES:  # then each text keeps only grams that some word begins with, and nothing is shuffled before the words are found
         wanted = begun.groupBy("work").agg(F.collect_set("gram").alias("wanted")).join(size, "work")
         cut = texts.join(F.broadcast(wanted), "work").filter(F.char_length(text) >= F.col("q"))
-        grams = cut.select(*keys, F.explode(F.array_intersect(all_grams, "wanted")).alias("gram"))
+        grams = cut.select(*keys, text, F.explode(F.array_intersect(all_grams, "wanted")).alias("gram"))
+        hits = grams.join(F.broadcast(begun), ["work", "gram"]).filter(F.col(text).contains(F.col("word"))).drop("gram", text)
     else:
         cut = texts.join(size, "work").filter(F.char_length(text) >= F.col("q"))
         grams = cut.select(*keys, F.explode(all_grams).alias("gram"))
-    candidates = grams.join(begun, ["work", "gram"]).drop("gram").distinct()
-    hits = candidates.join(texts, keys).filter(F.col(text).contains(F.col("word"))).drop(text)
+        candidates = grams.join(begun, ["work", "gram"]).drop("gram").distinct()
+        hits = candidates.join(texts, keys).filter(F.col(text).contains(F.col("word"))).drop(text)
     empty = texts.drop(text).join(words.filter("word = ''"), "work")
     return hits.unionByName(empty.select(*hits.columns)).distinct()
 

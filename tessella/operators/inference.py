@@ -105,10 +105,15 @@ def translate_batches(prompts: DataFrame, model: Callable[[list[str]], list[str]
 
 
 def parse_batch_replies(replies: DataFrame) -> DataFrame:
-    """(batch_id, raw, expected array<int>) -> batch_id, number, translation, note, error: each numbered section of a reply."""
+    """(batch_id, raw, expected array<int>) -> batch_id, number, expected, translation, note, error: each numbered section of a reply.
+
+    A number that is too long to be one is null, and an error.
+    """
     numbers, bodies = F.regexp_extract_all("raw", F.lit(SECTION_REPLY), F.lit(1)), F.regexp_extract_all("raw", F.lit(SECTION_REPLY), F.lit(2))
     each = replies.select("batch_id", "expected", F.explode(F.arrays_zip(numbers.alias("number"), bodies.alias("body"))).alias("s"))
-    return each.select("batch_id", F.col("s.number").cast("int").alias("number"), F.array_contains("expected", F.col("s.number").cast("int")).alias("expected"), parse_model_blocks(F.col("s.body")).alias("b")).select("batch_id", "number", "expected", "b.*")
+    number = F.col("s.number").try_cast("int")
+    read = each.select("batch_id", number.alias("number"), F.coalesce(F.array_contains("expected", number), F.lit(False)).alias("expected"), parse_model_blocks(F.col("s.body")).alias("b"))
+    return read.select("batch_id", "number", "expected", "b.translation", "b.note", F.when(F.col("number").isNull(), "no section number").otherwise(F.col("b.error")).alias("error"))
 
 
 def batch_reply_check(replies: DataFrame) -> DataFrame:

@@ -32,7 +32,10 @@ def toc_section_slices(toc: DataFrame, lines: DataFrame, bucket: int = 3000) ->
     bounded = toc_next_boundary(toc).withColumn("start_key", key_of_label(F.col("lb"))).withColumn("end_key", key_of_label(F.col("next_lb")))
     spans = lines.groupBy("work", "juan").agg(F.min("line_key").alias("first_key"), F.max("line_key").alias("last_key"))
     keys = lines.select("work", "juan", F.col("line_key").alias("k")).distinct()
-    pairs = bounded.select("work", "pre", "start_key", "end_key").join(spans, "work").filter("last_key >= start_key AND (end_key IS NULL OR first_key < end_key)")
+    ends = spans.groupBy("work").agg(F.max("last_key").alias("work_end"))
+    touched = lambda low, high: F.explode(F.when(low <= high, F.sequence(F.floor(low / bucket), F.floor(high / bucket)))).alias("bucket")
+    nodes = bounded.select("work", "pre", "start_key", "end_key").join(ends, "work").select("work", "pre", "start_key", "end_key", touched(F.col("start_key"), F.least(F.col("end_key") - 1, F.col("work_end"))))
+    pairs = nodes.join(spans.select("*", touched(F.col("first_key"), F.col("last_key"))), ["work", "bucket"]).filter("last_key >= start_key AND (end_key IS NULL OR first_key < end_key)").drop("bucket").distinct()
     started = pairs.join(keys.select("work", "juan", F.col("k").alias("start_key"), F.lit(True).alias("has_start")), ["work", "juan", "start_key"], "left")
     ended = started.join(keys.select("work", "juan", F.col("k").alias("end_key"), F.lit(True).alias("has_end")), ["work", "juan", "end_key"], "left")
     usable = ended.filter("start_key <= first_key OR has_start").withColumns({"low": F.greatest("start_key", "first_key"), "high": F.when(F.col("has_end"), F.col("end_key") - 1).otherwise(F.col("last_key"))})

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranges import compact_range, line_key
 from ..operators.coverage import segment_source_join, volume_bounds
-from ..operators.glossary import typed_terms
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,21 +52,29 @@ def bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return volume_bounds(lines(spark, sf_dir))
 
 
-def terms_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """work, glossary variant: the longer words of benchmark items as terms of every work; every third term has no pattern that can occur."""
+def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed terms of works: the longer words of a quarter of the benchmark items, by the work's number; every third item's words have no pattern that can occur.
+
+    A row per work and term. Words and works meet on the quarter.
+    """
     words = table(spark, sf_dir, "benchmark").select("item_id", F.explode(F.array_distinct(F.split(F.lower("text"), r"[\s.,]+"))).alias("w")).filter("char_length(w) >= 8")
-    words = words.groupBy("w").agg(F.min("item_id").alias("item_id"))
-    term = F.struct(
-        F.col("w").alias("id"), F.col("w").alias("xuanzang"), F.col("w").alias("display"), F.concat(F.lit("plain "), "w").alias("plain"), F.array("w").alias("source_terms"),
-        F.array(F.when(F.col("item_id") % 3 == 0, F.concat(F.lit("no "), "w")).otherwise(capitals("w"))).alias("translation_patterns"), F.lit("ok").alias("status"), F.lit("").alias("rule"),
+    words = words.groupBy("w").agg(F.min("item_id").alias("item_id")).withColumn("quarter", F.col("item_id") % 4)
+    works = table(spark, sf_dir, "documents").select(F.col("source").alias("work")).distinct().withColumn("quarter", F.regexp_extract("work", r"(\d+)\z", 1).cast("int") % 4)
+    given = works.join(words, "quarter")
+    pattern = F.when(F.col("item_id") % 3 == 0, F.concat(F.lit("no "), "w")).otherwise(capitals("w"))
+    none = F.lit(None).cast("array<string>")
+    named = given.select(
+        "work", (F.row_number().over(Window.partitionBy("work").orderBy("w")) - 1).alias("pos"), F.col("w").alias("id"), F.col("w").alias("xuanzang"), F.col("w").alias("display"),
+        F.concat(F.lit("plain "), "w").alias("plain"), none.alias("sanskrit"), none.alias("english"), F.array("w").alias("source_terms"), F.array(pattern).alias("translation_patterns"),
     )
-    glossary = words.agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("w", term.alias("t")))), lambda x: x["t"]).alias("terms"))).alias("value"))
-    works = table(spark, sf_dir, "documents").select(F.col("source").alias("work")).distinct()
-    return works.join(F.broadcast(glossary)).select("work", F.parse_json("value").alias("glossary"))
+    fields = ("id", "xuanzang", "display", "plain", "source_terms", "translation_patterns")
+    return named.withColumn("json", F.to_json(F.struct(*fields, F.lit("ok").alias("status"), F.lit("").alias("rule"))))
 
 
-def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed_terms(terms_json(spark, sf_dir))
+def terms_json(terms: DataFrame) -> DataFrame:
+    """work, glossary variant: a work's terms as the file that they would come in."""
+    listed = terms.groupBy("work").agg(F.array_sort(F.collect_list(F.struct("pos", "json"))).alias("t"))
+    return listed.select("work", F.parse_json(F.concat(F.lit('{"terms":['), F.array_join("t.json", ","), F.lit("]}"))).alias("glossary"))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

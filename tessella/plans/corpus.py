@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import ranges, text
@@ -9,31 +11,49 @@ from ..operators import coverage as cov
 from ..operators import inference as inf
 from ..operators import publish
 from ..sources import volumes as vol
+from ..sources.shared import shared_folder
 from . import bindings as b
 from . import oracle as o
 from .registry import query
 
 
-@query(o.SECTIONS_SQL + "SELECT work, juan, CAST(idx AS INTEGER) AS idx, number_title AS title, range_label, start_id, end_id, source, '' AS translation, note FROM (SELECT *, printf('%02d', idx + 1) || ' ' || title AS number_title, regexp_replace(source, '^[\\s]+|[\\s]+$', '', 'g') AS s FROM sections WHERE source NOT LIKE '%#%' AND source NOT LIKE '%>>>%') ORDER BY 1, 2, 3".replace("source, '' AS", "s AS source, '' AS"))
+#: Sources go into Markdown with the characters of its marks replaced by full-width ones, as they would else open sections and close blocks.
+_SAFE = "translate(source, '#>', '＃＞')"
+
+
+def _skeletons(spark, sf_dir):
+    joined = cov.segment_source_join(b.lines(spark, sf_dir), b.segments(spark, sf_dir)).withColumn("source", F.translate("source", "#>", "＃＞"))
+    return vol.render_volume_markdown(joined, joined.select("work", F.col("work").alias("work_title")).distinct())
+
+
+@query(o.SECTIONS_SQL + f"SELECT work, juan, CAST(idx AS INTEGER) AS idx, printf('%02d', idx + 1) || ' ' || title AS title, range_label, start_id, end_id, regexp_replace({_SAFE}, '^[\\s]+|[\\s]+$', '', 'g') AS source, '' AS translation, note FROM sections")
 def read_sections(spark, sf_dir):
-    """Sections rendered to Markdown, one volume each, and read back; sources with markup characters are left to the tests."""
-    joined = cov.segment_source_join(b.lines(spark, sf_dir), b.segments(spark, sf_dir)).filter("source NOT LIKE '%#%' AND source NOT LIKE '%>>>%'")
-    titles = joined.select("work", F.col("work").alias("work_title")).distinct()
-    volumes = vol.render_volume_markdown(joined, titles)
-    read = vol.parse_sections(volumes)
+    """Sections rendered to Markdown, one volume each, and read back; those with marks in their sources are in the tests too."""
+    read = vol.parse_sections(_skeletons(spark, sf_dir))
     number = F.split_part("title", F.lit(" "), F.lit(1)).cast("int")
     return read.filter("error IS NULL").select("work", "juan", (number - 1).alias("idx"), "title", "range_label", "start_id", "end_id", "source", "translation", "note")
 
 
-@query(o.SECTIONS_SQL + "SELECT work, juan, count(*) AS n_sections, CAST(sum(CASE WHEN source NOT LIKE '%#%' THEN length(source) ELSE 0 END) AS BIGINT) AS n_chars FROM sections GROUP BY work, juan")
+@query(o.SECTIONS_SQL + f""", c AS (SELECT string_split('一,二,三,四,五,六,七,八,九', ',') AS c),
+blocks AS (SELECT work, juan, string_agg('## ' || printf('%02d', number) || ' ' || title || chr(10) || 'Range: ' || range_label || chr(10) || chr(10) || 'Source:' || chr(10) || '<<<' || chr(10) || {_SAFE} || chr(10) || '>>>' || chr(10) || chr(10)
+ || 'Translation:' || chr(10) || '<<<' || chr(10) || chr(10) || '>>>' || chr(10) || chr(10) || 'Note:' || chr(10) || '<<<' || chr(10) || note || chr(10) || '>>>' || chr(10) || chr(10), '' ORDER BY number) AS blocks, arg_min(start_id, start_key) AS f, arg_max(end_id, end_key) AS l
+ FROM (SELECT *, idx + 1 AS number FROM sections) GROUP BY work, juan),
+titled AS (SELECT *, work || '卷第' || CASE WHEN juan < 1 OR juan > 100 THEN CAST(juan AS VARCHAR) WHEN juan = 100 THEN '一百' ELSE CASE WHEN juan < 20 THEN '' ELSE c[juan // 10] END || CASE WHEN juan >= 10 THEN '十' ELSE '' END || CASE WHEN juan % 10 > 0 THEN c[juan % 10] ELSE '' END END AS n FROM blocks, c)
+SELECT work, juan, '# ' || n || '白話對照來源稿' || chr(10) || chr(10) || '底本：' || work || '《' || replace(n, '卷第', '》卷第') || '。範圍為 `' || f || '` 至 `' || l || '`。' || chr(10) || chr(10) || blocks AS value FROM titled""")
 def render_volume_markdown(spark, sf_dir):
-    """The rendered volumes, measured: sections, and characters of sources without markup characters."""
-    joined = cov.segment_source_join(b.lines(spark, sf_dir), b.segments(spark, sf_dir))
-    plain = joined.withColumn("source", F.when(F.col("source").contains("#"), F.lit("")).otherwise(F.col("source")))
-    volumes = vol.render_volume_markdown(plain, joined.select("work", F.col("work").alias("work_title")).distinct())
-    starts = F.size(F.regexp_extract_all("value", F.lit(r"(?dm)^Range: "), F.lit(0)))
-    sources = F.regexp_extract_all("value", F.lit(r"(?s)\nSource:\n<<<\n(.*?)\n>>>\n\nTranslation:\n"), F.lit(1))
-    return volumes.select("work", "juan", starts.cast("long").alias("n_sections"), F.aggregate(sources, F.lit(0), lambda a, x: a + F.char_length(x)).cast("long").alias("n_chars"))
+    return _skeletons(spark, sf_dir)
+
+
+@query("SELECT source AS work, CAST(doc_id % 1000 AS INTEGER) AS juan, count(*) AS n, CAST(sum(length('<p>' || text || '</p>')) AS BIGINT) AS n_chars FROM documents GROUP BY source, doc_id % 1000")
+def read_raw_volumes(spark, sf_dir):
+    """Volume files in JSON, written with their names as folders, and read back."""
+    docs = b.table(spark, sf_dir, "documents")
+    name = F.format_string("%s-%03d.json", "source", F.col("doc_id") % 1000)
+    value = F.to_json(F.struct(F.array(F.concat(F.lit("<p>"), "text", F.lit("</p>")), F.lit("second")).alias("results")))
+    path = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}"
+    docs.select(name.alias("name"), value.alias("value")).repartition("name").write.partitionBy("name").option("maxRecordsPerFile", 1).text(path)
+    raw = vol.read_raw_volumes(spark, path, by_folder=True)
+    return raw.groupBy("work", "juan").agg(F.count("*").alias("n"), F.sum(F.char_length("html")).alias("n_chars"))
 
 
 _NAMES = "SELECT source || '-' || lpad(CAST(doc_id % 1000 AS VARCHAR), 3, '0') || CASE WHEN doc_id % 4 = 0 THEN '.md' ELSE '-baihua.md' END AS name FROM documents"
@@ -141,11 +161,17 @@ def html_paragraphs(spark, sf_dir):
 _ESC = "replace(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
 
 
-@query(o.SECTIONS_SQL + "SELECT work, juan, CAST(idx AS INTEGER) AS idx, '<section class=\"parallel-pair\" id=\"' || start_id || '\" data-source-start=\"' || start_id || '\" data-source-end=\"' || end_id || '\">' AS head, note <> '' AS noted FROM sections")
+def _paragraphs_sql(x):
+    line = _ESC.format("l")
+    return rf"""array_to_string(list_transform(regexp_split_to_array(regexp_replace({x}, '^\s+|\s+$', '', 'g'), '\n\s*\n'), lambda b: '<p>' || array_to_string(list_transform(list_filter(
+ list_transform(string_split(b, chr(10)), lambda l: trim(l)), lambda l: l <> ''), lambda l: {line}), '<br>' || chr(10)) || '</p>'), chr(10))"""
+
+
+@query(o.SECTIONS_SQL + f"""SELECT work, juan, CAST(idx AS INTEGER) AS idx, '<section class="parallel-pair" id="' || start_id || '" data-source-start="' || start_id || '" data-source-end="' || end_id || '">' || chr(10) || '<h2>' || title || '</h2>' || chr(10)
+ || '<div class="translation-text">' || chr(10) || {_paragraphs_sql("translation")} || chr(10) || '</div>' || chr(10) || '<div class="source-text">' || chr(10) || '<span class="line-range">' || range_label || '</span>' || chr(10) || {_paragraphs_sql("source")} || chr(10) || '</div>'
+ || CASE WHEN note <> '' THEN chr(10) || '<p class="translation-note">' || note || '</p>' ELSE '' END || chr(10) || '</section>' AS html FROM sections""")
 def section_html(spark, sf_dir):
-    """Each section's fragment: its opening tag, and whether it has a note."""
-    html = publish.sections_html(b.sections(spark, sf_dir))
-    return html.select("work", "juan", "idx", F.split_part("html", F.lit("\n"), F.lit(1)).alias("head"), F.col("html").contains('class="translation-note"').alias("noted"))
+    return publish.sections_html(b.sections(spark, sf_dir))
 
 
 @query("SELECT doc_id, CAST(floor(length(text) * 1.9::DOUBLE + 0.999::DOUBLE) AS INTEGER) AS output_chars FROM documents")

@@ -46,12 +46,10 @@ def parse_review_reply(spark, sf_dir):
     return raw.select("conv_id", "turn", r.parse_review_reply(F.col("raw")).alias("p")).select("conv_id", "turn", "p.*")
 
 
-@query("SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN length(regexp_replace(text, '[^\\n]', '', 'g')) - length(regexp_replace(regexp_replace(text, '\\n\\s*(\\n|$)', chr(10), 'g'), '[^\\n]', '', 'g')) >= 0 END AS has_table FROM conversations")
+@query("SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') END AS rows FROM conversations")
 def parse_segment_reply(spark, sf_dir):
-    """Whether a reply has a table; its rows are left to the tests."""
     raw = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("x <TSV>\n"), "text", F.lit("\n</TSV> y"))).otherwise(F.col("text"))
-    rows = r.parse_segment_reply(raw)
-    return b.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(rows.isNotNull(), F.size(rows) >= 0).alias("has_table"))
+    return b.table(spark, sf_dir, "conversations").select("conv_id", "turn", r.parse_segment_reply(raw).alias("rows"))
 
 
 _EVENT_TEXT = "CASE event_type WHEN 'error' THEN 'Usage limit reached|17' || lpad(CAST(event_id % 100000000 AS STRING), 8, '0') WHEN 'click' THEN 'rate-limit, try again in 2 hours 15 minutes' WHEN 'view' THEN ' fine ' WHEN 'signup' THEN 'quota: resets at 3:45 PM.' ELSE '' END"
@@ -78,9 +76,9 @@ def parse_reset_time(spark, sf_dir):
     return b.table(spark, sf_dir, "events").select("event_id", r.parse_reset_time(F.expr(_RESET), F.col("ts")).cast("timestamp_ntz").alias("resume_at"))
 
 
-@query("""SELECT event_id, CASE WHEN value > 0 AND value <= 6 THEN ts + to_minutes(CAST(floor(value * 60) AS BIGINT)) ELSE ts + to_minutes(CAST([15, 30, 45, 60][least(event_id % 6, 3) + 1] AS BIGINT)) END AS resume_at FROM events WHERE floor(value * 60) > 0""")
+@query("""SELECT event_id, CASE WHEN floor(value * 60) > 0 AND value <= 6 THEN ts + to_minutes(CAST(floor(value * 60) AS BIGINT)) ELSE ts + to_minutes(CAST([15, 30, 45, 60][least(event_id % 6, 3) + 1] AS BIGINT)) END AS resume_at FROM events""")
 def clamp_resume_time(spark, sf_dir):
-    events = b.table(spark, sf_dir, "events").filter("floor(value * 60) > 0")
+    events = b.table(spark, sf_dir, "events")
     at = F.expr("ts + make_dt_interval(0, 0, int(floor(value * 60)))")
     asked = F.when(F.col("value") <= 6, at).otherwise(F.expr("ts + interval 7 hours"))
     return events.select("event_id", r.clamp_resume_time(asked, F.col("ts"), (F.col("event_id") % 6).cast("int")).cast("timestamp_ntz").alias("resume_at"))
@@ -121,14 +119,17 @@ def _batches(spark, sf_dir):
     return sections, batches, inf.build_batch_prompts(sections, batches, none)
 
 
-@query(o.DRAFTS_SQL + """, t AS (SELECT work, juan, sum(length(source)) AS n, count(*) AS k FROM drafts GROUP BY work, juan)
-SELECT d.work, d.juan, CAST(0 AS BIGINT) AS batch, string_agg('<<<SOURCE_SECTION ' || (idx + 1) || '>>>' || chr(10) || 'Title: T' || idx || chr(10) || 'Existing note: （無）' || chr(10) || 'Glossary JSON:' || chr(10) || '[]' || chr(10) || 'Source:' || chr(10) || source || chr(10) || '<<<END_SOURCE_SECTION ' || (idx + 1) || '>>>', chr(10) || chr(10) ORDER BY idx) AS prompt
-FROM drafts d JOIN t ON t.juan = d.juan AND t.n <= 4000 AND t.k <= 12 GROUP BY d.work, d.juan""")
+_OPENS = "p.n >= 12 OR p.s + x.s > 4200 OR p.o + x.o > 8000"
+_PACKED = o.DRAFTS_SQL.replace("WITH", "WITH RECURSIVE", 1) + f""", x AS (SELECT juan, idx, source, row_number() OVER (PARTITION BY juan ORDER BY idx) AS k, CAST(length(source) AS BIGINT) AS s, CAST(floor(length(source) * 1.9::DOUBLE + 0.999::DOUBLE) AS BIGINT) AS o FROM drafts),
+p AS (SELECT juan, idx, k, s, o, CAST(1 AS BIGINT) AS n, CAST(0 AS BIGINT) AS batch FROM x WHERE k = 1
+UNION ALL SELECT x.juan, x.idx, x.k, CASE WHEN {_OPENS} THEN x.s ELSE p.s + x.s END, CASE WHEN {_OPENS} THEN x.o ELSE p.o + x.o END, CASE WHEN {_OPENS} THEN 1 ELSE p.n + 1 END, CASE WHEN {_OPENS} THEN p.batch + 1 ELSE p.batch END
+ FROM p JOIN x ON x.juan = p.juan AND x.k = p.k + 1) """
+
+
+@query(_PACKED + """SELECT 'C' AS work, p.juan, batch, string_agg('<<<SOURCE_SECTION ' || (p.idx + 1) || '>>>' || chr(10) || 'Title: T' || p.idx || chr(10) || 'Existing note: （無）' || chr(10) || 'Glossary JSON:' || chr(10) || '[]' || chr(10) || 'Source:' || chr(10) || x.source || chr(10) || '<<<END_SOURCE_SECTION ' || (p.idx + 1) || '>>>', chr(10) || chr(10) ORDER BY p.idx) AS prompt
+FROM p JOIN x ON x.juan = p.juan AND x.idx = p.idx GROUP BY p.juan, batch""")
 def build_batch_prompts(spark, sf_dir):
-    """The prompts of volumes that fit one batch."""
-    sections, _, prompts = _batches(spark, sf_dir)
-    fits = sections.groupBy("juan").agg(F.sum(F.char_length("source")).alias("n"), F.count("*").alias("k")).filter("n <= 4000 AND k <= 12")
-    return prompts.join(fits.select("juan"), "juan", "left_semi").select("work", "juan", "batch", "prompt")
+    return _batches(spark, sf_dir)[2].select("work", "juan", "batch", "prompt")
 
 
 @query(o.DRAFTS_SQL + "SELECT juan, CAST(idx + 1 AS INTEGER) AS number, regexp_replace(source, '^\\s+|\\s+$', '', 'g') AS translation FROM drafts WHERE trim(source) <> ''")

@@ -36,7 +36,8 @@ BOUNDS = "bounds AS (SELECT work, juan, arg_min(line_id, line_key) AS first_id,
 
 TERMS = """word_items AS (SELECT item_id, unnest(list_distinct(regexp_split_to_array(lower(text), '[\\s.,]+'))) AS w FROM benchmark),
 words AS (SELECT w, min(item_id) AS item_id FROM word_items WHERE length(w) >= 8 GROUP BY w),
-terms AS (SELECT CAST(row_number() OVER (ORDER BY w) - 1 AS INTEGER) AS pos, w AS id, CASE WHEN item_id % 3 = 0 THEN 'no ' || w ELSE translate(w, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') END AS pattern FROM words)"""
+works AS (SELECT DISTINCT source AS work, CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 4 AS quarter FROM documents),
+terms AS (SELECT work, CAST(row_number() OVER (PARTITION BY work ORDER BY w) - 1 AS INTEGER) AS pos, w AS id, CASE WHEN item_id % 3 = 0 THEN 'no ' || w ELSE translate(w, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') END AS pattern FROM words JOIN works ON quarter = item_id % 4)"""
 
 EVENTS = """job_events AS (SELECT user_id AS job_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS juan, ts, event_id AS seq, event_type,
     CASE event_type WHEN 'click' THEN 'running' WHEN 'view' THEN 'queued' WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'failed' ELSE 'held' END AS state FROM events),

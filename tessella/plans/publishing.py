@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import jobs, publish, toc
 from ..sources import markup
 from ..sources import volumes as vol
+from ..sources.shared import shared_folder, written
 from ..streaming import jobs as streams
 from . import bindings as b
 from . import oracle as o
@@ -30,20 +31,12 @@ def search_records(spark, sf_dir):
     return _records(spark, sf_dir).select("work", "t", "j", "u", "x")
 
 
-@query(o.SECTIONS_SQL + _RECORDS + " SELECT work, count(*) AS n, count(DISTINCT j) AS volumes FROM records GROUP BY work")
+@query(o.SECTIONS_SQL + _RECORDS + " SELECT work, t, j, u, x FROM records")
 def write_search_index(spark, sf_dir):
     """The search index written as JSON, one dataset per work, and read back."""
-    path = f"{_shared(spark)}/search-{uuid.uuid4().hex}"
-    vol.write_search_index(_records(spark, sf_dir), path)
-    back = spark.read.schema("t string, j int, u string, x string, work string").json(path)
-    return back.groupBy("work").agg(F.count("*").alias("n"), F.countDistinct("j").alias("volumes"))
-
-
-def _shared(spark):
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return context._jsc.sc().getCheckpointDir().get()
+    path = f"{shared_folder(spark)}/search-{uuid.uuid4().hex}"
+    vol.write_search_index(_records(spark, sf_dir).drop("part", "idx"), path)
+    return spark.read.schema("t string, j int, u string, x string, work string").json(path)
 
 
 _WORDS = ("tion", "the ", "eau", "Part 2", "x", " ge ")
@@ -56,7 +49,7 @@ SELECT work, q, CAST(rank AS INTEGER) AS rank, CAST(part AS INTEGER) AS part, j,
 def substring_search(spark, sf_dir):
     works = b.table(spark, sf_dir, "documents").select(F.col("source").alias("work")).distinct()
     queries = works.select("work", F.explode(F.array(*map(F.lit, _WORDS))).alias("q"))
-    return publish.substring_search(_records(spark, sf_dir), queries, ["part", "j", "idx"])
+    return publish.substring_search(written(_records(spark, sf_dir)), queries, ["part", "j", "idx"])
 
 
 @query("SELECT DISTINCT d.source AS work, d.source AS title, CASE WHEN p.work IS NOT NULL THEN d.source || '/index.html' END AS link FROM documents d LEFT JOIN (SELECT DISTINCT source AS work FROM documents WHERE doc_id % 50 = 7) p ON p.work = d.source")
@@ -119,7 +112,7 @@ def broken_links(spark, sf_dir):
 
 def _volume_html(spark, sf_dir):
     """Documents in the markup of volumes: a line mark and a text span per line, two notes, and a copyright tail."""
-    lines = b.lines(spark, sf_dir).filter("n < 60")
+    lines = b.lines(spark, sf_dir)
     escaped = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     span = F.concat(F.lit('<span class="lb" id="'), "line_id", F.lit('">'), "line_id", F.lit('</span><span class="t" l="'), F.right("line_id", F.lit(7)), F.lit('">'), escaped, F.lit("</span>"), F.when(F.col("n") % 3 == 0, F.concat(F.lit("<a class='noteAnchor' href='#n"), (F.col("n") % 9).cast("string"), F.lit("'></a>"))).otherwise(""))
     grouped = lines.groupBy("work", "juan").agg(F.array_sort(F.collect_list(F.struct("n", span.alias("s")))).alias("s"))
@@ -127,26 +120,26 @@ def _volume_html(spark, sf_dir):
     return grouped.select("work", "juan", F.concat(F.lit("<p>head</p><div id='body'>"), F.array_join("s.s", ""), F.lit("</div>"), notes).alias("html"))
 
 
-_HEAD_LINES = o.LINES_SQL + ", h AS (SELECT * FROM lines WHERE n < 60) "
+_MARKED = """, spans AS (SELECT *, '<span class="lb" id="' || line_id || '">' || line_id || '</span><span class="t" l="' || right(line_id, 7) || '">' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</span>'
+ || CASE WHEN n % 3 = 0 THEN '<a class=''noteAnchor'' href=''#n' || (n % 9) || '''></a>' ELSE '' END AS s FROM lines) """
 
 
-@query(_HEAD_LINES + "SELECT work, juan, line_id, line_key, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM h")
+@query(o.LINES_SQL + " SELECT work, juan, line_id, line_key, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM lines")
 def extract_lines(spark, sf_dir):
     return markup.extract_lines(_volume_html(spark, sf_dir))
 
 
-@query(_HEAD_LINES + "SELECT DISTINCT work, juan, line_id FROM h")
+@query(o.LINES_SQL + " SELECT DISTINCT work, juan, line_id FROM lines")
 def line_id_universe(spark, sf_dir):
     return markup.line_id_universe(_volume_html(spark, sf_dir))
 
 
-@query(_HEAD_LINES + "SELECT DISTINCT work, juan, '<div id=''body''>' AS start, '<div id=''cbeta-copyright''>end</div>' AS copyright, true AS no_error FROM h")
+@query(o.LINES_SQL + _MARKED + "SELECT work, juan, '<div id=''body''>' || string_agg(s, '' ORDER BY n) || '</div>' AS main, '<div id=''cbeta-copyright''>end</div>' AS copyright, CAST(NULL AS VARCHAR) AS error FROM spans GROUP BY work, juan")
 def split_html_parts(spark, sf_dir):
-    parts = markup.split_html_parts(_volume_html(spark, sf_dir))
-    return parts.select("work", "juan", F.substring("main", 1, 15).alias("start"), "copyright", F.col("error").isNull().alias("no_error"))
+    return markup.split_html_parts(_volume_html(spark, sf_dir))
 
 
-@query(_HEAD_LINES + ", r AS (SELECT work, juan, 'n' || (n % 9) AS note_id, min(n) AS pos FROM h WHERE n % 3 = 0 AND n % 9 IN (0, 3) GROUP BY work, juan, n % 9) SELECT work, juan, CAST(row_number() OVER (PARTITION BY work, juan ORDER BY pos) AS INTEGER) AS rank, note_id, CASE note_id WHEN 'n0' THEN '<div class=''footnote'' id=''n0''>zero again</div>' ELSE '<span class=\"footnote add\" id=\"n3\">three</span>' END AS html FROM r")
+@query(o.LINES_SQL + ", r AS (SELECT work, juan, 'n' || (n % 9) AS note_id, min(n) AS pos FROM lines WHERE n % 3 = 0 AND n % 9 IN (0, 3) GROUP BY work, juan, n % 9) SELECT work, juan, CAST(row_number() OVER (PARTITION BY work, juan ORDER BY pos) AS INTEGER) AS rank, note_id, CASE note_id WHEN 'n0' THEN '<div class=''footnote'' id=''n0''>zero again</div>' ELSE '<span class=\"footnote add\" id=\"n3\">three</span>' END AS html FROM r")
 def section_notes_join(spark, sf_dir):
     """The notes of each volume taken as one section."""
     volumes = _volume_html(spark, sf_dir)
@@ -156,29 +149,38 @@ def section_notes_join(spark, sf_dir):
     return found.select(F.split_part("work", F.lit("/"), F.lit(1)).alias("work"), F.col("pre").alias("juan"), "rank", "note_id", "html")
 
 
+#: Documents of a source that make one work with a table of contents, so that a work stays of a bounded size.
+_IN_WORK = 100
+
+
+def _placed(spark, sf_dir):
+    """Documents with their place i in their work, number of lines, and the key of their first line: lines are numbered through a work."""
+    docs = b.table(spark, sf_dir, "documents").select(F.concat_ws(".", "source", F.expr(f"doc_id div {_IN_WORK}").cast("string")).alias("work"), F.col("doc_id").cast("int").alias("juan"), "text")
+    order = Window.partitionBy("work").orderBy("juan")
+    counted = docs.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(1)))
+    first = F.coalesce(F.sum("n_lines").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 301
+    return counted.withColumns({"i": F.row_number().over(order) - 1, "start_key": first})
+
+
 def _contents(spark, sf_dir):
-    """A table of contents per source: documents in order, every fourth one the parent of the three after it."""
-    docs = b.table(spark, sf_dir, "documents").select(F.col("source").alias("work"), F.col("doc_id").cast("int").alias("juan"), F.concat(F.lit("T"), F.col("doc_id").cast("string")).alias("title"))
-    nth = F.row_number().over(_by_work())
-    numbered = docs.withColumn("i", nth - 1).withColumn("lb", F.format_string("%04da01", F.col("i") + 1))
+    """A table of contents per work: documents in order, every fourth one the parent of the three after it."""
+    label = F.format_string("%04d%s%02d", F.expr("start_key div 300"), F.expr("substring('abc', int(start_key % 300 div 100) + 1, 1)"), F.expr("start_key % 100"))
+    numbered = _placed(spark, sf_dir).select("work", "juan", "i", F.concat(F.lit("T"), F.col("juan").cast("string")).alias("title"), label.alias("lb"))
     node = lambda *more: F.struct("title", "juan", "lb", *more)
     leaves = numbered.filter("i % 4 > 0").groupBy("work", F.expr("i div 4").alias("p")).agg(F.array_sort(F.collect_list(F.struct("i", node().alias("n")))).alias("c"))
     parents = numbered.filter("i % 4 = 0").withColumn("p", F.expr("i div 4")).join(leaves, ["work", "p"], "left").select("work", "p", node(F.col("c.n").alias("children")).alias("n"))
     return parents.groupBy("work").agg(F.array_sort(F.collect_list(F.struct("p", "n"))).alias("l")).select("work", F.to_json("l.n").alias("toc"))
 
 
-def _by_work():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("work").orderBy("juan")
-
+_TOC = f"""placed AS (SELECT source || '.' || (doc_id // {_IN_WORK}) AS work, CAST(doc_id AS INTEGER) AS juan, text, coalesce(len(string_split(text, chr(10))), 1) AS n_lines FROM documents),
+t AS (SELECT work, juan, text, 'T' || juan AS title, CAST(row_number() OVER w - 1 AS INTEGER) AS pre, CAST(count(*) OVER (PARTITION BY work) AS INTEGER) AS c, CAST(sum(n_lines) OVER w - n_lines + 301 AS BIGINT) AS k FROM placed WINDOW w AS (PARTITION BY work ORDER BY juan)),
+d AS (SELECT *, printf('%04d%s%02d', k // 300, substr('abc', k % 300 // 100 + 1, 1), k % 100) AS lb, CASE WHEN pre % 4 = 0 THEN least(3, c - pre - 1) ELSE 0 END AS n FROM t)"""
 
-_TOC = "t AS (SELECT source AS work, CAST(doc_id AS INTEGER) AS juan, 'T' || doc_id AS title, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS INTEGER) AS pre, CAST(count(*) OVER (PARTITION BY source) AS INTEGER) AS c FROM documents)"
 
-
-@query("WITH " + _TOC + " SELECT work, pre, CAST(CASE WHEN pre % 4 = 0 THEN 0 ELSE 1 END AS INTEGER) AS level, title, juan, printf('%04da01', pre + 1) AS lb, CASE WHEN pre % 4 = 0 THEN []::INTEGER[] ELSE [CAST(pre - pre % 4 AS INTEGER)] END AS ancestors FROM t")
+@query("WITH " + _TOC + """ SELECT work, pre, CAST(CASE WHEN pre % 4 = 0 THEN 0 ELSE 1 END AS INTEGER) AS level, title, juan, lb, CASE WHEN pre % 4 = 0 THEN []::INTEGER[] ELSE [CAST(pre - pre % 4 AS INTEGER)] END AS ancestors,
+CASE WHEN pre % 4 = 0 THEN []::VARCHAR[] ELSE [lag(title, pre % 4) OVER (PARTITION BY work ORDER BY pre)] END AS parent_titles, CAST(NULL AS VARCHAR) AS error FROM d""")
 def flatten_toc(spark, sf_dir):
-    return markup.flatten_toc(_contents(spark, sf_dir)).drop("parent_titles")
+    return markup.flatten_toc(_contents(spark, sf_dir))
 
 
 @query("WITH " + _TOC + ", f AS (SELECT work, min(pre) AS r FROM t WHERE contains(title, '7') GROUP BY work) SELECT t.work, t.pre, t.title FROM t JOIN f ON f.work = t.work AND (t.pre = f.r OR (f.r % 4 = 0 AND t.pre // 4 = f.r // 4))")
@@ -186,18 +188,20 @@ def find_subtree(spark, sf_dir):
     return toc.find_subtree(markup.flatten_toc(_contents(spark, sf_dir)), "7").select("work", "pre", "title")
 
 
-@query("WITH " + _TOC + ", d AS (SELECT *, CASE WHEN pre % 4 = 0 THEN least(3, c - pre - 1) ELSE 0 END AS n FROM t) SELECT work, pre, CAST(n AS BIGINT) AS n_descendants, CASE WHEN pre + 1 + n < c THEN printf('%04da01', pre + 2 + n) END AS next_lb FROM d")
+@query("WITH " + _TOC + " SELECT d.work, d.pre, CAST(d.n AS BIGINT) AS n_descendants, x.lb AS next_lb FROM d LEFT JOIN d x ON x.work = d.work AND x.pre = d.pre + 1 + d.n")
 def toc_next_boundary(spark, sf_dir):
     return toc.toc_next_boundary(markup.flatten_toc(_contents(spark, sf_dir))).select("work", "pre", "n_descendants", "next_lb")
 
 
-@query("WITH " + _TOC + """, d AS (SELECT *, CASE WHEN pre % 4 = 0 THEN least(3, c - pre - 1) ELSE 0 END AS n FROM t), l AS (SELECT work, pre AS p, unnest(range(0, 5)) AS k FROM t)
-SELECT d.work, d.pre, count(*) AS n_lines, min((l.p + 1) * 300 + 1 + l.k) AS first_key, max((l.p + 1) * 300 + 1 + l.k) AS last_key FROM d JOIN l ON l.work = d.work AND l.p BETWEEN d.pre AND d.pre + d.n GROUP BY d.work, d.pre""")
+@query("WITH " + _TOC + """, s AS (SELECT work, pre AS p, k + generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_key, unnest(string_split(coalesce(text, ''), chr(10))) AS text FROM t)
+SELECT d.work, d.pre, count(*) AS n_lines, min(line_key) AS first_key, max(line_key) AS last_key, CAST(sum(length(s.text)) AS BIGINT) AS n_chars FROM d JOIN s ON s.work = d.work AND s.p BETWEEN d.pre AND d.pre + d.n GROUP BY d.work, d.pre""")
 def toc_section_slices(spark, sf_dir):
-    """Lines per node, five to a document, with pages that go on from volume to volume."""
+    """The lines of each node, over the volumes that it spans."""
     contents = markup.flatten_toc(_contents(spark, sf_dir))
-    lines = contents.select("work", "juan", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k"), "pre").select("work", "juan", ((F.col("pre") + 1) * 300 + 1 + F.col("k")).cast("long").alias("line_key"), F.lit("").alias("line_id"), F.lit("x").alias("text"))
-    return toc.toc_section_slices(contents, lines).groupBy("work", "pre").agg(F.count("*").alias("n_lines"), F.min("line_key").alias("first_key"), F.max("line_key").alias("last_key"))
+    lines = _placed(spark, sf_dir).select("work", "juan", "start_key", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("n", "text"))
+    lines = lines.select("work", "juan", (F.col("start_key") + F.col("n")).alias("line_key"), F.lit("").alias("line_id"), "text")
+    sliced = toc.toc_section_slices(contents, lines).groupBy("work", "pre")
+    return sliced.agg(F.count("*").alias("n_lines"), F.min("line_key").alias("first_key"), F.max("line_key").alias("last_key"), F.sum(F.char_length("text")).cast("long").alias("n_chars"))
 
 
 @query(o.EVENTS_SQL + ", n AS (SELECT * FROM volumes WHERE juan % 5 > 0) SELECT DISTINCT e.job_id, e.juan, coalesce(n.state, 'queued') AS step FROM job_events e LEFT JOIN n ON n.job_id = e.job_id AND n.juan = e.juan WHERE coalesce(n.state, 'queued') <> 'done' AND NOT (n.state IS NOT NULL AND e.juan % 7 = 1)")
@@ -208,12 +212,15 @@ def runnable_volumes(spark, sf_dir):
     return jobs.runnable_volumes(work, progress)
 
 
-_ROLLUP = o.EVENTS_SQL + """, g AS (SELECT job_id, list_sort(coalesce(list(DISTINCT juan) FILTER (WHERE state = 'failed'), []::INTEGER[])) AS failed, list_sort(coalesce(list(DISTINCT juan) FILTER (WHERE state = 'held'), []::INTEGER[])) AS held, min(resume_at) AS earliest FROM volumes WHERE juan % 10 = 0 GROUP BY job_id),
+_MIXED = "CASE WHEN state = 'failed' AND (job_id * 7 + juan) % 61 = 0 THEN 'failed' WHEN state = 'held' AND (job_id * 5 + juan) % 37 = 0 THEN 'held' ELSE 'done' END"
+_ROLLUP = o.EVENTS_SQL + f""", mixed AS (SELECT job_id, juan, resume_at, {_MIXED} AS state FROM volumes),
+g AS (SELECT job_id, list_sort(coalesce(list(DISTINCT juan) FILTER (WHERE state = 'failed'), []::INTEGER[])) AS failed, list_sort(coalesce(list(DISTINCT juan) FILTER (WHERE state = 'held'), []::INTEGER[])) AS held, min(resume_at) FILTER (WHERE state = 'held') AS earliest FROM mixed GROUP BY job_id),
 j AS (SELECT *, CASE WHEN job_id % 11 = 0 THEN 'cancelled' WHEN len(failed) > 0 THEN 'failed' WHEN len(held) > 0 THEN 'waiting_model' ELSE 'done' END AS state FROM g) """
 
 
 def _rollup(spark, sf_dir):
-    volumes = b.job_volumes(spark, sf_dir).filter("juan % 10 = 0")
+    """All volumes of all jobs; most volumes that failed or are held have been done since, so that jobs end in every state."""
+    volumes = b.job_volumes(spark, sf_dir).withColumn("state", F.expr(_MIXED))
     return jobs.job_rollup(volumes, volumes.filter("job_id % 11 = 0"))
 
 
@@ -241,7 +248,7 @@ def _stream(spark, sf_dir):
     """The events as a stream of files."""
     schema = T.StructType([f for f in spark.read.parquet(f"{sf_dir}/events.parquet").schema])
     source = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", 8)
-    copy = f"{_shared(spark)}/events-{uuid.uuid4().hex}"
+    copy = f"{shared_folder(spark)}/events-{uuid.uuid4().hex}"
     spark.read.parquet(f"{sf_dir}/events.parquet").write.parquet(copy)
     events = source.parquet(copy)
     state = F.expr("CASE event_type WHEN 'click' THEN 'running' WHEN 'view' THEN 'queued' WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'failed' ELSE 'held' END")
@@ -250,7 +257,7 @@ def _stream(spark, sf_dir):
 
 def _drained(spark, stream, keys, order):
     """Run a stream over what is there; the last update of each key."""
-    path = f"{_shared(spark)}/stream-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
     def sink(batch, number):
         batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(f"{path}/out")
@@ -272,18 +279,17 @@ def stream_log_tail(spark, sf_dir):
     return _drained(spark, streams.stream_log_tail(_stream(spark, sf_dir).select("job_id", "ts", "seq", "message")), ["job_id"], "seqs").drop("messages")
 
 
-@query(o.SECTIONS_SQL + "SELECT work, juan, count(*) AS n_sections FROM sections WHERE juan < 1000 GROUP BY work, juan")
+@query(o.SECTIONS_SQL + "SELECT work || '.' || (juan // 1000) AS work, CAST(juan % 1000 AS INTEGER) AS juan, count(*) AS n_sections, CAST(sum(length(regexp_replace(source, '^[\\s]+|[\\s]+$', '', 'g'))) AS BIGINT) AS n_chars FROM sections GROUP BY work, juan")
 def stream_sections(spark, sf_dir):
-    """Volume files read as a stream into partitions by volume; only names with three digits name a volume."""
+    """Volume files read as a stream into partitions by volume. As names have three digits for the volume, every thousand documents are a work of their own."""
     from ..operators.coverage import segment_source_join
 
-    base = f"{_shared(spark)}/volumes-{uuid.uuid4().hex}"
-    joined = segment_source_join(b.lines(spark, sf_dir), b.segments(spark, sf_dir)).filter("juan < 1000").withColumn("source", F.lit("x"))
+    base = f"{shared_folder(spark)}/volumes-{uuid.uuid4().hex}"
+    joined = segment_source_join(b.lines(spark, sf_dir), b.segments(spark, sf_dir)).withColumn("source", F.translate("source", "#>", "＃＞"))
     volumes = vol.render_volume_markdown(joined, joined.select("work", F.col("work").alias("work_title")).distinct())
     # one file per volume, in a folder that carries its name, as Spark's writers choose the file's own name
-    volumes.select(F.concat_ws("-", "work", F.lpad(F.col("juan").cast("string"), 3, "0"), F.lit("baihua")).alias("name"), "value").write.partitionBy("name").option("lineSep", "\n").text(base)
-    out = f"{_shared(spark)}/sections-{uuid.uuid4().hex}"
+    name = F.format_string("%s.%d-%03d-baihua", "work", F.expr("juan div 1000"), F.col("juan") % 1000)
+    volumes.select(name.alias("name"), "value").write.partitionBy("name").option("lineSep", "\n").text(base)
+    out = f"{shared_folder(spark)}/sections-{uuid.uuid4().hex}"
     streams.stream_sections(spark, base, streams.overwrite_volumes(out), f"{out}-checkpoint", by_folder=True).awaitTermination()
-    return spark.read.parquet(out).groupBy("work", "juan").agg(F.count("*").alias("n_sections"))
-
-
+    return spark.read.parquet(out).groupBy("work", "juan").agg(F.count("*").alias("n_sections"), F.sum(F.char_length("source")).cast("long").alias("n_chars"))

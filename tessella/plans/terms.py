@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import html_escaped
 from ..operators import glossary as g
 from ..operators import inference as inf
 from ..sources import volumes as vol
+from ..sources.shared import written
 from . import bindings as b
 from . import oracle as o
 from .registry import query
 
-_HITS = ", hits AS (SELECT s.work, s.juan, s.idx, s.title, s.source, s.translation, t.pos, t.id, t.pattern FROM sections s JOIN terms t ON contains(s.source, t.id))"
+_HITS = ", hits AS (SELECT s.work, s.juan, s.idx, s.title, s.source, s.translation, t.pos, t.id, t.pattern FROM sections s JOIN terms t ON t.work = s.work AND contains(s.source, t.id))"
 
 
 def _texts(spark, sf_dir, column):
@@ -20,13 +22,13 @@ def _texts(spark, sf_dir, column):
 
 @query(o.TERMS_SQL + _HITS + " SELECT work, juan, CAST(idx AS INTEGER) AS idx, pos, title, title || ': source has ' || id || ' but translation lacks one of ' || pattern AS issue FROM hits WHERE NOT contains(translation, pattern)")
 def term_check(spark, sf_dir):
-    return g.term_check(b.sections(spark, sf_dir), b.terms(spark, sf_dir))
+    return g.term_check(written(b.sections(spark, sf_dir)), written(b.terms(spark, sf_dir)))
 
 
 @query(o.TERMS_SQL + _HITS + ", subset AS (SELECT work, juan, idx, string_agg(id, ',' ORDER BY pos) AS ids FROM hits GROUP BY work, juan, idx) SELECT s.work, s.juan, CAST(s.idx AS INTEGER) AS idx, coalesce(ids, '') AS ids FROM sections s LEFT JOIN subset h ON h.work = s.work AND h.juan = s.juan AND h.idx = s.idx")
 def glossary_subset(spark, sf_dir):
     """The ids in each section's JSON subset, in order."""
-    subset = g.glossary_subset(b.sections(spark, sf_dir), b.terms(spark, sf_dir))
+    subset = g.glossary_subset(written(b.sections(spark, sf_dir)), written(b.terms(spark, sf_dir)))
     ids = F.transform(F.variant_get(F.parse_json("glossary"), "$", "array<variant>"), lambda t: F.variant_get(t, "$.id", "string"))
     return subset.select("work", "juan", "idx", F.array_join(ids, ",").alias("ids"))
 
@@ -75,8 +77,7 @@ def merge_new_terms(spark, sf_dir):
 _TIPS = ", tips AS (SELECT id AS word FROM terms)"
 
 
-@query(o.TERMS_SQL + """, tip_words AS (SELECT d.work, w.word, w.tip, w.pos FROM (SELECT DISTINCT source AS work FROM documents) d,
- (SELECT id AS word, id || '｜plain ' || id AS tip, pos FROM terms UNION ALL SELECT 'plain ' || id, id || '｜plain ' || id, pos FROM terms) w)
+@query(o.TERMS_SQL + """, tip_words AS (SELECT work, id AS word, id || '｜plain ' || id AS tip, pos FROM terms UNION ALL SELECT work, 'plain ' || id, id || '｜plain ' || id, pos FROM terms)
 SELECT work, word, tip, CAST(row_number() OVER (PARTITION BY work ORDER BY length(word) DESC, pos, word) AS INTEGER) AS rank FROM tip_words""")
 def tooltip_terms(spark, sf_dir):
     return g.tooltip_terms(b.terms(spark, sf_dir))
@@ -92,10 +93,10 @@ def _short_tips(spark, sf_dir):
 _PATTERN = "ther|tion|eau|sch|the"
 
 
-@query(f"""SELECT doc_id, regexp_replace(text, '({_PATTERN})', '[\\1]', 'g') AS marked FROM documents WHERE NOT regexp_matches(text, '[<>]')""")
+@query(f"""SELECT doc_id, regexp_replace(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;'), '({_PATTERN})', '[\\1]', 'g') AS marked FROM documents""")
 def mark_terms(spark, sf_dir):
-    """Texts without angle brackets, with the spans around marked words shown as brackets."""
-    docs = b.table(spark, sf_dir, "documents").filter("NOT text RLIKE '[<>]'").select("doc_id", F.col("source").alias("work"), F.col("text").alias("html"))
+    """Texts as escaped html, with the spans around marked words shown as brackets."""
+    docs = b.table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("work"), html_escaped(F.col("text")).alias("html"))
     marked = g.mark_terms(docs, _short_tips(spark, sf_dir))
     return marked.select("doc_id", F.regexp_replace("html", r'<span class="term" tabindex="0" data-tip="t&lt;\d">([^<]*)</span>', "[$1]").alias("marked"))
 
@@ -113,7 +114,7 @@ found AS (SELECT work, juan FROM kb WHERE idx = 0 AND start_id <> first_id UNION
 UNION ALL SELECT work, juan FROM kb WHERE end_key < start_key UNION ALL SELECT work, juan FROM kb WHERE start_key < pk
 UNION ALL SELECT work, juan FROM ke WHERE NOT EXISTS (SELECT 1 FROM lines l WHERE l.work = ke.work AND l.juan = ke.juan AND l.line_id = ke.line_id)
 UNION ALL SELECT work, juan FROM kb WHERE start_key < """ + o.key("first_id") + " OR end_key > " + o.key("last_id") + """
-UNION ALL SELECT s.work, s.juan FROM sections s JOIN terms t ON contains(s.source, t.id) WHERE NOT contains(s.translation, t.pattern)),
+UNION ALL SELECT s.work, s.juan FROM sections s JOIN terms t ON t.work = s.work AND contains(s.source, t.id) WHERE NOT contains(s.translation, t.pattern)),
 n AS (SELECT work, juan, count(*) AS n FROM found GROUP BY work, juan)
 SELECT v.work, v.juan, coalesce(n.n, 0) AS n_issues, n.n IS NULL AS passed FROM (SELECT DISTINCT work, juan FROM sections) v LEFT JOIN n ON n.work = v.work AND n.juan = v.juan""")
 def volume_check_report(spark, sf_dir):
@@ -123,14 +124,14 @@ def volume_check_report(spark, sf_dir):
 def _checks(spark, sf_dir):
     from ..operators import coverage as cov
 
-    sections = b.sections(spark, sf_dir)
+    sections, terms = written(b.sections(spark, sf_dir)), written(b.terms(spark, sf_dir))
     coverage = cov.coverage_report(sections, b.lines(spark, sf_dir), b.bounds(spark, sf_dir))
-    return inf.volume_check_report(coverage, g.validate_glossary(b.terms_json(spark, sf_dir)), g.term_check(sections, b.terms(spark, sf_dir)), sections)
+    return inf.volume_check_report(coverage, g.validate_glossary(b.terms_json(terms)), g.term_check(sections, terms), sections)
 
 
 @query(o.CHECK_SQL.rstrip() + ", " + o.TERMS + """, e AS (SELECT work, juan, idx, title, unnest([start_id, end_id]) AS line_id FROM sections),
 t AS (SELECT work, juan, title FROM e WHERE (work, juan) IN (SELECT (work, juan) FROM bounds) AND NOT EXISTS (SELECT 1 FROM lines l WHERE l.work = e.work AND l.juan = e.juan AND l.line_id = e.line_id)
-UNION ALL SELECT s.work, s.juan, s.title FROM sections s JOIN terms t ON contains(s.source, t.id) WHERE NOT contains(s.translation, t.pattern)
+UNION ALL SELECT s.work, s.juan, s.title FROM sections s JOIN terms t ON t.work = s.work AND contains(s.source, t.id) WHERE NOT contains(s.translation, t.pattern)
 UNION ALL SELECT s.work, s.juan, s.title FROM sections s JOIN bounds b ON b.work = s.work AND b.juan = s.juan WHERE s.start_key < """ + o.key("first_id") + " OR s.end_key > " + o.key("last_id") + """)
 SELECT work, juan, list_sort(list_distinct(list(title))) AS titles FROM t GROUP BY work, juan""")
 def repair_targets(spark, sf_dir):

@@ -1,73 +1,57 @@
-"""Tables from HTML and from tables of contents. Pages are parsed one by one in small Arrow batches; the rest are built-in columns."""
+"""Tables from HTML and from tables of contents. Links and nested contents are parsed row by row in small Arrow batches; the rest are built-in columns."""
 
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranges import LOOSE, STRICT, line_key
+from ..functions.text import trim_u, unescaped
 
-_LINE_ID = re.compile(LOOSE)
 _NOTE_STARTS = ("<div class='footnote'", '<div class="footnote"', "<div id='cbeta-copyright'", '<div id="cbeta-copyright"')
 _SPAN_NOTES = ("<span class='footnote", '<span class="footnote')
+_PIECE = r"(?s)<!--.*?-->|<[^>]*>|[^<]+|<"
 
 
-class _Lines(HTMLParser):
-    """Text by line id. Any end tag leaves one level of skipped content, also one that opened none."""
-
-    def __init__(self):
-        super().__init__()
-        self.texts: dict[str, list[str]] = {}
-        self.line = self.prefix = ""
-        self.skipped = 0
-
-    def handle_starttag(self, tag, attrs):
-        given = dict(attrs)
-        kinds = (given.get("class") or "").split()
-        if tag in ("a", "span") and ("lb" in kinds or "lineInfo" in kinds):
-            self.skipped += 1
-            if _LINE_ID.fullmatch(given.get("id") or ""):
-                self._open(given["id"])
-                self.prefix = self.line.partition("_p")[0]
-        elif tag == "span" and "t" in kinds and given.get("l") and self.prefix:
-            self._open(f"{self.prefix}_p{given['l']}")
-
-    def _open(self, line: str):
-        self.line = line
-        self.texts.setdefault(line, [])
-
-    def handle_endtag(self, tag):
-        self.skipped = max(0, self.skipped - 1)
-
-    def handle_data(self, data):
-        text = data.strip()
-        if self.line and not self.skipped and text and not _LINE_ID.fullmatch(text):
-            self.texts[self.line].append(text)
-
-
-def lines_of_html(html: str) -> list[tuple[str, str]]:
-    ends = [at for at in map(html.find, _NOTE_STARTS) if at >= 0]
-    parser = _Lines()
-    parser.feed(html[: min(ends, default=len(html))])
-    return [(line, "".join(parts).strip()) for line, parts in parser.texts.items()]
+def _attribute(tag: Column, name: str) -> Column:
+    """An attribute's value in a start tag; "" if it has none."""
+    value = rf"""(?i)[\s"']{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return unescaped(F.concat(*(F.regexp_extract(tag, value, i) for i in (1, 2, 3))))
 
 
 def extract_lines(volumes: DataFrame) -> DataFrame:
-    """(work, juan, html) -> work, juan, line_id, line_key, text; lines without text stay as empty ones."""
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = [(work, juan, *line) for work, juan, html in zip(batch.work, batch.juan, batch.html, strict=True) for line in lines_of_html(html or "")]
-            yield pd.DataFrame(out, columns=["work", "juan", "line_id", "text"])
-
-    parsed = volumes.select("work", "juan", "html").mapInPandas(rows, "work string, juan int, line_id string, text string")
-    return parsed.select("work", "juan", "line_id", line_key(F.col("line_id")).alias("line_key"), "text")
+    """(work, juan, html) -> work, juan, line_id, line_key, text; lines without text stay as empty ones.
+
+    The html up to the first note is cut into tags and runs of text, in order. Line marks, and text spans once a mark has given the prefix,
+    open a line, which the text after them belongs to. What is in a mark is skipped: a mark goes one level down, and any end tag one level
+    up, also one that ends something else. How deep a piece lies is a running sum with a floor of 0, the sum less its lowest point so far.
+    A volume is one file, so its pieces are one window.
+    """
+    html = F.coalesce(F.col("html"), F.lit(""))
+    body = F.substring(html, F.lit(1), F.coalesce(_first(html, _NOTE_STARTS) - 1, F.char_length(html)))
+    pieces = volumes.select("work", "juan", F.posexplode(F.regexp_extract_all(body, F.lit(_PIECE), F.lit(0))).alias("at", "piece"))
+    piece = F.col("piece")
+    tag = F.lower(F.regexp_extract(piece, r"^<([A-Za-z][^\s/>]*)", 1))
+    pieces = pieces.withColumns({"tag": tag, "ends": piece.rlike(r"^</[A-Za-z]") | ((tag != "") & piece.endswith("/>"))})
+    kinds = F.when(F.col("tag").isin("a", "span"), F.split(_attribute(piece, "class"), r"\s+"))
+    pieces = pieces.withColumn("kinds", kinds).withColumn("mark", F.coalesce(F.arrays_overlap("kinds", F.array(F.lit("lb"), F.lit("lineInfo"))), F.lit(False)))
+    own = F.when(F.col("mark"), _attribute(piece, "id"))
+    place = F.when(~F.col("mark") & (F.col("tag") == "span") & F.array_contains("kinds", "t"), F.nullif(_attribute(piece, "l"), F.lit("")))
+    whole = rf"^(?:{LOOSE})\z"
+    pieces = pieces.withColumns({"own": F.when(own.rlike(whole), own), "place": place, "step": F.col("mark").cast("int") - F.col("ends").cast("int")})
+    order = Window.partitionBy("work", "juan").orderBy("at")
+    walked = pieces.withColumns({"down": F.sum("step").over(order), "prefix": F.last(F.split_part("own", F.lit("_p"), F.lit(1)), ignorenulls=True).over(order)})
+    walked = walked.withColumn("opened", F.coalesce("own", F.concat("prefix", F.lit("_p"), "place"))).withColumn("lowest", F.least(F.lit(0), F.min("down").over(order)))
+    walked = walked.withColumn("line_id", F.last("opened", ignorenulls=True).over(order)).filter("line_id IS NOT NULL")
+    run = F.when((F.col("down") == F.col("lowest")) & ~piece.rlike(r"^<[A-Za-z/!?]"), trim_u(unescaped(piece)))
+    kept = walked.withColumn("run", run).withColumn("run", F.when(~F.col("run").rlike(whole), F.col("run")))
+    lines = kept.groupBy("work", "juan", "line_id").agg(F.array_sort(F.collect_list(F.when(F.col("run") != "", F.struct("at", "run")))).alias("runs"))
+    return lines.select("work", "juan", "line_id", line_key(F.col("line_id")).alias("line_key"), trim_u(F.array_join("runs.run", "")).alias("text"))
 
 
 def line_id_universe(volumes: DataFrame) -> DataFrame:
@@ -131,26 +115,31 @@ def note_references(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(r"""href=['"]#([^'"]+)['"]"""), F.lit(1))
 
 
-def toc_rows(text: str) -> list[tuple]:
-    """(pre, level, title, juan, lb, ancestors, parent_titles) of a table of contents in document order."""
+def toc_rows(text: str | None) -> list[tuple]:
+    """(pre, level, title, juan, lb, ancestors, parent_titles, error) of a table of contents in document order; one row with an error if it cannot be read."""
     out: list[tuple] = []
-    stack = [(node, [], []) for node in reversed(json.loads(text))]
-    while stack:
-        node, ancestors, titles = stack.pop()
-        out.append((len(out), len(ancestors), node["title"], int(node["juan"]), node["lb"], ancestors, titles))
-        path = ([*ancestors, len(out) - 1], [*titles, node["title"]])
-        stack += [(child, *path) for child in reversed(node.get("children") or [])]
+    try:
+        stack = [(node, [], []) for node in reversed(json.loads(text or ""))]
+        while stack:
+            node, ancestors, titles = stack.pop()
+            out.append((len(out), len(ancestors), str(node["title"]), int(node["juan"]), str(node["lb"]), ancestors, titles, None))
+            path = ([*ancestors, len(out) - 1], [*titles, str(node["title"])])
+            stack += [(child, *path) for child in reversed(node.get("children") or [])]
+    except (ValueError, TypeError, KeyError, AttributeError) as e:
+        return [(None, None, None, None, None, None, None, f"{type(e).__name__}: {e}")]
     return out
 
 
 def flatten_toc(tocs: DataFrame) -> DataFrame:
-    """(work, toc JSON list of nodes with title, juan, lb and children) -> work, pre, level, title, juan, lb, ancestors, parent_titles."""
+    """(work, toc JSON list of nodes with title, juan, lb and children) -> work, pre, level, title, juan, lb, ancestors, parent_titles, error.
+
+    A contents that is no such list becomes one row with an error and nulls.
+    """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = [(work, *row) for work, toc in zip(batch.work, batch.toc, strict=True) for row in toc_rows(toc)]
-            yield pd.DataFrame(out, columns=["work", "pre", "level", "title", "juan", "lb", "ancestors", "parent_titles"])
-
-    return tocs.select("work", "toc").mapInPandas(rows, "work string, pre int, level int, title string, juan int, lb string, ancestors array<int>, parent_titles array<string>")
-
+            frame = pd.DataFrame(out, columns=["work", "pre", "level", "title", "juan", "lb", "ancestors", "parent_titles", "error"])
+            yield frame.astype({"pre": "Int64", "level": "Int64", "juan": "Int64"})
 
+    return tocs.select("work", "toc").mapInPandas(rows, "work string, pre int, level int, title string, juan int, lb string, ancestors array<int>, parent_titles array<string>, error string")

@@ -21,26 +21,32 @@ def work_juan_from_path(name: Column) -> Column:
     return F.when(name.rlike(NAME), F.struct(F.regexp_extract(name, NAME, 1).alias("work"), F.regexp_extract(name, NAME, 2).cast("int").alias("juan")))
 
 
-def _block(body: Column, name: str) -> Column:
-    return trim_u(found(body, rf"(?s){name}:\n<<<\n(.*?)\n>>>"))
+def _computed_once(x: Column, *steps) -> Column:
+    """Each step a function of the one before. A transform() of a one-element array keeps the optimiser from copying a step into all its uses."""
+    out = F.array(x)
+    for step in steps:
+        out = F.transform(out, step)
+    return F.get(out, F.lit(0))
+
+
+def _read_section(part: Column) -> Column:
+    block = lambda body, name: trim_u(found(body, rf"(?s){name}:\n<<<\n(.*?)\n>>>"))
+    split = lambda lines: F.struct(trim_u(F.get(lines, F.lit(0))).alias("title"), F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), "\n").alias("body"))
+    read = lambda x: F.struct(
+        x["title"].alias("title"), trim_u(found(x["body"], r"(?dm)^Range:\s*(.+)$")).alias("range_label"), block(x["body"], "Source").alias("source"),
+        block(x["body"], "Translation").alias("translation"), F.coalesce(block(x["body"], "Note"), F.lit("")).alias("note"),
+    )
+    placed = lambda x: F.struct(x.alias("x"), parse_range(x["range_label"]).alias("span"))
+    return _computed_once(part, lines_of, split, read, placed)
 
 
 def parse_sections(volumes: DataFrame) -> DataFrame:
     """(work, juan, value) -> a row per section: work, juan, idx from 0, title, range_label, start_id, end_id, source, translation, note, error."""
     parts = volumes.select("work", "juan", F.posexplode(F.split("value", r"(?dmU)^##\s+")).alias("pos", "part")).filter("pos > 0")
-    lines = lines_of(F.col("part"))
-    body = F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), "\n")
-    parts = parts.select("work", "juan", (F.col("pos") - 1).alias("idx"), trim_u(F.get(lines, F.lit(0))).alias("title"), body.alias("body"))
-    read = parts.select(
-        "work", "juan", "idx", "title",
-        trim_u(found(F.col("body"), r"(?dm)^Range:\s*(.+)$")).alias("range_label"),
-        _block(F.col("body"), "Source").alias("source"), _block(F.col("body"), "Translation").alias("translation"),
-        F.coalesce(_block(F.col("body"), "Note"), F.lit("")).alias("note"),
-    )
-    missing = F.array_join(F.filter(F.array(*(F.when(F.col(c).isNull(), F.lit(n)) for c, n in (("range_label", "Range"), ("source", "Source"), ("translation", "Translation")))), lambda x: x.isNotNull()), ", ")
-    span = parse_range(F.col("range_label"))
-    error = F.when(missing != "", F.concat(F.lit("missing "), missing)).when(span.isNull(), F.concat(F.lit("invalid range "), F.col("range_label")))
-    return read.select("work", "juan", "idx", "title", "range_label", span["start_id"].alias("start_id"), span["end_id"].alias("end_id"), "source", "translation", "note", error.alias("error"))
+    read = parts.select("work", "juan", (F.col("pos") - 1).alias("idx"), _read_section(F.col("part")).alias("s")).select("work", "juan", "idx", "s.x.*", "s.span")
+    missing = F.array_join(F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(n)) for c, n in (("range_label", "Range"), ("source", "Source"), ("translation", "Translation"))))), ", ")
+    error = F.when(missing != "", F.concat(F.lit("missing "), missing)).when(F.col("span").isNull(), F.concat(F.lit("invalid range "), F.col("range_label")))
+    return read.select("work", "juan", "idx", "title", "range_label", "span.start_id", "span.end_id", "source", "translation", "note", error.alias("error"))
 
 
 def read_sections(spark: SparkSession, path: str) -> DataFrame:
@@ -79,10 +85,14 @@ def write_segments(rows: DataFrame, path: str) -> None:
     segment_table_text(rows).write.partitionBy("work", "juan").option("lineSep", "\n").text(path)
 
 
-def read_raw_volumes(spark: SparkSession, path: str) -> DataFrame:
-    """Volume JSON files -> work, juan, html, the first of the file's results."""
+def read_raw_volumes(spark: SparkSession, path: str, by_folder: bool = False) -> DataFrame:
+    """Volume JSON files -> work, juan, html, the first of the file's results. Files that are no such JSON have null html.
+
+    by_folder: the volume's name is in the file's path, not in its name.
+    """
     name = r"([A-Za-z][A-Za-z0-9._-]*)-(\d{3})\.json\z"
-    files = spark.read.schema("results array<string>").json(path, multiLine=True).select("results", F.col("_metadata.file_name").alias("name"))
+    called = F.regexp_extract("_metadata.file_path", r"([^/=]+)/[^/]*\z", 1) if by_folder else F.col("_metadata.file_name")
+    files = spark.read.schema("results array<string>").option("recursiveFileLookup", by_folder).json(path, multiLine=True).select("results", called.alias("name"))
     return files.filter(F.col("name").rlike(name)).select(F.regexp_extract("name", name, 1).alias("work"), F.regexp_extract("name", name, 2).cast("int").alias("juan"), F.get("results", F.lit(0)).alias("html"))
 
 

@@ -231,3 +231,73 @@ def test_log_ring_over_micro_batches(spark, tmp_path):
     out: list = []
     stream.writeStream.outputMode("update").foreachBatch(lambda b, _: out.extend(b.collect())).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     assert out[-1].seqs == [13, 20, 21, 22, 23] and len(out) == 3
+
+
+def test_rows_that_cannot_be_read_become_errors(spark):
+    now = dt.datetime(2026, 1, 1)
+    texts = spark.createDataFrame([("try again in 99999999999 hours", now), ("try again in 2 hours", now), (None, now)], "t string, n timestamp")
+    got = [r.at for r in texts.select(replies.parse_reset_time(F.col("t"), F.col("n")).cast("string").alias("at")).collect()]
+    assert got == [None, "2026-01-01 02:00:00", None]
+    raw = "<<<SECTION 99999999999>>>\n<<<TRANSLATION\nx\n>>>\n<<<END_SECTION 99999999999>>>\n<<<SECTION 1>>>\n<<<TRANSLATION\ny\n>>>\n<<<END_SECTION 1>>>"
+    batch = spark.createDataFrame([("b", raw, [1])], "batch_id string, raw string, expected array<int>")
+    assert [(r.number, r.translation, r.error) for r in inference.parse_batch_replies(batch).collect()] == [(None, "x", "no section number"), (1, "y", None)]
+    assert inference.batch_reply_check(batch).first().accepted
+    tocs = [("ok", '[{"title": "a", "juan": "1", "lb": "0001a01", "children": null}]'), ("no json", "{"), ("no juan", '[{"title": "a"}]'), ("no number", '[{"title": "a", "juan": "x", "lb": ""}]'), ("null", None), ("number", "3")]
+    rows = {r.work: r for r in markup.flatten_toc(spark.createDataFrame(tocs, "work string, toc string")).collect()}
+    assert len(rows) == 6 and [w for w in rows if rows[w].error is None] == ["ok"] and rows["ok"].juan == 1 and rows["null"].pre is None
+    assert column(spark, ["1-2000000000", "-2147483648-2147483647"], text.expand_volume_spec) == [None, None]
+    assert column(spark, ["a&lt;b &#x6F22;&#233;&eacute;&nope; &amp;lt; &#99999999999;", None, "&"], text.unescaped) == ["a<b 漢éé&nope; &lt; �", None, "&"]
+
+
+def plain_lines(html):
+    """The rule for lines in html, piece by piece."""
+    import re
+    from html import unescape
+
+    whole = re.compile(ranges.LOOSE)
+    cut = [i for i in map(html.find, ("<div class='footnote'", '<div class="footnote"', "<div id='cbeta-copyright'", '<div id="cbeta-copyright"')) if i >= 0]
+    depth, here, before, out = 0, None, None, {}
+    for piece in re.findall(r"<!--.*?-->|<[^>]*>|[^<]+|<", html[: min(cut, default=len(html))], re.S):
+        start = re.match(r"<([A-Za-z][^\s/>]*)", piece)
+        if start:
+            given = {k.lower(): unescape(a or b or c) for k, a, b, c in re.findall(r"""[\s"']([\w-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", piece)}
+            kinds, tag = given.get("class", "").split(), start[1].lower()
+            if tag in ("a", "span") and {"lb", "lineInfo"} & set(kinds):
+                depth += 1
+                if whole.fullmatch(given.get("id", "")):
+                    here, before = given["id"], given["id"].split("_p")[0]
+            elif tag == "span" and "t" in kinds and given.get("l") and before:
+                here = f"{before}_p{given['l']}"
+            if here:
+                out.setdefault(here, "")
+        if piece.startswith("</") or (start and piece.endswith("/>")):
+            depth = max(0, depth - 1)
+        text = unescape(piece).strip()
+        if not piece.startswith("<") and here and not depth and text and not whole.fullmatch(text):
+            out[here] += text
+    return {k: v.strip() for k, v in out.items()}
+
+
+def test_lines_of_html_against_a_plain_walk(spark):
+    import random
+
+    rng = random.Random(4)
+    pieces = ["<span class='lb' id='A_p0001a0{}'>", '<a class="x lineInfo" id="A_p0001b0{}">', "<a class='lb' id='bad'/>", "</span>", "</a>", "</b>", "<b>", "<br/>", "<span class='t' l='0001c0{}'>", "<span class='t'>", " text{} ", "A_p0001a0{}", "&lt;{}&#x6F22;", "<!-- c{} -->", "<p>", "　", "<span class='pc'>", "x"]
+    rows = [("A", i, "".join(rng.choice(pieces).format(rng.randint(1, 5)) for _ in range(rng.randint(0, 60)))) for i in range(60)] + [("A", 60, None), ("A", 61, "")]
+    got = {}
+    for r in markup.extract_lines(spark.createDataFrame(rows, "work string, juan int, html string").repartition(3)).collect():
+        got.setdefault(r.juan, {})[r.line_id] = r.text
+    assert got == {i: lines for _, i, html in rows if (lines := plain_lines(html or ""))}
+
+
+def test_sections_with_marks_in_their_texts(spark):
+    import re
+
+    value = "# t\n## 01 a\nRange: A1n1_p0001a01\n\nSource:\n<<<\n## not a title?\nx\n>>>\n\nTranslation:\n<<<\na > b >>> c\n>>>\n\nNote:\n<<<\n#1\n>>>\n\n## 02 b\nRange: A1n1_p0001a02\n\nSource:\n<<<\n>>>\n\n>>>\n\nTranslation:\n<<<\n\n>>>\n"
+    got = volumes.parse_sections(spark.createDataFrame([("A", 1, value)], "work string, juan int, value string")).orderBy("idx").collect()
+    want = []
+    for i, part in enumerate(re.split(r"(?m)^##\s+", value)[1:]):
+        block = lambda name, part=part: (m := re.search(rf"{name}:\n<<<\n(.*?)\n>>>", part.split("\n", 1)[-1], re.S)) and m[1].strip()
+        want.append((i, part.split("\n")[0].strip(), block("Source"), block("Translation"), block("Note") or ""))
+    assert [(r.idx, r.title, r.source, r.translation, r.note) for r in got] == want
+    assert [r.error is None for r in got] == [False, False, True]

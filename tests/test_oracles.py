@@ -1,4 +1,4 @@
-"""Every registered query of the library against its SQL, on the smallest tables; those of the term family take long and are left to the driver."""
+"""Every registered query of the library against its SQL, on the smallest tables."""
 
 import os
 
@@ -9,7 +9,6 @@ from tessella.plans import QUERIES, SQL
 from .oracle import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
-SLOW = {"term_check", "glossary_subset", "volume_check_report", "repair_targets", "substring_search", "read_sections"}
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +17,6 @@ def con():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are not here")
-@pytest.mark.parametrize("name", sorted(SQL.keys() - SLOW))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_rows_equal_those_of_the_sql(spark, con, name):
     assert difference(spark, con, QUERIES[name], SQL[name], SF_DIR) is None
