@@ -11,6 +11,10 @@ def test_rules_hosts_and_paths(spark):
         (6, "http://h.org?x=/es/", "h.org", "", None, "allow"),
         (7, None, "", "", None, "allow"),
         (8, "no scheme/en/", "", "", None, "allow"),
+        (11, "http://b.net/de/3", "b.net", "/de/3", "net/de/", "allow"),
+        (12, "http://net/de/8", "net", "/de/8", "net/de/", "allow"),
+        (13, "http://example.net/de/7", "example.net", "/de/7", "net/de/", "allow"),
+        (14, "http://example.com/en/70", "example.com", "/en/70", "example.com/en/7", "allow"),
         (9, "a://b.org/es/x\ny://z#", "b.org", "/es/x\ny://z", "org/es/", "block"),
         (None, "http://É.COM/", "É.com", "/", None, "allow"),
     ]
@@ -18,6 +22,8 @@ def test_rules_hosts_and_paths(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = sorted(map(tuple, urls.judge(df, labels).collect()), key=str)
     assert got == sorted(((c[0], *c[2:]) for c in cases), key=str)
+    none = spark.createDataFrame([(None, 0, 1), (1, None, None)], "doc_id long, quality int, toxic int")
+    assert sorted(map(tuple, urls.judge(df.union(df), none).collect()), key=str) == sorted(2 * got, key=str)
     assert urls.judge(df.limit(0), labels).collect() == []
 
 
@@ -31,3 +37,10 @@ def test_bad_hosts_are_blocked_and_sparse_ones_shrink(spark):
     labels.append((400, 1, 1))
     got = {r.host: r.verdict for r in urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
     assert got == {"bad.site.io": "block", "good.site.io": "allow", "fine.other.io": "allow", "ok.third.io": "allow", "once.fourth.io": "allow"}
+
+
+def test_domains_and_suffixes(spark):
+    cases = [("a.b.co.uk", "b.co.uk", "co.uk"), ("co.uk", "co.uk", "uk"), ("a.example.com", "example.com", "com"), ("com", "com", "com"), ("", "", ""), ("10.1.2.3", "10.1.2.3", ""), ("b.com.io", "b.com.io", "com.io"), ("x.com.info", "com.info", "info")]
+    df = spark.createDataFrame([("u:p@" * (i % 2) + name + ":80" * (i % 3 == 0), i) for i, (name, _, _) in enumerate(cases)], "host string, i int")
+    got = urls.with_parents(df.withColumn("name", urls.name_of(df.host))).orderBy("i").collect()
+    assert [(r.name, r.domain, r.suffix) for r in got] == cases
