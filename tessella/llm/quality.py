@@ -26,7 +26,7 @@ RULES = {
     "repeated_lines": "n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines",
     "odd_word_length": "word_chars < 2 * n_words OR word_chars > 30 * n_words",
     "mostly_capitals": "100 * n_capitals > 50 * word_chars",
-    "few_distinct_words": "n_words >= 20 AND n_words < 1000 AND 100 * n_distinct_words < 25 * n_words",
+    "few_distinct_words": "n_words >= 20 AND n_distinct_words * n_distinct_words < 2 * n_words",
     "toxic_words": "n_toxic_words >= 2",
 }
 BASE = ("too_few_words", "repeated_words")
@@ -42,15 +42,15 @@ def mask_of(names: tuple[str, ...]) -> int:
 
 
 def _letter_words(text: Column) -> Column:
-    """The distinct lower-case letter runs of a text, cut at twelve letters."""
-    return F.array_distinct(F.transform(F.split(F.lower(text), r"[^\p{L}]+"), lambda x: F.substring(x, 1, 12)))
+    """The distinct lower-case letter runs of a text."""
+    return F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+"))
 
 
-def toxic_words(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least_docs: int = 8, least_share: float = 0.02, ratio: float = 40.0, most: int = 400) -> list[str]:
+def toxic_words(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least_docs: int = 8, least_share: float = 0.02, ratio: float = 40.0) -> list[str]:
     """Words that mark texts labelled toxic: in least_docs and a share of least_share of them, and ratio times as common there as in others.
 
-    Fitted on at most per_class labelled documents of each kind, the first by a hash of their doc_id, copies counted once; at most `most`
-    words are returned, the most frequent first.
+    Fitted on at most per_class labelled documents of each kind, the first by a hash of their doc_id, copies counted once. As each word
+    is in a share of least_share of the toxic texts, there are no more words than those texts have on average, over least_share.
     """
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), "doc_id"]
@@ -60,7 +60,7 @@ def toxic_words(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least
     words = sample.select("toxic", F.explode(_letter_words(F.col("text"))).alias("word")).filter("length(word) >= 3")
     counts = words.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("other")).filter((F.col("toxic") >= least_docs) & (F.col("toxic") >= least_share * sizes.get(1, 0)))
     share, rest = F.col("toxic") / (sizes.get(1, 0) + 1), (F.col("other") + 0.5) / (sizes.get(0, 0) + 1)
-    rows = counts.filter(share >= ratio * rest).orderBy(F.desc("toxic"), "word").limit(most).select("word").collect()
+    rows = counts.filter(share >= ratio * rest).orderBy(F.desc("toxic"), "word").select("word").collect()
     return [r.word for r in rows]
 
 
@@ -90,7 +90,7 @@ def _entry(toxic: list[str] | None) -> str:
     """
     window = ", ".join(f"get(x.codes, i + {j})" for j in range(WINDOW))
     known = ", ".join(f"'{w}'" for w in toxic or [])
-    hits = f"size(array_intersect(array_distinct(transform(split(lower(x.text), r'[^\\p{{L}}]+'), w -> substring(w, 1, 12))), array({known})))" if toxic else "0"
+    hits = f"size(array_intersect(split(lower(x.text), r'[^\\p{{L}}]+'), array({known})))" if toxic else "0"
     measures = ", ".join(f"'{name}', cast({sql.format(repeated=_REPEATED, toxic=hits)} as long)" for name, sql in MEASURES.items())
     kept = ", ".join(f"'{name}', x.{name}" for name in MEASURES)
     bits = " + ".join(f"if({re.sub('(' + '|'.join(MEASURES) + ')', 'x.' + chr(92) + '1', condition)}, {1 << i}L, 0L)" for i, condition in enumerate(RULES.values()))

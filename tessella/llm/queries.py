@@ -28,6 +28,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.select("doc_id", *measures, base_failed.alias("base_failed"), (~base_failed & quality.passes("v1")).alias("kept"), "failures")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the policy rejects, and what it alone rejects, from the ledger of all documents. No row counts for none of the rules."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.ablations(quality.ledger(docs, quality.toxic_words(docs, table(spark, sf_dir, "labels"))), "v1")
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
 
@@ -64,6 +70,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_quality_rules, op2_suffix_dedup, op3_warc_segments, op4_bpe_trie, op5_decontamination, op6_url_filter, op7_jaccard_join, op8_class_lm, op9_pii_crf, op10_language_id)
+_ALL = (op1_quality_rules, op2_suffix_dedup, op3_warc_segments, op4_bpe_trie, op5_decontamination, op6_url_filter, op7_jaccard_join, op8_class_lm, op9_pii_crf, op10_language_id, quality_ablations)
 QUERIES = {f.__name__: f for f in _ALL}
-SQL = {"op1_quality_rules": oracle.QUALITY, "op6_url_filter": oracle.URLS}
+SQL = {"op1_quality_rules": oracle.QUALITY, "quality_ablations": oracle.ABLATIONS, "op6_url_filter": oracle.URLS}
