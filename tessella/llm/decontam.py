@@ -24,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import bitmap_of, checkpointed, in_bitmap, small_side, span_hashes
+from .textkit import bitmap_of, checkpointed, in_bitmap, measured_side, small_side, span_hashes
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -61,7 +61,7 @@ def tiling(item: list[bytes], doc: list[bytes], least: int) -> list[tuple[int, i
     tiles: list[tuple[int, int, int]] = []
     length = max(least, len(a))
     while length >= least:
-        longest, found = 0, []
+        found = []
         if length <= min(len(a), len(b)):
             open_a, open_b = _open(free_a, length), _open(free_b, length)
             hash_a, hash_b = _windows(a, length), _windows(b, length)
@@ -77,7 +77,6 @@ def tiling(item: list[bytes], doc: list[bytes], least: int) -> list[tuple[int, i
                     while i + n < len(a) and j + n < len(b) and free_a[i + n] and free_b[j + n] and a[i + n] == b[j + n]:
                         n += 1
                     if n >= length:
-                        longest = max(longest, n)
                         found.append((n, i, j))
             # a match that a tile has cut is looked at again as what is left of it
             matches = [(-n, i, j) for n, i, j in found]
@@ -150,14 +149,17 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, seed: int = 5, coverag
         "most", F.expr(f"aggregate(places, named_struct('n', 0, 'end', 0), (a, p) -> named_struct('n', a.n + least({seed}, p + {seed} - a.end), 'end', p + {seed}), a -> a.n)")
     )
     pairs = checkpointed(pairs.filter(F.col("most") >= coverage * F.col("n_item_tokens")).select("doc_id", "item_id").distinct())
-    named = pairs.join(small_side(items, 8192).withColumnRenamed("text", "item_text"), "item_id")
-    both = docs.join(named if pairs.count() * 2048 > 32 << 20 else F.broadcast(named), "doc_id").select("doc_id", "item_id", "text", "item_text")
+    named = pairs.join(measured_side(items, "octet_length(text) + 64").withColumnRenamed("text", "item_text"), "item_id")
+    both = docs.join(measured_side(named, "octet_length(item_text) + 64"), "doc_id").select("doc_id", "item_id", "text", "item_text")
     tiled = both.mapInPandas(partial(_tiled, seed=seed, coverage=coverage), "doc_id long, item_id long, n_item_tokens long, n_tiled_tokens long, n_tiles long, coverage double")
     best = tiled.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "n_item_tokens", "n_tiled_tokens", "n_tiles")).alias("m"))
     return best.select("doc_id", "item_id", "m.n_item_tokens", "m.n_tiled_tokens", "m.n_tiles", "m.coverage")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, seed: int = 5, coverage: float = 0.5) -> DataFrame:
-    """The documents that no benchmark item contaminates; rows without doc_id stay."""
-    found = contaminations(docs, benchmark, seed, coverage).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    """The documents whose texts no benchmark item contaminates; each row is judged by its own text, with or without a doc_id."""
+    key = next(name for name in ("text_key", *(f"text_key{i}" for i in range(len(docs.columns)))) if name not in docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    texts = keyed.select(F.col(key).alias("doc_id"), "text")
+    found = contaminations(texts, benchmark, seed, coverage).select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(found, key, "left_anti").drop(key).select(*docs.columns)

@@ -59,6 +59,10 @@ def test_leaks_are_caught_and_clean_documents_are_not(spark):
     bench = spark.createDataFrame(items + [items[0]], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.coverage for r in contaminations(df, bench).collect()}
     assert got == {(100, 0): 1.0, (101, 2): 1.0}
-    assert sorted(str(r.doc_id) for r in decontaminated(df, bench).collect()) == sorted([*(str(i) for i in range(20)), "102", "103", "104", "None"])
+    assert sorted(str(r.doc_id) for r in decontaminated(df, bench).collect()) == sorted([*(str(i) for i in range(20)), "100", "102", "103", "104"])
+    clash = df.withColumn("text_key", df.text).withColumnRenamed("item_id", "seed")
+    assert decontaminated(clash, bench).columns == clash.columns and decontaminated(clash, bench).count() == 24
+    long = spark.createDataFrame([(1, clean(30_000) + " " + items[4][1]), (2, clean(30_000))], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in contaminations(long, bench).collect()] == [(1, 4)]
     assert contaminations(df.limit(0), bench).collect() == [] and contaminations(df, bench.limit(0)).collect() == []
     assert tokens_of("A-b, C") == [b"a", b"b", b"c"]
