@@ -160,7 +160,8 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _payloads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         payloads = []
-        for block, total, numbers, digest in zip(batch.block, batch.total, batch.numbers, batch.digest, strict=True):
+        for blocks, total, numbers, digest in zip(batch.blocks, batch.total, batch.numbers, batch.digest, strict=True):
+            block = b"".join(blocks)
             if list(numbers) != list(range(1, len(numbers) + 1)) or (len(numbers) > 1 and len(block) != total):
                 raise ValueError(f"segments {list(numbers)} with {len(block)} bytes, not {total}")
             head, _, body = block.partition(b"\r\n\r\n")
@@ -174,13 +175,13 @@ def _payloads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The archives in a folder -> page_id, uri, digest, record_type, refers_to, payload (null for revisits)."""
     files = spark.read.format("binaryFile").load(path).select("content")
-    records = files.mapInPandas(_parsed, _RECORD)
-    alone = records.filter("kind != 'revisit' AND NOT segmented").select("page_id", "uri", "digest", "total", F.array("number").alias("numbers"), "block")
+    records = checkpointed(files.mapInPandas(_parsed, _RECORD))  # walked once, though three plans read them
+    alone = records.filter("kind != 'revisit' AND NOT segmented").select("page_id", "uri", "digest", "total", F.array("number").alias("numbers"), F.array("block").alias("blocks"))
     # only records in several segments are shuffled
     segments = records.filter("segmented").groupBy("origin").agg(F.sort_array(F.collect_list(F.struct("number", "block", "total", "page_id", "uri", "digest"))).alias("s"))
     whole = segments.select(
         F.expr("s[0].page_id").alias("page_id"), F.expr("s[0].uri").alias("uri"), F.expr("s[0].digest").alias("digest"), F.expr("s[size(s) - 1].total").alias("total"),
-        F.expr("s.number").alias("numbers"), F.expr("aggregate(s.block, cast('' as binary), (done, b) -> concat(done, b))").alias("block"),
+        F.expr("s.number").alias("numbers"), F.expr("s.block").alias("blocks"),
     )
     responses = alone.union(whole).mapInPandas(_payloads, "page_id long, uri string, digest string, payload binary")
     revisits = records.filter("kind = 'revisit'").select("page_id", "uri", "digest", F.lit("revisit").alias("record_type"), "refers_to", F.lit(None).cast("binary").alias("payload"))
