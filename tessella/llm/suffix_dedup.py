@@ -14,8 +14,8 @@ Windows through one anchor overlap, so what repeats around it is one run of byte
 No pass collects a group: each is a count per key and a join back, so a hot key can be split.
 Digits beyond the first pass are 64-bit hashes.
 
-Null and empty texts have no bytes. Rows with the same doc_id but other texts stay apart by their text's
-hash; a repeated row counts as another document. Other columns are not read.
+Null and empty texts have no bytes. Rows with the same doc_id but other texts stay apart by their text's 64-bit
+hash, rows without doc_id by 128 bits; a repeated row counts as another document. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from .textkit import bitmap_of, checkpointed, in_bitmap, mix, sliding_min, windo
 
 BLOCKS = 8
 _CHUNK = 1 << 22  # bytes looked at together in a long text; the low bits of a sort key hold the place
-_ANCHORS = pa.schema([("row", pa.int64()), ("copy", pa.int32()), ("pos", pa.int64()), ("low", pa.int16()), ("high", pa.int16()), ("digit", pa.int64()), ("around", pa.int64())])
+_ANCHORS = pa.schema([("row", pa.int64()), ("copy", pa.int64()), ("pos", pa.int64()), ("low", pa.int16()), ("high", pa.int16()), ("digit", pa.int64()), ("around", pa.int64())])
 
 
 def depth_log(threshold: int) -> int:
@@ -83,7 +83,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], threshold: int, bits: Broadcast
                 at, digits, first, last = at[may], digits[may], first[may], last[may]
             view, low, high = memoryview(raw), at - last, at - first
             around = np.fromiter((xxhash.xxh3_64_intdigest(view[f : l + threshold], seed=s) for f, l, s in zip(first.tolist(), last.tolist(), low.tolist())), np.uint64, len(at))
-            values = (np.full(len(at), row, np.int64), np.full(len(at), copy, np.int32), at, low.astype(np.int16), high.astype(np.int16), digits.view(np.int64), around.view(np.int64))
+            values = (np.full(len(at), row, np.int64), np.full(len(at), copy, np.int64), at, low.astype(np.int16), high.astype(np.int16), digits.view(np.int64), around.view(np.int64))
             for column, value in zip(columns, values, strict=True):
                 column.append(value)
         if columns[0]:
@@ -114,8 +114,8 @@ def _summary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, row, copy, raw): row and copy tell texts apart, also where a doc_id is null or repeated."""
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("row"),
-        F.hash("text").alias("copy"), F.col("text").cast("binary").alias("raw"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("row"), "text")).alias("row"),
+        F.xxhash64("text").alias("copy"), F.col("text").cast("binary").alias("raw"),
     )
 
 
@@ -129,7 +129,7 @@ def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
     again = checkpointed(digits.groupBy("digit").agg(F.count("*").alias("n")).filter("n > 1").select("digit"))
     bits = bitmap_of(again, "digit")
     bits = bits if bits is None else docs.sparkSession.sparkContext.broadcast(bits)
-    anchors = docs.mapInArrow(partial(_anchors, threshold=threshold, bits=bits), "row long, copy int, pos long, low short, high short, digit long, around long")
+    anchors = docs.mapInArrow(partial(_anchors, threshold=threshold, bits=bits), "row long, copy long, pos long, low short, high short, digit long, around long")
     # what the bitmap lets through by chance is alone in its group and drops out below
     found = checkpointed(anchors if bits else anchors.join(again, "digit", "left_semi"))
 
