@@ -2,13 +2,15 @@
 
 Patterns give the base spans. Tokens with a digit or an @ are the nodes of a random field over the labels none, email, ip, card and
 phone; all other tokens are fixed to none. Edges join neighbouring nodes, repeated tokens, and tokens of the same shape, each to
-the occurrence before it, so their number grows with the text and not with its square. Potentials are learnt over
-all documents from the labels that the patterns give: a softmax of token features, and the association of two labels per kind of
-edge. Damped loopy message passing, until it settles, gives each node's beliefs; a node that a base span touches holds the
-span's label, which its repeats so hear of. Nodes that no base span touches become further spans of
+the occurrence before it, so their number grows with the text and not with its square. The potentials, weights of token features and of two
+labels for each kind of edge, are learnt together over all documents, from the labels that the patterns give: by the pseudo-likelihood, in
+which each node is predicted from its features and the labels of all nodes that it has an edge to. Tokens that a pattern finds elsewhere in the same text have no known label. As the features nearly determine what a pattern
+finds, every node counts again without those that the patterns test, and those with repeats once more with the edges to these alone, all three with the same weight, so that the edges have to tell. Damped loopy message passing, until it settles, gives each node's
+beliefs; a node that a base span touches holds the span's label, which its repeats so hear of. Nodes that no base span touches become further spans of
 their label if the belief is at least `belief`.
 
-Offsets count code points, ends are exclusive. Null and empty texts have no spans. Other columns are not read.
+Offsets count code points, ends are exclusive. Null and empty texts have no spans. Rows with the same doc_id, and repeated rows, are labelled
+one by one. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +37,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK = re.compile("[0-9@]")
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
 _EDGE_KINDS = 3  # neighbours, repeats, same shape
+_AGREE = (0.0, 3.0, 0.0)  # what equal labels over an edge of each kind are worth before anything is learnt
 _TOLERANCE = 1e-3  # largest change of a message's logarithms at which message passing ends
+_SPANS = ("pii_base", "pii_further")
 _CERTAIN = 30.0  # logarithm of how much likelier a known label is than any other
 
 
@@ -103,13 +107,19 @@ def features(token: str) -> int:
 
 
 N_FEATURES = 21
+#: The features that no pattern tests: those all tokens have, few or many digits, letters, and the length.
+_PLAIN = sum(1 << i for i in (0, 3, 4, 5, 13, 17, 18, 19))
+
+
+def _word(text: str, start: int, end: int) -> str:
+    return text[start:end].strip(_EDGE).lower()
 
 
 def edges_of(text: str, nodes: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     """(kind, node, later node): neighbouring tokens, repeated tokens, tokens of the same shape, each to the nearest before."""
     out, words, shapes = [], {}, {}
     for j, (start, end) in enumerate(nodes):
-        token = text[start:end].strip(_EDGE).lower()
+        token = _word(text, start, end)
         shape = re.sub("[0-9]+", "9", re.sub(r"[^\W\d_]+", "a", token))
         if j and start - nodes[j - 1][1] == 1:
             out.append((0, j - 1, j))
@@ -145,43 +155,75 @@ def _from(nodes: list[tuple[int, int]], place: int) -> Iterator[int]:
         yield low
 
 
+def around(n: int, edges: list[tuple[int, int, int]], labels: list[int]) -> list[int]:
+    """What each node sees through its edges: for each kind and side one digit in base 6, the other node's label and 1, or 0 without an edge to a known label.
+
+    A node has at most one edge of a kind to a node before it and one to a node after it. Unknown labels are -1.
+    """
+    seen = [0] * n
+    for kind, i, j in edges:
+        seen[j] += (labels[i] + 1) * 6 ** (2 * kind)
+        seen[i] += (labels[j] + 1) * 6 ** (2 * kind + 1)
+    return seen
+
+
+def known_labels(tokens: list[str], labels: list[int]) -> list[int]:
+    """The labels to learn from. That no pattern finds a token says nothing where the same token is found elsewhere in the text: -1."""
+    found = {t for t, label in zip(tokens, labels, strict=True) if label}
+    return [-1 if not label and t in found else label for t, label in zip(tokens, labels, strict=True)]
+
+
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (features, label), and of (kind of edge, label, label), per task. kind -1 is for nodes."""
-    counts: Counter[tuple[int, int, int, int]] = Counter()
+    """Counts of (features, label, labels around) per task."""
+    counts: Counter[tuple[int, int, int]] = Counter()
     for batch in batches:
         for text in batch.column(0).to_pylist():
             nodes = nodes_of(text) if text else []
             if nodes:
-                labels = node_labels(nodes, base_spans(text))
-                counts.update((-1, features(text[a:b]), label, 0) for (a, b), label in zip(nodes, labels, strict=True))
-                counts.update((kind, 0, labels[i], labels[j]) for kind, i, j in edges_of(text, nodes))
-    rows = np.array([(*k, n) for k, n in counts.items()], np.int64).reshape(-1, 5)
-    yield pa.RecordBatch.from_arrays([pa.array(rows[:, i]) for i in range(5)], ["kind", "bits", "a", "b", "n"])
+                labels = known_labels([_word(text, *node) for node in nodes], node_labels(nodes, base_spans(text)))
+                seen = around(len(nodes), edges_of(text, nodes), labels)
+                counts.update((features(text[a:b]), label, beside) for (a, b), label, beside in zip(nodes, labels, seen, strict=True) if label >= 0)
+    rows = np.array([(*k, n) for k, n in counts.items()], np.int64).reshape(-1, 4)
+    yield pa.RecordBatch.from_arrays([pa.array(rows[:, i]) for i in range(4)], ["bits", "label", "beside", "n"])
 
 
 class Field:
-    """Potentials of the random field, in logarithms."""
-
-    def __init__(self, counts: list[tuple[int, int, int, int, int]], steps: int = 300):
-        nodes = np.array([(bits, a, n) for kind, bits, a, _, n in counts if kind < 0], np.int64).reshape(-1, 3)
-        x = (nodes[:, :1] >> np.arange(N_FEATURES) & 1).astype(float)
-        y, n = np.eye(len(LABELS))[nodes[:, 1]], nodes[:, 2:].astype(float)
+    """Potentials of the random field, in logarithms: fitted to counts (features, label, labels around, n) by the pseudo-likelihood."""
+
+    def __init__(self, counts: list[tuple[int, int, int, int]], steps: int = 400):
+        rows = np.array(counts, np.int64).reshape(-1, 4)
+        plain, repeats = rows.copy(), rows.copy()
+        plain[:, 0] &= _PLAIN
+        repeats[:, 0] &= _PLAIN
+        repeats[:, 2] = repeats[:, 2] // 36 % 36 * 36  # the digits of edges between repeats
+        repeats = repeats[repeats[:, 2] > 0]
+        n = np.concatenate([part[:, 3:] / max(1, part[:, 3].sum()) for part in (rows, plain, repeats)])
+        rows = np.concatenate([rows, plain, repeats])
+        x = (rows[:, :1] >> np.arange(N_FEATURES) & 1).astype(float)
+        y = np.eye(len(LABELS))[rows[:, 1]]
+        sides = rows[:, 2:3] // 6 ** np.arange(2 * _EDGE_KINDS) % 6 - 1
         self.weights = np.zeros((N_FEATURES, len(LABELS)))
-        momentum = np.zeros_like(self.weights)
-        for _ in range(steps if len(nodes) else 0):
+        prior = np.array(_AGREE)[:, None, None] * np.eye(len(LABELS))
+        self.pairs = prior.copy()
+        momentum = [np.zeros_like(self.weights), np.zeros_like(self.pairs)]
+        linked = [np.flatnonzero(sides[:, s] >= 0) for s in range(2 * _EDGE_KINDS)]
+        for _ in range(steps if len(rows) else 0):
             z = x @ self.weights
+            for s, at in enumerate(linked):
+                table = self.pairs[s // 2] if s % 2 == 0 else self.pairs[s // 2].T
+                z[at] += table[sides[at, s]]
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
-            momentum = 0.9 * momentum + x.T @ ((y - p) * n) / n.sum() - 1e-5 * self.weights
-            self.weights += momentum
-        self.pairs = np.zeros((_EDGE_KINDS, len(LABELS), len(LABELS)))
-        for kind in range(_EDGE_KINDS):
-            table = np.ones((len(LABELS), len(LABELS)))
-            for k, _, a, b, m in counts:
-                if k == kind:
-                    table[a, b] += m
-            table /= table.sum()
-            self.pairs[kind] = np.clip(np.log(table / (table.sum(1, keepdims=True) * table.sum(0))), -3, 3)
+            rest = (y - p) * n / 3
+            slope = np.zeros_like(self.pairs)
+            for s, at in enumerate(linked):
+                part = np.zeros((len(LABELS), len(LABELS)))
+                np.add.at(part, sides[at, s], rest[at])
+                slope[s // 2] += part if s % 2 == 0 else part.T
+            momentum[0] = 0.9 * momentum[0] + x.T @ rest - 1e-5 * self.weights
+            momentum[1] = 0.9 * momentum[1] + slope - 1e-5 * (self.pairs - prior)
+            self.weights += momentum[0]
+            self.pairs += momentum[1]
 
     def beliefs(self, bits: list[int], edges: list[tuple[int, int, int]], known: list[int] | None = None) -> np.ndarray:
         """Marginals of the labels of each node, by damped loopy message passing; nodes with a known label (not 0) hold it.
@@ -213,8 +255,8 @@ class Field:
 
 
 def train(docs: DataFrame) -> Field:
-    """The random field of a corpus. Only counts of feature sets and label pairs come to the driver; there are few kinds of either."""
-    rows = docs.select("text").mapInArrow(_observed, "kind long, bits long, a long, b long, n long").groupBy("kind", "bits", "a", "b").agg(F.sum("n").alias("n")).collect()
+    """The random field of a corpus. Only counts of what nodes and the labels around them look like come to the driver; there are few kinds of either."""
+    rows = docs.select("text").mapInArrow(_observed, "bits long, label long, beside long, n long").groupBy("bits", "label", "beside").agg(F.sum("n").alias("n")).collect()
     return Field(sorted(tuple(r) for r in rows))
 
 
@@ -250,16 +292,17 @@ def _found(batches: Iterator[pa.RecordBatch], field: Broadcast, belief: float) -
             rows[0].append([{"kind": KINDS[k], "start": a, "end": b} for k, a, b in base])
             rows[1].append([{"kind": KINDS[k], "start": a, "end": b} for k, a, b in further_spans(text, base, field.value, belief)])
         spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(r, spans) for r in rows)], [*batch.schema.names, "base", "further"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(r, spans) for r in rows)], [*batch.schema.names, *_SPANS])
 
 
 def find(docs: DataFrame, belief: float = 0.9) -> DataFrame:
-    """Adds base and further, array<struct<kind, start, end>> (replacing columns so named)."""
-    docs = docs.drop("base", "further")
+    """Adds pii_base and pii_further, array<struct<kind, start, end>>; docs must not have columns so named."""
+    if set(_SPANS) & set(docs.columns):
+        raise ValueError(f"the columns {_SPANS} are added; rename those that docs has")
     field = docs.sparkSession.sparkContext.broadcast(train(docs))
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
     spans = "array<struct<kind: string, start: bigint, end: bigint>>"
-    return docs.mapInArrow(partial(_found, field=field, belief=belief), f"{schema}, base {spans}, further {spans}")
+    return docs.mapInArrow(partial(_found, field=field, belief=belief), f"{schema}, pii_base {spans}, pii_further {spans}")
 
 
 def _joined(*columns: str) -> F.Column:
@@ -272,29 +315,33 @@ def _joined(*columns: str) -> F.Column:
 def report(docs: DataFrame, belief: float = 0.9) -> DataFrame:
     """documents -> doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
     found = find(docs.select("doc_id", "text"), belief)
-    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{kind}')) as long)").alias(f"n_{kind}") for kind in KINDS]
-    return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("base", "further").alias("spans"))
+    counts = [F.expr(f"cast(size(filter(pii_base, s -> s.kind = '{kind}')) as long)").alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(_joined("pii_base"), 256).alias("base_sha256"), _joined(*_SPANS).alias("spans"))
 
 
-def _masked(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+def _masked(batches: Iterator[pa.RecordBatch], field: Broadcast, belief: float, text_at: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        column = {name: batch.column(batch.schema.get_field_index(name)) for name in [*names, "base", "further"]}
         texts = []
-        for text, base, further in zip(column["text"], column["base"].to_pylist(), column["further"].to_pylist(), strict=True):
+        for text in batch.column(text_at):
             text = text.as_py()
-            if base or further:
+            base = base_spans(text) if text else []
+            spans = [*base, *further_spans(text, base, field.value, belief)] if text else []
+            if spans:
                 parts, at = [], 0
-                for start, end, kind in sorted((s["start"], s["end"], s["kind"]) for s in [*base, *further]):
+                for start, end, kind in sorted((a, b, KINDS[k]) for k, a, b in spans):
                     if end > at:
                         parts += [text[at : max(at, start)], f"<{kind}>"]
                         at = end
                 text = "".join(parts) + text[at:]
             texts.append(text)
-        column["text"] = pa.array(texts, pa.string())
-        yield pa.RecordBatch.from_arrays([column[n] for n in names], names)
+        yield batch.set_column(text_at, "text", pa.array(texts, pa.string()))
 
 
 def mask(docs: DataFrame, belief: float = 0.9) -> DataFrame:
-    """The documents with every span replaced by its kind in angle brackets; of spans that overlap, each replaces what is left of it."""
+    """The documents with every span replaced by its kind in angle brackets; of spans that overlap, each replaces what is left of it.
+
+    All columns stay as they are but text. Null texts stay null.
+    """
+    field = docs.sparkSession.sparkContext.broadcast(train(docs))
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return find(docs, belief).mapInArrow(partial(_masked, names=docs.columns), schema)
+    return docs.mapInArrow(partial(_masked, field=field, belief=belief, text_at=docs.columns.index("text")), schema)
