@@ -3,14 +3,14 @@
 A text is the vector of its byte n-grams, one to three bytes within words, hashed to a fixed number of places, with damped counts
 times inverse document frequency, at length 1. Document frequencies cover all training texts. Centroids come from spherical
 k-means per language over a bounded sample of training texts (`per_language`). The answer is the language of the centroid
-with the largest cosine; a text below `reject` is und, as is one that is null or has no letter.
+with the largest cosine, the first by language and vector of those that are equally near. A text is rejected if it is further from that
+centroid than `outliers` of the texts that the centroid was fitted on. One that is null or has no letter is und.
 
 Neither the language nor the source nor the id of a text goes into its prediction. Other columns are not read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import partial
 
@@ -25,7 +25,6 @@ from .lm import held_out
 from .textkit import checkpointed, small_side
 
 PLACES = 4096
-_LETTER = re.compile(r"[^\W\d_]")
 _NOT_LETTERS = bytes.maketrans(bytes(b for b in range(128) if not chr(b).isalpha()), b" " * sum(not chr(b).isalpha() for b in range(128)))
 _ROWS = 256
 
@@ -58,8 +57,8 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, PLACES)), pa.array(np.r_[n, seen])], ["place", "n"])
 
 
-def _clusters(frame: pd.DataFrame, idf: np.ndarray, k: int, turns: int = 12) -> pd.DataFrame:
-    """Spherical k-means of one language's sample, from spread-out starts."""
+def _clusters(frame: pd.DataFrame, idf: np.ndarray, k: int, outliers: float, turns: int = 12) -> pd.DataFrame:
+    """Spherical k-means of one language's sample, from spread-out starts; and the cosine that all but the outliers of a centroid's texts reach."""
     frame = frame.sort_values(["doc_id", "text"])
     x = vectors(frame.text.tolist(), idf)
     chosen = [int(np.argmax(x @ x.mean(0)))]
@@ -70,11 +69,14 @@ def _clusters(frame: pd.DataFrame, idf: np.ndarray, k: int, turns: int = 12) ->
         nearest = (x @ centres.T).argmax(1)
         sums = np.array([x[nearest == c].sum(0) if (nearest == c).any() else centres[c] for c in range(len(centres))])
         centres = sums / np.maximum(np.sqrt((sums * sums).sum(1, keepdims=True)), 1e-12)
-    return pd.DataFrame({"lang": frame.lang.iloc[0], "centre": [c.tolist() for c in centres]})
+    cosines = x @ centres.T
+    nearest = cosines.argmax(1)
+    floors = [float(np.quantile(own, outliers)) if len(own := cosines[nearest == c, c]) else 1.0 for c in range(len(centres))]
+    return pd.DataFrame({"lang": frame.lang.iloc[0], "centre": [c.tolist() for c in centres], "floor": floors})
 
 
-def train(labelled: DataFrame, k: int = 4, per_language: int = 1200) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """(doc_id, text, lang) -> inverse document frequencies, and the language and vector of each centroid.
+def train(labelled: DataFrame, k: int = 4, per_language: int = 1200, outliers: float = 0.005) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """(doc_id, text, lang) -> inverse document frequencies, and the language, vector and least cosine of each centroid.
 
     Each language's centroids are fitted on about per_language of its texts, those with the least hash of doc_id.
     """
@@ -88,41 +90,40 @@ def train(labelled: DataFrame, k: int = 4, per_language: int = 1200) -> tuple[np
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     sample = usable.join(small_side(languages, 256), "lang").filter(share * F.col("n") < per_language).drop("n")
     sample = checkpointed(sample)
-    rows = sample.groupBy("lang").applyInPandas(partial(_clusters, idf=idf, k=k), "lang string, centre array<float>").collect()
+    rows = sample.groupBy("lang").applyInPandas(partial(_clusters, idf=idf, k=k, outliers=outliers), "lang string, centre array<float>, floor double").collect()
     rows.sort(key=lambda r: (r.lang, r.centre))
-    return idf, [r.lang for r in rows], np.array([r.centre for r in rows], np.float32).reshape(-1, PLACES)
+    return idf, [r.lang for r in rows], np.array([r.centre for r in rows], np.float32).reshape(-1, PLACES), np.array([r.floor for r in rows])
 
 
-def _predicted(batches: Iterator[pa.RecordBatch], model: Broadcast, reject: float) -> Iterator[pa.RecordBatch]:
-    idf, names, centres = model.value
+def _predicted(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
+    idf, names, centres, floors = model.value
     for batch in batches:
         for first in range(0, batch.num_rows, _ROWS):
             part = batch.slice(first, _ROWS)
             texts = [t.as_py() for t in part.column(part.schema.get_field_index("text"))]
-            known = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)] if names else []
-            langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+            known = [i for i, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))] if names else []
+            langs, scores, far = ["und"] * len(texts), [0.0] * len(texts), [True] * len(texts)
             if known:
                 cosines = vectors([texts[i] for i in known], idf) @ centres.T
                 for i, best, score in zip(known, cosines.argmax(1).tolist(), cosines.max(1).tolist(), strict=True):
-                    scores[i] = min(max(score, 0.0), 1.0)
-                    if scores[i] >= reject:
-                        langs[i] = names[best]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*part.schema.names, "lang_pred", "score"])
+                    langs[i], scores[i], far[i] = names[best], min(max(score, 0.0), 1.0), bool(score < floors[best])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(far)], [*part.schema.names, "lang_pred", "score", "rejected"])
 
 
-def predict(docs: DataFrame, model: tuple, reject: float = 0.0) -> DataFrame:
-    """Adds lang_pred and score (replacing columns so named)."""
-    docs = docs.drop("lang_pred", "score")
+def predict(docs: DataFrame, model: tuple) -> DataFrame:
+    """Adds lang_pred, score and rejected (replacing columns so named)."""
+    docs = docs.drop("lang_pred", "score", "rejected")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.mapInArrow(partial(_predicted, model=shared, reject=reject), f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(partial(_predicted, model=shared), f"{schema}, lang_pred string, score double, rejected boolean")
 
 
-def identify(docs: DataFrame, folds: int = 4, fold: int = 2, reject: float = 0.0) -> DataFrame:
-    """documents -> doc_id, held_out, lang_pred, score, one row per row. Learns from rows whose crc32(doc_id) is not in the fold; rows without doc_id are held out.
+def identify(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:
+    """documents -> doc_id, held_out, lang_pred, score, rejected, one row per row. Learns from rows whose crc32(doc_id) is not in the fold; rows without doc_id are held out.
 
-    Without any labelled training text every prediction is und.
+    Without any labelled training text every prediction is und, and und is always rejected. Repeated rows count as often as they occur. A rejected text
+    keeps the language of its nearest centroid, for the caller to drop.
     """
     named = docs.select("doc_id", "text", "lang", held_out(F.col("doc_id"), folds, fold).alias("held_out"))
     model = train(named.filter("NOT held_out"))
-    return predict(named.select("doc_id", "held_out", "text"), model, reject).drop("text")
+    return predict(named.select("doc_id", "held_out", "text"), model).drop("text")
