@@ -69,9 +69,16 @@ def _digest(items: np.ndarray) -> tuple[int, int]:
     return a - (1 << 63), b - (1 << 63)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of so many rows, which bounds what a task holds of sets."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def _sets(batches: Iterator[pa.RecordBatch], k: int, edge: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) -> doc_id, size of the set, its digest, and 40 bits of each shingle below the edge."""
-    for batch in batches:
+    for batch in _slices(batches):
         sizes, a, b, zones = [], [], [], []
         for text in batch.column(1):
             items = shingles(text.as_py(), k)
@@ -133,7 +140,7 @@ def _with_partners(batches: Iterator[pa.RecordBatch], edge: int, percent: int, b
 
 
 def _items(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches):
         found = [shingles(t.as_py(), k) for t in batch.column(1)]
         digests = [_digest(s) for s in found]
         columns = [batch.column(0), *(pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))]
@@ -248,7 +255,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     known = sizes.filter("doc_id IS NOT NULL")
     bits = docs.sparkSession.sparkContext.broadcast(_repeated_bits(known, edge))
     some = known.mapInArrow(partial(_with_partners, edge=edge, percent=percent, bits=bits), "doc_id long, n_shingles long, set_a long, set_b long")
-    some = checkpointed(some.distinct())
+    each = checkpointed(some)
+    some = checkpointed(each.distinct())
     bits.unpersist()
 
     classes = checkpointed(some.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")))
@@ -256,12 +264,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     labels = checkpointed(least_reachable(copies))
 
     wanted = small_side(checkpointed(classes.select("doc_id").distinct()), 16)
-    texts = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    sets = texts.mapInArrow(partial(_items, k=k), "doc_id long, set_a long, set_b long, items array<long>")
-    sets = sets.join(small_side(classes, 64), ["doc_id", "set_a", "set_b"]).select("doc_id", "n", "items", F.monotonically_increasing_id().alias("node"))
-    sets = checkpointed(sets)
+    texts = docs.join(wanted, "doc_id", "left_semi")
+    if each.count() > some.count():  # else no row is repeated
+        texts = texts.dropDuplicates(["doc_id", "text"])
+    found = texts.mapInArrow(partial(_items, k=k), "doc_id long, set_a long, set_b long, items array<long>")
+    found = found.join(small_side(classes, 64), ["doc_id", "set_a", "set_b"]).withColumns({"m": F.col("n"), "reach": F.expr(f"{100 - percent} * n div 100"), "region": F.lit(0).cast("long"), "node": F.monotonically_increasing_id()})
+    members = sets = checkpointed(found.drop("set_a", "set_b"))
 
-    members = sets.select(F.lit(0).cast("long").alias("region"), "node", "doc_id", "n", F.col("n").alias("m"), F.expr(f"{100 - percent} * n div 100").alias("reach"), "items")
     for level in range(DEPTH):
         inner = _regions(members, percent)
         if inner.isEmpty():

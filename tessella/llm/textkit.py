@@ -7,13 +7,14 @@ Hashes are polynomial in the bytes modulo 2**64 with a random odd base, finished
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_folder
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 _rng = np.random.Generator(np.random.PCG64(20240517))
@@ -84,14 +85,6 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:-rest], x[rest:]) if rest else x
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return context._jsc.sc().getCheckpointDir().get()
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage: write a table to the shared folder and read it again. Unlike a checkpoint it is compressed and has statistics."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
@@ -113,6 +106,11 @@ def small_side(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFram
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+def measured_side(df: DataFrame, size: str, limit: int = 32 << 20) -> DataFrame:
+    """Mark a materialised table for broadcast if the sum of an expression for its rows' bytes fits the limit; else leave the join to shuffle."""
+    return F.broadcast(df) if (df.agg(F.sum(F.expr(size))).first()[0] or 0) <= limit else df
+
+
 def bitmap_of(hashes: DataFrame, column: str, log_bits: int = 27) -> np.ndarray | None:
     """A bitmap of 2**log_bits bits with one set for each value of a long column; None if that would leave few bits unset.
 
