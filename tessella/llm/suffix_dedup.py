@@ -3,13 +3,16 @@
 A suffix is ordered only through its first `threshold` bytes, by passes of rising depth; a group that a
 pass leaves with one member holds no repeat and drops out. The passes, each a Spark grouping:
 
-1. first digit: suffixes start at anchors, the places that hold the least digit of some window of `threshold` bytes, where
+1. first digit, 64 bytes: suffixes start at anchors, the places that hold the least digit of some window of `threshold` bytes, where
    a digit is a hash of the next 64 bytes (a power of two, up to half the threshold). Equal windows hold
    equal anchors at equal offsets, so no repeat is missed.
 2. all bytes of the windows that have this anchor: anchors with equal surroundings are settled whole.
 3. other members of a group of the first pass: the bytes common to half of the possible window starts, then to an eighth.
 4. the same block, start by start, to the full depth: equal groups are exactly the repeated windows.
 
+Each pass takes the groups of the one before it apart by further bytes, up to the threshold: the bytes of a half block lie around the first digit, those of
+an eighth around those of the half, and the window around all of them. Where the groups after the second pass have one kind of surroundings, no further bytes are looked at.
+
 Windows through one anchor overlap, so what repeats around it is one run of bytes from the first to the last.
 No pass collects a group: each is a count per key and a join back, so a hot key can be split.
 Digits beyond the first pass are 64-bit hashes.
@@ -32,7 +35,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import bitmap_of, checkpointed, in_bitmap, mix, sliding_min, window_hashes
+from .textkit import bitmap_of, checkpointed, in_bitmap, mix, sliding_min, small_side, window_hashes
 
 BLOCKS = 8
 _CHUNK = 1 << 22  # bytes looked at together in a long text; the low bits of a sort key hold the place
@@ -144,28 +147,29 @@ def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
         docs.join(_fitting(open_, "at"), ["row", "copy"]).select("raw", F.inline("at"))
         .select("digit", "around", "low", "high", F.least("pos", F.lit(reach)).cast("int").alias("before"), F.expr(cut).alias("bytes"))
     )
-    halves = _blocks(pieces, 2, reach, threshold)
+    halves = _blocks(pieces, "digit", 2, reach, threshold)
     alike = halves.groupBy("core").agg((F.min("around") < F.max("around")).alias("several")).filter("several").select("core")
-    halves = checkpointed(halves.join(alike, "core", "left_semi").select("digit", "around", "first", "last"))
+    halves = checkpointed(halves.join(alike, "core", "left_semi").select("digit", "around", "first", "last", F.col("core").alias("half")))
 
     # a hull that two kinds share settles its block; else one kind for each hull goes through the block start by start
     near = pieces.join(halves, ["digit", "around"]).withColumns({"low": F.greatest("low", "first"), "high": F.least("high", "last")}).drop("first", "last")
-    blocks = _blocks(near, BLOCKS, reach, threshold)
+    blocks = _blocks(near, "half", BLOCKS, reach, threshold)
     kinds = checkpointed(blocks.groupBy("core", "hull").agg(F.min("around").alias("around"), F.max("around").alias("other")))
     split = kinds.groupBy("core").agg((F.min("hull") < F.max("hull")).alias("several")).filter("several").select("core")
     by_hull = blocks.join(kinds.filter("around < other").select("core", "hull"), ["core", "hull"], "left_semi").select("digit", "around", F.greatest("low", "first").alias("low"), F.least("high", "last").alias("high"))
     single = kinds.join(split, "core", "left_semi").select("core", "hull", "around")
-    starts = checkpointed(blocks.join(single, ["core", "hull", "around"], "left_semi").select("digit", "around", "first", "last"))
+    starts = checkpointed(blocks.join(single, ["core", "hull", "around"], "left_semi").select("digit", "around", "first", "last", "core"))
     windows = pieces.join(starts, ["digit", "around"]).withColumn("start", F.explode(F.sequence(F.greatest("low", "first"), F.least("high", "last"))))
-    window = F.xxhash64("digit", "start", F.expr(f"substring(bytes, before - start + 1, {threshold})"))
+    window = F.xxhash64("core", "start", F.expr(f"substring(bytes, before - start + 1, {threshold})"))
     windows = checkpointed(windows.select("digit", "around", F.col("start").cast("short").alias("start"), window.alias("window")))
     equal = windows.groupBy("window").agg((F.min("around") < F.max("around")).alias("several")).filter("several").select("window")
     by_start = windows.join(equal, "window", "left_semi").select("digit", "around", F.col("start").alias("low"), F.col("start").alias("high"))
     whole = contexts.filter("n > 1").select("digit", "around", "low", "high")
-    settled = whole.union(by_hull).union(by_start).groupBy("digit", "around").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    settled = checkpointed(whole.union(by_hull).union(by_start).groupBy("digit", "around").agg(F.min("low").alias("low"), F.max("high").alias("high")))
 
     span = F.struct((F.col("pos") - F.col("high")).alias("first"), (F.col("pos") - F.col("low") + threshold).alias("last"))
-    spans = found.drop("low", "high").join(settled, ["digit", "around"]).groupBy("row", "copy").agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    # settled is a table, so that both sides of the join are dealt anew and a passage with very many anchors can be split
+    spans = found.drop("low", "high").join(small_side(settled, 64), ["digit", "around"]).groupBy("row", "copy").agg(F.sort_array(F.collect_list(span)).alias("spans"))
     # runs that overlap become one
     joined = """aggregate(spans, cast(array() as array<struct<first: bigint, last: bigint>>), (done, s) ->
         if(size(done) > 0 and s.first <= done[size(done) - 1].last,
@@ -174,15 +178,16 @@ def repeated_spans(docs: DataFrame, threshold: int = 200) -> DataFrame:
     return spans.select("row", "copy", F.expr(joined).alias("spans"))
 
 
-def _blocks(pieces: DataFrame, n: int, reach: int, threshold: int) -> DataFrame:
-    """The n blocks of starts that a piece's windows lie in: first and last start, what all windows of the block hold (core), and all that they touch (hull)."""
+def _blocks(pieces: DataFrame, group: str, n: int, reach: int, threshold: int) -> DataFrame:
+    """The n blocks of starts that a piece's windows lie in: first and last start, the group by what all windows of the block hold (core), within
+    the group of the pass before, and all that they touch (hull)."""
     step = (reach + 1) // n
     number = F.explode(F.sequence(F.least(F.expr(f"int(low div {step})"), F.lit(n - 1)), F.least(F.expr(f"int(high div {step})"), F.lit(n - 1))))
     last = F.when(F.col("block") < n - 1, (F.col("block") + 1) * step - 1).otherwise(reach)
     blocks = pieces.withColumn("block", number).withColumns({"first": F.col("block") * step, "last": last})
     core = F.expr(f"substring(bytes, before - first + 1, {threshold} + first - last)")
     hull = F.expr(f"substring(bytes, greatest(before - last, 0) + 1, least(before, last) - first + {threshold})")
-    return blocks.select("digit", "around", "low", "high", "first", "last", F.xxhash64("digit", "block", core).alias("core"), F.xxhash64(F.greatest(F.col("last") - F.col("before"), F.lit(0)), hull).alias("hull"))
+    return blocks.select("digit", "around", "low", "high", "first", "last", F.xxhash64(group, "block", core).alias("core"), F.xxhash64(F.greatest(F.col("last") - F.col("before"), F.lit(0)), hull).alias("hull"))
 
 
 def _fitting(found: DataFrame, column: str, limit: int = 48 << 20) -> DataFrame:
