@@ -26,20 +26,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates. Rows without words or doc_id stay, as do all rows with the doc_id that stays."""
     return jaccard.keep_one(docs, k=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that no item contaminates, each row judged by its own text; null and empty texts stay."""
     return decontam.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data masked; n_chars is that of the masked text."""
+    """Texts with personal data masked; n_chars is that of the masked text. Null texts stay null, and every row stays."""
     masked = pii.mask(docs)
     return masked.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else masked
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row of token ids for each row; null and empty texts have none."""
     return bpe.encode(docs, vocabulary_path()).select("doc_id", "lang", "source", "n_tokens", "ids")
 
 
