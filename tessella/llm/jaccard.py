@@ -178,15 +178,21 @@ def _fits(percent: int) -> str:
     return " AND ".join([*sides, f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)", "x.doc_id != y.doc_id"])
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs (a, b) of nodes -> the links (a, b) of doc_ids among them, by whole sets."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("doc_id").alias(f"id_{x}"), F.col("items").alias(f"items_{x}"))
+def _with_items(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
+    """A table of pairs (a, b) of nodes, with id_a, items_a, id_b and items_b. Only the sets of these nodes are shuffled."""
+    nodes = checkpointed(pairs.select(F.col(a).alias("node")).union(pairs.select(b)).distinct())
+    held = sets.select("node", "doc_id", "items").join(small_side(nodes, 16), "node", "left_semi")
+    side = lambda x: held.select(F.col("node").alias(x), F.col("doc_id").alias(f"id_{x}"), F.col("items").alias(f"items_{x}"))
+    return pairs.join(side(a), a).join(side(b), b)
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """pairs (a, b) of nodes -> the links (a, b) of doc_ids among them, by whole sets; None without pairs."""
+    pairs = checkpointed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if pairs.isEmpty():
+        return None
     both = F.size(F.array_intersect("items_a", "items_b"))
-    exact = pairs.join(side("a"), "a").join(side("b"), "b").filter(100 * both >= percent * (F.size("items_a") + F.size("items_b") - both))
+    exact = _with_items(pairs, sets, "a", "b").filter(100 * both >= percent * (F.size("items_a") + F.size("items_b") - both))
     return checkpointed(exact.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
 
 
@@ -194,9 +200,9 @@ def _named(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
 
 
-def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """The labels with more links; links is a table."""
-    if links.isEmpty():
+def _merged(labels: DataFrame, links: DataFrame | None) -> DataFrame:
+    """The labels with more links; links is a table or None."""
+    if links is None or links.isEmpty():
         return labels
     return checkpointed(least_reachable(labels.select(F.col("doc_id").alias("a"), F.col("component").alias("b")).union(links)))
 
@@ -231,8 +237,7 @@ def _from_pivot(large: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFr
     """
     pivots = large.groupBy("region").agg(F.min_by(F.struct("node", "n"), F.struct("depth", "node")).alias("p")).select("region", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_p"))
     seen = checkpointed(large.select("region", "node", "doc_id", "n").join(pivots, "region").filter("node != pivot"))
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("doc_id").alias(f"id_{x}"), F.col("items").alias(f"items_{x}"))
-    apart = seen.select("node", "pivot").distinct().join(side("node"), "node").join(side("pivot"), "pivot")
+    apart = _with_items(checkpointed(seen.select("node", "pivot").distinct()), sets, "node", "pivot")
     apart = checkpointed(apart.select("node", "pivot", "id_node", "id_pivot", F.concat(F.array_except("items_node", "items_pivot"), F.array_except("items_pivot", "items_node")).alias("items")))
     m = F.size("items").cast("long")
     inside = m * (100 + percent) <= (100 - percent) * (F.col("n") + F.col("n_p"))
@@ -282,7 +287,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         few = F.lit(True) if level + 1 == DEPTH else F.col("in_region") <= SMALL
         x, y = left.filter(few).alias("x"), left.filter(few).alias("y")
         pairs = x.join(y, F.expr(f"x.region = y.region AND x.component < y.component AND {_fits(percent)}")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        labels = _merged(labels, _linked(_ordered(pairs).distinct(), sets, percent))
+        labels = _merged(labels, _linked(pairs, sets, percent))
         large = left.filter(~few)
         if large.isEmpty():
             break
@@ -301,11 +306,11 @@ def _star(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int)
     met = x.join(y, F.expr(f"x.region = y.region AND x.node != y.node AND {_fits(percent)}")).select(F.col("x.node").alias("a"), F.col("x.doc_id").alias("id_a"), F.col("y.node").alias("b"), F.col("y.doc_id").alias("id_b"))
     met = checkpointed(met.groupBy("a", "id_a", "b", "id_b").agg(F.count("*").alias("times")))
     first = met.groupBy("a").agg(F.max_by("b", F.struct("times", -F.col("b"))).alias("b"))
-    labels = _merged(labels, _linked(_ordered(first).distinct(), sets, percent))
+    labels = _merged(labels, _linked(first, sets, percent))
     left, right = (labels.select(F.col("doc_id").alias(f"id_{s}"), F.col("component").alias(f"component_{s}")) for s in "ab")
     rest = met.join(first, ["a", "b"], "left_anti").join(left, "id_a", "left").join(right, "id_b", "left")
     rest = rest.filter(F.coalesce("component_a", "id_a") != F.coalesce("component_b", "id_b"))
-    return _merged(labels, _linked(_ordered(rest).distinct(), sets, percent))
+    return _merged(labels, _linked(rest.select("a", "b"), sets, percent))
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
