@@ -11,7 +11,7 @@ from ..functions.text import html_escaped
 from ..sources.volumes import GLOSSARY_FIELDS
 
 SECTION = ["work", "juan", "idx"]
-SMALL_GLOSSARIES = 100_000  # words of all works that may be broadcast
+SMALL_GLOSSARIES = 16 << 20  # bytes of all works' words that may be broadcast
 
 
 def typed_terms(glossaries: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def term_hits(texts: DataFrame, text: str, words: DataFrame) -> DataFrame:
     begun = words.filter("word != ''").join(size, "work").withColumn("gram", F.expr("substring(word, 1, q)")).drop("q")
     # a look-ahead takes all n-grams in one pass; substring() would count from the start of the text each time
     all_grams = F.array_distinct(F.regexp_extract_all(text, F.concat(F.lit("(?s)(?=(.{"), F.col("q").cast("string"), F.lit("}))")), F.lit(1)))
-    if words.count() <= SMALL_GLOSSARIES:  # then each text keeps only grams that some word begins with, and nothing is shuffled before the words are found
+    if (words.agg(F.sum(F.octet_length("word") + 64)).first()[0] or 0) <= SMALL_GLOSSARIES:  # then each text keeps only grams that some word begins with, and nothing is shuffled before the words are found
         wanted = begun.groupBy("work").agg(F.collect_set("gram").alias("wanted")).join(size, "work")
         cut = texts.join(F.broadcast(wanted), "work").filter(F.char_length(text) >= F.col("q"))
         grams = cut.select(*keys, text, F.explode(F.array_intersect(all_grams, "wanted")).alias("gram"))
