@@ -185,6 +185,11 @@ class TrieEncoder:
                     yield list(map(self.words.__getitem__, words))
                 group, held = [], 0
 
+    def forget(self) -> None:
+        """Let go of what was learnt of words; a worker that goes on to other work need not hold it."""
+        self.words.clear()
+        self.compatible.clear()
+
     def decode(self, ids: Iterable[int]) -> str:
         """As the library's decode(ids, skip_special_tokens=False) without a decoder: tokens joined by spaces."""
         return " ".join(self.name[i] for i in ids)
@@ -206,6 +211,7 @@ def _ids(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatc
             part = batch.slice(first, 512)
             ids = [np.fromiter((i for w in words for i in w[0]), np.int32) for words in encoder(path).parts(part.column(at).to_pylist())]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32()))], [*part.schema.names, "n_tokens", "ids"])
+    encoder(path).forget()
 
 
 def _digests(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
