@@ -211,7 +211,8 @@ def _ids(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatc
             part = batch.slice(first, 512)
             ids = [np.fromiter((i for w in words for i in w[0]), np.int32) for words in encoder(path).parts(part.column(at).to_pylist())]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32()))], [*part.schema.names, "n_tokens", "ids"])
-    encoder(path).forget()
+    if path in _encoders:
+        encoder(path).forget()
 
 
 def _digests(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
