@@ -67,3 +67,13 @@ d AS (SELECT domain, suffix, (bad + k.s * s.m) / (n + k.s) AS m FROM domains JOI
 ab AS (SELECT name, bad + k.s * d.m AS a, n - bad + k.s * (1 - d.m) AS b FROM hosts JOIN d USING (domain, suffix), hosts_strength k),
 blocked AS (SELECT name FROM ab WHERE a / (a + b) - {urls.DEVIATIONS} * sqrt(a / (a + b) * (b / (a + b)) / (a + b + 1)) > {urls.ACCEPTED})
 SELECT page_id, host, path, {_RULE} AS rule, coalesce({_VERDICT}, CASE WHEN name IN (SELECT name FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict FROM q"""
+
+#: Holds where no row without vec_id and no repeated anchor row is found.
+NEGATIVES = """WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+a AS (SELECT DISTINCT vec_id, label, x FROM e WHERE vec_id % 100 = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, e.label, e.vec_id AS other, CAST(list_sum(list_transform(list_zip(a.x, e.x), lambda p: p[1] * p[2])) AS BIGINT) AS score FROM a JOIN e ON len(a.x) = len(e.x)),
+p AS (SELECT anchor_id, own, other AS positive_id, score AS positive_score FROM s WHERE label = own AND other <> anchor_id QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+r AS (SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> p.own WHERE 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT * FROM r WHERE rank <= 5"""

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, jaccard, langid, lm, oracle, pii, quality, suffix_dedup, urls, warc
+from . import blocks, bpe, decontam, jaccard, langid, lm, negatives, oracle, pii, quality, suffix_dedup, urls, warc, whitening
 from .textkit import table
 
 
@@ -80,6 +80,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_quality_rules, op2_suffix_dedup, op3_warc_segments, op4_bpe_trie, op5_decontamination, op6_url_filter, op7_jaccard_join, op8_class_lm, op9_pii_crf, op10_language_id, quality_ablations)
+def op11_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per row and component. Rows whose vector is null, holds null or non-finite entries or has an unusual length are left out; a repeated vector counts once in the fit; one vector or none, no rows."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per anchor, positive and rank. Nulls take no part; ties go to the smaller vec_id; repeated anchor rows are one anchor, repeated candidates count each; no rows, or none of another label, no rows."""
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_block_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per row. Null, empty and text-free pages have an empty text; repeated pages are extracted alike; no pages, no rows."""
+    return blocks.extract(table(spark, sf_dir, "pages"))
+
+
+_ALL = (op1_quality_rules, op2_suffix_dedup, op3_warc_segments, op4_bpe_trie, op5_decontamination, op6_url_filter, op7_jaccard_join, op8_class_lm, op9_pii_crf, op10_language_id, op11_feast_whitening, op12_threshold_negatives, op13_block_extraction, quality_ablations)
 QUERIES = {f.__name__: f for f in _ALL}
-SQL = {"op1_quality_rules": oracle.QUALITY, "quality_ablations": oracle.ABLATIONS, "op6_url_filter": oracle.URLS}
+SQL = {"op1_quality_rules": oracle.QUALITY, "quality_ablations": oracle.ABLATIONS, "op6_url_filter": oracle.URLS, "op12_threshold_negatives": oracle.NEGATIVES}
