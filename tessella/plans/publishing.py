@@ -13,6 +13,7 @@ from ..sources import markup
 from ..sources import volumes as vol
 from ..sources.shared import shared_folder, written
 from ..streaming import jobs as streams
+from ..streaming import volumes as volume_streams
 from . import bindings as b
 from . import oracle as o
 from .registry import query
@@ -255,14 +256,14 @@ def _stream(spark, sf_dir):
     return events.select(F.col("user_id").alias("job_id"), F.get_json_object("props", "$.k").cast("int").alias("juan"), "ts", F.col("event_id").alias("seq"), state.alias("state"), F.col("event_type").alias("message"))
 
 
-def _drained(spark, stream, keys, order):
+def _drained(spark, stream, keys, mode):
     """Run a stream over what is there; the last update of each key."""
     path = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
     def sink(batch, number):
         batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(f"{path}/out")
 
-    stream.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     out = spark.read.parquet(f"{path}/out")
     columns = [c for c in out.columns if c not in (*keys, "batch")]
     return out.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch").alias("s")).select(*keys, "s.*")
@@ -270,26 +271,49 @@ def _drained(spark, stream, keys, order):
 
 @query(o.EVENTS_SQL + "SELECT job_id, juan, state, ts FROM volumes")
 def stream_job_status(spark, sf_dir):
-    status = _drained(spark, streams.stream_job_status(_stream(spark, sf_dir)), ["job_id", "juan"], "ts")
+    status = _drained(spark, streams.stream_job_status(_stream(spark, sf_dir)), ["job_id", "juan"], "update")
     return status.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@query(o.EVENTS_SQL + """, v AS (SELECT job_id, CASE WHEN juan % 5 > 0 THEN juan END AS juan, CASE WHEN juan % 5 > 0 THEN state WHEN state = 'failed' THEN 'cancelled' ELSE 'running' END AS state, ts, seq FROM job_events WHERE juan IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY job_id, juan ORDER BY ts DESC, seq DESC) AS r FROM v), last AS (SELECT *, CASE WHEN state = 'held' THEN ts + INTERVAL 1 HOUR END AS resume_at FROM n WHERE r = 1),
+g AS (SELECT job_id, list_sort(coalesce(list(juan) FILTER (WHERE state = 'failed' AND juan IS NOT NULL), []::INTEGER[])) AS failed, list_sort(coalesce(list(juan) FILTER (WHERE state = 'held'), []::INTEGER[])) AS held, min(resume_at) AS earliest, count(*) FILTER (WHERE state = 'cancelled') > 0 AS gone FROM last GROUP BY job_id)
+SELECT job_id, CASE WHEN gone THEN 'cancelled' WHEN len(failed) > 0 THEN 'failed' WHEN len(held) > 0 THEN 'waiting_model' ELSE 'done' END AS state, CASE WHEN NOT gone AND len(failed) = 0 AND len(held) > 0 THEN earliest END AS resume_at, failed, held FROM g""")
+def stream_job_rollup(spark, sf_dir):
+    """The outcome of each job from the stream of all its events; those of every fifth volume speak of the whole job, which a failure cancels."""
+    whole = F.col("juan") % 5 == 0
+    state = F.when(~whole, F.col("state")).when(F.col("state") == "failed", "cancelled").otherwise("running")
+    events = _stream(spark, sf_dir).filter("juan IS NOT NULL").withColumn("state", state).withColumn("juan", F.when(~whole, F.col("juan")))
+    events = events.withColumn("resume_at", F.when(F.col("state") == "held", F.col("ts") + F.expr("interval 1 hour")))
+    return _drained(spark, streams.stream_job_rollup(events), ["job_id"], "append").withColumn("resume_at", F.col("resume_at").cast("timestamp_ntz"))
+
+
 @query(o.EVENTS_SQL + ", r AS (SELECT job_id, seq, ts, row_number() OVER (PARTITION BY job_id ORDER BY ts DESC, seq DESC) AS rank FROM job_events) SELECT job_id, list(seq ORDER BY ts, seq) AS seqs FROM r WHERE rank <= 50 GROUP BY job_id")
 def stream_log_tail(spark, sf_dir):
-    return _drained(spark, streams.stream_log_tail(_stream(spark, sf_dir).select("job_id", "ts", "seq", "message")), ["job_id"], "seqs").drop("messages")
+    return _drained(spark, streams.stream_log_tail(_stream(spark, sf_dir).select("job_id", "ts", "seq", "message")), ["job_id"], "update").drop("messages")
 
 
-@query(o.SECTIONS_SQL + "SELECT work || '.' || (juan // 1000) AS work, CAST(juan % 1000 AS INTEGER) AS juan, count(*) AS n_sections, CAST(sum(length(regexp_replace(source, '^[\\s]+|[\\s]+$', '', 'g'))) AS BIGINT) AS n_chars FROM sections GROUP BY work, juan")
+@query(o.SECTIONS_SQL + "SELECT work || '.' || (juan // 1000) AS work, CAST(juan % 1000 AS INTEGER) AS juan, CAST(idx AS INTEGER) AS idx, length(regexp_replace(source, '^[\\s]+|[\\s]+$', '', 'g')) + CASE WHEN juan % 3 = 0 THEN 1 ELSE 0 END AS n_chars FROM sections WHERE NOT (juan % 30 = 0 AND idx > 0)")
 def stream_sections(spark, sf_dir):
-    """Volume files read as a stream into partitions by volume. As names have three digits for the volume, every thousand documents are a work of their own."""
+    """Volume files read as a stream into partitions by volume; then every third is edited, which adds a mark to each source or cuts all sections but the first, and is read again.
+
+    As names have three digits for the volume, every thousand documents are a work of their own.
+    """
     from ..operators.coverage import segment_source_join
 
-    base = f"{shared_folder(spark)}/volumes-{uuid.uuid4().hex}"
-    joined = segment_source_join(b.lines(spark, sf_dir), b.segments(spark, sf_dir)).withColumn("source", F.translate("source", "#>", "＃＞"))
-    volumes = vol.render_volume_markdown(joined, joined.select("work", F.col("work").alias("work_title")).distinct())
-    # one file per volume, in a folder that carries its name, as Spark's writers choose the file's own name
+    base, out = (f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}" for kind in ("volumes", "sections"))
+    joined = written(segment_source_join(b.lines(spark, sf_dir), b.segments(spark, sf_dir)).withColumn("source", F.translate("source", "#>", "＃＞")))
+    titles = joined.select("work", F.col("work").alias("work_title")).distinct()
     name = F.format_string("%s.%d-%03d-baihua", "work", F.expr("juan div 1000"), F.col("juan") % 1000)
-    volumes.select(name.alias("name"), "value").write.partitionBy("name").option("lineSep", "\n").text(base)
-    out = f"{shared_folder(spark)}/sections-{uuid.uuid4().hex}"
-    streams.stream_sections(spark, base, streams.overwrite_volumes(out), f"{out}-checkpoint", by_folder=True).awaitTermination()
-    return spark.read.parquet(out).groupBy("work", "juan").agg(F.count("*").alias("n_sections"), F.sum(F.char_length("source")).cast("long").alias("n_chars"))
+
+    def put(sections):
+        # one file per volume, in a folder that carries its name, as Spark's writers choose the file's own name
+        volumes = vol.render_volume_markdown(sections, titles)
+        volumes.select(name.alias("name"), "value").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("name").option("lineSep", "\n").text(base)
+        while volume_streams.poll_volumes(spark, base, f"{out}-ledger", by_folder=True) == volume_streams.MAX_FILES:
+            pass
+        volume_streams.stream_sections(spark, f"{out}-ledger", volume_streams.overwrite_volumes(out), f"{out}-checkpoint").awaitTermination()
+
+    put(joined)
+    put(joined.filter("juan % 3 = 0 AND NOT (juan % 30 = 0 AND number > 1)").withColumn("source", F.concat(F.regexp_replace("source", r"(?U)\s+\z", ""), F.lit("!"))))
+    return volume_streams.current_sections(spark, out).select("work", "juan", "idx", F.char_length("source").cast("long").alias("n_chars"))

@@ -13,6 +13,7 @@ from ..functions.text import chinese_number, found, lines_of, trim_u
 
 NAME = r"([A-Za-z][A-Za-z0-9._-]*)-(\d{3})-baihua"
 WORK_ID = r"^[A-Za-z][A-Za-z0-9._-]*\z"
+HEADING = r"(?dmU)^##\s+"  # begins a section
 GLOSSARY_FIELDS = ("display", "id", "plain", "rule", "source_terms", "status", "translation_patterns", "xuanzang")
 
 
@@ -42,7 +43,7 @@ def _read_section(part: Column) -> Column:
 
 def parse_sections(volumes: DataFrame) -> DataFrame:
     """(work, juan, value) -> a row per section: work, juan, idx from 0, title, range_label, start_id, end_id, source, translation, note, error."""
-    parts = volumes.select("work", "juan", F.posexplode(F.split("value", r"(?dmU)^##\s+")).alias("pos", "part")).filter("pos > 0")
+    parts = volumes.select("work", "juan", F.posexplode(F.split("value", HEADING)).alias("pos", "part")).filter("pos > 0")
     read = parts.select("work", "juan", (F.col("pos") - 1).alias("idx"), _read_section(F.col("part")).alias("s")).select("work", "juan", "idx", "s.x.*", "s.span")
     missing = F.array_join(F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(n)) for c, n in (("range_label", "Range"), ("source", "Source"), ("translation", "Translation"))))), ", ")
     error = F.when(missing != "", F.concat(F.lit("missing "), missing)).when(F.col("span").isNull(), F.concat(F.lit("invalid range "), F.col("range_label")))

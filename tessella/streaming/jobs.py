@@ -1,36 +1,107 @@
-"""Incremental forms of the batch transforms on Structured Streaming."""
+"""Incremental forms of the batch transforms on Structured Streaming.
+
+State is kept in RocksDB: a value per job and volume, a map of open volumes per job, a list of log rows per job. The functions that need that
+store set it for the session, as Spark asks for it when a query starts; queries that were started before keep the one of their checkpoint.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..sources.volumes import parse_sections, work_juan_from_path
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+STATUS = "job_id long, juan int, state string, ts timestamp, seq long, resume_at timestamp"
+ROLLUP = "job_id long, state string, resume_at timestamp, failed array<int>, held array<int>"
 
-def stream_sections(spark: SparkSession, folder: str, sink: Callable[[DataFrame, int], None], checkpoint: str, by_folder: bool = False) -> StreamingQuery:
-    """Parse volume files as they come and hand each micro-batch's sections to sink, which overwrites the partitions of the volumes in it.
 
-    by_folder: the volume's name is in the file's path, not in its name.
-    """
-    files = spark.readStream.format("text").schema("value string").option("wholetext", True).option("recursiveFileLookup", True).load(folder)
-    name = F.regexp_extract("_metadata.file_path", r"([^/=]+)/[^/]*\z", 1) if by_folder else F.col("_metadata.file_name")
-    named = files.select("value", work_juan_from_path(name).alias("v")).filter("v IS NOT NULL").select("v.work", "v.juan", "value")
-    return parse_sections(named).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def _in_rocks(events: DataFrame) -> DataFrame:
+    events.sparkSession.conf.set(STORE, ROCKS)
+    return events
+
+
+def _none(x):
+    return None if x is None or x is pd.NaT or x != x else x
+
+
+def _instant(x):
+    """A pandas time as what the state store takes; null stays null."""
+    x = _none(x)
+    return None if x is None else pd.Timestamp(x).to_pydatetime()
+
+
+class _Latest(StatefulProcessor):
+    """Per job and volume: the state with the greatest (ts, seq). Gives a row where it changed."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.latest = handle.getValueState("latest", "state string, ts timestamp, seq long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best = before = self.latest.get() if self.latest.exists() else None
+        resume = None
+        for frame in rows:
+            for state, ts, seq, again in zip(frame.state, frame.ts, frame.seq, frame.resume_at, strict=True):
+                row = (_none(state), _instant(ts), int(seq))
+                if best is None or row[1:] > (_instant(best[1]), best[2]):
+                    best, resume = row, _instant(again)
+        if best is not before:
+            self.latest.update(best)
+            yield pd.DataFrame({"job_id": [key[0]], "juan": pd.array([int(key[1]) if key[1] else None], "Int32"), "state": [best[0]], "ts": [best[1]], "seq": [best[2]], "resume_at": pd.to_datetime([resume])})
+
+    def close(self) -> None:
+        pass
 
 
-def overwrite_volumes(path: str) -> Callable[[DataFrame, int], None]:
-    """A sink that replaces only the work and volume partitions that a micro-batch touches."""
+class _Rollup(StatefulProcessor):
+    """Per job: its failed and held volumes, and whether it was cancelled. Volumes in other states take no state. Gives the job's row whenever one of its volumes changed."""
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("work", "juan").parquet(path)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open = handle.getMapState("open", "juan int", "state string, resume_at timestamp")
+        self.gone = handle.getValueState("gone", "gone boolean")
 
-    return write
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            for juan, state, resume in zip(frame.juan, frame.state, frame.resume_at, strict=True):
+                if _none(juan) is None:
+                    self.gone.update((state == "cancelled",))
+                elif state in ("failed", "held"):
+                    self.open.updateValue((int(juan),), (state, _instant(resume)))
+                elif self.open.containsKey((int(juan),)):
+                    self.open.removeKey((int(juan),))
+        volumes = [(k[0], v[0], _instant(v[1])) for k, v in self.open.iterator()]
+        failed, held = (sorted(juan for juan, state, _ in volumes if state == of) for of in ("failed", "held"))
+        gone = self.gone.exists() and self.gone.get()[0]
+        state = "cancelled" if gone else "failed" if failed else "waiting_model" if held else "done"
+        resume = min((r for _, s, r in volumes if s == "held" and r is not None), default=None) if state == "waiting_model" else None
+        yield pd.DataFrame({"job_id": [key[0]], "state": [state], "resume_at": pd.to_datetime([resume]), "failed": [failed], "held": [held]})
+
+    def close(self) -> None:
+        pass
+
+
+class _Tail(StatefulProcessor):
+    """Per job: its last n log rows, as a list. Gives the list whenever it grew."""
+
+    n = 50
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.rows = handle.getListState("rows", "ts timestamp, seq long, message string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        kept = [(_instant(ts), seq, message) for ts, seq, message in self.rows.get()] if self.rows.exists() else []
+        for frame in rows:
+            kept += [(_instant(ts), int(seq), _none(message)) for ts, seq, message in zip(frame.ts, frame.seq, frame.message, strict=True)]
+            kept = sorted(kept, key=lambda r: r[:2])[-self.n :]
+        self.rows.put(kept)
+        yield pd.DataFrame({"job_id": [key[0]], "seqs": [[r[1] for r in kept]], "messages": [[r[2] for r in kept]]})
+
+    def close(self) -> None:
+        pass
 
 
 def stream_job_status(events: DataFrame) -> DataFrame:
@@ -39,15 +110,22 @@ def stream_job_status(events: DataFrame) -> DataFrame:
     return events.groupBy("job_id", "juan").agg(latest.alias("s")).select("job_id", "juan", "s.state", "s.ts")
 
 
-def stream_log_tail(log: DataFrame, n: int = 50) -> DataFrame:
-    """Streaming log (job_id, ts, seq, message) -> after each micro-batch the job's last n rows, as arrays. The state is n rows per job."""
+def stream_job_rollup(events: DataFrame) -> DataFrame:
+    """Streaming events (job_id, juan, state, ts, seq, resume_at) -> job_id, state, resume_at, failed, held: what job_rollup() gives, for each job with a change, after each micro-batch.
 
-    def tail(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = list(zip(*state.get, strict=True)) if state.exists else []
-        for frame in frames:
-            rows += list(zip(frame.ts, frame.seq.tolist(), frame.message.tolist(), strict=True))
-            rows = sorted(rows, key=lambda r: (r[0], r[1]))[-n:]
-        state.update(tuple(map(list, zip(*rows, strict=True))))
-        yield pd.DataFrame({"job_id": [key[0]], "seqs": [[r[1] for r in rows]], "messages": [[r[2] for r in rows]]})
+    Two stateful steps in one stream: the latest state of each volume, so a job with very many events is many keys, and the failed and held
+    volumes of each job, from changes only. Of events with equal (ts, seq) the first to come counts. Events without job, ts or seq are left out. An event without
+    juan speaks of the whole job: it is cancelled from one in state cancelled until a later one in another state. To be written in append mode.
+    """
+    placed = events.select("job_id", "juan", "state", "ts", "seq", "resume_at").filter("job_id IS NOT NULL AND ts IS NOT NULL AND seq IS NOT NULL")
+    named = placed.withColumn("volume", F.coalesce(F.col("juan").cast("string"), F.lit("")))  # as keys that are null get lost among others in a batch
+    latest = _in_rocks(named).groupBy("job_id", "volume").transformWithStateInPandas(_Latest(), STATUS, "Append", "None")
+    return latest.groupBy("job_id").transformWithStateInPandas(_Rollup(), ROLLUP, "Append", "None")
 
-    return log.groupBy("job_id").applyInPandasWithState(tail, "job_id long, seqs array<long>, messages array<string>", "ts array<timestamp>, seq array<long>, message array<string>", "update", GroupStateTimeout.NoTimeout)
+
+def stream_log_tail(log: DataFrame, n: int = 50) -> DataFrame:
+    """Streaming log (job_id, ts, seq, message) -> job_id, seqs, messages: after each micro-batch the last n rows of each job with new ones. Rows without job, ts or seq are left out. To be written in update mode."""
+    tail = _Tail()
+    tail.n = n
+    placed = log.select("job_id", "ts", "seq", "message").filter(F.col("job_id").isNotNull() & F.col("ts").isNotNull() & F.col("seq").isNotNull())
+    return _in_rocks(placed).groupBy("job_id").transformWithStateInPandas(tail, "job_id long, seqs array<long>, messages array<string>", "Update", "None")
