@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from tessella.llm import bpe, decontam, jaccard, pii, quality
 from tessella.llm.queries import vocabulary_path
-from tessella.llm.textkit import shared_folder, table
+from tessella.llm.textkit import quoted, shared_folder, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the policy keeps; rows without a doc_id are judged like the others."""
     toxic = quality.toxic_words(docs, table(spark, sf_dir, "labels"))
     # the whole row stands in for the id, so rows with the same id are judged one by one
-    judged = quality.ledger(docs.select(F.struct(*docs.columns).alias("doc_id"), "text"), toxic)
+    judged = quality.ledger(docs.select(F.struct(*quoted(docs.columns)).alias("doc_id"), "text"), toxic)
     return judged.filter(quality.passes("v1")).select("doc_id.*")
 
 

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 _NEVER = 1 << 60
@@ -248,15 +249,15 @@ def _texts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """Adds n_tokens long and ids array<int>, the encoding of the whole text (replacing columns so named)."""
     docs = docs.drop("n_tokens", "ids")
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.mapInArrow(partial(_ids, path=path), f"{schema}, n_tokens long, ids array<int>")
+    schema = T.StructType(docs.schema.fields + [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return docs.mapInArrow(partial(_ids, path=path), schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Adds decoded string, the text of the ids (replacing a column so named)."""
     encoded = encoded.drop("decoded")
-    schema = ", ".join(f"`{c}` {t}" for c, t in encoded.dtypes)
-    return encoded.mapInArrow(partial(_texts, path=path), f"{schema}, decoded string")
+    schema = T.StructType(encoded.schema.fields + [T.StructField("decoded", T.StringType())])
+    return encoded.mapInArrow(partial(_texts, path=path), schema)
 
 
 def encoding_digests(docs: DataFrame, path: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import bitmap_of, checkpointed, in_bitmap, measured_side, small_side, span_hashes
+from .textkit import bitmap_of, checkpointed, in_bitmap, measured_side, quoted, small_side, span_hashes
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -162,4 +162,4 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, seed: int = 5, coverag
     keyed = docs.withColumn(key, F.xxhash64("text"))
     texts = keyed.select(F.col(key).alias("doc_id"), "text")
     found = contaminations(texts, benchmark, seed, coverage).select(F.col("doc_id").alias(key)).distinct()
-    return keyed.join(found, key, "left_anti").drop(key).select(*docs.columns)
+    return keyed.join(found, key, "left_anti").drop(key).select(*quoted(docs.columns))

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -300,9 +301,8 @@ def find(docs: DataFrame, belief: float = 0.9) -> DataFrame:
     if set(_SPANS) & set(docs.columns):
         raise ValueError(f"the columns {_SPANS} are added; rename those that docs has")
     field = docs.sparkSession.sparkContext.broadcast(train(docs))
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    spans = "array<struct<kind: string, start: bigint, end: bigint>>"
-    return docs.mapInArrow(partial(_found, field=field, belief=belief), f"{schema}, pii_base {spans}, pii_further {spans}")
+    spans = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+    return docs.mapInArrow(partial(_found, field=field, belief=belief), T.StructType(docs.schema.fields + [T.StructField(name, spans) for name in _SPANS]))
 
 
 def _joined(*columns: str) -> F.Column:
@@ -343,5 +343,4 @@ def mask(docs: DataFrame, belief: float = 0.9) -> DataFrame:
     All columns stay as they are but text. Null texts stay null.
     """
     field = docs.sparkSession.sparkContext.broadcast(train(docs))
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.mapInArrow(partial(_masked, field=field, belief=belief, text_at=docs.columns.index("text")), schema)
+    return docs.mapInArrow(partial(_masked, field=field, belief=belief, text_at=docs.columns.index("text")), docs.schema)

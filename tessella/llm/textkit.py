@@ -8,9 +8,10 @@ Hashes are polynomial in the bytes modulo 2**64 with a random odd base, finished
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import shared_folder
@@ -132,5 +133,10 @@ def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
+def quoted(names: Iterable[str]) -> list[Column]:
+    """Columns by name, whatever characters the names have."""
+    return [F.col(f"`{name.replace('`', '``')}`") for name in names]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -52,10 +52,11 @@ def test_empty_tables(spark, tmp_path):
 
 def test_columns_with_clashing_names_pass(spark, tmp_path):
     docs = tables(spark, str(tmp_path))
-    names = ["base", "further", "text_key", "region", "component_id", "items", "entry", "row", "pii_base"]
+    names = ["base", "further", "text_key", "region", "component_id", "items", "entry", "row", "pii_base", "a.b"]
     for name in names:
         docs = docs.withColumn(name, docs.doc_id)
     for _, stage in corpus_pipeline.STAGES[:4]:
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns[5:] == names
     assert {r.doc_id for r in docs.collect()} == {*range(12), None, 27} == {r.pii_base for r in docs.collect()}
+    assert corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path)).count() == docs.count()
