@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from .textkit import map_batches
+
 _NEVER = 1 << 60
 _CACHED_WORDS = 200_000
 _CACHED_PAIRS = 1_000_000
@@ -249,15 +251,13 @@ def _texts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """Adds n_tokens long and ids array<int>, the encoding of the whole text (replacing columns so named)."""
     docs = docs.drop("n_tokens", "ids")
-    schema = T.StructType(docs.schema.fields + [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(partial(_ids, path=path), schema)
+    return map_batches(docs, partial(_ids, path=path), [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Adds decoded string, the text of the ids (replacing a column so named)."""
     encoded = encoded.drop("decoded")
-    schema = T.StructType(encoded.schema.fields + [T.StructField("decoded", T.StringType())])
-    return encoded.mapInArrow(partial(_texts, path=path), schema)
+    return map_batches(encoded, partial(_texts, path=path), [T.StructField("decoded", T.StringType())])
 
 
 def encoding_digests(docs: DataFrame, path: str) -> DataFrame:

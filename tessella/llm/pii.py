@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .textkit import map_batches
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -302,7 +304,7 @@ def find(docs: DataFrame, belief: float = 0.9) -> DataFrame:
         raise ValueError(f"the columns {_SPANS} are added; rename those that docs has")
     field = docs.sparkSession.sparkContext.broadcast(train(docs))
     spans = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    return docs.mapInArrow(partial(_found, field=field, belief=belief), T.StructType(docs.schema.fields + [T.StructField(name, spans) for name in _SPANS]))
+    return map_batches(docs, partial(_found, field=field, belief=belief), [T.StructField(name, spans) for name in _SPANS])
 
 
 def _joined(*columns: str) -> F.Column:
@@ -343,4 +345,4 @@ def mask(docs: DataFrame, belief: float = 0.9) -> DataFrame:
     All columns stay as they are but text. Null texts stay null.
     """
     field = docs.sparkSession.sparkContext.broadcast(train(docs))
-    return docs.mapInArrow(partial(_masked, field=field, belief=belief, text_at=docs.columns.index("text")), docs.schema)
+    return map_batches(docs, partial(_masked, field=field, belief=belief, text_at=docs.columns.index("text")))

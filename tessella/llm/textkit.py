@@ -8,11 +8,12 @@ Hashes are polynomial in the bytes modulo 2**64 with a random odd base, finished
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.shared import shared_folder
 
@@ -138,5 +139,11 @@ def quoted(names: Iterable[str]) -> list[Column]:
     return [F.col(f"`{name.replace('`', '``')}`") for name in names]
 
 
+def map_batches(df: DataFrame, function: Callable, added: list[T.StructField] = []) -> DataFrame:  # noqa: B006
+    """mapInArrow() to the columns of df and the added ones. mapInArrow() itself fails on names with dots, so those go under other names."""
+    named = df.toDF(*(name if "." not in name and "`" not in name else f"column-{uuid.uuid4().hex}" for name in df.columns))
+    return named.mapInArrow(function, T.StructType(df.schema.fields + added))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
