@@ -8,7 +8,8 @@ Hashes are polynomial in the bytes modulo 2**64 with a random odd base, finished
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..sources.shared import shared_folder
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD = r"[^\x20\x09-\x0D]+"
 
 _rng = np.random.Generator(np.random.PCG64(20240517))
@@ -87,10 +89,22 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:-rest], x[rest:]) if rest else x
 
 
+@contextmanager
+def without_leftovers(spark: SparkSession) -> Iterator[None]:
+    """Executions in this block delete their shuffle files at their end, as nothing reads them again; else they stay until the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage: write a table to the shared folder and read it again. Unlike a checkpoint it is compressed and has statistics."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with without_leftovers(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._folder = path
     return out
