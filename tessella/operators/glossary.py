@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
+from html import escape
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import html_escaped
+from ..sources.shared import written
 from ..sources.volumes import GLOSSARY_FIELDS
+from .matching import Walk, contained_words, few_words, mapped_texts, marked
 
 SECTION = ["work", "juan", "idx"]
-SMALL_GLOSSARIES = 16 << 20  # bytes of all works' words that may be broadcast
 
 
 def typed_terms(glossaries: DataFrame) -> DataFrame:
@@ -25,27 +28,29 @@ def typed_terms(glossaries: DataFrame) -> DataFrame:
 def term_hits(texts: DataFrame, text: str, words: DataFrame) -> DataFrame:
     """(keys, text) and words (work, word, more) -> the distinct keys and words with the word anywhere in the text.
 
-    The beginnings of words, as long as the work's shortest word and at most eight characters, are joined with the texts' distinct n-grams of that
-    length; contains() then decides. So there is neither a cross join nor a scan per word, and overlapping words are all found.
-    Empty words are in every text of their work.
+    Few words travel to the texts, in an automaton for each work. Of more, the beginnings, as long as the work's shortest word and at most eight
+    characters, are joined with the texts' distinct n-grams of that length; contains() then decides. So there is neither a cross join nor a scan per word,
+    and overlapping words are all found. Empty words are in every text of their work.
     """
+    keys = [c for c in texts.columns if c != text]
+    if few_words(words, "work", "word"):
+        hits = contained_words(texts, text, words).join(F.broadcast(words), ["work", "word"])
+    else:
+        hits = _hits_by_grams(texts, text, words)
+    empty = texts.drop(text).join(words.filter("word = ''"), "work")
+    return hits.select(*keys, *(c for c in words.columns if c != "work")).unionByName(empty).distinct()
+
+
+def _hits_by_grams(texts: DataFrame, text: str, words: DataFrame) -> DataFrame:
     keys = [c for c in texts.columns if c != text]
     size = words.filter("word != ''").groupBy("work").agg(F.least(F.min(F.char_length("word")), F.lit(8)).alias("q"))
     begun = words.filter("word != ''").join(size, "work").withColumn("gram", F.expr("substring(word, 1, q)")).drop("q")
     # a look-ahead takes all n-grams in one pass; substring() would count from the start of the text each time
     all_grams = F.array_distinct(F.regexp_extract_all(text, F.concat(F.lit("(?s)(?=(.{"), F.col("q").cast("string"), F.lit("}))")), F.lit(1)))
-    if (words.agg(F.sum(F.octet_length("word") + 64)).first()[0] or 0) <= SMALL_GLOSSARIES:  # then each text keeps only grams that some word begins with, and nothing is shuffled before the words are found
-        wanted = begun.groupBy("work").agg(F.collect_set("gram").alias("wanted")).join(size, "work")
-        cut = texts.join(F.broadcast(wanted), "work").filter(F.char_length(text) >= F.col("q"))
-        grams = cut.select(*keys, text, F.explode(F.array_intersect(all_grams, "wanted")).alias("gram"))
-        hits = grams.join(F.broadcast(begun), ["work", "gram"]).filter(F.col(text).contains(F.col("word"))).drop("gram", text)
-    else:
-        cut = texts.join(size, "work").filter(F.char_length(text) >= F.col("q"))
-        grams = cut.select(*keys, F.explode(all_grams).alias("gram"))
-        candidates = grams.join(begun, ["work", "gram"]).drop("gram").distinct()
-        hits = candidates.join(texts, keys).filter(F.col(text).contains(F.col("word"))).drop(text)
-    empty = texts.drop(text).join(words.filter("word = ''"), "work")
-    return hits.unionByName(empty.select(*hits.columns)).distinct()
+    cut = texts.join(size, "work").filter(F.char_length(text) >= F.col("q"))
+    grams = cut.select(*keys, F.explode(all_grams).alias("gram"))
+    candidates = grams.join(begun, ["work", "gram"]).drop("gram").distinct()
+    return candidates.join(texts, keys).filter(F.col(text).contains(F.col("word"))).drop(text)
 
 
 def _variants(terms: DataFrame, column: str) -> DataFrame:
@@ -127,34 +132,37 @@ def tooltip_terms(terms: DataFrame) -> DataFrame:
     return first.select("work", "word", "tip", rank.alias("rank"))
 
 
-def matchers(tips: DataFrame) -> DataFrame:
-    """work, pattern, tip_of: per work one pattern with the longest words first, and the words' tips. Glossaries are small by nature."""
-    quoted = F.regexp_replace("word", r"([\\.^$|?*+()\[\]{}-])", r"\\$1")
-    listed = tips.groupBy("work").agg(F.array_sort(F.collect_list(F.struct("rank", quoted.alias("q"), "word", "tip"))).alias("w"))
-    return listed.select("work", F.array_join("w.q", "|").alias("pattern"), F.map_from_arrays("w.word", "w.tip").alias("tip_of"))
+def _with_words(frame: DataFrame, text: str, tips: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The frame, and the tips if they are few. If not, each row gets the words that its text holds in a column `words`."""
+    if few_words(tips, "work", "word", "tip"):
+        return frame, tips.select("work", "word", "tip")
+    numbered = written(frame.withColumn("row", F.monotonically_increasing_id()))
+    hits = term_hits(numbered.select("work", "row", text), text, tips.select("work", "word").filter("char_length(word) >= 2")).join(tips, ["work", "word"])
+    words = hits.groupBy("row").agg(F.collect_list(F.struct("word", "tip")).alias("words"))
+    return numbered.join(words, "row", "left").drop("row"), None
 
 
-def _text_nodes(html: Column) -> tuple[Column, Column]:
-    tag = "<[^>]+>"
-    return F.split(html, tag, -1), F.regexp_extract_all(html, F.lit(tag), F.lit(0))
+def _span(word: str, tip: str | None) -> str:
+    return f'<span class="term" tabindex="0" data-tip="{escape(tip or "")}">{word}</span>'
 
 
 def mark_terms(fragments: DataFrame, tips: DataFrame) -> DataFrame:
-    """(work, html, more) -> the same with every leftmost longest word in text nodes put into a span with its tip."""
-    joined = fragments.join(matchers(tips), "work", "left")
-    nodes, tags = _text_nodes(F.col("html"))
+    """(work, html, more) and tips (work, word, tip) -> the same with every leftmost longest word in text nodes put into a span with its tip.
+
+    Words of two characters or more are marked; null html stays null, and a work without tips stays as it is.
+    """
+    frame, given = _with_words(fragments, "html", tips)
+    made = mapped_texts(frame, "html", lambda html, walk: marked(html, walk, _span), T.StructField("marked", T.StringType()), given)
+    return made.withColumn("html", F.col("marked")).select(*fragments.columns)
 
-    def marked(text: Column) -> Column:
-        words = F.regexp_extract_all(text, F.col("pattern"), F.lit(0))
-        spans = F.transform(words, lambda w: F.concat(F.lit('<span class="term" tabindex="0" data-tip="'), html_escaped(F.element_at("tip_of", w)), F.lit('">'), w, F.lit("</span>")))
-        return F.array_join(F.zip_with(F.split(text, F.col("pattern"), -1), spans, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
 
-    html = F.array_join(F.zip_with(F.transform(nodes, marked), tags, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    return joined.withColumn("html", F.when(F.col("pattern").isNull(), F.col("html")).otherwise(html)).drop("pattern", "tip_of")
+def _counted(text: str, walk: Walk) -> list[dict]:
+    return [{"word": word, "n": n} for word, n in Counter(text[a:b] for a, b in walk.spans(text)).items()]
 
 
 def term_mentions(texts: DataFrame, tips: DataFrame) -> DataFrame:
     """(work, juan, idx, text) -> work, juan, idx, word, n: how often the marker would mark each word."""
-    joined = texts.join(matchers(tips).drop("tip_of"), "work")
-    words = joined.select(*SECTION, F.explode(F.regexp_extract_all("text", F.col("pattern"), F.lit(0))).alias("word"))
-    return words.groupBy(*SECTION, "word").agg(F.count("*").alias("n"))
+    frame, given = _with_words(texts.select(*SECTION, "text"), "text", tips)
+    kind = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())]))
+    made = mapped_texts(frame, "text", _counted, T.StructField("mentions", kind), given)
+    return made.select(*SECTION, F.inline("mentions")).groupBy(*SECTION, "word").agg(F.sum("n").alias("n"))

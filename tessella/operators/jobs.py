@@ -38,3 +38,26 @@ def log_tail(log: DataFrame, n: int = 50) -> DataFrame:
     """The last n rows (job_id, ts, seq, message) of each job, newest first."""
     rank = F.row_number().over(Window.partitionBy("job_id").orderBy(F.desc("ts"), F.desc("seq")))
     return log.withColumn("rank", rank).filter(F.col("rank") <= n)
+
+
+def model_switches(events: DataFrame, n: int = 3) -> DataFrame:
+    """events (job_id, juan, stage, ts, seq, model) -> job_id, juan, rank, stage, ts, seq, before, after: the last n changes of model of each volume, newest first.
+
+    A change is where a stage of a volume goes on with another model than it had; events without a model are no change. Only changes are ranked.
+    """
+    stage = Window.partitionBy("job_id", "juan", "stage").orderBy("ts", "seq")
+    changes = events.filter("model IS NOT NULL").withColumn("before", F.lag("model").over(stage)).filter("before IS NOT NULL AND before != model")
+    rank = F.row_number().over(Window.partitionBy("job_id", "juan").orderBy(F.desc("ts"), F.desc("seq"), "stage"))
+    return changes.withColumn("rank", rank).filter(F.col("rank") <= n).select("job_id", "juan", "rank", "stage", "ts", "seq", "before", F.col("model").alias("after"))
+
+
+def first_errors(errors: DataFrame, n: int = 4) -> DataFrame:
+    """errors (job_id, juan, ts, seq, error) -> job_id, errors: the first n distinct texts among the job's own error (juan null) and then its volumes' latest ones, by volume.
+
+    An event without an error clears its volume's. Texts are made distinct before they are ranked, so a job whose volumes all fail alike is no large group.
+    """
+    latest = errors.groupBy("job_id", "juan").agg(F.max_by("error", F.struct("ts", "seq")).alias("error")).filter("error IS NOT NULL AND error != ''")
+    place = F.coalesce(F.col("juan").cast("long"), F.lit(-(1 << 62)))
+    texts = latest.groupBy("job_id", "error").agg(F.min(place).alias("place"))
+    ranked = texts.withColumn("rank", F.row_number().over(Window.partitionBy("job_id").orderBy("place", "error"))).filter(F.col("rank") <= n)
+    return ranked.groupBy("job_id").agg(F.array_sort(F.collect_list(F.struct("rank", "error"))).alias("list")).select("job_id", F.col("list.error").alias("errors"))

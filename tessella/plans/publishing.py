@@ -245,6 +245,29 @@ def log_tail(spark, sf_dir):
     return jobs.log_tail(b.events(spark, sf_dir).select("job_id", "ts", "seq", F.col("event_type").alias("message"))).drop("ts")
 
 
+_MODELS = o.EVENTS_SQL + """, m AS (SELECT job_id, juan, event_type AS stage, ts, seq, CASE WHEN seq % 10 > 0 THEN 'm' || (seq % 3) END AS model FROM job_events),
+l AS (SELECT *, lag(model) OVER (PARTITION BY job_id, juan, stage ORDER BY ts, seq) AS before FROM m WHERE model IS NOT NULL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY job_id, juan ORDER BY ts DESC, seq DESC, stage) AS INTEGER) AS rank FROM l WHERE before <> model) """
+
+
+@query(_MODELS + "SELECT job_id, juan, rank, stage, seq, before, model AS after FROM r WHERE rank <= 3")
+def model_switches(spark, sf_dir):
+    """The last three changes of model of each job and volume; an event's number says its model."""
+    model = F.when(F.col("seq") % 10 > 0, F.concat(F.lit("m"), (F.col("seq") % 3).cast("string")))
+    events = b.events(spark, sf_dir).select("job_id", "juan", F.col("event_type").alias("stage"), "ts", "seq", model.alias("model"))
+    return jobs.model_switches(events).drop("ts")
+
+
+@query(o.EVENTS_SQL + """, e AS (SELECT job_id, CASE WHEN juan % 10 > 0 THEN juan END AS juan, ts, seq, CASE WHEN event_type IN ('error', 'click') THEN 'exit ' || (seq % 7) END AS error FROM job_events WHERE juan IS NOT NULL),
+l AS (SELECT *, row_number() OVER (PARTITION BY job_id, juan ORDER BY ts DESC, seq DESC) AS n FROM e), t AS (SELECT job_id, error, min(coalesce(juan, -1)) AS place FROM l WHERE n = 1 AND error IS NOT NULL GROUP BY job_id, error),
+r AS (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY place, error) AS rank FROM t) SELECT job_id, list(error ORDER BY rank) AS errors FROM r WHERE rank <= 4 GROUP BY job_id""")
+def first_errors(spark, sf_dir):
+    """The first four distinct errors of each job; events of every tenth volume speak of the whole job."""
+    error = F.when(F.col("event_type").isin("error", "click"), F.concat(F.lit("exit "), (F.col("seq") % 7).cast("string")))
+    events = b.events(spark, sf_dir).filter("juan IS NOT NULL")
+    return jobs.first_errors(events.select("job_id", F.when(F.col("juan") % 10 > 0, F.col("juan")).alias("juan"), "ts", "seq", error.alias("error")))
+
+
 def _stream(spark, sf_dir):
     """The events as a stream of files."""
     schema = T.StructType([f for f in spark.read.parquet(f"{sf_dir}/events.parquet").schema])
