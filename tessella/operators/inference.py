@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.replies import SECTION as SECTION_REPLY
@@ -14,6 +14,7 @@ from ..functions.text import estimate_output_chars, trim_u
 
 VOLUME = ["work", "juan"]
 SECTION = [*VOLUME, "idx"]
+BLOCK = 128  # numbers of sections that are folded together
 MAX_SOURCE_CHARS, MAX_OUTPUT_CHARS, MAX_SECTIONS = 4_200, 8_000, 12
 
 
@@ -22,20 +23,61 @@ def pending_sections(sections: DataFrame) -> DataFrame:
     return sections.filter(trim_u(F.col("translation")) == "")
 
 
+def _block_steps(max_sections: int, full: str) -> str:
+    """For each place in a block where a batch may begin: how many batches begin in the block, and how far into the next rows the first one after it begins.
+
+    A batch that is open at the block's start ends within max_sections rows, so there are as many places; the volume's first block has one.
+    """
+    state = lambda n, s, o, count, end: f"named_struct('n', {n}, 's', {s}, 'o', {o}, 'i', a.i + 1, 'count', {count}, 'end', {end})"
+    return f"""transform(sequence(0, if(first, 0, {max_sections})), e -> if(e >= size(list), named_struct('end', e - size(list), 'count', 0L),
+        aggregate(slice(concat(list, ahead), e + 1, size(list) + size(ahead)), named_struct('n', 0L, 's', 0L, 'o', 0L, 'i', e, 'count', 0L, 'end', -1),
+            (a, x) -> CASE WHEN a.end >= 0 THEN a
+                WHEN a.n > 0 and not ({full}) THEN {state("a.n + 1", "a.s + x.s", "a.o + x.o", "a.count", "-1")}
+                WHEN a.i < size(list) THEN {state("1L", "x.s", "x.o", "a.count + 1", "-1")}
+                ELSE {state("a.n", "a.s", "a.o", "a.count", "a.i - size(list)")} END,
+            a -> named_struct('end', if(a.end >= 0, a.end, size(ahead)), 'count', a.count))))"""
+
+
+def _chained(frame: pd.DataFrame) -> pd.DataFrame:
+    """Where the first batch begins in each block of a volume, and how many begin before it."""
+    frame = frame.sort_values("block")
+    place, before, out = 0, 0, []
+    for steps in frame.steps:
+        out.append((place, before))
+        place, before = steps[place]["end"], before + steps[place]["count"]
+    return frame[[*VOLUME, "block"]].assign(place=[o[0] for o in out], before=[o[1] for o in out])
+
+
 def draft_batches(sections: DataFrame, chars: Column, output: Column | None = None, max_source: int = MAX_SOURCE_CHARS, max_output: int = MAX_OUTPUT_CHARS, max_sections: int = MAX_SECTIONS) -> DataFrame:
     """work, juan, idx, batch from 0: sections packed in order; one that does not fit opens a batch, an oversized one stands alone.
 
-    A fold over each volume's ordered sections, with four numbers of state. chars and output are the sections' sizes.
+    Where a batch begins depends on all before it, but a block of sections is a small function: from the place of the first batch in it to the place of the
+    first one after it. Blocks are folded into these functions in parallel; only the functions of volumes with several blocks are chained, and then each block
+    numbers its own sections. So a volume of any size is many tasks. chars and output are the sections' sizes.
     """
     output = (chars * F.lit(1.9) + F.lit(0.999)).cast("int") if output is None else output
-    listed = sections.groupBy(*VOLUME).agg(F.array_sort(F.collect_list(F.struct("idx", chars.cast("long").alias("s"), output.cast("long").alias("o")))).alias("list"))
-    fold = f"""aggregate(list,
-        named_struct('n', 0L, 's', 0L, 'o', 0L, 'b', 0L, 'out', cast(array() as array<bigint>)),
-        (a, x) -> if(a.n > 0 and (a.n >= {max_sections} or a.s + x.s > {max_source} or a.o + x.o > {max_output}),
-            named_struct('n', 1L, 's', x.s, 'o', x.o, 'b', a.b + 1, 'out', concat(a.out, array(a.b + 1))),
-            named_struct('n', a.n + 1, 's', a.s + x.s, 'o', a.o + x.o, 'b', a.b, 'out', concat(a.out, array(a.b)))),
+    sized = sections.select(*VOLUME, "idx", F.expr(f"idx div {BLOCK}").alias("block"), chars.cast("long").alias("s"), output.cast("long").alias("o"))
+    lists = sized.groupBy(*VOLUME, "block").agg(F.array_sort(F.collect_list(F.struct("idx", "s", "o"))).alias("list"))
+    order = Window.partitionBy(*VOLUME).orderBy("block")
+    # a block of one section at least, so as many blocks hold the next sections
+    head = F.slice("list", 1, max_sections)
+    next_heads = F.collect_list("head").over(order.rowsBetween(1, max_sections))
+    edges = lists.select(*VOLUME, "block", head.alias("head")).select(
+        *VOLUME, "block", F.slice(F.flatten(next_heads), 1, max_sections).alias("ahead"), F.lag("block").over(order).isNull().alias("first"), F.lead("block").over(order).isNull().alias("last"),
+    )
+    full = f"a.n >= {max_sections} or a.s + x.s > {max_source} or a.o + x.o > {max_output}"
+    blocks = lists.join(edges, [*VOLUME, "block"])
+    several = blocks.filter("not (first and last)").select(*VOLUME, "block", F.expr(_block_steps(max_sections, full)).alias("steps"))
+    kinds = {name: sections.schema[name].dataType.simpleString() for name in VOLUME}
+    chained = several.groupBy(*VOLUME).applyInPandas(_chained, f"work {kinds['work']}, juan {kinds['juan']}, block long, place int, before long")
+    alone = blocks.filter("first and last").select(*VOLUME, "block", "list", F.lit(0).alias("place"), F.lit(0).cast("long").alias("before"))
+    placed = alone.unionByName(blocks.filter("not (first and last)").select(*VOLUME, "block", "list").join(chained, [*VOLUME, "block"]))
+    number = f"""aggregate(list, named_struct('n', 0L, 's', 0L, 'o', 0L, 'b', before - 1, 'i', 0, 'out', cast(array() as array<bigint>)),
+        (a, x) -> CASE WHEN a.i < place THEN named_struct('n', a.n, 's', a.s, 'o', a.o, 'b', a.b, 'i', a.i + 1, 'out', concat(a.out, array(a.b)))
+            WHEN a.n = 0 or {full} THEN named_struct('n', 1L, 's', x.s, 'o', x.o, 'b', a.b + 1, 'i', a.i + 1, 'out', concat(a.out, array(a.b + 1)))
+            ELSE named_struct('n', a.n + 1, 's', a.s + x.s, 'o', a.o + x.o, 'b', a.b, 'i', a.i + 1, 'out', concat(a.out, array(a.b))) END,
         a -> a.out)"""
-    packed = listed.select(*VOLUME, F.explode(F.arrays_zip(F.col("list.idx").alias("idx"), F.expr(fold).alias("batch"))).alias("p"))
+    packed = placed.select(*VOLUME, F.explode(F.arrays_zip(F.col("list.idx").alias("idx"), F.expr(number).alias("batch"))).alias("p"))
     return packed.select(*VOLUME, "p.idx", "p.batch")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.ranges import LOOSE, STRICT, line_key
 from ..functions.text import trim_u, unescaped
 
+BLOCK_PIECES = 4_096  # tags and runs of text of a volume that are walked together
 _NOTE_STARTS = ("<div class='footnote'", '<div class="footnote"', "<div id='cbeta-copyright'", '<div id="cbeta-copyright"')
 _SPAN_NOTES = ("<span class='footnote", '<span class="footnote')
 _PIECE = r"(?s)<!--.*?-->|<[^>]*>|[^<]+|<"
@@ -24,13 +25,39 @@ def _attribute(tag: Column, name: str) -> Column:
     return unescaped(F.concat(*(F.regexp_extract(tag, value, i) for i in (1, 2, 3))))
 
 
+def _walked(pieces: DataFrame) -> DataFrame:
+    """pieces (work, juan, block, at, own, place, step) with their line_id, depth `down` and its lowest point `lowest` so far, of the whole volume.
+
+    A block carries over the sum of its steps, the lowest point of that sum, its last prefix and its last opened line; all of these compose.
+    """
+    keys = ["work", "juan", "block"]
+    here = Window.partitionBy(*keys).orderBy("at")
+    local = pieces.withColumns({"down": F.sum("step").over(here), "prefix": F.last(F.split_part("own", F.lit("_p"), F.lit(1)), ignorenulls=True).over(here)})
+    local = local.withColumn("lowest", F.min("down").over(here))
+    opens = F.col("own").isNotNull() | F.col("place").isNotNull()
+    ends = local.groupBy(*keys).agg(
+        F.sum("step").alias("step"), F.min("down").alias("low"), F.max_by("prefix", "at").alias("prefix"), F.max_by(F.struct("own", "place", "prefix"), F.when(opens, F.col("at"))).alias("opened"),
+    )
+    before = Window.partitionBy("work", "juan").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumns({"down_0": F.coalesce(F.sum("step").over(before), F.lit(0)), "prefix_0": F.last("prefix", ignorenulls=True).over(before)})
+    line = F.coalesce("opened.own", F.concat(F.coalesce("opened.prefix", "prefix_0"), F.lit("_p"), "opened.place"))
+    carried = carried.withColumn("line", line)
+    low = F.coalesce(F.min(F.col("down_0") + F.col("low")).over(before), F.lit(0))
+    carried = carried.select(*keys, "down_0", "prefix_0", low.alias("low_0"), F.last("line", ignorenulls=True).over(before).alias("line_0"))
+    both = local.join(carried, keys)
+    opened = F.coalesce("own", F.concat(F.coalesce("prefix", "prefix_0"), F.lit("_p"), "place"))
+    line_id = F.coalesce(F.last(opened, ignorenulls=True).over(here), "line_0")
+    lowest = F.least(F.lit(0), F.col("low_0"), F.col("down_0") + F.col("lowest"))
+    return both.withColumns({"line_id": line_id, "lowest": lowest, "down": F.col("down_0") + F.col("down")})
+
+
 def extract_lines(volumes: DataFrame) -> DataFrame:
     """(work, juan, html) -> work, juan, line_id, line_key, text; lines without text stay as empty ones.
 
     The html up to the first note is cut into tags and runs of text, in order. Line marks, and text spans once a mark has given the prefix,
     open a line, which the text after them belongs to. What is in a mark is skipped: a mark goes one level down, and any end tag one level
     up, also one that ends something else. How deep a piece lies is a running sum with a floor of 0, the sum less its lowest point so far.
-    A volume is one file, so its pieces are one window.
+    Running values are taken within blocks of pieces, and blocks are put together from what they carry over, so a volume is many tasks.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     body = F.substring(html, F.lit(1), F.coalesce(_first(html, _NOTE_STARTS) - 1, F.char_length(html)))
@@ -44,10 +71,7 @@ def extract_lines(volumes: DataFrame) -> DataFrame:
     place = F.when(~F.col("mark") & (F.col("tag") == "span") & F.array_contains("kinds", "t"), F.nullif(_attribute(piece, "l"), F.lit("")))
     whole = rf"^(?:{LOOSE})\z"
     pieces = pieces.withColumns({"own": F.when(own.rlike(whole), own), "place": place, "step": F.col("mark").cast("int") - F.col("ends").cast("int")})
-    order = Window.partitionBy("work", "juan").orderBy("at")
-    walked = pieces.withColumns({"down": F.sum("step").over(order), "prefix": F.last(F.split_part("own", F.lit("_p"), F.lit(1)), ignorenulls=True).over(order)})
-    walked = walked.withColumn("opened", F.coalesce("own", F.concat("prefix", F.lit("_p"), "place"))).withColumn("lowest", F.least(F.lit(0), F.min("down").over(order)))
-    walked = walked.withColumn("line_id", F.last("opened", ignorenulls=True).over(order)).filter("line_id IS NOT NULL")
+    walked = _walked(pieces.withColumn("block", F.expr(f"at div {BLOCK_PIECES}"))).filter("line_id IS NOT NULL")
     run = F.when((F.col("down") == F.col("lowest")) & ~piece.rlike(r"^<[A-Za-z/!?]"), trim_u(unescaped(piece)))
     kept = walked.withColumn("run", run).withColumn("run", F.when(~F.col("run").rlike(whole), F.col("run")))
     lines = kept.groupBy("work", "juan", "line_id").agg(F.array_sort(F.collect_list(F.when(F.col("run") != "", F.struct("at", "run")))).alias("runs"))

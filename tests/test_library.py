@@ -233,6 +233,30 @@ def test_log_ring_over_micro_batches(spark, tmp_path):
     assert out[-1].seqs == [13, 20, 21, 22, 23] and len(out) == 3
 
 
+def test_packing_over_blocks(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(inference, "BLOCK", 4)
+    rng = random.Random(5)
+    rows, want = [], {}
+    for juan in range(40):
+        numbers = sorted(rng.sample(range(200), rng.randint(1, 90)))  # with gaps
+        count = size = chars = batch = 0
+        for idx in numbers:
+            s = rng.choice([0, 1, 50, 400, 900, 3000, 5000] if juan % 2 else [0, 1, 2])
+            o = int(s * 1.9 + 0.999)
+            if count and (count >= 12 or size + s > 4200 or chars + o > 8000):
+                count = size = chars = 0
+                batch += 1
+            count, size, chars = count + 1, size + s, chars + o
+            rows.append(("W", juan, idx, s))
+            want[juan, idx] = batch
+    df = spark.createDataFrame(rows, "work string, juan int, idx int, n int").repartition(5)
+    got = {(r.juan, r.idx): r.batch for r in inference.draft_batches(df, F.col("n")).collect()}
+    assert got == want
+    assert inference.draft_batches(df.limit(0), F.col("n")).collect() == []
+
+
 def test_rows_that_cannot_be_read_become_errors(spark):
     now = dt.datetime(2026, 1, 1)
     texts = spark.createDataFrame([("try again in 99999999999 hours", now), ("try again in 2 hours", now), (None, now)], "t string, n timestamp")
@@ -278,9 +302,12 @@ def plain_lines(html):
     return {k: v.strip() for k, v in out.items()}
 
 
-def test_lines_of_html_against_a_plain_walk(spark):
+@pytest.mark.parametrize("block", [1, 5, 4096])
+def test_lines_of_html_against_a_plain_walk(spark, monkeypatch, block):
     import random
 
+    monkeypatch.setattr(markup, "BLOCK_PIECES", block)
+
     rng = random.Random(4)
     pieces = ["<span class='lb' id='A_p0001a0{}'>", '<a class="x lineInfo" id="A_p0001b0{}">', "<a class='lb' id='bad'/>", "</span>", "</a>", "</b>", "<b>", "<br/>", "<span class='t' l='0001c0{}'>", "<span class='t'>", " text{} ", "A_p0001a0{}", "&lt;{}&#x6F22;", "<!-- c{} -->", "<p>", "　", "<span class='pc'>", "x"]
     rows = [("A", i, "".join(rng.choice(pieces).format(rng.randint(1, 5)) for _ in range(rng.randint(0, 60)))) for i in range(60)] + [("A", 60, None), ("A", 61, "")]
