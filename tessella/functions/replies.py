@@ -29,7 +29,9 @@ RESET_IN = (
 )
 RESET_ISO = r"(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:Z|[+-]\d{2}:?\d{2})?)"
 RESET_NAIVE = r"(?i)reset(?:s)?\s+at\s+(\d{4}-\d{2}-\d{2}) (\d{2}:\d{2}:\d{2})"
+# The pauses by the number of waits so far, and the end of the last year that a timestamp is written in.
 BACKOFF_MINUTES = (15, 30, 45, 60)
+LAST_SECOND = 253_402_300_800
 
 
 def parse_model_blocks(raw: Column) -> Column:
@@ -62,7 +64,7 @@ def parse_review_reply(raw: Column) -> Column:
 def parse_reset_time(text: Column, now: Column) -> Column:
     """When a limit ends, by the first form of time that the text has; clock times that are past mean the next day.
 
-    The session time zone (UTC, say) is that of times without one. Waits of over 100,000 hours or minutes are no times.
+    The session time zone (UTC, say) is that of times without one. Waits that end after the year 9999 have no timestamp.
     """
     iso = F.regexp_extract(text, RESET_ISO, 1)
     iso_time = F.try_to_timestamp(F.regexp_replace(F.regexp_replace(iso, r"Z\z", "+00:00"), r"([+-]\d{2})(\d{2})\z", "$1:$2"))
@@ -75,14 +77,18 @@ def parse_reset_time(text: Column, now: Column) -> Column:
 
     number = lambda pattern, i: F.coalesce(F.when(F.length(F.regexp_extract(text, pattern, i)) < 6, F.regexp_extract(text, pattern, i).try_cast("int")), F.lit(0))
     twelve = F.pmod(number(RESET_CLOCK, 1), F.lit(12)) + F.when(F.lower(F.regexp_extract(text, RESET_CLOCK, 3)).startswith("p"), 12).otherwise(0)
-    within = number(RESET_IN, 1) + number(RESET_IN, 2)
+    # a number of over 15 digits ends no sooner than one of 15
+    digits = lambda i: F.regexp_replace(F.regexp_extract(text, RESET_IN, i), r"^0*(\d{1,15})\d*\z", "$1")
+    wait = lambda i: F.coalesce(digits(i).try_cast("long"), F.lit(0))
+    within = wait(1) * 60 + wait(2)
+    ends = F.unix_seconds(now.cast("timestamp")) + within * 60
     return F.coalesce(
         F.when(text.rlike(RESET_UNIX), F.timestamp_seconds(F.regexp_extract(text, RESET_UNIX, 1).try_cast("long"))),
         F.when(text.rlike(RESET_ISO), iso_time),
         F.when(text.rlike(RESET_NAIVE), naive_time),
         F.when(text.rlike(RESET_CLOCK), clock(twelve, number(RESET_CLOCK, 2))),
         F.when(text.rlike(RESET_CLOCK_24), clock(number(RESET_CLOCK_24, 1), number(RESET_CLOCK_24, 2))),
-        F.when(within > 0, now + F.make_dt_interval(F.lit(0), number(RESET_IN, 1), number(RESET_IN, 2))),
+        F.when((within > 0) & (ends < LAST_SECOND), now + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.when(ends < LAST_SECOND, within) * 60).cast("decimal(18,6)"))),
     )
 
 

@@ -85,7 +85,7 @@ def volume_title(text: Column, work_title: Column, juan: Column) -> Column:
 
 
 def expand_volume_spec(spec: Column) -> Column:
-    """`13-15,20` as a sorted array of distinct ints. A descending range adds nothing; null marks a part that is no number, a range of over 100,000 numbers, or no volume at all."""
+    """`13-15,20` as a sorted array of distinct ints. A descending range adds nothing; null marks a part that is no number, or no volume at all, and also a range that is too large for an array: jobs.spec_volumes() gives rows for ranges of any size, and errors."""
     parts = F.filter(F.transform(F.split(spec, ","), trim_u), lambda p: p != "")
     low = lambda p: F.split_part(p, F.lit("-"), F.lit(1)).try_cast("int")
     high = lambda p: F.when(p.contains("-"), F.substring_index(F.substr(p, F.instr(p, "-") + 1), ",", 1)).otherwise(p).try_cast("int")

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import trim_u
+
+PIECE = 10_000  # numbers of a range that one row becomes at once
+
 
 def runnable_volumes(jobs: DataFrame, progress: DataFrame) -> DataFrame:
     """jobs (job_id, juans) and progress (job_id, juan, step, cancelled) -> job_id, juan, step of volumes that are neither cancelled nor done."""
@@ -61,3 +65,25 @@ def first_errors(errors: DataFrame, n: int = 4) -> DataFrame:
     texts = latest.groupBy("job_id", "error").agg(F.min(place).alias("place"))
     ranked = texts.withColumn("rank", F.row_number().over(Window.partitionBy("job_id").orderBy("place", "error"))).filter(F.col("rank") <= n)
     return ranked.groupBy("job_id").agg(F.array_sort(F.collect_list(F.struct("rank", "error"))).alias("list")).select("job_id", F.col("list.error").alias("errors"))
+
+
+def spec_volumes(specs: DataFrame, spec: str) -> DataFrame:
+    """specs with a column of specs like `13-15,20` -> its other columns, juan, error: a row per distinct number, ranges of any size.
+
+    A range is cut into pieces before it becomes rows, so it is no array. A part that is no number, and a spec without volumes, give a row with an error.
+    """
+    keys = [c for c in specs.columns if c != spec]
+    row = next(name for name in ("row", "row_", "row__") if name not in keys)
+    numbered = specs.select(*keys, F.monotonically_increasing_id().alias(row), F.filter(F.transform(F.split(F.coalesce(spec, F.lit("")), ","), trim_u), lambda p: p != "").alias("parts"))
+    part = lambda p: F.regexp_extract(p, r"^(-?\d+)(?:-(-?\d+))?\z", 1).try_cast("int")
+    end = lambda p: F.when(p.rlike(r"^-?\d+\z"), p).otherwise(F.regexp_extract(p, r"^(-?\d+)-(-?\d+)\z", 2)).try_cast("int")
+    ranges = F.transform("parts", lambda p: F.struct(p.alias("p"), part(p).cast("long").alias("low"), end(p).cast("long").alias("high")))
+    read = numbered.withColumn("ranges", ranges)
+    bad = F.filter("ranges", lambda r: r["low"].isNull() | r["high"].isNull())
+    some = F.exists("ranges", lambda r: r["low"] <= r["high"])
+    error = F.when(F.size(bad) > 0, F.concat(F.lit("invalid volume number: "), F.get(bad, F.lit(0))["p"])).when(~some, "no volumes")
+    read = read.withColumn("error", error)
+    wrong = read.filter("error IS NOT NULL").select(*keys, F.lit(None).cast("int").alias("juan"), "error")
+    pieces = read.filter("error IS NULL").select(*keys, row, F.inline("ranges")).filter("low <= high").select(*keys, row, "high", F.explode(F.sequence("low", "high", F.lit(PIECE).cast("long"))).alias("low"))
+    each = pieces.select(*keys, row, F.explode(F.sequence("low", F.least(F.col("low") + (PIECE - 1), F.col("high")))).alias("juan")).distinct()
+    return each.select(*keys, F.col("juan").cast("int").alias("juan"), F.lit(None).cast("string").alias("error")).unionByName(wrong)

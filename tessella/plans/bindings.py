@@ -71,6 +71,14 @@ def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.withColumn("json", F.to_json(F.struct(*fields, F.lit("ok").alias("status"), F.lit("").alias("rule"))))
 
 
+def draft_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """work, pos, json, source_terms: terms of the one work that drafts() are of, the beginnings of the longer words of a quarter of the benchmark items."""
+    words = table(spark, sf_dir, "benchmark").filter("item_id % 4 = 0").select(F.explode(F.split(F.lower("text"), r"[\s.,]+")).alias("w")).filter("char_length(w) >= 8")
+    begun = words.select(F.substring("w", 1, 5).alias("w")).distinct()
+    pos = F.row_number().over(Window.partitionBy("work").orderBy("w")) - 1
+    return begun.select(F.lit("C").alias("work"), "w").select("work", pos.alias("pos"), F.to_json(F.struct(F.col("w").alias("id"), F.lit("ok").alias("status"))).alias("json"), F.array("w").alias("source_terms"))
+
+
 def terms_json(terms: DataFrame) -> DataFrame:
     """work, glossary variant: a work's terms as the file that they would come in."""
     listed = terms.groupBy("work").agg(F.array_sort(F.collect_list(F.struct("pos", "json"))).alias("t"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import ranges, text
 from ..operators import coverage as cov
 from ..operators import inference as inf
-from ..operators import publish
+from ..operators import jobs, publish
 from ..sources import volumes as vol
 from ..sources.shared import shared_folder
 from . import bindings as b
@@ -144,6 +144,17 @@ def expand_volume_spec(spark, sf_dir):
     return b.table(spark, sf_dir, "orders").select("o_orderkey", text.expand_volume_spec(spec).alias("volumes"))
 
 
+@query("""WITH o AS (SELECT o_orderkey, o_orderkey % 5000 AS a, o_custkey % 6000 AS b FROM orders)
+SELECT o_orderkey, CAST(unnest(range(a, b + 1)) AS INTEGER) AS juan, CAST(NULL AS VARCHAR) AS error FROM o WHERE o_orderkey % 97 = 0 AND o_orderkey % 194 > 0 UNION ALL SELECT o_orderkey, NULL, 'no volumes' FROM o WHERE o_orderkey % 97 = 0 AND o_orderkey % 194 > 0 AND b < a
+UNION ALL SELECT o_orderkey, NULL, 'invalid volume number: ' || o_orderpriority FROM (SELECT * FROM orders WHERE o_orderkey % 194 = 0)
+UNION ALL SELECT o_orderkey, CAST(o_orderkey % 50 AS INTEGER), NULL FROM orders WHERE o_orderkey % 97 > 0""")
+def spec_volumes(spark, sf_dir):
+    """Rows for the numbers of each order's spec: a wide range for one in 97, or a text that is no number."""
+    wide = F.when(F.col("o_orderkey") % 194 == 0, F.col("o_orderpriority")).otherwise(F.expr("concat(o_orderkey % 5000, '-', o_custkey % 6000)"))
+    spec = F.when(F.col("o_orderkey") % 97 == 0, wide).otherwise(F.expr("concat(o_orderkey % 50, ',', ' ', o_orderkey % 50)"))
+    return jobs.spec_volumes(b.table(spark, sf_dir, "orders").select("o_orderkey", spec.alias("spec")), "spec")
+
+
 @query("""SELECT page_id, CASE WHEN page_id % 3 < 2 THEN 'T' || page_id END AS work, CASE WHEN page_id % 3 = 1 THEN CAST(page_id % 1000 AS INTEGER) END AS juan FROM pages""")
 def parse_reading_link(spark, sf_dir):
     link = F.expr("concat('https://host.example/zh/', CASE page_id % 3 WHEN 0 THEN concat('T', page_id, '/') WHEN 1 THEN concat('T', page_id, '_', lpad(page_id % 1000, 3, '0')) ELSE '9x?' END)")
@@ -221,7 +232,7 @@ def range_gaps_overlaps(spark, sf_dir):
     return cov.range_gaps_overlaps(b.sections(spark, sf_dir), b.lines(spark, sf_dir))
 
 
-_ISSUES = f""", k AS (SELECT s.*, lag(start_key) OVER (PARTITION BY work, juan ORDER BY idx) AS pk, max(idx) OVER (PARTITION BY work, juan) AS li FROM sections s),
+ISSUES = f""", k AS (SELECT s.*, lag(start_key) OVER (PARTITION BY work, juan ORDER BY idx) AS pk, max(idx) OVER (PARTITION BY work, juan) AS li FROM sections s),
 kb AS (SELECT k.*, first_id, last_id FROM k JOIN bounds USING (work, juan)),
 ke AS (SELECT work, juan, idx, title, unnest([start_id, end_id]) AS line_id FROM kb),
 issues AS (
@@ -233,7 +244,7 @@ UNION ALL SELECT work, juan, idx, 5, title || ': ' || line_id || ' is not presen
 UNION ALL SELECT work, juan, idx, 6, title || ': range is outside expected coverage' FROM kb WHERE start_key < {o.key("first_id")} OR end_key > {o.key("last_id")})"""
 
 
-@query(o.CHECK_SQL + _ISSUES + " SELECT work, juan, CAST(idx AS INTEGER) AS idx, CAST(rule_no AS INTEGER) AS rule_no, issue FROM issues")
+@query(o.CHECK_SQL + ISSUES + " SELECT work, juan, CAST(idx AS INTEGER) AS idx, CAST(rule_no AS INTEGER) AS rule_no, issue FROM issues")
 def coverage_report(spark, sf_dir):
     """Which sections of which volume break coverage."""
     return cov.coverage_report(b.sections(spark, sf_dir), b.lines(spark, sf_dir), b.bounds(spark, sf_dir))

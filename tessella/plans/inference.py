@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import replies as r
+from ..operators import glossary as g
 from ..operators import inference as inf
+from ..sources.shared import written
 from . import bindings as b
 from . import oracle as o
 from .registry import query
@@ -105,18 +107,25 @@ def splice_sections(spark, sf_dir):
     return inf.splice_sections(sections, updates, keep_note_if_empty=True, keep_text=True).select("work", "juan", "idx", "translation", "note")
 
 
-@query(o.DRAFTS_SQL + "SELECT work, juan, idx, 'W C V ' || juan || ' [T' || idx || '] （無）: ' || source || ' / []' AS prompt FROM drafts")
+def _subsets(spark, sf_dir, sections):
+    """The glossary subset of each section, with its terms' JSON."""
+    return g.glossary_subset(sections, written(b.draft_terms(spark, sf_dir)))
+
+
+_SUBSETS = """, begun AS (SELECT DISTINCT substr(w, 1, 5) AS w FROM (SELECT unnest(regexp_split_to_array(lower(text), '[\\s.,]+')) AS w FROM benchmark WHERE item_id % 4 = 0) WHERE length(w) >= 8),
+subsets AS (SELECT d.juan, d.idx, '[' || coalesce(string_agg('{"id":' || to_json(w) || ',"status":"ok"}', ', ' ORDER BY w), '') || ']' AS glossary FROM drafts d LEFT JOIN begun ON contains(d.source, w) GROUP BY d.juan, d.idx) """
+
+
+@query(o.DRAFTS_SQL + _SUBSETS + "SELECT work, d.juan, d.idx, 'W C V ' || d.juan || ' [T' || d.idx || '] （無）: ' || source || ' / ' || glossary AS prompt FROM drafts d JOIN subsets s ON s.juan = d.juan AND s.idx = d.idx")
 def build_section_prompts(spark, sf_dir):
     sections = _draft_sections(spark, sf_dir)
-    none = sections.filter("false").select("work", "juan", "idx", F.lit("").alias("glossary"))
-    return inf.build_section_prompts(sections, none, "W $work V $juan [$title] $note: $source / $glossary")
+    return inf.build_section_prompts(sections, _subsets(spark, sf_dir, sections), "W $work V $juan [$title] $note: $source / $glossary")
 
 
 def _batches(spark, sf_dir):
     sections = _draft_sections(spark, sf_dir)
-    none = sections.filter("false").select("work", "juan", "idx", F.lit("").alias("glossary"))
     batches = inf.draft_batches(sections, F.char_length("source"))
-    return sections, batches, inf.build_batch_prompts(sections, batches, none)
+    return sections, batches, inf.build_batch_prompts(sections, batches, _subsets(spark, sf_dir, sections))
 
 
 _OPENS = "p.n >= 12 OR p.s + x.s > 4200 OR p.o + x.o > 8000"
@@ -126,8 +135,8 @@ UNION ALL SELECT x.juan, x.idx, x.k, CASE WHEN {_OPENS} THEN x.s ELSE p.s + x.s
  FROM p JOIN x ON x.juan = p.juan AND x.k = p.k + 1) """
 
 
-@query(_PACKED + """SELECT 'C' AS work, p.juan, batch, string_agg('<<<SOURCE_SECTION ' || (p.idx + 1) || '>>>' || chr(10) || 'Title: T' || p.idx || chr(10) || 'Existing note: （無）' || chr(10) || 'Glossary JSON:' || chr(10) || '[]' || chr(10) || 'Source:' || chr(10) || x.source || chr(10) || '<<<END_SOURCE_SECTION ' || (p.idx + 1) || '>>>', chr(10) || chr(10) ORDER BY p.idx) AS prompt
-FROM p JOIN x ON x.juan = p.juan AND x.idx = p.idx GROUP BY p.juan, batch""")
+@query(_PACKED + _SUBSETS + """SELECT 'C' AS work, p.juan, batch, string_agg('<<<SOURCE_SECTION ' || (p.idx + 1) || '>>>' || chr(10) || 'Title: T' || p.idx || chr(10) || 'Existing note: （無）' || chr(10) || 'Glossary JSON:' || chr(10) || s.glossary || chr(10) || 'Source:' || chr(10) || x.source || chr(10) || '<<<END_SOURCE_SECTION ' || (p.idx + 1) || '>>>', chr(10) || chr(10) ORDER BY p.idx) AS prompt
+FROM p JOIN x ON x.juan = p.juan AND x.idx = p.idx JOIN subsets s ON s.juan = p.juan AND s.idx = p.idx GROUP BY p.juan, batch""")
 def build_batch_prompts(spark, sf_dir):
     return _batches(spark, sf_dir)[2].select("work", "juan", "batch", "prompt")
 
@@ -140,16 +149,18 @@ def translate_batches(spark, sf_dir):
     return inf.parse_batch_replies(replies).filter("error IS NULL").select("batch_id.juan", "number", "translation")
 
 
-@query("""SELECT conv_id AS batch_id, conv_id % 4 = 0 AS accepted, CASE conv_id % 4 WHEN 1 THEN [2::INTEGER] ELSE []::INTEGER[] END AS duplicates, CASE conv_id % 4 WHEN 2 THEN [2::INTEGER] ELSE []::INTEGER[] END AS missing, CASE conv_id % 4 WHEN 3 THEN [2::INTEGER] ELSE []::INTEGER[] END AS bad
-FROM (SELECT DISTINCT conv_id FROM conversations)""")
+@query("""WITH t AS (SELECT conv_id, CAST(turn + 1 AS INTEGER) AS number, CAST((conv_id + turn) % 7 AS INTEGER) AS k FROM conversations), n AS (SELECT DISTINCT conv_id, number, k FROM t)
+SELECT conv_id AS batch_id, count(*) FILTER (WHERE k IN (1, 2, 3)) = 0 AS accepted, list_sort(coalesce(list(number) FILTER (WHERE k = 1), []::INTEGER[])) AS duplicates, list_sort(coalesce(list(number) FILTER (WHERE k = 2), []::INTEGER[])) AS missing, list_sort(coalesce(list(number) FILTER (WHERE k = 3), []::INTEGER[])) AS bad FROM n GROUP BY conv_id""")
 def batch_reply_check(spark, sf_dir):
-    """Replies of two expected sections and one unexpected: whole, with a repeated, a missing or a bad second section."""
-    first = b.table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
-    section = lambda n, body: F.concat(F.lit(f"<<<SECTION {n}>>>\n"), body, F.lit(f"\n<<<END_SECTION {n}>>>\n"))
-    good = F.concat(F.lit("<<<TRANSLATION\nx "), "text", F.lit("\n>>>"))
-    k = F.col("conv_id") % 4
-    second = F.when(k == 0, section(2, good)).when(k == 1, F.concat(section(2, good), section(2, good))).when(k == 2, F.lit("")).otherwise(section(2, F.lit("none")))
-    replies = first.select(F.col("conv_id").alias("batch_id"), F.concat(section(1, good), second, section(9, F.lit("?"))).alias("raw"), F.array(F.lit(1), F.lit(2)).alias("expected"))
+    """A reply per conversation, with a section for each of its turns; some turns come twice, not at all or without a block, and some with a number that nobody asked for."""
+    turns = b.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", ((F.col("conv_id") + F.col("turn")) % 7).alias("k")).dropDuplicates(["conv_id", "turn"])
+    section = lambda n, body: F.concat(F.lit("<<<SECTION "), n.cast("string"), F.lit(">>>\n"), body, F.lit("\n<<<END_SECTION "), n.cast("string"), F.lit(">>>\n"))
+    number = F.col("turn") + 1
+    good = section(number, F.concat(F.lit("<<<TRANSLATION\nx "), F.translate("text", "<>", "()"), F.lit("\n>>>")))
+    k = F.col("k")
+    part = F.when(k == 1, F.concat(good, good)).when(k == 2, "").when(k == 3, section(number, F.lit("none"))).when(k == 4, F.concat(good, section(number + 100_000, F.lit("?")))).otherwise(good)
+    listed = turns.groupBy(F.col("conv_id").alias("batch_id")).agg(F.array_sort(F.collect_list(F.struct("turn", part.alias("part")))).alias("l"))
+    replies = listed.select("batch_id", F.array_join("l.part", "").alias("raw"), F.transform("l.turn", lambda t: (t + 1).cast("int")).alias("expected"))
     return inf.batch_reply_check(replies)
 
 

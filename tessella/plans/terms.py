@@ -11,6 +11,7 @@ from ..sources import volumes as vol
 from ..sources.shared import written
 from . import bindings as b
 from . import oracle as o
+from .corpus import ISSUES
 from .registry import query
 
 _HITS = ", hits AS (SELECT s.work, s.juan, s.idx, s.title, s.source, s.translation, t.pos, t.id, t.pattern FROM sections s JOIN terms t ON t.work = s.work AND contains(s.source, t.id))"
@@ -129,11 +130,12 @@ def _checks(spark, sf_dir):
     return inf.volume_check_report(coverage, g.validate_glossary(b.terms_json(terms)), g.term_check(sections, terms), sections)
 
 
-@query(o.CHECK_SQL.rstrip() + ", " + o.TERMS + """, e AS (SELECT work, juan, idx, title, unnest([start_id, end_id]) AS line_id FROM sections),
-t AS (SELECT work, juan, title FROM e WHERE (work, juan) IN (SELECT (work, juan) FROM bounds) AND NOT EXISTS (SELECT 1 FROM lines l WHERE l.work = e.work AND l.juan = e.juan AND l.line_id = e.line_id)
-UNION ALL SELECT s.work, s.juan, s.title FROM sections s JOIN terms t ON t.work = s.work AND contains(s.source, t.id) WHERE NOT contains(s.translation, t.pattern)
-UNION ALL SELECT s.work, s.juan, s.title FROM sections s JOIN bounds b ON b.work = s.work AND b.juan = s.juan WHERE s.start_key < """ + o.key("first_id") + " OR s.end_key > " + o.key("last_id") + """)
-SELECT work, juan, list_sort(list_distinct(list(title))) AS titles FROM t GROUP BY work, juan""")
+@query(o.CHECK_SQL.rstrip() + ", " + o.TERMS + ISSUES + """, found AS (SELECT work, juan, 'coverage' AS source, idx, rule_no, issue FROM issues
+UNION ALL SELECT s.work, s.juan, 'terms', s.idx, t.pos, s.title || ': source has ' || t.id || ' but translation lacks one of ' || t.pattern FROM sections s JOIN terms t ON t.work = s.work AND contains(s.source, t.id) WHERE NOT contains(s.translation, t.pattern)),
+r AS (SELECT *, row_number() OVER (PARTITION BY work, juan ORDER BY source, idx, rule_no, issue) AS rank FROM found),
+h AS (SELECT work, juan, string_agg(issue, '；' ORDER BY rank) AS hint FROM r WHERE rank <= 10 GROUP BY work, juan),
+t AS (SELECT work, juan, list_sort(list_distinct(list(split_part(issue, ':', 1)))) AS titles FROM found WHERE contains(issue, ':') GROUP BY work, juan)
+SELECT work, juan, coalesce(titles, []::VARCHAR[]) AS titles, hint FROM h LEFT JOIN t USING (work, juan)""")
 def repair_targets(spark, sf_dir):
-    """The titles to repair in each volume with issues that name one."""
-    return inf.repair_targets(_checks(spark, sf_dir)[0]).filter(F.size("titles") > 0).select("work", "juan", "titles")
+    """The titles to repair in each volume with issues, and its first ten issues."""
+    return inf.repair_targets(_checks(spark, sf_dir)[0])

@@ -262,6 +262,12 @@ def test_rows_that_cannot_be_read_become_errors(spark):
     texts = spark.createDataFrame([("try again in 99999999999 hours", now), ("try again in 2 hours", now), (None, now)], "t string, n timestamp")
     got = [r.at for r in texts.select(replies.parse_reset_time(F.col("t"), F.col("n")).cast("string").alias("at")).collect()]
     assert got == [None, "2026-01-01 02:00:00", None]
+    long = spark.createDataFrame([("try again in 1000000 hours", now), ("resets in 0000002 h 1234567 minutes", now), ("retry in " + "9" * 40 + " hours", now), ("try again in 00 hours", now)], "t string, n timestamp")
+    waits = [r.at for r in long.select(replies.parse_reset_time(F.col("t"), F.col("n")).cast("string").alias("at")).collect()]
+    assert waits == [str(now + dt.timedelta(hours=1_000_000)), str(now + dt.timedelta(hours=2, minutes=1_234_567)), None, None]
+    specs = spark.createDataFrame([(1, "13-15,20, 14"), (2, "5-3"), (3, "x,2"), (4, None), (5, "1-250000"), (6, "7,7"), (6, "8")], "k int, spec string")
+    found = jobs.spec_volumes(specs, "spec").groupBy("k").agg(F.count("juan").alias("n"), F.min("juan").alias("a"), F.max("juan").alias("b"), F.max("error").alias("e")).orderBy("k").collect()
+    assert [tuple(r) for r in found] == [(1, 4, 13, 20, None), (2, 0, None, None, "no volumes"), (3, 0, None, None, "invalid volume number: x"), (4, 0, None, None, "no volumes"), (5, 250000, 1, 250000, None), (6, 2, 7, 8, None)]
     raw = "<<<SECTION 99999999999>>>\n<<<TRANSLATION\nx\n>>>\n<<<END_SECTION 99999999999>>>\n<<<SECTION 1>>>\n<<<TRANSLATION\ny\n>>>\n<<<END_SECTION 1>>>"
     batch = spark.createDataFrame([("b", raw, [1])], "batch_id string, raw string, expected array<int>")
     assert [(r.number, r.translation, r.error) for r in inference.parse_batch_replies(batch).collect()] == [(None, "x", "no section number"), (1, "y", None)]
