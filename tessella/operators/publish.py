@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import html_escaped, html_paragraphs, trim_u
+from ..sources.shared import written
 
 VOLUME = ["work", "juan"]
+RECORD = ["shelf", "work", "part", "j", "idx"]
+BUCKETS, SHELVES = 64, 256  # parts of the postings and of the records that a search reads or leaves
+ON_SHELF = 64  # volumes
 
 
 def section_html(start: Column, end: Column, title: Column, range_label: Column, translation_html: Column, source_html: Column, note: Column) -> Column:
@@ -53,6 +57,42 @@ def substring_search(records: DataFrame, queries: DataFrame, order: list[str], l
     return hits.withColumn("rank", rank).filter(F.col("rank") <= limit).select("work", "q", "rank", *[c for c in order if c != "work"], "t", _excerpt(F.col("x"), F.col("q")).alias("excerpt"))
 
 
+def _bigrams(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(..))"), F.lit(1)))
+
+
+def write_postings(records: DataFrame, path: str) -> None:
+    """The index of a search: records by shelf, a shelf being some neighbouring volumes of a work, and for each bigram of a work the records that hold it, by bucket.
+
+    A bigram that most records hold is many rows of one bucket; rebalancing deals them to several files.
+    """
+    shelf = F.pmod(F.hash("work", F.expr(f"j div {ON_SHELF}")), F.lit(SHELVES))
+    records.withColumn("shelf", shelf).hint("rebalance", "shelf").write.partitionBy("shelf").parquet(f"{path}/records")
+    stored = records.sparkSession.read.parquet(f"{path}/records")
+    postings = stored.select(*RECORD, F.explode(_bigrams(F.concat_ws("\0", "t", "x"))).alias("gram")).withColumn("bucket", F.pmod(F.hash("work", "gram"), F.lit(BUCKETS)))
+    postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "work", "gram").write.partitionBy("bucket").parquet(f"{path}/postings")
+
+
+def indexed_search(spark: SparkSession, path: str, queries: DataFrame, limit: int = 30) -> DataFrame:
+    """What substring_search() finds, from the index at path: work, q, rank, part, j, idx, t, excerpt.
+
+    Only the buckets of the queries' bigrams are read, then only the shelves of records that hold all bigrams of a query; contains() decides.
+    The driver takes in the numbers of buckets and shelves, which are fixed.
+    """
+    asked = queries.select("work", trim_u(F.col("q")).alias("q")).filter(F.char_length("q") >= 2).distinct()
+    grams = asked.select("work", "q", F.explode(_bigrams(F.col("q"))).alias("gram"), F.size(_bigrams(F.col("q"))).alias("n_grams")).withColumn("bucket", F.pmod(F.hash("work", "gram"), F.lit(BUCKETS)))
+    grams = written(grams)
+    buckets = [r.bucket for r in grams.select("bucket").distinct().collect()]
+    postings = spark.read.parquet(f"{path}/postings").filter(F.col("bucket").isin(buckets))
+    met = postings.join(grams, ["bucket", "work", "gram"]).groupBy(*RECORD, "q", "n_grams").agg(F.count_distinct("gram").alias("n"))
+    named = written(met.filter("n = n_grams").select(*RECORD, "q"))
+    shelves = [r.shelf for r in named.select("shelf").distinct().collect()]
+    records = spark.read.parquet(f"{path}/records").filter(F.col("shelf").isin(shelves))
+    hits = named.join(records, RECORD).filter(F.col("t").contains(F.col("q")) | F.col("x").contains(F.col("q")))
+    rank = F.row_number().over(Window.partitionBy("work", "q").orderBy("part", "j", "idx"))
+    return hits.withColumn("rank", rank).filter(F.col("rank") <= limit).select("work", "q", "rank", "part", "j", "idx", "t", _excerpt(F.col("x"), F.col("q")).alias("excerpt"))
+
+
 def works_with_index(works: DataFrame, published: DataFrame) -> DataFrame:
     """work, title, link: a link for works with a published index; null marks one in preparation."""
     have = published.select("work").distinct().withColumn("link", F.concat("work", F.lit("/index.html")))

@@ -43,16 +43,28 @@ def write_search_index(spark, sf_dir):
 _WORDS = ("tion", "the ", "eau", "Part 2", "x", " ge ")
 
 
-@query(o.SECTIONS_SQL + _RECORDS + ", q AS (SELECT DISTINCT d.source AS work, trim(w.q) AS q FROM documents d, (SELECT unnest(['tion', 'the ', 'eau', 'Part 2', 'x', ' ge ']) AS q) w" + """),
+_FOUND = o.SECTIONS_SQL + _RECORDS + ", q AS (SELECT DISTINCT d.source AS work, trim(w.q) AS q FROM documents d, (SELECT unnest(['tion', 'the ', 'eau', 'Part 2', 'x', ' ge ']) AS q) w" + """),
 hits AS (SELECT r.work, q.q, r.part, r.j, r.idx, r.t, strpos(r.x, q.q) AS p, r.x FROM records r JOIN q ON q.work = r.work AND length(q.q) >= 2 AND (contains(r.t, q.q) OR contains(r.x, q.q))),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY work, q ORDER BY part, j, idx) AS rank FROM hits)
-SELECT work, q, CAST(rank AS INTEGER) AS rank, CAST(part AS INTEGER) AS part, j, CAST(idx AS INTEGER) AS idx, t, CASE WHEN p > 0 THEN replace(substr(x, CAST(greatest(p - 20, 1) AS INTEGER), CAST(p + 40 - greatest(p - 20, 1) AS INTEGER)), chr(10), ' ') ELSE '' END AS excerpt FROM ranked WHERE rank <= 30""")
+SELECT work, q, CAST(rank AS INTEGER) AS rank, CAST(part AS INTEGER) AS part, j, CAST(idx AS INTEGER) AS idx, t, CASE WHEN p > 0 THEN replace(substr(x, CAST(greatest(p - 20, 1) AS INTEGER), CAST(p + 40 - greatest(p - 20, 1) AS INTEGER)), chr(10), ' ') ELSE '' END AS excerpt FROM ranked WHERE rank <= 30"""
+
+
+@query(_FOUND)
 def substring_search(spark, sf_dir):
     works = b.table(spark, sf_dir, "documents").select(F.col("source").alias("work")).distinct()
     queries = works.select("work", F.explode(F.array(*map(F.lit, _WORDS))).alias("q"))
     return publish.substring_search(written(_records(spark, sf_dir)), queries, ["part", "j", "idx"])
 
 
+@query(_FOUND)
+def indexed_search(spark, sf_dir):
+    """The same from an index of bigrams that is written first; a search reads the buckets and shelves that it needs."""
+    path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    publish.write_postings(_records(spark, sf_dir), path)
+    works = b.table(spark, sf_dir, "documents").select(F.col("source").alias("work")).distinct()
+    return publish.indexed_search(spark, path, works.select("work", F.explode(F.array(*map(F.lit, _WORDS))).alias("q")))
+
+
 @query("SELECT DISTINCT d.source AS work, d.source AS title, CASE WHEN p.work IS NOT NULL THEN d.source || '/index.html' END AS link FROM documents d LEFT JOIN (SELECT DISTINCT source AS work FROM documents WHERE doc_id % 50 = 7) p ON p.work = d.source")
 def works_with_index(spark, sf_dir):
     docs = b.table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("work"), F.col("source").alias("title"))

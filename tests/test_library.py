@@ -233,6 +233,22 @@ def test_log_ring_over_micro_batches(spark, tmp_path):
     assert out[-1].seqs == [13, 20, 21, 22, 23] and len(out) == 3
 
 
+def test_a_search_reads_what_its_postings_name(spark, tmp_path):
+    rows = [("A", f"title {j}", j, "u", f"text of {j} and more\n" + ("rare" if j == 700 else ""), j % 2, j) for j in range(0, 1000, 5)] + [("B", "rare", 1, "u", "x", 0, 0), ("A", "rare", 3, "u", None, 0, 7), ("A", "rare", 3, "u", None, 0, 7)]
+    records = spark.createDataFrame(rows, "work string, t string, j int, u string, x string, part int, idx int")
+    path = str(tmp_path / "index")
+    publish.write_postings(records, path)
+    queries = spark.createDataFrame([("A", " rare "), ("A", "of 5"), ("A", "r"), ("B", "nowhere"), ("A", "d mo")], "work string, q string")
+    found = publish.indexed_search(spark, path, queries)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, publish.substring_search(records, queries, ["part", "j", "idx"]).collect()), key=str)
+    rare = publish.indexed_search(spark, path, queries.limit(1))
+    assert {(r.j, r.work) for r in rare.collect()} == {(700, "A"), (3, "A")}
+    import re
+
+    shelves = re.search(r"PartitionFilters: \[[^\]]*shelf#\d+ IN \(([^)]*)\)", rare._jdf.queryExecution().optimizedPlan().toString() + rare._jdf.queryExecution().sparkPlan().toString())[1]
+    assert len(shelves.split(",")) == 2 < spark.read.parquet(f"{path}/records").select("shelf").distinct().count()
+
+
 def test_packing_over_blocks(spark, monkeypatch):
     import random
 
