@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.text import html_escaped
@@ -34,50 +35,65 @@ def glossary_subset(spark, sf_dir):
     return subset.select("work", "juan", "idx", F.array_join(ids, ",").alias("ids"))
 
 
-#: A glossary per document: sound ones, and ones with each kind of fault.
-_SHAPES = """CASE doc_id % 9
-    WHEN 0 THEN '{"terms":[]}' WHEN 1 THEN '{"terms":["x"]}' WHEN 2 THEN '{"terms":[{"id":"a"}]}'
-    WHEN 3 THEN '{"terms":[{"id":"a","xuanzang":"","display":"","plain":"","status":"","rule":"","source_terms":["s",1],"translation_patterns":["t"]}]}'
-    WHEN 4 THEN '{"terms":[{"id":"a","xuanzang":"","display":"","plain":"","status":"","rule":"","source_terms":["s"],"translation_patterns":[]}]}'
-    WHEN 5 THEN '{"terms":[{"id":"a","xuanzang":"","display":"","plain":"","status":"","rule":"","source_terms":["s"],"translation_patterns":["t"]},{"id":"a","xuanzang":"","display":"","plain":"","status":"","rule":"","source_terms":["s"],"translation_patterns":["t"]}]}'
-    WHEN 6 THEN '{}' WHEN 7 THEN '{"terms":3}'
-    ELSE '{"terms":[{"id":"a","xuanzang":"","display":"","plain":"","status":"","rule":"","source_terms":["s"],"translation_patterns":["t"]}]}' END"""
+def _files(spark, sf_dir, term=F.col("json"), keep="true"):
+    """work, value: the glossary of each work as the text of its file; works whose number is divisible by 3 have none."""
+    terms = b.terms(spark, sf_dir).filter(keep).withColumn("term", term)
+    listed = terms.groupBy("work").agg(F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("t"))
+    return listed.filter(r"int(regexp_extract(work, '(\\d+)$', 1)) % 3 > 0").select("work", F.concat(F.lit('{"terms":['), F.array_join("t.term", ","), F.lit("]}")).alias("value"))
 
 
-@query("""SELECT CAST(doc_id AS VARCHAR) AS work, CAST(CASE WHEN doc_id % 9 = 5 THEN 1 ELSE 0 END AS INTEGER) AS pos,
-CAST(CASE doc_id % 9 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 4 WHEN 4 THEN 5 WHEN 5 THEN 3 ELSE 0 END AS INTEGER) AS rule_no,
-CASE doc_id % 9 WHEN 1 THEN 'Each term must be an object' WHEN 2 THEN 'a missing fields: display, plain, rule, source_terms, status, translation_patterns, xuanzang'
-WHEN 3 THEN 'a field source_terms must be a list of strings' WHEN 4 THEN 'a field translation_patterns must not be empty' WHEN 5 THEN 'Duplicate term id: a'
-ELSE 'Glossary must contain a non-empty terms list' END AS issue FROM documents WHERE doc_id % 9 <> 8""")
-def validate_glossary(spark, sf_dir):
-    docs = b.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("work"), F.parse_json(F.expr(_SHAPES)).alias("glossary"))
-    return g.validate_glossary(docs)
+def _works(spark, sf_dir):
+    return b.table(spark, sf_dir, "documents").select(F.col("source").alias("work")).distinct()
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) AS work, CASE WHEN doc_id % 2 = 0 THEN 0 ELSE 1 END AS n_terms FROM documents")
-def read_glossary(spark, sf_dir):
-    """Half of the works have no glossary file, and so no terms."""
-    docs = b.table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("work"))
-    files = docs.filter("doc_id % 2 = 1").select("work", F.lit('{"terms":[{"id":"a"}]}').alias("value"))
-    found = vol.read_glossary(docs, files)
-    return found.select("work", F.size(F.variant_get("glossary", "$.terms", "array<variant>")).alias("n_terms"))
+_NUMBERED = "WITH " + o.TERMS + ", numbered AS (SELECT work, CAST(regexp_extract(work, '([0-9]+)$', 1) AS INTEGER) AS number FROM works)"
 
 
-@query("""SELECT CAST(doc_id AS VARCHAR) AS work, CAST(CASE doc_id % 4 WHEN 0 THEN 1 ELSE 0 END AS INTEGER) AS n_added, CASE doc_id % 4 WHEN 0 THEN 'a,b' ELSE 'a' END AS ids FROM documents""")
+@query(_NUMBERED + " SELECT n.work, CAST(count(t.id) AS INTEGER) AS n_terms, string_agg(t.id, ',' ORDER BY t.pos) AS ids FROM numbered n LEFT JOIN terms t ON t.work = n.work AND number % 3 > 0 GROUP BY n.work")
+def read_glossary(spark, sf_dir):
+    """The terms of each work's glossary file; a third of the works have no file, and so no terms."""
+    found = vol.read_glossary(_works(spark, sf_dir), _files(spark, sf_dir))
+    terms = F.variant_get("glossary", "$.terms", "array<variant>")
+    ids = F.array_join(F.transform(terms, lambda t: F.variant_get(t, "$.id", "string")), ",")
+    return found.select("work", F.size(terms).alias("n_terms"), F.nullif(ids, F.lit("")).alias("ids"))
+
+
+@query(_NUMBERED + """, t AS (SELECT work, pos, CASE WHEN pos % 13 = 5 THEN lag(id) OVER (PARTITION BY work ORDER BY pos) ELSE id END AS id FROM terms JOIN numbered USING (work) WHERE number % 3 > 0),
+whole AS (SELECT *, row_number() OVER (PARTITION BY work, id ORDER BY pos) AS nth FROM t WHERE pos % 11 <> 3 AND pos % 23 <> 8)
+SELECT work, CAST(0 AS INTEGER) AS pos, CAST(0 AS INTEGER) AS rule_no, 'Glossary must contain a non-empty terms list' AS issue FROM numbered WHERE number % 3 = 0
+UNION ALL SELECT work, pos, 1, 'Each term must be an object' FROM t WHERE pos % 23 = 8
+UNION ALL SELECT work, pos, 2, id || ' missing fields: plain, rule' FROM t WHERE pos % 11 = 3 AND pos % 23 <> 8
+UNION ALL SELECT work, pos, 3, 'Duplicate term id: ' || id FROM whole WHERE nth > 1
+UNION ALL SELECT work, pos, 4, id || ' field source_terms must be a list of strings' FROM whole WHERE pos % 17 = 6
+UNION ALL SELECT work, pos, 5, id || ' field translation_patterns must not be empty' FROM whole WHERE pos % 19 = 7""")
+def validate_glossary(spark, sf_dir):
+    """Glossaries of all works, where by their places some terms repeat the id before, lack fields, are no objects, or have lists that are wrong or empty."""
+    given = b.terms(spark, sf_dir).select("work", "pos", F.when(F.col("pos") % 13 == 5, F.lag("id").over(Window.partitionBy("work").orderBy("pos"))).otherwise(F.col("id")).alias("id"), "source_terms", "translation_patterns")
+    mixed = F.when(F.col("pos") % 17 == 6, F.parse_json(F.lit('["s", 1]'))).otherwise(F.parse_json(F.to_json("source_terms")))
+    patterns = F.when(F.col("pos") % 19 == 7, F.array().cast("array<string>")).otherwise(F.col("translation_patterns"))
+    some = ["id", F.col("id").alias("xuanzang"), F.col("id").alias("display"), F.lit("ok").alias("status"), mixed.alias("source_terms"), patterns.alias("translation_patterns")]
+    term = F.when(F.col("pos") % 23 == 8, F.to_json(F.array("id"))).when(F.col("pos") % 11 == 3, F.to_json(F.struct(*some))).otherwise(F.to_json(F.struct(*some, F.lit("").alias("plain"), F.lit("").alias("rule"))))
+    listed = given.withColumn("term", term).groupBy("work").agg(F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("t"))
+    files = listed.filter(r"int(regexp_extract(work, '(\\d+)$', 1)) % 3 > 0").select("work", F.concat(F.lit('{"terms":['), F.array_join("t.term", ","), F.lit("]}")).alias("value"))
+    return g.validate_glossary(written(vol.read_glossary(_works(spark, sf_dir), files)))
+
+
+@query(_NUMBERED + """, old AS (SELECT work, pos, id FROM terms JOIN numbered USING (work) WHERE pos % 2 = 0 AND number % 3 > 0),
+new AS (SELECT work, pos, id FROM terms t JOIN numbered USING (work) WHERE pos % 3 = 0 AND number % 5 > 0 AND NOT EXISTS (SELECT 1 FROM old WHERE old.work = t.work AND old.id = t.id)),
+joint AS (SELECT work, 0 AS part, pos, id FROM old UNION ALL SELECT work, 1, pos, id FROM new)
+SELECT n.work, CAST(count(b.id) FILTER (WHERE part = 1) AS INTEGER) AS n_added, coalesce(string_agg(b.id, ',' ORDER BY part, b.pos), '') AS ids FROM numbered n LEFT JOIN joint b ON b.work = n.work GROUP BY n.work""")
 def merge_new_terms(spark, sf_dir):
-    """One proposal in four is sound; the others have a bad term, are no list, or name a known id."""
-    docs = b.table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("work"))
-    term = '{"id":"%s","xuanzang":"","display":"","plain":"","status":"","rule":"","source_terms":["s"],"translation_patterns":["t"]}'
-    glossaries = docs.select("work", F.parse_json(F.lit('{"terms":[%s]}' % (term % "a"))).alias("glossary"))
-    raw = F.when(F.col("doc_id") % 4 == 0, "[%s, %s, 7]" % (term % "a", term % "b")).when(F.col("doc_id") % 4 == 1, '[{"id":"c"}]').when(F.col("doc_id") % 4 == 2, "{}").otherwise("[%s]" % (term % "a"))
-    merged = g.merge_new_terms(glossaries, docs.select("work", raw.alias("raw")))
+    """Every third term proposed to glossaries that hold every second one; the proposals to a fifth of the works are no list, or have a term without fields."""
+    glossaries = written(vol.read_glossary(_works(spark, sf_dir), _files(spark, sf_dir, keep="pos % 2 = 0")))
+    listed = b.terms(spark, sf_dir).filter("pos % 3 = 0").groupBy("work").agg(F.array_sort(F.collect_list(F.struct("pos", "json"))).alias("t"))
+    number = F.regexp_extract("work", r"(\d+)$", 1).cast("int")
+    whole = F.array_join("t.json", ",")
+    raw = F.when(number % 5 > 0, F.concat(F.lit("["), whole, F.lit("]"))).when(number % 2 == 0, F.concat(F.lit('{"terms":['), whole, F.lit("]}"))).otherwise(F.concat(F.lit("["), whole, F.lit(',{"id":"lone"}]')))
+    merged = g.merge_new_terms(glossaries, written(listed.select("work", raw.alias("raw"))))
     ids = F.transform(F.variant_get(F.parse_json("value"), "$.terms", "array<variant>"), lambda t: F.variant_get(t, "$.id", "string"))
     return merged.select("work", "n_added", F.array_join(ids, ",").alias("ids"))
 
 
-_TIPS = ", tips AS (SELECT id AS word FROM terms)"
-
-
 @query(o.TERMS_SQL + """, tip_words AS (SELECT work, id AS word, id || '｜plain ' || id AS tip, pos FROM terms UNION ALL SELECT work, 'plain ' || id, id || '｜plain ' || id, pos FROM terms)
 SELECT work, word, tip, CAST(row_number() OVER (PARTITION BY work ORDER BY length(word) DESC, pos, word) AS INTEGER) AS rank FROM tip_words""")
 def tooltip_terms(spark, sf_dir):
