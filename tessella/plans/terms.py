@@ -35,11 +35,11 @@ def glossary_subset(spark, sf_dir):
     return subset.select("work", "juan", "idx", F.array_join(ids, ",").alias("ids"))
 
 
-def _files(spark, sf_dir, term=F.col("json"), keep="true"):
+def _files(spark, sf_dir, keep="true"):
     """work, value: the glossary of each work as the text of its file; works whose number is divisible by 3 have none."""
-    terms = b.terms(spark, sf_dir).filter(keep).withColumn("term", term)
-    listed = terms.groupBy("work").agg(F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("t"))
-    return listed.filter(r"int(regexp_extract(work, '(\\d+)$', 1)) % 3 > 0").select("work", F.concat(F.lit('{"terms":['), F.array_join("t.term", ","), F.lit("]}")).alias("value"))
+    terms = b.terms(spark, sf_dir).filter(keep)
+    listed = terms.groupBy("work").agg(F.array_sort(F.collect_list(F.struct("pos", "json"))).alias("t"))
+    return listed.filter(r"int(regexp_extract(work, '(\\d+)$', 1)) % 3 > 0").select("work", F.concat(F.lit('{"terms":['), F.array_join("t.json", ","), F.lit("]}")).alias("value"))
 
 
 def _works(spark, sf_dir):
