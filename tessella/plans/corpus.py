@@ -68,17 +68,21 @@ def work_juan_from_path(spark, sf_dir):
 
 @query(o.SEGMENTS_SQL + "SELECT work, juan, number, title, start_id, end_id, start_key, end_key, note FROM segments")
 def read_segments(spark, sf_dir):
-    """Segments written as tables of text and read back."""
+    """Segments written to a file for each volume and read back."""
     rows = b.segments(spark, sf_dir).select("work", "juan", F.col("number").alias("pos"), F.concat_ws("\t", "title", ranges.compact_range(F.col("start_id"), F.col("end_id")), "note").alias("line"))
-    return vol.parse_segments(vol.segment_table_text(rows)).filter("error IS NULL").drop("error")
+    path = f"{shared_folder(spark)}/segments-{uuid.uuid4().hex}"
+    vol.write_segments(rows, path)
+    return vol.read_segments(spark, path, by_folder=True).filter("error IS NULL").drop("error")
 
 
 @query(o.SEGMENTS_SQL + "SELECT work, juan, '# title' || chr(9) || 'range' || chr(9) || 'note' || chr(10) || string_agg(title || chr(9) || CASE WHEN start_id = end_id THEN start_id ELSE start_id || '-p' || right(end_id, 7) END || chr(9) || note, chr(10) ORDER BY number) || chr(10) AS value FROM segments WHERE number % 4 <> 0 GROUP BY work, juan")
 def write_segments(spark, sf_dir):
-    """The text of each volume's table; comments among the rows, and rows of two and four columns, come out right."""
+    """The text of each volume's file; comments among the rows, and rows of two and four columns, come out right."""
     line = F.concat_ws("\t", "title", ranges.compact_range(F.col("start_id"), F.col("end_id")), F.when(F.col("note") != "", F.concat("note", F.lit("\tmore"))))
     rows = b.segments(spark, sf_dir).select("work", "juan", F.col("number").alias("pos"), F.when(F.col("number") % 4 == 0, F.concat(F.lit("# "), line)).otherwise(line).alias("line"))
-    return vol.segment_table_text(rows)
+    path = f"{shared_folder(spark)}/segments-{uuid.uuid4().hex}"
+    vol.write_segments(rows, path)
+    return vol.segment_tables(spark, path)
 
 
 @query("SELECT DISTINCT d.source AS work, d.source AS file_id, coalesce('Title ' || n.n_name, d.source) AS title, true AS pipeline_ready, true AS valid FROM documents d LEFT JOIN nation n ON d.source = 'src' || n.n_nationkey AND n.n_nationkey < 10")

@@ -66,7 +66,16 @@ def parse_segments(tables: DataFrame) -> DataFrame:
     return rows.select("work", "juan", "number", "title", "start_id", "end_id", line_key(F.col("start_id")).alias("start_key"), line_key(F.col("end_id")).alias("end_key"), "note", "error")
 
 
-def read_segments(spark: SparkSession, path: str) -> DataFrame:
+def segment_tables(spark: SparkSession, path: str) -> DataFrame:
+    """work, juan, value: the tables that write_segments() wrote, one per work and volume."""
+    files = spark.read.schema("value string, work string, juan int").text(path, wholetext=True)
+    return files.select("work", "juan", "value")
+
+
+def read_segments(spark: SparkSession, path: str, by_folder: bool = False) -> DataFrame:
+    """All segments of the tables under a path; files whose names name no volume are skipped. by_folder: tables as write_segments() writes them."""
+    if by_folder:
+        return parse_segments(segment_tables(spark, path))
     name = r"([A-Za-z][A-Za-z0-9._-]*)-(\d{3})\.tsv\z"
     files = spark.read.text(path, wholetext=True).withColumn("name", F.col("_metadata.file_name")).filter(F.col("name").rlike(name))
     return parse_segments(files.select(F.regexp_extract("name", name, 1).alias("work"), F.regexp_extract("name", name, 2).cast("int").alias("juan"), "value"))
@@ -83,7 +92,9 @@ def segment_table_text(rows: DataFrame) -> DataFrame:
 
 def write_segments(rows: DataFrame, path: str) -> None:
     """One table of text per work and volume."""
-    segment_table_text(rows).write.partitionBy("work", "juan").option("lineSep", "\n").text(path)
+    # the writer ends each row with a line end of its own
+    text = F.regexp_replace("value", r"\n\z", "")
+    segment_table_text(rows).withColumn("value", text).write.partitionBy("work", "juan").option("lineSep", "\n").text(path)
 
 
 def read_raw_volumes(spark: SparkSession, path: str, by_folder: bool = False) -> DataFrame:
