@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The forms of labels and line ids.
 LABEL = r"\d{4}[abc]\d{2}"
 LOOSE = rf"[A-Za-z0-9._-]+_p{LABEL}"
 STRICT_PREFIX = r"[A-Z]+\d+n\d+[A-Za-z]?"

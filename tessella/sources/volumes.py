@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.ranges import compact_range, line_key, parse_range
 from ..functions.text import chinese_number, found, lines_of, trim_u
 
+# The forms of volume names, work ids and headings, and the fields of a glossary term.
 NAME = r"([A-Za-z][A-Za-z0-9._-]*)-(\d{3})-baihua"
 WORK_ID = r"^[A-Za-z][A-Za-z0-9._-]*\z"
 HEADING = r"(?dmU)^##\s+"  # begins a section
