@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessella.functions import ranges, replies, text
-from tessella.operators import coverage, glossary, inference, jobs, publish, toc
+from tessella.operators import coverage, glossary, inference, jobs, matching, publish, toc
 from tessella.sources import markup, volumes
 from tessella.streaming import jobs as streams
 
@@ -119,6 +119,50 @@ def test_terms_overlap_in_checks_and_not_in_marks(spark):
     assert marked == {"A": f"<p title='one'>{span('one')} {span('甲乙')}</p>", "C": "one"}
 
 
+@pytest.mark.parametrize("limit", [matching.SMALL_GLOSSARIES, 0])
+def test_words_of_any_number_are_found_and_marked(spark, monkeypatch, limit):
+    """Few words travel to the texts, many are joined: the same rows, and those of plain loops."""
+    import random
+
+    monkeypatch.setattr(matching, "SMALL_GLOSSARIES", limit)
+    rng = random.Random(6)
+    make = lambda n: "".join(rng.choice("ab甲<") for _ in range(n))
+    words = {work: {make(rng.randint(1, 5)) for _ in range(12)} for work in "AB"}
+    texts = [(rng.choice("ABC"), i, 0, make(rng.randint(0, 40))) for i in range(60)] + [("A", 99, 0, ""), ("A", 98, 0, None)]
+    df = spark.createDataFrame(texts, "work string, juan int, idx int, text string")
+    given = spark.createDataFrame([(work, w) for work, some in words.items() for w in some] + [("B", "")], "work string, word string")
+    hits = {tuple(r) for r in glossary.term_hits(df, "text", given).select("work", "juan", "word").collect()}
+    assert hits == {(work, j, w) for work, j, _, t in texts for w in words.get(work, ()) if t and w in t} | {(work, j, "") for work, j, _, t in texts if work == "B"}
+
+    def spans(text, some):
+        at = 0
+        while at < len(text):
+            found = max((w for w in some if len(w) >= 2 and text.startswith(w, at)), key=len, default=None)
+            if found:
+                yield found
+            at += len(found) if found else 1
+
+    tips = given.filter("word != ''").withColumn("tip", F.lit("t"))
+    got = {(r.work, r.juan, r.word): r.n for r in glossary.term_mentions(df, tips).collect()}
+    want: dict = {}
+    for work, juan, _, text in texts:
+        for w in spans(text or "", words.get(work, ())):
+            want[work, juan, w] = want.get((work, juan, w), 0) + 1
+    assert got == want
+    html = df.select("work", "juan", F.concat(F.lit("<p a='ab'>"), F.translate("text", "<", "b"), F.lit("</p>")).alias("html"))
+    marked = {r.juan: r.html for r in glossary.mark_terms(html, tips.filter("word NOT LIKE '%<%'")).collect()}
+    for work, juan, _, text in texts:
+        if text is None:
+            assert marked[juan] is None
+            continue
+        plain = text.replace("<", "b")
+        out, at = "", 0
+        for w in spans(plain, [w for w in words.get(work, ()) if "<" not in w]):
+            start = plain.index(w, at)
+            out, at = out + plain[at:start] + f'<span class="term" tabindex="0" data-tip="t">{w}</span>', start + len(w)
+        assert marked[juan] == f"<p a='ab'>{out}{plain[at:]}</p>"
+
+
 def test_packing(spark):
     def packed(sizes):
         df = spark.createDataFrame([("W", 1, i, n) for i, n in enumerate(sizes)], "work string, juan int, idx int, n int")
