@@ -127,3 +127,16 @@ def test_log_tail_after_a_restart(spark, tmp_path):
 def test_no_files(spark, tmp_path):
     (tmp_path / "files").mkdir()
     assert v.poll_volumes(spark, str(tmp_path / "files"), str(tmp_path / "ledger")) == 0
+
+
+def test_a_job_of_many_volumes_takes_a_key_per_block(spark, tmp_path):
+    folder, start, seen = str(tmp_path / "events"), dt.datetime(2026, 1, 1), {}
+    for part, state in enumerate(("failed", "done")):
+        new = [(1, i, state if i % 200 else "held", start + dt.timedelta(days=part), i, start if i % 200 == 0 else None) for i in range(-300, 300)]
+        spark.createDataFrame(new, EVENT).coalesce(1).write.mode("append").parquet(folder)
+        stream = streams.stream_job_rollup(spark.readStream.schema(EVENT).parquet(folder))
+        query = stream.writeStream.outputMode("append").foreachBatch(lambda b, _: seen.update({r.job_id: (r.state, r.resume_at, r.failed, r.held) for r in b.collect()})).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        held = [-200, 0, 200]
+        assert seen[1] == (("failed", None, [i for i in range(-300, 300) if i % 200], held) if part == 0 else ("waiting_model", start, [], held))
+        assert max(o.numRowsTotal for p in query.recentProgress for o in p.stateOperators) < 20
