@@ -12,15 +12,19 @@ STRICT_PREFIX = r"[A-Z]+\d+n\d+[A-Za-z]?"
 STRICT = rf"{STRICT_PREFIX}_p{LABEL}"
 
 
+def _key(label: Column) -> Column:
+    page, column, line = (F.substring(label, at, n) for at, n in ((1, 4), (5, 1), (6, 2)))
+    return page.cast("int") * 300 + (F.instr(F.lit("abc"), column) - 1) * 100 + line.cast("int")
+
+
 def key_of_label(label: Column) -> Column:
     """A sortable int for page, column and line; null for what is no label."""
-    page, column, line = (F.regexp_extract(label, r"^(\d{4})([abc])(\d{2})\z", i) for i in (1, 2, 3))
-    return F.when(label.rlike(rf"^{LABEL}\z"), page.cast("int") * 300 + (F.instr(F.lit("abc"), column) - 1) * 100 + line.cast("int"))
+    return F.when(label.rlike(rf"^{LABEL}\z"), _key(label))
 
 
 def line_key(line_id: Column, form: str = LOOSE) -> Column:
     """The key of a line id of the given form; the prefix does not count. Null for other strings."""
-    return F.when(line_id.rlike(rf"^(?:{form})\z"), key_of_label(F.right(line_id, F.lit(7))))
+    return F.when(line_id.rlike(rf"^(?:{form})\z"), _key(F.right(line_id, F.lit(7))))
 
 
 def parse_range(raw: Column) -> Column:
