@@ -62,6 +62,20 @@ def poll_volumes(spark: SparkSession, folder: str, ledger: str, by_folder: bool
     return len(paths)
 
 
+def append_volumes(volumes: DataFrame, ledger: str) -> None:
+    """Append entries for the volumes (work, juan, value) whose text differs from their last entry: a poll of a table of volumes, for more of them than one wants files.
+
+    Null texts count as no volume. The entry's path is the volume's own.
+    """
+    spark = volumes.sparkSession
+    entries = _ledger(spark, ledger)
+    known = entries.groupBy("path").agg(F.max_by("digest", "poll").alias("known"))
+    poll = 1 + (entries.agg(F.max("poll")).first()[0] or 0)
+    named = volumes.filter("value IS NOT NULL").select(F.concat_ws("/", "work", F.col("juan").cast("string")).alias("path"), *VOLUME, "value", F.octet_length("value").cast("long").alias("length"), F.sha2("value", 256).alias("digest"))
+    new = named.join(known, "path", "left").filter(~F.col("digest").eqNullSafe(F.col("known")))
+    new.select("path", F.current_timestamp().alias("modified"), "length", "digest", F.lit(poll).cast("long").alias("poll"), *VOLUME, "value").write.mode("append").option("compression", "zstd").parquet(ledger)
+
+
 def sections_of_entries(entries: DataFrame) -> DataFrame:
     """The sections of the last changed entry of each volume, and a row without idx for a volume that has none left."""
     last = F.row_number().over(Window.partitionBy(*VOLUME).orderBy(F.desc("poll"), F.desc("modified"), F.desc("path")))
@@ -84,6 +98,22 @@ def current_sections(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).filter("idx IS NOT NULL")
 
 
+def append_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """A sink that adds each micro-batch as a folder of its own, many volumes to a file; to run one again changes nothing."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return write
+
+
+def sections_of_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The sections in the folders of append_batches(), those of the last micro-batch that a volume is in."""
+    batches = spark.read.parquet(path)
+    last = batches.groupBy(*VOLUME).agg(F.max("batch").alias("batch"))
+    return batches.filter("idx IS NOT NULL").join(last, [*VOLUME, "batch"], "left_semi").drop("batch")
+
+
 def stream_sections(spark: SparkSession, ledger: str, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Hand the sections of each micro-batch of ledger entries to sink. It ends when there are no more; start it after a poll, with the same checkpoint."""
     entries = spark.readStream.schema(ENTRY).parquet(ledger)

@@ -65,6 +65,19 @@ def test_reading_volumes_and_segments(spark, tmp_path):
     assert [tuple(r) for r in volumes.read_raw_volumes(spark, str(tmp_path / "raw")).collect()] == [("A1", 2, "<p>")]
 
 
+def test_many_volumes_share_files(spark, tmp_path):
+    n = 200
+    rows = spark.range(n, numPartitions=2).selectExpr("'A' AS work", "int(id) AS juan", "1 AS pos", "concat('t', id, '\\tA_p0001a01\\tn') AS line")
+    volumes.write_segments(rows, str(tmp_path / "segments"))
+    got = volumes.read_segments(spark, str(tmp_path / "segments"), packed=True).collect()
+    assert sorted((r.juan, r.number, r.title, r.note) for r in got) == [(i, 1, f"t{i}", "n") for i in range(n)]
+    assert volumes.segment_tables(spark, str(tmp_path / "segments")).filter("juan = 7").first().value == "# title\trange\tnote\nt7\tA_p0001a01\tn\n"
+    raw = spark.range(n, numPartitions=2).selectExpr("concat('A-', lpad(id, 3, '0'), '.json') AS name", "array(concat('<p>', char(10), id), 'no') AS results")
+    volumes.write_raw_volumes(raw.union(raw.limit(1).selectExpr("'other'", "results")), str(tmp_path / "raw"))
+    assert sorted(map(tuple, volumes.read_raw_volumes(spark, str(tmp_path / "raw"), packed=True).collect())) == [("A", i, f"<p>\n{i}") for i in range(n)]
+    assert all(len(list((tmp_path / kind).glob("part-*"))) <= 8 for kind in ("segments", "raw"))
+
+
 def test_round_trip_of_a_volume(spark):
     lines = spark.createDataFrame([("A", 1, f"A_p0001a{i:02d}", 300 + i, t) for i, t in ((1, "x"), (2, ""), (3, "y"))], "work string, juan int, line_id string, line_key int, text string")
     segments = spark.createDataFrame([("A", 1, 1, "t", "A_p0001a01", "A_p0001a03", 301, 303, "n"), ("A", 1, 2, "u", "A_p0001a02", "A_p0001a02", 302, 302, "")], "work string, juan int, number int, title string, start_id string, end_id string, start_key int, end_key int, note string")

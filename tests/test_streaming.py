@@ -140,3 +140,20 @@ def test_a_job_of_many_volumes_takes_a_key_per_block(spark, tmp_path):
         held = [-200, 0, 200]
         assert seen[1] == (("failed", None, [i for i in range(-300, 300) if i % 200], held) if part == 0 else ("waiting_model", start, [], held))
         assert max(o.numRowsTotal for p in query.recentProgress for o in p.stateOperators) < 20
+
+
+def test_a_table_of_volumes_is_read_again_without_a_file_for_each(spark, tmp_path):
+    ledger, out = str(tmp_path / "ledger"), str(tmp_path / "out")
+
+    def run(rows):
+        v.append_volumes(spark.createDataFrame(rows, "work string, juan int, value string").coalesce(1), ledger)
+        v.stream_sections(spark, ledger, v.append_batches(out), str(tmp_path / "c")).awaitTermination()
+        return sorted((r.work, r.juan, r.source) for r in v.sections_of_batches(spark, out).collect())
+
+    many = [("A", i, volume(f"v{i}", "w")) for i in range(50)]
+    assert len(run([*many, ("B", 1, None)])) == 100
+    n_files = sum(name.endswith(".parquet") for _, _, names in os.walk(out) for name in names)
+    assert n_files <= 8
+    got = run([("A", 0, volume("new")), ("A", 1, "# nothing left\n"), *many[2:]])
+    assert got == sorted([("A", 0, "new"), *(("A", i, t) for i in range(2, 50) for t in (f"v{i}", "w"))])
+    assert v._ledger(spark, ledger).filter("poll = 2").count() == 2
