@@ -65,6 +65,17 @@ def test_reading_volumes_and_segments(spark, tmp_path):
     assert [tuple(r) for r in volumes.read_raw_volumes(spark, str(tmp_path / "raw")).collect()] == [("A1", 2, "<p>")]
 
 
+def test_trimming_and_lines_against_regexes(spark):
+    from tessella.functions import text
+
+    odd = [chr(c) for c in (*range(0x21), 0x7F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)]
+    texts = [f"{c}a{c}b{c}" for c in odd] + ["", "\n", "a\r\nb\r", "a\n\n", "\u3000\u2028x\t ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    slow = F.split(F.regexp_replace(F.regexp_replace("t", "\\r\\n|[\\r\\x0B\\f\\x1C-\\x1E\\x85\u2028\u2029]", "\n"), r"\n\z", ""), "\n", -1)
+    for r in df.select("t", text.trim_u(F.col("t")).alias("a"), F.regexp_replace("t", r"(?U)^\s+|\s+\z", "").alias("b"), text.lines_of(F.col("t")).alias("c"), slow.alias("d")).collect():
+        assert (r.a, r.c) == (r.b, r.d), ascii(r.t)
+
+
 def test_many_volumes_share_files(spark, tmp_path):
     n = 200
     rows = spark.range(n, numPartitions=2).selectExpr("'A' AS work", "int(id) AS juan", "1 AS pos", "concat('t', id, '\\tA_p0001a01\\tn') AS line")
