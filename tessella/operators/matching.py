@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SMALL_GLOSSARIES = 16 << 20  # bytes of all works' words that travel to every task
+SLICE = 256  # texts that are taken out of Arrow together
 _MATCHERS = 256  # works whose matchers a task keeps
 
 
@@ -47,10 +48,17 @@ def _cached(make: Callable, words: Broadcast) -> Callable:
     return lru_cache(_MATCHERS)(lambda work: make(words.value.get(work, [])))
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows, so that few texts at a time are Python objects, however many rows Spark puts into a batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _contained(batches: Iterator[pa.RecordBatch], words: Broadcast, n_keys: int) -> Iterator[pa.RecordBatch]:
     """The keys of each text, its work first, with every distinct word that it holds."""
     matcher = _cached(lambda some: automaton([w for (w,) in some if w]), words)
-    for batch in batches:
+    for batch in sliced(batches):
         rows, hits = [], []
         for i, (work, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(n_keys).to_pylist(), strict=True)):
             found = matcher(work)
@@ -127,7 +135,7 @@ def mapped_texts(frame: DataFrame, text: str, of_row: Callable[[str, Walk], obje
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walk = None if given is None else _cached(Walk, given)
-        for batch in batches:
+        for batch in sliced(batches):
             if walk:
                 walks = map(walk, batch.column(work_at).to_pylist())
             else:

@@ -76,6 +76,16 @@ def test_trimming_and_lines_against_regexes(spark):
         assert (r.a, r.c) == (r.b, r.d), ascii(r.t)
 
 
+def test_batches_of_texts_are_taken_in_slices():
+    import pyarrow as pa
+
+    from tessella.operators import matching
+
+    batch = pa.RecordBatch.from_pydict({"work": ["A"] * 1000, "html": [f"t{i}" for i in range(1000)]})
+    parts = list(matching.sliced(iter([batch, batch.slice(0, 0)])))
+    assert [p.num_rows for p in parts] == [256, 256, 256, 232] and pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+
+
 def test_many_volumes_share_files(spark, tmp_path):
     n = 200
     rows = spark.range(n, numPartitions=2).selectExpr("'A' AS work", "int(id) AS juan", "1 AS pos", "concat('t', id, '\\tA_p0001a01\\tn') AS line")
