@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import html_escaped, html_paragraphs, trim_u
 from ..sources.shared import written
+from .matching import few_words
 
 VOLUME = ["work", "juan"]
 RECORD = ["shelf", "work", "part", "j", "idx"]
 BUCKETS, SHELVES = 64, 256  # parts of the postings and of the records that a search reads or leaves
 ON_SHELF = 64  # volumes
+SCANNED = 32  # queries of a work that are looked for in each of its records
 
 
 def section_html(start: Column, end: Column, title: Column, range_label: Column, translation_html: Column, source_html: Column, note: Column) -> Column:
@@ -41,20 +43,39 @@ def _excerpt(x: Column, q: Column) -> Column:
     return F.when(at > 0, F.replace(F.substr(x, F.greatest(at - 20, F.lit(1)), F.lit(39) + at - F.greatest(at - 20, F.lit(1)) + 1), F.lit("\n"), F.lit(" "))).otherwise("")
 
 
+def _asked(queries: DataFrame) -> DataFrame:
+    return queries.select("work", trim_u(F.col("q")).alias("q")).filter(F.char_length("q") >= 2).distinct()
+
+
+def _first_hits(hits: DataFrame, order: list[str], limit: int) -> DataFrame:
+    """The first hits of each query with their excerpts. These are cut before the ranking, as else whole texts would be sorted."""
+    cut = hits.select("work", "q", *[c for c in order if c != "work"], "t", _excerpt(F.col("x"), F.col("q")).alias("excerpt"))
+    rank = F.row_number().over(Window.partitionBy("work", "q").orderBy(*order))
+    return cut.withColumn("rank", rank).filter(F.col("rank") <= limit).select("work", "q", "rank", *[c for c in cut.columns if c not in ("work", "q")])
+
+
+def _holds(q: Column) -> Column:
+    return F.col("t").contains(q) | F.col("x").contains(q)
+
+
 def substring_search(records: DataFrame, queries: DataFrame, order: list[str], limit: int = 30) -> DataFrame:
     """queries (work, q) -> work, q, rank, the record's order columns, t, excerpt: the first `limit` records of the work that hold q in title or text.
 
-    Queries are trimmed, and those under two characters find nothing. Records and queries meet on one bigram of the query,
-    and contains() decides. For the first hits per query a bounded heap is enough, so a frequent query is no large group.
+    Queries are trimmed, and those under two characters find nothing. If they are few, and few for each work, they travel to the records, and each is looked for where
+    the text lies. Else records and queries meet on one bigram of the query. contains() decides. For the first hits per query a bounded heap is enough, so a frequent query is no large group.
     """
-    asked = queries.select("work", trim_u(F.col("q")).alias("q")).filter(F.char_length("q") >= 2).distinct().withColumn("gram", F.expr("substring(q, 1, 2)"))
+    asked = written(_asked(queries))
+    most = asked.groupBy("work").count().agg(F.max("count")).first()[0] or 0
+    if most <= SCANNED and few_words(asked, "work", "q"):
+        given = F.broadcast(asked.groupBy("work").agg(F.collect_list("q").alias("qs")))
+        hits = records.join(given, "work").withColumn("q", F.explode(F.filter("qs", _holds))).drop("qs")
+        return _first_hits(hits, order, limit)
+    asked = asked.withColumn("gram", F.expr("substring(q, 1, 2)"))
     wanted = asked.groupBy("work").agg(F.collect_set("gram").alias("grams"))
     both = F.concat_ws("\0", "t", "x")
     grams = F.array_distinct(F.regexp_extract_all("tx", F.lit("(?s)(?=(..))"), F.lit(1)))
     dealt = records.withColumn("tx", both).join(wanted, "work").withColumn("gram", F.explode(F.array_intersect(grams, "grams"))).drop("tx", "grams")
-    hits = dealt.join(asked, ["work", "gram"]).filter(F.col("t").contains(F.col("q")) | F.col("x").contains(F.col("q")))
-    rank = F.row_number().over(Window.partitionBy("work", "q").orderBy(*order))
-    return hits.withColumn("rank", rank).filter(F.col("rank") <= limit).select("work", "q", "rank", *[c for c in order if c != "work"], "t", _excerpt(F.col("x"), F.col("q")).alias("excerpt"))
+    return _first_hits(dealt.join(asked, ["work", "gram"]).filter(_holds(F.col("q"))), order, limit)
 
 
 def _bigrams(text: Column) -> Column:

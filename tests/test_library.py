@@ -327,6 +327,20 @@ def test_a_search_reads_what_its_postings_name(spark, tmp_path):
     assert len(shelves.split(",")) == 2 < spark.read.parquet(f"{path}/records").select("shelf").distinct().count()
 
 
+@pytest.mark.parametrize("scanned", [publish.SCANNED, 0])
+def test_a_search_by_scan_and_by_bigrams_finds_the_same(spark, monkeypatch, scanned):
+    monkeypatch.setattr(publish, "SCANNED", scanned)
+    rows = [("A", "t" if i % 2 else None, i, "u", f"ab {i} 𠀀𠀁\nq{'b' * i}", 0, i) for i in range(40)] + [("B", "ab", 1, "u", None, 1, 1), (None, "ab", 1, "u", "ab", 0, 1)]
+    records = spark.createDataFrame(rows, "work string, t string, j int, u string, x string, part int, idx int")
+    queries = spark.createDataFrame([("A", " ab\u3000"), ("A", "ab"), ("A", "𠀀𠀁"), ("A", "bbb"), ("A", "b"), ("A", None), ("B", "ab"), ("C", "ab")], "work string, q string")
+    found = publish.substring_search(records, queries, ["part", "j", "idx"])
+    if scanned:  # no bigrams of whole texts
+        assert "regexp_extract_all" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.work, r.q, r["rank"]): (r.j, r.excerpt) for r in found.collect()}
+    want = {("A", q, n + 1): (i, f"ab {i} 𠀀𠀁 q{'b' * i}"[max(0, (at := f"ab {i} 𠀀𠀁 q{'b' * i}".index(q)) - 20) : at + 40]) for q, first in (("ab", 0), ("𠀀𠀁", 0), ("bbb", 3)) for n, i in enumerate(range(first, min(40, first + 30)))}
+    assert got == want | {("B", "ab", 1): (1, "")}
+
+
 def test_packing_over_blocks(spark, monkeypatch):
     import random
 
