@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,10 +16,12 @@ from ..sources.shared import written
 from .matching import few_words
 
 VOLUME = ["work", "juan"]
-RECORD = ["shelf", "work", "part", "j", "idx"]
 BUCKETS, SHELVES = 64, 256  # parts of the postings and of the records that a search reads or leaves
 ON_SHELF = 64  # volumes
+BLOCK = 4096  # records whose places a list of postings holds
+TRIED = 4  # times the limit: candidates of each query that are read first
 SCANNED = 32  # queries of a work that are looked for in each of its records
+_AT_ONCE = 1 << 21  # characters
 
 
 def section_html(start: Column, end: Column, title: Column, range_label: Column, translation_html: Column, source_html: Column, note: Column) -> Column:
@@ -79,39 +87,86 @@ def substring_search(records: DataFrame, queries: DataFrame, order: list[str], l
 
 
 def _bigrams(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(..))"), F.lit(1)))
+    """The distinct bigrams of a short text of two characters or more."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.char_length(text) - 1), lambda i: F.substr(text, i, F.lit(2))))
+
+
+def _pairs(texts: list[str], places: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct bigrams of the texts, where the list of each begins and the last one ends, and the lists: the places of the texts that hold it."""
+    code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    of = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)))
+    # two characters of 21 bits, and the text
+    key = (code[:-1] << 33 | code[1:] << 12 | of[1:])[of[1:] == of[:-1]]
+    key.sort()
+    key = key[np.r_[True, key[1:] != key[:-1]][: len(key)]]
+    gram = key >> 12
+    begins = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]][: len(gram)])
+    names = [chr(g >> 21) + chr(g & 0x1FFFFF) for g in gram[begins].tolist()]
+    return names, np.r_[begins, len(key)].astype(np.int32), places[key & 0xFFF]
+
+
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """shelf, work, row, text -> work, gram, shelf, block, places: for each bigram of a work the records of a block that hold it."""
+    for batch in batches:
+        shelves, works, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_numpy()
+        sizes = pc.fill_null(pc.utf8_length(batch.column(3)), 0).to_numpy()
+        # some texts of one shelf, work and block together, and of no more characters than fit the memory of a task
+        keys = list(zip(shelves, works, (rows // BLOCK).tolist(), ((np.cumsum(sizes) - sizes) // _AT_ONCE).tolist(), strict=True))
+        for (shelf, work, block, _), some in groupby(range(len(keys)), keys.__getitem__):
+            at = list(some)
+            texts = batch.column(3).slice(at[0], len(at)).to_pylist()
+            names, offsets, places = _pairs(texts, (rows[at[0] : at[-1] + 1] % BLOCK).astype(np.int16))
+            n, lists = len(names), pa.ListArray.from_arrays(pa.array(offsets), pa.array(places))
+            yield pa.RecordBatch.from_arrays([pa.array([work] * n, pa.string()), pa.array(names, pa.string()), pa.array([shelf] * n, pa.int32()), pa.array([block] * n, pa.int64()), lists], ["work", "gram", "shelf", "block", "places"])
 
 
 def write_postings(records: DataFrame, path: str) -> None:
-    """The index of a search: records by shelf, a shelf being some neighbouring volumes of a work, and for each bigram of a work the records that hold it, by bucket.
+    """The index of a search: numbered records by shelf, a shelf being some neighbouring volumes of a work, and by bucket for each bigram of a work, and each block of records, those that hold it.
 
-    A bigram that most records hold is many rows of one bucket; rebalancing deals them to several files.
+    A list of places in a block stands for as many rows. A shelf or bucket with most records is dealt to several files by rebalancing.
     """
     shelf = F.pmod(F.hash("work", F.expr(f"j div {ON_SHELF}")), F.lit(SHELVES))
-    records.withColumn("shelf", shelf).hint("rebalance", "shelf").write.partitionBy("shelf").parquet(f"{path}/records")
+    dealt = records.withColumn("shelf", shelf).hint("rebalance", "shelf").sortWithinPartitions("shelf", "work")
+    dealt.withColumn("row", F.monotonically_increasing_id()).write.partitionBy("shelf").option("compression", "zstd").parquet(f"{path}/records")
     stored = records.sparkSession.read.parquet(f"{path}/records")
-    postings = stored.select(*RECORD, F.explode(_bigrams(F.concat_ws("\0", "t", "x"))).alias("gram")).withColumn("bucket", F.pmod(F.hash("work", "gram"), F.lit(BUCKETS)))
-    postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "work", "gram").write.partitionBy("bucket").parquet(f"{path}/postings")
+    lists = stored.select("shelf", "work", "row", F.concat_ws("\0", "t", "x").alias("text")).mapInArrow(_postings, "work string, gram string, shelf int, block long, places array<smallint>")
+    postings = lists.withColumn("bucket", F.pmod(F.hash("work", "gram"), F.lit(BUCKETS)))
+    postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "work", "gram").write.partitionBy("bucket").option("compression", "zstd").parquet(f"{path}/postings")
+
+
+def _read_records(spark: SparkSession, path: str, named: DataFrame) -> DataFrame:
+    """The named records (shelf, row, more) of which title or text hold q. The driver takes in the numbers of the shelves, which are fixed."""
+    shelves = [r.shelf for r in named.select("shelf").distinct().collect()]
+    records = spark.read.parquet(f"{path}/records").filter(F.col("shelf").isin(shelves))
+    return named.select("shelf", "row", "q").join(records, ["shelf", "row"]).filter(_holds(F.col("q")))
 
 
 def indexed_search(spark: SparkSession, path: str, queries: DataFrame, limit: int = 30) -> DataFrame:
     """What substring_search() finds, from the index at path: work, q, rank, part, j, idx, t, excerpt.
 
-    Only the buckets of the queries' bigrams are read, then only the shelves of records that hold all bigrams of a query; contains() decides.
-    The driver takes in the numbers of buckets and shelves, which are fixed.
+    Only the buckets of the queries' bigrams are read, and lists of the same block give the records that hold all bigrams of a query. Of these the first ones in the order of the
+    result are read, a few times the limit; contains() decides. A query with more of them and less than `limit` hits among these has all of its records read.
     """
-    asked = queries.select("work", trim_u(F.col("q")).alias("q")).filter(F.char_length("q") >= 2).distinct()
-    grams = asked.select("work", "q", F.explode(_bigrams(F.col("q"))).alias("gram"), F.size(_bigrams(F.col("q"))).alias("n_grams")).withColumn("bucket", F.pmod(F.hash("work", "gram"), F.lit(BUCKETS)))
-    grams = written(grams)
-    buckets = [r.bucket for r in grams.select("bucket").distinct().collect()]
+    grams = _bigrams(F.col("q"))
+    asked = written(_asked(queries).select("work", "q", F.explode(grams).alias("gram"), F.size(grams).alias("n_grams")).withColumn("bucket", F.pmod(F.hash("work", "gram"), F.lit(BUCKETS))))
+    buckets = [r.bucket for r in asked.select("bucket").distinct().collect()]
     postings = spark.read.parquet(f"{path}/postings").filter(F.col("bucket").isin(buckets))
-    met = postings.join(grams, ["bucket", "work", "gram"]).groupBy(*RECORD, "q", "n_grams").agg(F.count_distinct("gram").alias("n"))
-    named = written(met.filter("n = n_grams").select(*RECORD, "q"))
-    shelves = [r.shelf for r in named.select("shelf").distinct().collect()]
-    records = spark.read.parquet(f"{path}/records").filter(F.col("shelf").isin(shelves))
-    hits = named.join(records, RECORD).filter(F.col("t").contains(F.col("q")) | F.col("x").contains(F.col("q")))
-    rank = F.row_number().over(Window.partitionBy("work", "q").orderBy("part", "j", "idx"))
-    return hits.withColumn("rank", rank).filter(F.col("rank") <= limit).select("work", "q", "rank", "part", "j", "idx", "t", _excerpt(F.col("x"), F.col("q")).alias("excerpt"))
+    met = postings.join(asked, ["bucket", "work", "gram"]).groupBy("work", "q", "n_grams", "shelf", "block").agg(F.sort_array(F.flatten(F.collect_list("places"))).alias("all"))
+    # a record is in the list of a bigram once, so one that holds all n is there n times
+    held = F.filter("all", lambda place, i: F.get("all", i + F.col("n_grams") - 1) == place)
+    named = met.select("work", "q", "shelf", "block", F.explode(held).alias("place"))
+    named = written(named.select("work", "q", "shelf", (F.col("block") * BLOCK + F.col("place")).alias("row")))
+    order = ["part", "j", "idx"]
+    rank = F.row_number().over(Window.partitionBy("work", "q").orderBy(*order))
+    placed = named.join(spark.read.parquet(f"{path}/records").select("shelf", "row", *order), ["shelf", "row"])
+    first = written(placed.withColumn("rank", rank).filter(F.col("rank") <= TRIED * limit).select("work", "q", "shelf", "row"))
+    found = _read_records(spark, path, first)
+    full = found.groupBy("work", "q").count().filter(F.col("count") >= limit)
+    more = named.groupBy("work", "q").count().filter(F.col("count") > TRIED * limit)
+    short = written(more.join(full, ["work", "q"], "left_anti").select("work", "q"))
+    if not short.isEmpty():
+        found = _read_records(spark, path, written(first.join(short, ["work", "q"], "left_anti").union(named.join(short, ["work", "q"]).select(first.columns))))
+    return _first_hits(found, order, limit)
 
 
 def works_with_index(works: DataFrame, published: DataFrame) -> DataFrame:

@@ -341,6 +341,23 @@ def test_a_search_by_scan_and_by_bigrams_finds_the_same(spark, monkeypatch, scan
     assert got == want | {("B", "ab", 1): (1, "")}
 
 
+def test_postings_are_lists_and_a_query_with_many_false_candidates_is_read_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(publish, "TRIED", 1)
+    # each bigram of abc is in all records, but abc only in the last ones
+    rows = [("A", f"t{i}", 5, "u", "bc 𠀀𠀁 ab" if i < 90 else "abc", 0, i) for i in range(95)] + [("A", "zz", 5, "u", "", 1, 0)]
+    records = spark.createDataFrame(rows, "work string, t string, j int, u string, x string, part int, idx int")
+    publish.write_postings(records, f"{tmp_path}/index")
+    postings = spark.read.parquet(f"{tmp_path}/index/postings")
+    assert postings.filter("gram = 'ab'").count() < 10
+    queries = spark.createDataFrame([("A", q) for q in ("abc", "ab", "𠀀𠀁", "zz", "t9")], "work string, q string")
+    got = sorted(map(tuple, publish.indexed_search(spark, f"{tmp_path}/index", queries, limit=4).collect()))
+    assert got == sorted(map(tuple, publish.substring_search(records, queries, ["part", "j", "idx"], limit=4).collect()))
+    assert [r[5] for r in got if r[1] == "abc"] == [90, 91, 92, 93]
+    monkeypatch.setattr(publish, "_AT_ONCE", 20)
+    publish.write_postings(records, f"{tmp_path}/in-parts")
+    assert sorted(map(tuple, publish.indexed_search(spark, f"{tmp_path}/in-parts", queries, limit=4).collect())) == got
+
+
 def test_packing_over_blocks(spark, monkeypatch):
     import random
 
