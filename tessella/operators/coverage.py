@@ -20,18 +20,32 @@ def segment_source_join(lines: DataFrame, segments: DataFrame, bucket: int = 100
     """Adds source to segments: their non-empty lines in key order, joined by line feeds, "" if there are none.
 
     An equi-join on volume and key bucket, then the range test: a segment goes to the buckets that it touches, so a huge
-    volume is spread over tasks and no pair outside the buckets is made. Ranges may overlap.
+    volume is spread over tasks and no pair outside the buckets is made. Ranges may overlap. Segments within one bucket, which most are, are put
+    together where they were joined, so their texts are shuffled once; only those of several buckets meet again.
     """
-    cut = segments.withColumn("bucket", F.explode(F.when(F.col("start_key") <= F.col("end_key"), F.sequence(F.floor(F.col("start_key") / bucket), F.floor(F.col("end_key") / bucket)))))
+    others = [c for c in segments.columns if c not in (*VOLUME, "number")]
+    numbered = segments.select(*VOLUME, "number", F.monotonically_increasing_id().alias("row"), F.struct(*others).alias("others"))
+    first, last = F.floor(F.col("others.start_key") / bucket), F.floor(F.col("others.end_key") / bucket)
+    ordered, across = F.col("others.start_key") <= F.col("others.end_key"), F.coalesce(last > first, F.lit(False))
     dealt = lines.filter("text != ''").select(*VOLUME, "line_key", "text", F.floor(F.col("line_key") / bucket).alias("bucket"))
-    hits = cut.select(*VOLUME, "number", "start_key", "end_key", "bucket").join(dealt, [*VOLUME, "bucket"]).filter("line_key BETWEEN start_key AND end_key")
-    sources = ordered_concat(hits, [*VOLUME, "number"], "line_key", "text").withColumnRenamed("value", "source")
-    return segments.join(sources, [*VOLUME, "number"], "left").withColumn("source", F.coalesce("source", F.lit("")))
+    within = _with_lines(numbered.filter(~across).withColumn("bucket", F.when(ordered, first)), dealt)
+    pieces = _with_lines(numbered.filter(across).withColumn("bucket", F.explode(F.sequence(first, last))), dealt)
+    joined = pieces.groupBy(*VOLUME, "number", "row").agg(F.first("others").alias("others"), F.flatten(F.collect_list("list")).alias("list"))
+    both = within.select(joined.columns).union(joined)
+    return both.select(*VOLUME, "number", "others.*", F.array_join(F.sort_array("list").t, "\n").alias("source")).select(*segments.columns, "source")
+
+
+def _with_lines(cut: DataFrame, dealt: DataFrame) -> DataFrame:
+    """The segments of each bucket with a list of their lines there, (key, text) in no order."""
+    met = cut.join(dealt, [cut[c] == dealt[c] for c in (*VOLUME, "bucket")] + [dealt.line_key.between(cut["others.start_key"], cut["others.end_key"])], "left")
+    line = F.when(dealt.line_key.isNotNull(), F.struct(dealt.line_key.alias("o"), dealt.text.alias("t")))
+    rows = met.select(*(cut[c] for c in (*VOLUME, "bucket", "number", "row", "others")), line.alias("line"))
+    return rows.groupBy(*VOLUME, "bucket", "number", "row").agg(F.first("others").alias("others"), F.collect_list("line").alias("list"))
 
 
 def ordered_concat(rows: DataFrame, group: list[str], order: str, text: str, separator: str = "\n") -> DataFrame:
     """group, value: the group's texts in order, joined."""
-    listed = rows.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))).alias("list"))
+    listed = rows.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))).alias("list"))
     return listed.select(*group, F.array_join("list.t", separator).alias("value"))
 
 

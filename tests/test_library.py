@@ -358,6 +358,16 @@ def test_postings_are_lists_and_a_query_with_many_false_candidates_is_read_whole
     assert sorted(map(tuple, publish.indexed_search(spark, f"{tmp_path}/in-parts", queries, limit=4).collect())) == got
 
 
+def test_segments_within_and_across_buckets_are_put_together_once(spark):
+    lines = spark.createDataFrame([("A", 1, k, f"l{k}") for k in range(30)] + [("A", 1, 7, ""), ("A", None, 3, "x")], "work string, juan int, line_key int, text string")
+    ranges_ = [(1, 2, 4), (2, 2, 4), (2, 2, 4), (3, 8, 12), (4, 0, 29), (5, 9, 3), (6, None, 4), (7, 40, 60), (8, 5, 5)]
+    segments = spark.createDataFrame([("A", 1, n, a, b, f"t{n}") for n, a, b in ranges_] + [("B", 1, 1, 0, 5, "none")], "work string, juan int, number int, start_key int, end_key int, title string")
+    found = coverage.segment_source_join(lines.repartition(3), segments, bucket=10)
+    assert found.columns == [*segments.columns, "source"]
+    want = [("A", 1, n, a, b, f"t{n}", "\n".join(f"l{k}" for k in range(30) if a is not None and a <= k <= b)) for n, a, b in ranges_] + [("B", 1, 1, 0, 5, "none", "")]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+
+
 def test_packing_over_blocks(spark, monkeypatch):
     import random
 
