@@ -69,7 +69,7 @@ def range_endpoints(sections: DataFrame, bounds: DataFrame) -> DataFrame:
 def line_membership_check(sections: DataFrame, universe: DataFrame) -> DataFrame:
     """work, juan, idx, title, line_id: ends of ranges that are no known lines. A range of one line is tested, and reported, twice."""
     ends = sections.select(*VOLUME, "idx", "title", F.explode(F.array("start_id", "end_id")).alias("line_id"))
-    return ends.join(universe.select(*VOLUME, "line_id").distinct(), [*VOLUME, "line_id"], "left_anti").select(*VOLUME, "idx", "title", "line_id")
+    return ends.join(universe.select(*VOLUME, "line_id"), [*VOLUME, "line_id"], "left_anti").select(*VOLUME, "idx", "title", "line_id")
 
 
 def range_gaps_overlaps(sections: DataFrame, lines: DataFrame) -> DataFrame:

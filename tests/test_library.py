@@ -368,6 +368,14 @@ def test_segments_within_and_across_buckets_are_put_together_once(spark):
     assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
 
 
+def test_unknown_ends_are_looked_up_without_counting_all_lines(spark):
+    sections = spark.createDataFrame([("A", 1, 0, "t", "a", "b"), ("A", 1, 1, "u", "b", "c"), ("B", 1, 0, "v", "a", "a")], "work string, juan int, idx int, title string, start_id string, end_id string")
+    universe = spark.createDataFrame([("A", 1, x) for x in "aabb"], "work string, juan int, line_id string")
+    found = coverage.line_membership_check(sections, universe)
+    assert sorted(map(tuple, found.collect())) == [("A", 1, 1, "u", "c"), ("B", 1, 0, "v", "a"), ("B", 1, 0, "v", "a")]
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_packing_over_blocks(spark, monkeypatch):
     import random
 
