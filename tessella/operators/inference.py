@@ -217,11 +217,12 @@ def volume_check_report(coverage: DataFrame, glossary_issues: DataFrame, term_is
 def repair_targets(issues: DataFrame) -> DataFrame:
     """work, juan, titles, hint: the distinct texts before the first colon of issues, and the first ten issues."""
     order = ["source", "idx", "rule_no", "issue"]
-    titled = issues.select(*VOLUME, F.when(F.col("issue").contains(":"), trim_u(F.split_part("issue", F.lit(":"), F.lit(1)))).alias("title"))
-    titles = titled.groupBy(*VOLUME).agg(F.array_sort(F.collect_set("title")).alias("titles"))
-    ranked = issues.withColumn("rank", F.row_number().over(Window.partitionBy(*VOLUME).orderBy(*order))).filter("rank <= 10")
-    first = ranked.groupBy(*VOLUME).agg(F.array_sort(F.collect_list(F.struct("rank", "issue"))).alias("first"))
-    return titles.join(first, VOLUME).select(*VOLUME, "titles", F.array_join("first.issue", "；").alias("hint"))
+    title = F.when(F.col("issue").contains(":"), trim_u(F.split_part("issue", F.lit(":"), F.lit(1))))
+    # one pass over the issues, as computing them takes longest
+    ranked = issues.select(*VOLUME, "issue", title.alias("title"), F.row_number().over(Window.partitionBy(*VOLUME).orderBy(*order)).alias("rank"))
+    first = F.collect_list(F.when(F.col("rank") <= 10, F.struct("rank", "issue")))
+    found = ranked.groupBy(*VOLUME).agg(F.array_sort(F.collect_set("title")).alias("titles"), F.array_sort(first).alias("first"))
+    return found.select(*VOLUME, "titles", F.array_join("first.issue", "；").alias("hint"))
 
 
 def translation_progress(sections: DataFrame) -> DataFrame:

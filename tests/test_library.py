@@ -376,6 +376,14 @@ def test_unknown_ends_are_looked_up_without_counting_all_lines(spark):
     assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_repair_targets_take_the_issues_once(spark):
+    rows = [("A", 1, "terms", i, 0, f" t{i % 3} : b{i:02}") for i in range(12)] + [("A", 1, "coverage", 9, 1, "first"), ("B", 2, "coverage", 0, 2, "last")]
+    issues = spark.createDataFrame(rows, "work string, juan int, source string, idx int, rule_no int, issue string")
+    found = inference.repair_targets(issues)
+    assert {r.work: (r.titles, r.hint) for r in found.collect()} == {"A": (["t0", "t1", "t2"], "；".join(["first", *(f" t{i % 3} : b{i:02}" for i in range(9))])), "B": ([], "last")}
+    assert found._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+
+
 def test_packing_over_blocks(spark, monkeypatch):
     import random
 
